@@ -1,13 +1,13 @@
 """Reading feed products kept as VARIANT.
 
 VARIANT is what tells a missing key (SQL NULL) from an explicit JSON null.
-A product is read inside ``transform``, one step per call, before its page is
-exploded: each value is then worked out once, and filters on the exploded rows
-compare finished columns instead of repeating the work.
+The columns come in steps, each using those of the step before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from wareloom.functions.text import ascii_digits, strip
@@ -23,6 +23,9 @@ PRODUCT = ("struct<title: variant, vendor: variant, body_html: variant, product_
 VARIANT = "struct<price: variant, available: variant>"
 
 
+MISSING, NULL, OBJECT, ARRAY, BOOLEAN, STRING = "", "VOI", "OBJ", "ARR", "BOO", "STR"
+
+
 def field(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
@@ -32,29 +35,31 @@ def as_text(value: Column) -> Column:
 
 
 def kind(value: Column) -> Column:
-    """Type of a value without its members: '' for a missing key, VOID for null."""
-    return F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("")), "^[A-Z]*", 0)
+    """First three letters of a value's type: '' for a missing key, VOI for null."""
+    return F.substring(F.coalesce(F.schema_of_variant(value), F.lit("")), 1, 3)
 
 
 def is_nested(value_kind: Column) -> Column:
-    return value_kind.isin("OBJECT", "ARRAY")
+    return value_kind.isin(OBJECT, ARRAY)
 
 
-def truthy(value: Column, value_kind: Column) -> Column:
-    """False for a missing key, null, false, zero and anything empty."""
+def truthy(value: Column, value_kind: Column, text: Column) -> Column:
+    """False for a missing key, null, false, zero and anything empty.
+
+    ``text`` is the value as text, so that callers can work it out once.
+    """
     return (
-        F.when(value_kind.isin("", "VOID"), False)
-        .when(value_kind == "ARRAY", field(value, "$[0]").isNotNull())
-        .when(value_kind == "OBJECT", F.schema_of_variant(value) != "OBJECT<>")
-        .when(value_kind == "BOOLEAN", as_text(value) == "true")
-        .when(value_kind == "STRING", as_text(value) != "")
-        .otherwise(as_text(value).try_cast("double") != 0)
+        F.when(value_kind.isin(MISSING, NULL), False)
+        .when(value_kind == STRING, text != "")
+        .when(value_kind == BOOLEAN, F.try_variant_get(value, "$", "boolean"))
+        .when(value_kind == ARRAY, field(value, "$[0]").isNotNull())
+        .when(value_kind == OBJECT, F.schema_of_variant(value) != "OBJECT<>")
+        .otherwise(text.try_cast("double") != 0)
     )
 
 
-def text_or_default(value: Column, default: str) -> Column:
-    """Default only for a missing key; JSON null stays NULL."""
-    return F.when(value.isNull(), default).otherwise(as_text(value))
+def number_text(text: Column) -> Column:
+    return strip(ascii_digits(text))
 
 
 def parse_number(text: Column) -> Column:
@@ -63,73 +68,85 @@ def parse_number(text: Column) -> Column:
     The pattern keeps out what a bare cast would let through, such as a
     trailing type suffix.
     """
-    trimmed = strip(ascii_digits(text))
-    return F.when(trimmed.rlike(PLAIN_NUMBER), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-
-
-def _take_apart(product: Column) -> Column:
-    return F.struct(
-        product.isNull().alias("missing"),
-        product["title"].alias("title"),
-        product["vendor"].alias("vendor"),
-        product["body_html"].alias("description"),
-        product["product_type"].alias("category"),
-        product["handle"].alias("handle"),
-        product["variants"].alias("variants"),
-        F.try_variant_get(product["variants"], "$[0]", VARIANT).alias("first"),
-    )
-
-
-def _name_kinds(p: Column) -> Column:
-    names = ["title", "vendor", "description", "category", "handle", "variants"]
-    return F.struct(
-        p.alias("p"),
-        *[kind(p[name]).alias(name) for name in names],
-        kind(p["first"]["price"]).alias("price"),
-        kind(p["first"]["available"]).alias("available"),
-    )
-
-
-def _read_values(k: Column, base_url: Column) -> Column:
-    p = k["p"]
-    price = p["first"]["price"]
-    number = (
-        F.when(~F.coalesce(truthy(price, k["price"]), F.lit(False)), 0.0)
-        .when(is_nested(k["price"]), F.lit(None).cast("double"))
-        .when(k["price"] == "BOOLEAN", 1.0)
-        .otherwise(parse_number(as_text(price)))
-    )
-    handle = F.when(truthy(p["handle"], k["handle"]), as_text(p["handle"]))
-    available = truthy(p["first"]["available"], k["available"])
-    no_first = p["first"].isNull() & truthy(p["variants"], k["variants"])
-    nested = is_nested(k["title"]) | is_nested(k["vendor"]) | is_nested(k["description"]) | is_nested(k["category"])
-    return F.struct(
-        product_link(base_url, handle).alias("product_url"),
-        text_or_default(p["title"], NOT_AVAILABLE).alias("title"),
-        text_or_default(p["vendor"], NOT_AVAILABLE).alias("vendor"),
-        number.alias("price"),
-        F.when(available, AVAILABLE).otherwise(OUT_OF_STOCK).alias("availability"),
-        text_or_default(p["description"], "").alias("description"),
-        text_or_default(p["category"], NOT_AVAILABLE).alias("category"),
-        F.when(p["missing"], "product is not an object")
+    return F.when(text.rlike(PLAIN_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+TEXT_FIELDS = {
+    # column: (key in the product, value for a missing key)
+    "title": ("title", NOT_AVAILABLE),
+    "vendor": ("vendor", NOT_AVAILABLE),
+    "description": ("body_html", ""),
+    "category": ("product_type", NOT_AVAILABLE),
+}
+
+
+def product_list(document: Column) -> Column:
+    """Products of one page, one struct of raw values each; NULL without a list."""
+    return F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
+
+
+def raw_columns(product: Column) -> dict[str, Column]:
+    raw = {f"raw_{name}": product[key] for name, (key, _) in TEXT_FIELDS.items()}
+    return {
+        **raw,
+        "raw_handle": product["handle"],
+        "raw_variants": product["variants"],
+        "missing": product.isNull(),
+        "first": F.try_variant_get(product["variants"], "$[0]", VARIANT),
+    }
+
+
+def kind_columns() -> dict[str, Column]:
+    first = F.col("first")
+    kinds = {f"{name}_kind": kind(F.col(f"raw_{name}")) for name in [*TEXT_FIELDS, "handle"]}
+    return {
+        **kinds,
+        "price_kind": kind(first["price"]),
+        "available_kind": kind(first["available"]),
+        "handle_text": as_text(F.col("raw_handle")),
+        "price_text": as_text(first["price"]),
+    }
+
+
+def value_columns(base_url: Column) -> dict[str, Column]:
+    first, handle, price = F.col("first"), F.col("handle_text"), F.col("price_text")
+    texts = {
+        # Only a missing key takes the default, JSON null stays NULL.
+        name: F.when(F.col(f"{name}_kind") == MISSING, default).otherwise(as_text(F.col(f"raw_{name}")))
+        for name, (_, default) in TEXT_FIELDS.items()
+    }
+    has_handle = truthy(F.col("raw_handle"), F.col("handle_kind"), handle)
+    available = truthy(first["available"], F.col("available_kind"), as_text(first["available"]))
+    return {
+        "product_url": product_link(base_url, F.when(has_handle, handle)),
+        **texts,
+        "availability": F.when(available, AVAILABLE).otherwise(OUT_OF_STOCK),
+        "has_price": F.coalesce(truthy(first["price"], F.col("price_kind"), price), F.lit(False)),
+        "price_text": number_text(price),
+    }
+
+
+def price_column() -> dict[str, Column]:
+    """0.0 without a price, NULL where it is not a number."""
+    kind_of_price = F.col("price_kind")
+    return {"price": (
+        F.when(~F.col("has_price"), 0.0)
+        .when(is_nested(kind_of_price), F.lit(None).cast("double"))
+        .when(kind_of_price == BOOLEAN, 1.0)
+        .otherwise(parse_number(F.col("price_text")))
+    )}
+
+
+def reject_reason() -> Column:
+    # The type of all variants is costly to find and only asked for without a first one.
+    variants = F.col("raw_variants")
+    no_first = F.when(F.col("first").isNull(), truthy(variants, kind(variants), as_text(variants)))
+    nested = reduce(Column.__or__, [is_nested(F.col(f"{name}_kind")) for name in TEXT_FIELDS])
+    usable_price = F.coalesce(F.abs(F.col("price")) < PRICE_LIMIT, F.lit(False))
+    return (
+        F.when(F.col("missing"), "product is not an object")
         .when(no_first, "first variant is not an object")
         .when(nested, "text field is nested")
-        .alias("shape_error"),
-    )
-
-
-def _judge(v: Column) -> Column:
-    usable_price = F.coalesce(F.abs(v["price"]) < PRICE_LIMIT, F.lit(False))
-    reason = (
-        F.when(v["shape_error"].isNotNull(), v["shape_error"])
         .when(~usable_price, "bad price")
-        .when(v["title"].isNull(), "title is null")
+        .when(F.col("title").isNull(), "title is null")
     )
-    return F.struct(v.alias("product"), reason.alias("reject_reason"))
-
-
-def read_products(document: Column, base_url: Column) -> Column:
-    """Array of ``product`` and ``reject_reason`` of one page; NULL without a product list."""
-    products = F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
-    kinds = F.transform(F.transform(products, _take_apart), _name_kinds)
-    return F.transform(F.transform(kinds, lambda k: _read_values(k, base_url)), _judge)

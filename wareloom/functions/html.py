@@ -194,7 +194,8 @@ def extract_fields(html: Column, rules: dict = PRODUCT_RULES) -> Column:
         read = (p.as_py() for p in pages)
         return pa.array([None if h is None else read_fields(h, compiled) for h in read], result)
 
-    return fields(html)
+    # A filter on a field must not make the page be parsed once more below it.
+    return fields.asNondeterministic()(html)
 
 
 def extract_links(url: Column, html: Column, item: str = LISTING_ITEM, item_link=ITEM_LINK,
@@ -208,7 +209,7 @@ def extract_links(url: Column, html: Column, item: str = LISTING_ITEM, item_link
         read = zip(urls.to_pylist(), (p.as_py() for p in pages))
         return pa.array([None if u is None or h is None else read_links(u, h, *compiled) for u, h in read], result)
 
-    return links(url, html)
+    return links.asNondeterministic()(url, html)
 
 
 def may_contain(html: Column, class_names) -> Column:

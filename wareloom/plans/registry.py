@@ -36,6 +36,12 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.scored_catalogue(*sources(spark, sf_dir))
 
 
+def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed pages as files: they are read once for the verdicts and once for the products."""
+    configure(spark)
+    return stage(tables.feed_payloads(spark, sf_dir))
+
+
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in columns})
 
@@ -88,7 +94,7 @@ def availability_flag(spark, sf_dir):
 
 @query
 def strip_html(spark, sf_dir):
-    return tables.table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("description_text"))
+    return tables.web_pages(spark, sf_dir).select("page_id", text.strip_html(F.col("html")).alias("description_text"))
 
 
 @query
@@ -159,7 +165,7 @@ def store_rankings(spark, sf_dir):
 @query
 def store_rankings_joined(spark, sf_dir):
     """The same from separately computed frames, some stores having no platform."""
-    scored = scored_rows(spark, sf_dir)
+    scored = stage(scored_rows(spark, sf_dir).select("source_store_name", "source_platform", "final_score", *schemas.ORDER_COLUMNS))
     platforms = ranking.store_platforms(scored).where(F.col("source_store_name") != schemas.SCRAPED_STORE)
     ranked = ranking.attach_platforms(ranking.store_averages(scored), ranking.store_maxima(scored), platforms)
     return rounded(ranked, "avg_product_score", "max_product_score")
@@ -167,13 +173,12 @@ def store_rankings_joined(spark, sf_dir):
 
 @query
 def feed_contiguous_pages(spark, sf_dir):
-    return feeds.contiguous_pages(tables.feed_payloads(spark, sf_dir)).select("store", "page")
+    return feeds.contiguous_pages(landed_payloads(spark, sf_dir)).select("store", "page")
 
 
 @query
 def feed_flatten(spark, sf_dir):
-    configure(spark)
-    return feeds.accepted(feeds.flatten_feed(tables.feed_payloads(spark, sf_dir))).drop("ordinal")
+    return feeds.accepted(feeds.flatten_feed(landed_payloads(spark, sf_dir))).drop("ordinal")
 
 
 @query
@@ -185,8 +190,7 @@ def feed_missing_vs_null(spark, sf_dir):
 
 @query
 def feed_rejects(spark, sf_dir):
-    configure(spark)
-    return ingest.feed_rejects(feeds.flatten_feed(tables.feed_payloads(spark, sf_dir)))
+    return ingest.feed_rejects(feeds.flatten_feed(landed_payloads(spark, sf_dir)))
 
 
 @query
@@ -195,7 +199,7 @@ def store_name_from_url(spark, sf_dir):
 
 
 def _outline(spark, sf_dir):
-    return pages.listing_outline(tables.table(spark, sf_dir, "pages"), item="li")
+    return pages.listing_outline(tables.web_pages(spark, sf_dir), item="li")
 
 
 @query
@@ -206,7 +210,7 @@ def page_links(spark, sf_dir):
 @query
 def resolve_links(spark, sf_dir):
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
-    found = tables.table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
+    found = tables.web_pages(spark, sf_dir).select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
     return found.select("page_id", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
@@ -233,7 +237,7 @@ def extract_page_fields(spark, sf_dir):
         "second_link": [("nav > ul > li > a", 1), ("nav > ul > li > a", 0)],
         "sku": [("span.sku", 0)],
     }
-    return pages.product_fields(tables.table(spark, sf_dir, "pages"), rules)
+    return pages.product_fields(tables.web_pages(spark, sf_dir), rules)
 
 
 @query
@@ -301,8 +305,8 @@ def ingest_stream(spark, sf_dir):
     folder = work_folder(spark)
     configure(spark)
     landing = tables.feed_payloads(spark, sf_dir).select(*schemas.FEED_PAYLOADS.names)
-    landing.repartition(4, "store", "page").write.parquet(f"{folder}/landing")
-    run = stream.stream_feed(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress", files_per_batch=2)
+    landing.write.option("maxRecordsPerFile", 2000).parquet(f"{folder}/landing")
+    run = stream.stream_feed(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress", files_per_batch=16)
     run.awaitTermination()
     return _plain_products(stream.read_stream_table(spark, f"{folder}/table"))
 
@@ -314,8 +318,7 @@ def run_counters(spark, sf_dir):
 
 @query
 def feed_counters(spark, sf_dir):
-    configure(spark)
-    return counters.outcome_counts(feeds.flatten_feed(tables.feed_payloads(spark, sf_dir)), "store", "page")
+    return counters.outcome_counts(feeds.flatten_feed(landed_payloads(spark, sf_dir)), "store", "page")
 
 
 def _plain_products(products: DataFrame) -> DataFrame:
@@ -324,7 +327,7 @@ def _plain_products(products: DataFrame) -> DataFrame:
 
 @query
 def ingest_feed(spark, sf_dir):
-    return _plain_products(ingest.ingest_feed(tables.feed_payloads(spark, sf_dir)))
+    return _plain_products(ingest.ingest_feed(landed_payloads(spark, sf_dir)))
 
 
 @query

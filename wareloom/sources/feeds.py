@@ -36,10 +36,10 @@ def page_verdicts(payloads: DataFrame) -> DataFrame:
         .when(F.col("status") >= FIRST_HTTP_ERROR, "http error")
         .when(document.isNull(), "undecodable body")
         .when(feed.field(products, "$[0]").isNotNull(), PAGE_OK)
-        .when(products.isNull() & (feed.kind(document) != "OBJECT"), "body is not an object")
-        .when(~feed.truthy(products, products_kind), "no products")
+        .when(products.isNull() & (feed.kind(document) != feed.OBJECT), "body is not an object")
+        .when(~feed.truthy(products, products_kind, feed.as_text(products)), "no products")
         # Text or an object has members, though none of them is a product.
-        .when(products_kind.isin("OBJECT", "STRING"), PAGE_OK)
+        .when(products_kind.isin(feed.OBJECT, feed.STRING), PAGE_OK)
         .otherwise("products is not a list")
     )
     return parsed.select("store", "page", verdict.alias("verdict"))
@@ -89,16 +89,24 @@ def flatten_pages(payloads: DataFrame) -> DataFrame:
 
     ``ordinal`` orders products by fetch, then by position in the page.
     """
-    products = feed.read_products(F.col("document"), F.col("base_url"))
     rows = _parse(payloads).select(
-        "store", "page", "base_url", "fetch_seq", F.posexplode(products).alias("pos", "read"))
-    return rows.select(
-        "store", "page", "pos",
-        *[F.col(f"read.product.{c}").alias(c) for c in PRODUCT_COLUMNS],
+        "store", "page", "base_url", "fetch_seq",
+        F.posexplode(feed.product_list(F.col("document"))).alias("pos", "product"))
+    rows = (
+        rows.withColumns(feed.raw_columns(F.col("product")))
+        .withColumns(feed.kind_columns())
+        .withColumns(feed.value_columns(F.col("base_url")))
+        .withColumns(feed.price_column())
+    )
+    finished = F.struct(
+        "store", "page", "pos", *PRODUCT_COLUMNS,
         urls.store_name(F.col("base_url")).alias("store_name"),
         ordinal(F.col("fetch_seq"), F.col("pos")).alias("ordinal"),
-        F.col("read.reject_reason").alias("reject_reason"),
+        feed.reject_reason().alias("reject_reason"),
     )
+    # Going through a one-element array keeps filters on these columns from
+    # being moved below, where they would work out every value again.
+    return rows.select(F.inline(F.array(finished)))
 
 
 def flatten_feed(payloads: DataFrame) -> DataFrame:

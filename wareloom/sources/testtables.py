@@ -15,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Redistribute a plain scan that has fewer splits than there are cores.
+
+    Costs one shuffle of less data than one split per core; a table large
+    enough to keep the cores busy is read where it lies.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def _price_text(column: str):
     return F.concat(F.lit("$"), F.format_number(column, 2))
 
@@ -24,7 +34,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows repeat URLs; some have no price, some no URL.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     parts = table(spark, sf_dir, "part")
     suppliers = table(spark, sf_dir, "supplier")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
@@ -46,7 +56,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scraped_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as a scraped product table, with URLs that meet the structured ones."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.concat(F.lit("https://s"), F.expr("o_custkey div 10"), F.lit(".example.com/products/"),
                  F.expr("o_orderkey div 4")).alias("product_url"),
         F.when((F.col("o_orderpriority") != "4-NOT SPECIFIED") | (F.col("o_orderstatus") != "F"),
@@ -66,8 +76,11 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices. In the stores below 'Brand#2' a page of large quantities only
     answers with an error and a page of small ones is cut off.
     """
+    page = F.expr("l_orderkey div 100 + 1").cast("int")
+    # Rows are shuffled to their page while they are still narrow.
     lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
+    ).withColumn("page", page).repartition("p_brand", "page")
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     plain = F.format_string("%.2f", F.col("l_extendedprice"))
     price = (
@@ -97,7 +110,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", with_nulls.alias("product")))),
         lambda item: item["product"])
-    pages = lines.groupBy("p_brand", F.expr("l_orderkey div 100 + 1").cast("int").alias("page")).agg(
+    pages = lines.groupBy("p_brand", "page").agg(
         items.alias("items"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
     body = F.concat(F.lit('{"products":['), F.concat_ws(",", "items"), F.lit("]}"))
     fragile = F.col("p_brand") < "Brand#2"
@@ -121,7 +134,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"products":[{'), title, F.lit('"vendor":'),
         F.when(F.col("event_type") == "click", "null").otherwise('"v"'),
         F.lit(',"handle":"h'), "event_id", F.lit('","props":'), "props", F.lit("}]}"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         F.concat(F.lit("user"), "user_id").alias("store"),
         F.concat(F.lit("https://user"), "user_id", F.lit(".example.com")).alias("base_url"),
         F.col("event_id").cast("int").alias("page"),
@@ -178,7 +191,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('<div class="col"><div class="product-small box"><a rel="nofollow" href="//shop'), series,
             F.lit(".example.com"), path, F.lit('">'), "p_name", F.lit("<br></a></div>")))
     )
-    pages = table(spark, sf_dir, "part").groupBy(
+    pages = spread(table(spark, sf_dir, "part"), "p_partkey").groupBy(
         series.alias("series"), size.alias("size"), page.alias("page")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("item")))),
                                  lambda x: x["item"]), "\n").alias("items"))
@@ -212,7 +225,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.when(F.col("p_brand") == "Brand#3", "").otherwise(F.concat(
         F.lit('<span class="tagged_as">Tags: <a href="/t" rel="tag">'), "p_type",
         F.lit('</a>, <a href="/u" rel="tag">other</a></span>')))
-    return table(spark, sf_dir, "part").where(F.col("p_size") != 48).select(
+    return spread(table(spark, sf_dir, "part"), "p_partkey").where(F.col("p_size") != 48).select(
         F.concat(_shop(series), F.lit("/product/"), "p_partkey", F.lit("/")).alias("url"),
         F.concat(
             F.lit('<!DOCTYPE html><html><head><title>shop</title><script>var h="<h1>x</h1>";</script></head><body>'
@@ -222,6 +235,10 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing_pages(spark, sf_dir).unionByName(product_pages(spark, sf_dir))
 
@@ -234,7 +251,7 @@ def page_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``url, next_url``: each page points to the one after it unless that one has a query string."""
-    pages = table(spark, sf_dir, "pages")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
     following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    return pages.select("page_id", "url").join(following, "page_id").where(
+    return pages.join(following, "page_id").where(
         ~F.col("next_url").contains("?")).select("url", "next_url")
