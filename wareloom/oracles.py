@@ -149,8 +149,9 @@ category_links AS (
 
 
 def decoded(column: str) -> str:
+    """Character references; HTML reads these few also without their semicolon."""
     for name, text in [("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")]:
-        column = f"replace({column}, '&{name};', '{text}')"
+        column = f"regexp_replace({column}, '&{name};?', '{text}', 'g')"
     return column
 
 
