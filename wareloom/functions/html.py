@@ -12,7 +12,8 @@ classes, ``[attribute=value]``, descendants and direct children (``>``).
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -58,6 +59,7 @@ class Outline(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.elements, self.texts, self.open = [], [], []
         self.open_tags = Counter()
+        self.by_tag = defaultdict(list)
         self.feed(html)
         self.close()
         while self.open:
@@ -68,6 +70,7 @@ class Outline(HTMLParser):
         named = {name: value or "" for name, value in attrs}
         self.elements.append(_Element(tag, named, parent, len(self.texts)))
         self.open.append(len(self.elements) - 1)
+        self.by_tag[tag].append(len(self.elements) - 1)
         self.open_tags[tag] += 1
         if tag in VOID_TAGS:
             self._end_innermost()
@@ -98,7 +101,12 @@ class Outline(HTMLParser):
         """Positions matching ``selector``, in document order, inside ``within``."""
         first = 0 if within is None else within
         last = len(self.elements) if within is None else self.elements[within].last
-        return (at for at in range(first, last) if self._matches(at, selector, len(selector) - 1, first))
+        tag = selector[-1][1]
+        candidates = range(first, last)
+        if tag:
+            positions = self.by_tag.get(tag, [])
+            candidates = positions[bisect_left(positions, first):bisect_left(positions, last)]
+        return (at for at in candidates if self._matches(at, selector, len(selector) - 1, first))
 
     def _matches(self, at: int, steps: list, n: int, first: int) -> bool:
         direct, tag, classes, attrs = steps[n]

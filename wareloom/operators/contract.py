@@ -37,21 +37,25 @@ def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, Dat
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """``column_name, rule, violations``: one row per rule, also where it holds.
 
-    Row rules are counted in one pass. Repeated keys are counted after a
-    partial count per key, NULL keys being distinct as in a unique index.
+    Rows are counted per unique key and rule, first inside each task, and the
+    counts per key are then added up, so one pass answers all rules. NULL keys
+    are distinct, as in a unique index.
     """
     rules = _row_rules(contract, df.columns)
-    counts = df.agg(*[F.count_if(broken).alias(f"r{n}") for n, (_, _, broken) in enumerate(rules)])
-    listed = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"r{n}").alias("violations"))
-        for n, (rule, c, _) in enumerate(rules)
-    ])
-    results = [counts.select(F.inline(listed))]
-    for key in contract.unique:
-        repeats = df.where(F.col(key).isNotNull()).groupBy(key).agg((F.count(F.lit(1)) - 1).alias("extra"))
-        results.append(repeats.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("violations")).select(
-            F.lit(key).alias("column_name"), F.lit("unique").alias("rule"), "violations"))
-    return reduce(DataFrame.union, results)
+    names = [f"r{n}" for n in range(len(rules))]
+    broken = [F.count_if(broken).alias(name) for name, (_, _, broken) in zip(names, rules)]
+    counted = df.groupBy(*contract.unique).agg(F.count(F.lit(1)).alias("rows"), *broken)
+    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in contract.unique], F.lit(True))
+    repeats = F.sum(F.when(keyed, F.col("rows") - 1).otherwise(0))
+    totals = counted.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names],
+                         F.coalesce(repeats, F.lit(0)).alias("repeats"))
+    listed = [(column, rule, name) for name, (rule, column, _) in zip(names, rules)]
+    if contract.unique:
+        listed.append((", ".join(contract.unique), "unique", "repeats"))
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(column).alias("column_name"), F.lit(rule).alias("rule"), F.col(name).alias("violations"))
+        for column, rule, name in listed
+    ])))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -19,3 +19,10 @@ def outcome_counts(flat: DataFrame, *columns: str) -> DataFrame:
 def source_counts(combined: DataFrame) -> DataFrame:
     """Rows per platform, store and category."""
     return count_by(combined, "source_platform", "source_store_name", "product_category")
+
+
+def frontier_counts(links: DataFrame, pages: DataFrame) -> DataFrame:
+    """Distinct links of each category, and how many of them have a captured page."""
+    captured = pages.where(F.col("html").isNotNull()).select("url")
+    return links.join(captured, links["link"] == captured["url"], "left").groupBy("category").agg(
+        F.count("link").alias("links"), F.count("url").alias("captured"))

@@ -293,6 +293,9 @@ ORACLES = {
     "feed_counters": f"""WITH {FEED}
         SELECT store, page, count(*) FILTER (reject_reason IS NULL) AS accepted,
                count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM flat GROUP BY store, page""",
+    "page_counters": f"""WITH {LISTED}
+        SELECT 'Series ' || series AS category, count(*) AS links, count(*) FILTER (p_size <> 48) AS captured
+        FROM category_links JOIN part ON part = p_partkey GROUP BY series""",
     "ingest_feed": INGESTED,
     "ingest_pages": f"""WITH {LISTED},
         latest AS (SELECT part, link, max(series) AS series FROM category_links GROUP BY part, link)

@@ -321,6 +321,13 @@ def feed_counters(spark, sf_dir):
     return counters.outcome_counts(feeds.flatten_feed(landed_payloads(spark, sf_dir)), "store", "page")
 
 
+@query
+def page_counters(spark, sf_dir):
+    captured = tables.captured_pages(spark, sf_dir)
+    links = pages.category_links(stage(pages.listing_outline(captured)), tables.catalogue_seeds(spark, sf_dir))
+    return counters.frontier_counts(links, captured)
+
+
 def _plain_products(products: DataFrame) -> DataFrame:
     return products.withColumn("price", F.col("price").cast("double")).drop("ordinal")
 

@@ -137,7 +137,7 @@ STORE_RANKINGS = T.StructType([
 
 @dataclass(frozen=True)
 class Contract:
-    """NOT NULL columns, maximum lengths and the unique key of one table."""
+    """NOT NULL columns, maximum lengths, the unique key and the decimals of one table."""
 
     not_null: tuple[str, ...] = ()
     max_length: tuple[tuple[str, int], ...] = ()
