@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -226,7 +227,5 @@ def may_contain(html: Column, class_names) -> Column:
     True where a name stands literally in the page, or where a class attribute
     holds a character reference that could spell one.
     """
-    spelled = html.rlike(r"(?i)class\s*=[^>]*&")
-    for name in class_names:
-        spelled = spelled | html.contains(name)
-    return spelled
+    literal = reduce(Column.__or__, [html.contains(name) for name in class_names])
+    return literal | html.rlike(r"""(?i)class\s*=\s*("[^"]*&|'[^']*&|[^\s>"']*&)""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wareloom.schemas import WEIGHT_AVAILABILITY, WEIGHT_PRICE
+from wareloom.schemas import SCORE_INPUTS, WEIGHT_AVAILABILITY, WEIGHT_PRICE
 
 
 def price_bounds(df: DataFrame) -> Column:
@@ -34,7 +34,7 @@ def score(df: DataFrame, availability_weight: float = WEIGHT_AVAILABILITY,
 
     Without the two input columns every final score is 0.
     """
-    if not {"price", "is_available_numeric"} <= set(df.columns):
+    if not set(SCORE_INPUTS) <= set(df.columns):
         return df.withColumn("final_score", F.lit(0.0))
     scored = add_price_score(df.withColumn("availability_score", F.col("is_available_numeric")))
     return scored.withColumn(

@@ -32,8 +32,11 @@ def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return tables.structured_offers(spark, sf_dir), tables.scraped_offers(spark, sf_dir)
 
 
-def scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return selection.scored_catalogue(*sources(spark, sf_dir))
+def scored_rows(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    return selection.scored_catalogue(*sources(spark, sf_dir), columns)
+
+
+STORE_COLUMNS = ["source_store_name", "source_platform", *schemas.ORDER_COLUMNS]
 
 
 def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +117,8 @@ def preprocess(spark, sf_dir):
 
 @query
 def single_source_run(spark, sf_dir):
-    scored = selection.scored_catalogue(tables.structured_offers(spark, sf_dir), None)
+    scored = selection.scored_catalogue(
+        tables.structured_offers(spark, sf_dir), None, ["product_url", "source_platform"])
     return rounded(scored.select("product_url", "source_platform", "price", "final_score"), "final_score")
 
 
@@ -127,45 +131,45 @@ def price_score(spark, sf_dir):
 
 @query
 def attractiveness_score(spark, sf_dir):
-    return rounded(scored_rows(spark, sf_dir).select(
-        "product_url", "title", "source_store_name", "price", "availability_score", "price_score", "final_score"),
-        "price_score", "final_score")
+    scored = scored_rows(spark, sf_dir, ["product_url", "title", "source_store_name"])
+    return rounded(scored.drop("is_available_numeric"), "price_score", "final_score")
 
 
 @query
 def top_k_overall(spark, sf_dir):
-    return rounded(ranking.top_k(scored_rows(spark, sf_dir)), "final_score")
+    return rounded(ranking.top_k(scored_rows(spark, sf_dir, ranking.TOP_K_COLUMNS)), "final_score")
 
 
 @query
 def flagship_per_store(spark, sf_dir):
-    return rounded(ranking.flagship(scored_rows(spark, sf_dir)), "final_score")
+    scored = scored_rows(spark, sf_dir, [*ranking.FLAGSHIP_COLUMNS, *schemas.ORDER_COLUMNS])
+    return rounded(ranking.flagship(scored), "final_score")
 
 
 @query
 def store_avg_rank(spark, sf_dir):
-    return rounded(ranking.store_averages(scored_rows(spark, sf_dir)), "avg_product_score")
+    return rounded(ranking.store_averages(scored_rows(spark, sf_dir, STORE_COLUMNS)), "avg_product_score")
 
 
 @query
 def store_max_rank(spark, sf_dir):
-    return rounded(ranking.store_maxima(scored_rows(spark, sf_dir)), "max_product_score")
+    return rounded(ranking.store_maxima(scored_rows(spark, sf_dir, STORE_COLUMNS)), "max_product_score")
 
 
 @query
 def store_platform_map(spark, sf_dir):
-    return ranking.store_platforms(scored_rows(spark, sf_dir))
+    return ranking.store_platforms(scored_rows(spark, sf_dir, STORE_COLUMNS))
 
 
 @query
 def store_rankings(spark, sf_dir):
-    return rounded(ranking.store_rankings(scored_rows(spark, sf_dir)), "avg_product_score", "max_product_score")
+    return rounded(ranking.store_rankings(scored_rows(spark, sf_dir, STORE_COLUMNS)), "avg_product_score", "max_product_score")
 
 
 @query
 def store_rankings_joined(spark, sf_dir):
     """The same from separately computed frames, some stores having no platform."""
-    scored = stage(scored_rows(spark, sf_dir).select("source_store_name", "source_platform", "final_score", *schemas.ORDER_COLUMNS))
+    scored = scored_rows(spark, sf_dir, STORE_COLUMNS)
     platforms = ranking.store_platforms(scored).where(F.col("source_store_name") != schemas.SCRAPED_STORE)
     ranked = ranking.attach_platforms(ranking.store_averages(scored), ranking.store_maxima(scored), platforms)
     return rounded(ranked, "avg_product_score", "max_product_score")
@@ -266,7 +270,8 @@ def upsert_folded_key(spark, sf_dir):
 
 @query
 def save_shape(spark, sf_dir):
-    shaped = contract.save_shape(scored_rows(spark, sf_dir).drop("sku"), schemas.SCORED_PRODUCTS.names)
+    scored = scored_rows(spark, sf_dir, schemas.SCORED_PRODUCTS.names).drop("sku")
+    shaped = contract.save_shape(scored, schemas.SCORED_PRODUCTS.names)
     return rounded(shaped, "price_score", "final_score")
 
 
@@ -294,7 +299,7 @@ def evolve_union(spark, sf_dir):
 def refresh_guard(spark, sf_dir):
     """A refresh with rows, then one without, which must leave the rows alone."""
     path = f"{work_folder(spark)}/top_k"
-    best = ranking.top_k(scored_rows(spark, sf_dir))
+    best = ranking.top_k(scored_rows(spark, sf_dir, ranking.TOP_K_COLUMNS))
     sinks.refresh(best, path)
     sinks.refresh(best.where(F.col("rank_overall") < 0), path)
     return rounded(sinks.read_refreshed(spark, path, best.schema), "final_score")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from wareloom import schemas
 from wareloom.functions import text
 from wareloom.operators import align, contract, keyed, ranking, scoring, sinks
-from wareloom.session import stage, work_folder
+from wareloom.session import stage
 from wareloom.sources.catalogues import scan_scraped, scan_structured
 
 # Stored rows keep the order columns: they decide which of two writes is later.
@@ -47,9 +47,19 @@ def preprocess(combined: DataFrame) -> DataFrame:
     return text.fill_missing(cleaned.withColumns({"is_available_numeric": flag, "description_text": plain}))
 
 
-def scored_catalogue(structured: DataFrame | None, scraped: DataFrame | None, **weights) -> DataFrame:
-    """Everything up to the scores, as one lazy plan."""
-    return scoring.score(preprocess(harmonise(structured, scraped)), **weights)
+def scored_catalogue(structured: DataFrame | None, scraped: DataFrame | None, columns: list[str] | None = None,
+                     **weights) -> DataFrame:
+    """Everything up to the scores.
+
+    Scoring reads the cleaned rows twice, for the price bounds and for the
+    scores, so they are written out once instead of merging the sources twice.
+    ``columns`` names what is needed besides the scores' own inputs.
+    """
+    rows = preprocess(harmonise(structured, scraped))
+    if columns is not None:
+        needed = {*columns, *schemas.SCORE_INPUTS}
+        rows = rows.select(*[c for c in rows.columns if c in needed])
+    return scoring.score(stage(rows), **weights)
 
 
 def saved_products(scored: DataFrame) -> DataFrame:
@@ -62,14 +72,12 @@ def run_selection(structured: DataFrame | None, scraped: DataFrame | None, out:
                   k: int = schemas.TOP_K, n: int = schemas.FLAGSHIP_PER_STORE, **weights) -> None:
     """Publish the four result tables under ``out``.
 
-    The cleaned rows are written once and feed the price bounds, the three
-    reports and the saved table, instead of merging the sources five times.
-    Scored products accumulate over runs, the reports are replaced.
+    The cleaned rows, written once, feed the price bounds, the three reports
+    and the saved table. Scored products accumulate over runs, the reports are
+    replaced.
     """
-    spark = (structured if structured is not None else scraped).sparkSession
-    rows = stage(preprocess(harmonise(structured, scraped)), work_folder(spark))
-    scored = scoring.score(rows, **weights)
-    if not rows.isEmpty():
+    scored = scored_catalogue(structured, scraped, **weights)
+    if not scored.isEmpty():
         fitting, _ = contract.split_by_contract(contract.save_shape(scored, SCORED_LOG.names), schemas.SCORED_CONTRACT)
         sinks.append_batch(contract.conform(fitting, SCORED_LOG), f"{out}/scored_products", run_id)
     sinks.refresh(contract.conform(ranking.top_k(scored, k), schemas.TOP_K_PRODUCTS), f"{out}/top_k_products_overall")

@@ -93,6 +93,7 @@ CATALOGUE = T.StructType([
 CATALOGUE_COLUMNS = CATALOGUE.names
 ORDER_COLUMNS = ["source_priority", "ordinal"]
 
+SCORE_INPUTS = ["price", "is_available_numeric"]
 FILL_COLUMNS = ["title", "vendor", "product_category", "source_store_name", "product_tags", "sku"]
 
 # Result tables, with the narrow types they are stored in.
