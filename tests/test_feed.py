@@ -122,7 +122,7 @@ def test_stream_gives_the_batch_result(spark, tmp_path, files_per_batch):
 
     pages = payloads(spark, [
         ("a", 3, 200, body(item("late", "9"))), ("a", 2, 500, "x"), ("a", 1, 200, body(item("h", "1"))),
-        ("b", 2, 200, body(item("h", "2"))), ("b", 1, 200, body(item("h", "3"), item("i", "4"))),
+        ("b", 2, 200, body(item("h", "2"))), ("b", 1, 200, body(item("h", "3"), item("i", "4"), item("k", "x"))),
     ])
     landing, table, progress = (str(tmp_path / name) for name in ("landing", "table", "progress"))
     for row in pages.collect():
@@ -136,6 +136,14 @@ def test_stream_gives_the_batch_result(spark, tmp_path, files_per_batch):
     stream.stream_feed(spark, landing, table, progress, files_per_batch).awaitTermination()
     prices = {r.product_url: float(r.price) for r in stream.read_stream_table(spark, table).collect()}
     assert prices["https://b.com/products/i"] == 8.0
+    assert [(r.store, r.page, r.reject_reason) for r in stream.read_stream_rejects(spark, table).collect()] == [
+        ("b", 1, "bad price")]
+
+
+def test_bodies_are_parsed_once(spark):
+    pages = payloads(spark, [("a", 1, 200, OK)])
+    plan = feeds.accepted(feeds.read_pages(pages))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == 1
 
 
 def test_stops_do_not_depend_on_one_task(spark):

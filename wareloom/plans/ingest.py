@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from wareloom import schemas
 from wareloom.operators import contract, keyed
@@ -10,17 +10,20 @@ from wareloom.session import configure, stage
 from wareloom.sources import feeds, pages as page_source
 
 
-def products_table(flat: DataFrame, schema: T.StructType = schemas.PRODUCTS) -> DataFrame:
+def judge(flat: DataFrame) -> DataFrame:
+    """Let the table contract reject what the feed rules accepted."""
+    broken = contract.broken_rule(schemas.PRODUCTS_CONTRACT, flat.columns)
+    return flat.withColumn("reject_reason", F.coalesce("reject_reason", broken))
+
+
+def products_table(flat: DataFrame) -> DataFrame:
     """Accepted products that fit the table, in its columns and types."""
-    fitting, _ = contract.split_by_contract(feeds.accepted(flat), schemas.PRODUCTS_CONTRACT)
-    return contract.conform(fitting, schema)
+    return contract.conform(feeds.accepted(judge(flat)), schemas.PRODUCTS)
 
 
 def feed_rejects(flat: DataFrame) -> DataFrame:
     """Products left out, by the feed rules or by the table contract."""
-    _, unfit = contract.split_by_contract(feeds.accepted(flat), schemas.PRODUCTS_CONTRACT)
-    columns = ["store", "page", "pos", "reject_reason"]
-    return feeds.rejected(flat).select(*columns).unionByName(unfit.select(*columns))
+    return feeds.rejected(judge(flat))
 
 
 def ingest_feed(payloads: DataFrame) -> DataFrame:

@@ -39,10 +39,9 @@ def scored_rows(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFra
 STORE_COLUMNS = ["source_store_name", "source_platform", *schemas.ORDER_COLUMNS]
 
 
-def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed pages as files: they are read once for the verdicts and once for the products."""
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return stage(tables.feed_payloads(spark, sf_dir))
+    return tables.feed_payloads(spark, sf_dir)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -177,12 +176,12 @@ def store_rankings_joined(spark, sf_dir):
 
 @query
 def feed_contiguous_pages(spark, sf_dir):
-    return feeds.contiguous_pages(landed_payloads(spark, sf_dir)).select("store", "page")
+    return feeds.contiguous_pages(stage(payloads(spark, sf_dir))).select("store", "page")
 
 
 @query
 def feed_flatten(spark, sf_dir):
-    return feeds.accepted(feeds.flatten_feed(landed_payloads(spark, sf_dir))).drop("ordinal")
+    return feeds.accepted(feeds.flatten_feed(payloads(spark, sf_dir))).drop("ordinal")
 
 
 @query
@@ -194,7 +193,7 @@ def feed_missing_vs_null(spark, sf_dir):
 
 @query
 def feed_rejects(spark, sf_dir):
-    return ingest.feed_rejects(feeds.flatten_feed(landed_payloads(spark, sf_dir)))
+    return ingest.feed_rejects(feeds.flatten_feed(payloads(spark, sf_dir)))
 
 
 @query
@@ -323,7 +322,7 @@ def run_counters(spark, sf_dir):
 
 @query
 def feed_counters(spark, sf_dir):
-    return counters.outcome_counts(feeds.flatten_feed(landed_payloads(spark, sf_dir)), "store", "page")
+    return counters.outcome_counts(feeds.flatten_feed(payloads(spark, sf_dir)), "store", "page")
 
 
 @query
@@ -339,7 +338,7 @@ def _plain_products(products: DataFrame) -> DataFrame:
 
 @query
 def ingest_feed(spark, sf_dir):
-    return _plain_products(ingest.ingest_feed(landed_payloads(spark, sf_dir)))
+    return _plain_products(ingest.ingest_feed(payloads(spark, sf_dir)))
 
 
 @query

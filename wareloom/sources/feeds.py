@@ -23,26 +23,26 @@ def _parse(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("document", F.when(answered, F.try_parse_json("body")))
 
 
-def page_verdicts(payloads: DataFrame) -> DataFrame:
-    """``store, page, verdict``: the narrow log that decides where stores stop."""
-    document = F.col("document")
-    parsed = _parse(payloads).withColumn("products", feed.field(document, "$.products"))
-    products = F.col("products")
-    # The type of a whole page is costly to find, so a first product is looked
-    # for before asking.
+def _verdict() -> Column:
+    document, products = F.col("document"), feed.field(F.col("document"), "$.products")
     products_kind = feed.kind(products)
-    verdict = (
+    return (
         F.when(F.col("status").isNull(), "no response")
         .when(F.col("status") >= FIRST_HTTP_ERROR, "http error")
         .when(document.isNull(), "undecodable body")
-        .when(feed.field(products, "$[0]").isNotNull(), PAGE_OK)
+        # Nearly all pages end here, before anything has to look at the whole list.
+        .when(feed.field(document, "$.products[0]").isNotNull(), PAGE_OK)
         .when(products.isNull() & (feed.kind(document) != feed.OBJECT), "body is not an object")
         .when(~feed.truthy(products, products_kind, feed.as_text(products)), "no products")
         # Text or an object has members, though none of them is a product.
         .when(products_kind.isin(feed.OBJECT, feed.STRING), PAGE_OK)
         .otherwise("products is not a list")
     )
-    return parsed.select("store", "page", verdict.alias("verdict"))
+
+
+def page_verdicts(payloads: DataFrame) -> DataFrame:
+    """``store, page, verdict``: the narrow log that decides where stores stop."""
+    return _parse(payloads).select("store", "page", _verdict().alias("verdict"))
 
 
 def store_stops(verdicts: DataFrame) -> DataFrame:
@@ -84,14 +84,16 @@ def contiguous_pages(payloads: DataFrame) -> DataFrame:
     return keep_contiguous(payloads, stage(store_stops(page_verdicts(payloads))))
 
 
-def flatten_pages(payloads: DataFrame) -> DataFrame:
-    """One row per product of all readable pages, with ``reject_reason``.
+def read_pages(payloads: DataFrame) -> DataFrame:
+    """One row per product of each landed page, with ``verdict`` and ``reject_reason``.
 
+    A page without a product list gives one row, its ``pos`` NULL. So one pass
+    over the bodies answers both which pages count and what is on them.
     ``ordinal`` orders products by fetch, then by position in the page.
     """
     rows = _parse(payloads).select(
-        "store", "page", "base_url", "fetch_seq",
-        F.posexplode(feed.product_list(F.col("document"))).alias("pos", "product"))
+        "store", "page", "base_url", "fetch_seq", _verdict().alias("verdict"),
+        F.posexplode_outer(feed.product_list(F.col("document"))).alias("pos", "product"))
     rows = (
         rows.withColumns(feed.raw_columns(F.col("product")))
         .withColumns(feed.kind_columns())
@@ -99,7 +101,7 @@ def flatten_pages(payloads: DataFrame) -> DataFrame:
         .withColumns(feed.price_column())
     )
     finished = F.struct(
-        "store", "page", "pos", *PRODUCT_COLUMNS,
+        "store", "page", "verdict", "pos", *PRODUCT_COLUMNS,
         urls.store_name(F.col("base_url")).alias("store_name"),
         ordinal(F.col("fetch_seq"), F.col("pos")).alias("ordinal"),
         feed.reject_reason().alias("reject_reason"),
@@ -109,9 +111,28 @@ def flatten_pages(payloads: DataFrame) -> DataFrame:
     return rows.select(F.inline(F.array(finished)))
 
 
+def products_only(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("pos").isNotNull()).drop("verdict")
+
+
+def flatten_pages(payloads: DataFrame) -> DataFrame:
+    """Products of all readable pages, accepted and rejected together."""
+    return products_only(read_pages(payloads))
+
+
+def contiguous_products(rows: DataFrame) -> DataFrame:
+    """Products of the contiguous pages, from rows of ``read_pages`` that were written out."""
+    stops = stage(store_stops(rows.select("store", "page", "verdict")))
+    return keep_contiguous(products_only(rows), stops)
+
+
 def flatten_feed(payloads: DataFrame) -> DataFrame:
-    """Contiguous pages, flattened: accepted and rejected products together."""
-    return flatten_pages(contiguous_pages(payloads))
+    """Products of the contiguous pages, accepted and rejected together.
+
+    Bodies are read and parsed once; the much smaller rows are written out and
+    read again for the verdicts and for the products.
+    """
+    return contiguous_products(stage(read_pages(payloads)))
 
 
 def accepted(flat: DataFrame) -> DataFrame:

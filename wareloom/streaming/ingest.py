@@ -5,27 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from wareloom import schemas
-from wareloom.operators import keyed, sinks
-from wareloom.plans.ingest import products_table
-from wareloom.session import configure, stage
+from wareloom.operators import contract, keyed, sinks
+from wareloom.plans.ingest import judge
+from wareloom.session import configure
 from wareloom.sources import feeds
 
-PRODUCT_LOG = T.StructType([
-    *schemas.PRODUCTS.fields,
-    T.StructField("store", T.StringType()),
-    T.StructField("page", T.IntegerType()),
-])
-VERDICT_LOG = T.StructType([
+# One row per product and one per page without any; rejected products stay in it.
+FEED_LOG = T.StructType([
     T.StructField("store", T.StringType()),
     T.StructField("page", T.IntegerType()),
     T.StructField("verdict", T.StringType()),
+    T.StructField("pos", T.IntegerType()),
+    *schemas.PRODUCTS.fields,
+    T.StructField("reject_reason", T.StringType()),
 ])
 
 
 def _write_batch(table: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        sinks.append_batch(feeds.page_verdicts(batch), f"{table}/verdicts", batch_id)
-        sinks.append_batch(products_table(feeds.flatten_pages(batch), PRODUCT_LOG), f"{table}/products", batch_id)
+        sinks.append_batch(contract.conform(judge(feeds.read_pages(batch)), FEED_LOG), table, batch_id)
 
     return write
 
@@ -33,8 +31,8 @@ def _write_batch(table: str):
 def stream_feed(spark: SparkSession, landing: str, table: str, checkpoint: str, files_per_batch: int = 1000):
     """Work through all landed payload files not seen yet, then stop.
 
-    Each batch appends its products and the verdicts on its pages under its
-    own number, so a batch repeated after a failure replaces itself.
+    Each batch reads its bodies once and appends their products and verdicts
+    under its own number, so a batch repeated after a failure replaces itself.
     """
     configure(spark)
     payloads = (
@@ -52,9 +50,12 @@ def read_stream_table(spark: SparkSession, table: str) -> DataFrame:
     """Product table after all batches so far.
 
     Which pages count depends on pages of other batches, so it is decided
-    here from the verdict log, however the files fell into batches.
+    here from the verdicts of all batches, however the files fell into batches.
     """
-    verdicts = sinks.read_batches(spark, f"{table}/verdicts", VERDICT_LOG)
-    rows = sinks.read_batches(spark, f"{table}/products", PRODUCT_LOG)
-    kept = feeds.keep_contiguous(rows, stage(feeds.store_stops(verdicts)))
-    return keyed.keep_last(kept, "product_url", ["ordinal"]).select(*schemas.PRODUCTS.names)
+    products = feeds.contiguous_products(sinks.read_batches(spark, table, FEED_LOG))
+    return keyed.keep_last(feeds.accepted(products)).select(*schemas.PRODUCTS.names)
+
+
+def read_stream_rejects(spark: SparkSession, table: str) -> DataFrame:
+    """Products of counting pages that were left out, with the reason."""
+    return feeds.rejected(feeds.contiguous_products(sinks.read_batches(spark, table, FEED_LOG)))
