@@ -91,8 +91,11 @@ def read_pages(payloads: DataFrame) -> DataFrame:
     over the bodies answers both which pages count and what is on them.
     ``ordinal`` orders products by fetch, then by position in the page.
     """
-    rows = _parse(payloads).select(
-        "store", "page", "base_url", "fetch_seq", _verdict().alias("verdict"),
+    # The verdict comes before the products are spread out, or every product
+    # would carry its whole page along and judge it again.
+    pages = _parse(payloads).withColumn("verdict", _verdict())
+    rows = pages.select(
+        "store", "page", "base_url", "fetch_seq", "verdict",
         F.posexplode_outer(feed.product_list(F.col("document"))).alias("pos", "product"))
     rows = (
         rows.withColumns(feed.raw_columns(F.col("product")))
