@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wareloom.llm import decontaminate, line_dedup
+import public_tokenizers
+
+from wareloom.llm import bpe, decontaminate, line_dedup, url_filter
 from wareloom.llm.common import table
 
+TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+
 LLM_QUERIES = {}
 LLM_ORACLES = {}
 
@@ -16,6 +20,21 @@ def query(function):
     return function
 
 
+@query
+def op1_bpe(spark, sf_dir):
+    """Ids of every whole text and the bytes they decode to, as digests."""
+    ranks, pattern = bpe.read_ranks(public_tokenizers.path(TOKENIZER)), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    decoded = bpe.decode(encoded, ranks, pattern)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    """The verdict on every page's URL."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 @query
 def op9_line_dedup(spark, sf_dir):
     """Every document with its text after cross-site boilerplate is gone."""
