@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, line_dedup, url_filter
+from wareloom.llm import bpe, decontaminate, line_dedup, url_filter, warc
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,15 @@ def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op8_warc(spark, sf_dir):
+    """Every page written to an archive, found again through the index and read back."""
+    pages = table(spark, sf_dir, "pages")
+    folder, shards = warc.archive(spark, pages)
+    captures = warc.lookup(shards, pages.select(warc.url_key(F.col("url")).alias("key")), folder)
+    return warc.read_records(captures, folder)
+
+
 @query
 def op9_line_dedup(spark, sf_dir):
     """Every document with its text after cross-site boilerplate is gone."""
