@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, line_dedup, url_filter, warc
+from wareloom.llm import bpe, decontaminate, line_dedup, quality, url_filter, warc
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,12 @@ def op1_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op3_quality(spark, sf_dir):
+    """Every document's quality score and verdict."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     """The verdict on every page's URL."""
