@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, line_dedup, quality, url_filter, warc
+from wareloom.llm import bpe, decontaminate, language, line_dedup, quality, url_filter, warc
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -35,6 +35,13 @@ def op3_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op4_language(spark, sf_dir):
+    """Every document's language."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     """The verdict on every page's URL."""
