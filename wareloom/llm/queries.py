@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, language, line_dedup, quality, spotsigs, url_filter, warc
+from wareloom.llm import bpe, decontaminate, language, line_dedup, near_dup, quality, spotsigs, url_filter, warc
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -42,6 +42,12 @@ def op4_language(spark, sf_dir):
     return language.identify(docs, language.train(docs))
 
 
+@query
+def op5_near_dup(spark, sf_dir):
+    """Every document with the class of its near copies."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_spotsigs(spark, sf_dir):
     """Every document's fingerprint, that of its edited text, and their likeness."""
