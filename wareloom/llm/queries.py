@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, language, line_dedup, near_dup, quality, spotsigs, url_filter, warc
+from wareloom.llm import bpe, decontaminate, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -29,6 +29,14 @@ def op1_bpe(spark, sf_dir):
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op2_pii(spark, sf_dir):
+    """Personal data in every document, and the terms nearby that give it away."""
+    found = pii.protect(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(kind).alias(f"n_{kind}") for kind in pii.PATTERNS]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
 @query
 def op3_quality(spark, sf_dir):
     """Every document's quality score and verdict."""
