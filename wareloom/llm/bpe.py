@@ -44,15 +44,13 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
         special_tokens={})
 
 
-def _with_column(name: str, kind: pa.DataType, drop: str, values: Callable) -> Callable:
-    """A batch function that replaces the column ``drop`` by ``name``."""
+def _with_column(name: str, kind: pa.DataType, source: str, values: Callable, keep: bool = False) -> Callable:
+    """A batch function that adds the column ``name``, or puts it in place of ``source``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(drop)
-            columns = [column for n, column in enumerate(batch.columns) if n != at]
-            names = [n for n in batch.schema.names if n != drop]
-            made = pa.array(values(batch.column(at)), kind)
-            yield pa.RecordBatch.from_arrays([*columns, made], [*names, name])
+            made = pa.array(values(batch.column(source)), kind)
+            names = [n for n in batch.schema.names if keep or n != source]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], [*names, name])
     return run
 
 
@@ -67,7 +65,7 @@ def _decoder(ranks: bytes, pattern: str) -> Callable:
     def decoded(rows):
         encoding = _encoding(ranks, pattern)
         return [encoding.decode_bytes(memoryview(row.as_py() or b"").cast("I").tolist()) for row in rows]
-    return _with_column("decoded", pa.binary(), "ids", decoded)
+    return _with_column("decoded", pa.binary(), "ids", decoded, keep=True)
 
 
 def _cut(chunk: int, overlap: int) -> Callable:
@@ -168,6 +166,12 @@ def n_tokens(ids: Column) -> Column:
 
 
 def decode(encoded: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded``: the bytes of all ids one after the other."""
-    kept = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids")
-    return kept.mapInArrow(_decoder(ranks, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
+    """``doc_id, n_tokens, ids, decoded``: the bytes of all ids one after the other."""
+    rows = encoded.select("doc_id", "n_tokens", "ids")
+    return rows.mapInArrow(_decoder(ranks, pattern), "doc_id long, n_tokens long, ids binary, decoded binary")
+
+
+def digests(decoded: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id, n_tokens``, columns to keep, ``ids_sha256, decoded_sha256``."""
+    return decoded.select("doc_id", "n_tokens", *keep, F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -131,4 +131,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, sim
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
     held = contaminated(docs, benchmark).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col("doc_id") == F.col("_held"), "left_anti")
+    return docs.join(held, docs["doc_id"] == held["_held"], "left_anti")

@@ -65,27 +65,32 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, near: float = NEAR
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the cleaned ``text`` and three more columns: ``n_lines``, ``n_removed`` and ``emptied``.
+    """``row, text, n_lines, n_removed, emptied``: each row of ``docs`` as a struct and its cleaned text.
 
-    Columns of ``docs`` with one of these names are replaced. ``emptied`` tells
-    documents that had words and lost all of them.
+    ``emptied`` tells documents that had words and lost all of them.
     """
     lines = stage(line_sites(docs, min_words))
-    listed = boilerplate(lines, min_sites).withColumnRenamed("line", "_line")
+    listed = boilerplate(lines, min_sites).withColumnRenamed("line", "listed")
     marked = (
-        lines.join(listed, F.col("line") == F.col("_line"))
+        lines.join(listed, F.col("line") == F.col("listed"))
         .where(F.col("doc_id") > F.col("first_doc"))
-        .groupBy("doc_id").agg(F.collect_set("line").alias("_marked"))
-        .withColumnRenamed("doc_id", "_doc")
+        .groupBy(F.col("doc_id").alias("marked_doc")).agg(F.collect_set("line").alias("marked"))
     )
-    joined = docs.join(marked, F.col("doc_id") == F.col("_doc"), "left")
-    every = _split(F.col("text"))
-    kept = F.filter(every, lambda line: ~F.array_contains("_marked", _key(line)))
-    touched = F.col("_marked").isNotNull()
-    cleaned = F.when(touched, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    lost = F.size(every) - F.size(kept)
-    return joined.withColumns({
-        "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size(every)), F.lit(0)).cast("long"),
-        "n_removed": F.when(touched & F.col("text").isNotNull(), lost).otherwise(0).cast("long"),
-        "text": cleaned,
-    }).withColumn("emptied", (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S")).drop("_doc", "_marked")
+    rows = docs.select(F.struct("*").alias("row"))
+    joined = rows.join(marked, F.col("row.doc_id") == F.col("marked_doc"), "left")
+    text = F.col("row.text")
+    every = _split(text)
+    kept = F.filter(every, lambda line: ~F.array_contains("marked", _key(line)))
+    touched = F.col("marked").isNotNull() & text.isNotNull()
+    made = joined.select(
+        "row", F.when(touched, F.array_join(kept, "\n")).otherwise(text).alias("text"),
+        F.when(text.isNull(), 0).otherwise(F.size(every)).cast("long").alias("n_lines"),
+        F.when(touched, F.size(every) - F.size(kept)).otherwise(0).cast("long").alias("n_removed"))
+    return made.withColumn("emptied", (F.col("n_removed") > 0) & ~F.col("text").rlike(r"\S"))
+
+
+def clean(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with cleaned ``text`` and its ``n_chars``, without the documents that lost all their words."""
+    made = remove_boilerplate(docs, min_sites, min_words).where(~F.coalesce("emptied", F.lit(False)))
+    new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return made.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -258,4 +258,4 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     own = classes(docs, similarity).where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_copy")).agg(
         F.bool_and(F.col("doc_id") != F.col("class_id")).alias("_goes"))
     gone = own.where(F.col("_goes")).select("_copy")
-    return docs.join(gone, F.col("doc_id") == F.col("_copy"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_copy"], "left_anti")

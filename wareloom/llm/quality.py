@@ -42,32 +42,32 @@ def _share(text: str, pattern: str) -> Column:
     return F.regexp_count(F.col(text), F.lit(pattern)) / F.greatest(F.col("_chars"), F.lit(1))
 
 
-def with_features(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``docs`` with one double column per feature, and the features' names. Names of ``docs`` are kept as they are."""
-    text = docs.withColumn("_body", F.coalesce("text", F.lit("")))
-    text = text.withColumns({
+def with_features(rows: DataFrame, text: str) -> tuple[DataFrame, list[str]]:
+    """``rows`` with one double column per feature of a text column, and the features' names."""
+    full = rows.withColumn("_body", F.coalesce(text, F.lit("")))
+    full = full.withColumns({
         "_chars": F.char_length("_body"), "_words": F.filter(F.split("_body", r"\s+"), lambda w: w != ""),
         "_lines": F.filter(F.split("_body", "\n"), lambda line: F.btrim(line) != ""),
     })
     n = F.size("_words")
     per_word = F.greatest(n, F.lit(1))
     made = {
-        "_q_chars": F.log1p("_chars"),
-        "_q_words": F.log1p(n),
-        "_q_word_length": (F.col("_chars") - n) / per_word,
-        "_q_distinct": F.size(F.array_distinct("_words")) / per_word,
-        "_q_upper": _share("_body", r"\p{Lu}"),
-        "_q_letters": _share("_body", r"\p{L}"),
-        "_q_digits": _share("_body", r"\p{N}"),
-        "_q_symbols": _share("_body", r"[^\p{L}\p{N}\s.,;:'?!-]"),
-        "_q_marks": _share("_body", r"[!?]"),
-        "_q_stops": F.regexp_count("_body", F.lit(r"[.]")) / per_word,
-        "_q_commas": F.regexp_count("_body", F.lit(",")) / per_word,
-        "_q_repeats": F.regexp_count("_body", F.lit(r"(?<!\S)(\S++)\s\1(?!\S)")) / per_word,
-        "_q_line_words": n / F.greatest(F.size("_lines"), F.lit(1)),
-        "_q_distinct_lines": F.size(F.array_distinct("_lines")) / F.greatest(F.size("_lines"), F.lit(1)),
+        "chars": F.log1p("_chars"),
+        "words": F.log1p(n),
+        "word_length": (F.col("_chars") - n) / per_word,
+        "distinct": F.size(F.array_distinct("_words")) / per_word,
+        "upper": _share("_body", r"\p{Lu}"),
+        "letters": _share("_body", r"\p{L}"),
+        "digits": _share("_body", r"\p{N}"),
+        "symbols": _share("_body", r"[^\p{L}\p{N}\s.,;:'?!-]"),
+        "marks": _share("_body", r"[!?]"),
+        "stops": F.regexp_count("_body", F.lit(r"[.]")) / per_word,
+        "commas": F.regexp_count("_body", F.lit(",")) / per_word,
+        "repeats": F.regexp_count("_body", F.lit(r"(?<!\S)(\S++)\s\1(?!\S)")) / per_word,
+        "line_words": n / F.greatest(F.size("_lines"), F.lit(1)),
+        "distinct_lines": F.size(F.array_distinct("_lines")) / F.greatest(F.size("_lines"), F.lit(1)),
     }
-    full = text.select("*", *[value.cast("double").alias(name) for name, value in made.items()])
+    full = full.select("*", *[value.cast("double").alias(name) for name, value in made.items()])
     return full.drop("_body", "_chars", "_words", "_lines"), list(made)
 
 
@@ -179,7 +179,8 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Addit
     known = labels.select("doc_id", F.col("quality").cast("double").alias("_label"))
     known = known.where(F.col("_label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(fit_rows)
-    full, names = with_features(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"))
+    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("_label", "text")
+    full, names = with_features(drawn, "text")
     rows = full.select("_label", *names).orderBy("_label", *names).limit(fit_rows).toPandas().to_numpy(float)
     return fit(names, rows[:, 1:], rows[:, 0])
 
@@ -191,19 +192,23 @@ def scorer(model: Additive):
     return score
 
 
-def with_score(docs: DataFrame, model: Additive, column: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text; only the features go through Python."""
-    full, names = with_features(docs)
-    return full.withColumn(column, scorer(model)(F.struct(*names))).drop(*names)
+def with_score(docs: DataFrame, model: Additive) -> DataFrame:
+    """``row, score``: each row of ``docs`` as a struct, and the score of its whole text.
+
+    Only the features go through Python.
+    """
+    rows = docs.select(F.struct("*").alias("row"))
+    full, names = with_features(rows.withColumn("_text", F.col("row.text")), "_text")
+    return full.select("row", scorer(model)(F.struct(*names)).alias("score"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
-    scored = with_score(docs.select("doc_id", "text"), train(docs, labels))
+    scored = with_score(docs.select("doc_id", "text"), train(docs, labels)).select("row.doc_id", "score")
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents the model rejects."""
-    return with_score(docs, train(docs, labels), "_score").where(F.col("_score") >= threshold).drop("_score")
+    return with_score(docs, train(docs, labels)).where(F.col("score") >= threshold).select("row.*")

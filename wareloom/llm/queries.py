@@ -25,8 +25,7 @@ def op1_bpe(spark, sf_dir):
     """Ids of every whole text and the bytes they decode to, as digests."""
     ranks, pattern = bpe.read_ranks(public_tokenizers.path(TOKENIZER)), public_tokenizers.PATTERN
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    decoded = bpe.decode(encoded, ranks, pattern)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digests(bpe.decode(encoded, ranks, pattern))
 
 
 @query
@@ -81,7 +80,7 @@ def op8_warc(spark, sf_dir):
 def op9_line_dedup(spark, sf_dir):
     """Every document with its text after cross-site boilerplate is gone."""
     cleaned = line_dedup.remove_boilerplate(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+    return cleaned.select("row.doc_id", "n_lines", "n_removed", "text")
 
 
 LLM_ORACLES["op9_line_dedup"] = r"""
