@@ -1,0 +1,82 @@
+"""Held-out accuracy of the quality model, and its parts."""
+
+import os
+import zlib
+
+import numpy as np
+from rows import documents, odd_rows, sentence
+
+from wareloom.llm import quality
+from wareloom.llm.queries import LLM_QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SMALL = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def test_held_out_accuracy(spark):
+    rows = {r.doc_id: r for r in LLM_QUERIES["op3_quality"](spark, SF_DIR).collect()}
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows.values())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows.values())
+    labels = [r for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect() if rows[r.doc_id].held_out]
+    right = [r for r in labels if rows[r.doc_id].predicted == r.quality]
+    good = [r for r in labels if r.quality == 1]
+    assert len(right) >= 0.95 * len(labels)
+    assert all(rows[r.doc_id].predicted == 1 for r in good)
+
+
+def test_held_out_labels_do_not_matter(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    from pyspark.sql import functions as F
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    first, second = (sorted((r.doc_id, r.score) for r in quality.classify(docs, x).collect()) for x in (labels, flipped))
+    assert first == second
+
+
+def test_pairs_learn_what_single_features_cannot():
+    rng = np.random.default_rng(3)
+    features = rng.random((4000, 3))
+    labels = ((features[:, 0] > 0.5) ^ (features[:, 1] > 0.5)).astype(float)
+    model = quality.fit(["a", "b", "c"], features, labels)
+    assert (1, 0) in model.pairs
+    accuracy = ((model.score(list(features.T)) >= 0.5) == labels).mean()
+    assert accuracy > 0.9
+
+
+def test_the_score_is_the_sum_of_the_tables():
+    rng = np.random.default_rng(5)
+    features, labels = rng.random((500, 2)), rng.integers(0, 2, 500).astype(float)
+    model = quality.fit(["a", "b"], features, labels)
+    for row, got in zip(features[:20], model.score(list(features[:20].T))):
+        total = model.base + sum(t[np.searchsorted(e, x, side="right")] for t, e, x in zip(model.tables, model.edges, row))
+        total += sum(t[np.searchsorted(model.coarse[a], row[a], side="right"),
+                       np.searchsorted(model.coarse[b], row[b], side="right")]
+                     for (a, b), t in zip(model.pairs, model.pair_tables))
+        assert abs(1 / (1 + np.exp(-total)) - got) < 1e-12
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_odd_rows_clashing_columns_and_few_labels(spark):
+    docs = documents(spark, odd_rows(), clashing=True)
+    none = labels(spark, [(1, None, None), (None, 1, 0)])
+    got = quality.classify(docs, none).collect()
+    assert len(got) == docs.count() and {r.score for r in got} == {0.5}
+    one_kind = labels(spark, [(2, 0, 0), (2, 0, 0), (7, 0, 0), (8, 0, 0), (10, 0, 0)])
+    assert {r.predicted for r in quality.classify(docs, one_kind).collect()} == {0}
+    kept = quality.keep_good(docs, none)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_empty_tables(spark):
+    nobody = labels(spark, [(1, 1, 0)]).limit(0)
+    assert quality.classify(documents(spark, []), nobody).count() == 0
+
+
+def test_features_of_a_text(spark):
+    full, names = quality.with_features(documents(spark, [(1, "Aa b b! 12\nAa", "", "", 0)]), "text")
+    row = full.select(*names).first()
+    assert row.words == np.log1p(5) and row.repeats == 0 and row.upper == 2 / 13 and row.digits == 2 / 13

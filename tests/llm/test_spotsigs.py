@@ -1,0 +1,98 @@
+"""Fingerprints, next documents and near pairs against plain Python."""
+
+import hashlib
+import os
+import re
+
+import pytest
+from rows import documents, odd_rows, sentence
+
+from wareloom.llm import spotsigs
+from wareloom.llm.queries import LLM_QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def signatures(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    content = [w for w in words if w not in spotsigs.ANCHORS]
+    found, seen = set(), 0
+    for word in words:
+        if word not in spotsigs.ANCHORS:
+            seen += 1
+        elif seen + spotsigs.CHAIN <= len(content):
+            found.add((word, *content[seen:seen + spotsigs.CHAIN]))
+    return found or {("", " ".join(words)) if words else (text,)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def brute(rows):
+    rows = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    made = []
+    for n, (doc_id, text) in enumerate(rows):
+        follow = rows[(n + 1) % len(rows)][1]
+        quarter = len(text) // 4
+        edit = text[:len(text) - quarter] + follow[:quarter]
+        own = signatures(text)
+        made.append((doc_id, len(text), hashlib.sha256(edit.encode()).hexdigest(), len(own), len(signatures(edit)),
+                     jaccard(own, signatures(edit)), jaccard(own, signatures(follow))))
+    return sorted(made, key=str)
+
+
+def check(got, rows):
+    got = sorted(((r.doc_id, r.n_chars, r.edited_sha256, len(r.fingerprint.split(",")), len(r.edited_fingerprint.split(",")),
+                   r.near_edited, r.near_next) for r in got), key=str)
+    wanted = brute(rows)
+    assert [g[:5] for g in got] == [w[:5] for w in wanted]
+    assert [x for g in got for x in g[5:]] == pytest.approx([x for w in wanted for x in w[5:]])
+
+
+def test_query(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    got = LLM_QUERIES["op6_spotsigs"](spark, SF_DIR).collect()
+    check(got, rows)
+    by_text = {}
+    for row, (_, text) in zip(sorted(got, key=lambda r: r.doc_id), sorted(rows)):
+        assert by_text.setdefault(text, row.fingerprint) == row.fingerprint
+
+
+def test_ids_far_apart(spark):
+    ids = [-(1 << 62), -5, 0, 1, 1023, 1024, 1025, 5000, 1 << 20, (1 << 20) + 1, 1 << 40, (1 << 62) + 3]
+    rows = [(i, f"the {sentence(n, 8 + n)} of the {sentence(n + 50, 6)}") for n, i in enumerate(ids)]
+    check(spotsigs.edited(documents(spark, [(*r, "en", "a", 0) for r in rows])).collect(), rows)
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    docs = documents(spark, odd_rows() + [(30, "the of and", "", "", 0), (31, "the lone", "", "", 0)], clashing=True)
+    check(spotsigs.edited(docs).collect(), [(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_one_document_follows_itself(spark):
+    check(spotsigs.edited(documents(spark, [(5, "the quick brown fox", "", "", 0)])).collect(), [(5, "the quick brown fox")])
+
+
+def test_empty_table(spark):
+    assert spotsigs.edited(documents(spark, [])).count() == 0
+    assert spotsigs.near_pairs(documents(spark, [])).count() == 0
+
+
+def test_near_pairs_are_those_of_all_pairs(spark):
+    rows = []
+    for n in range(60):
+        words = [f"the c{n % 6}x{k} d{n % 6}x{k}" for k in range(20 + n % 6)]
+        words = [w for k, w in enumerate(words) if (n * 7 + k) % 23]
+        rows.append((n, " ".join(words[:len(words) - n % 4])))
+    sets = {}
+    for n, text in rows:
+        sets.setdefault(frozenset(signatures(text)), n)
+    wanted = {}
+    for a, i in sets.items():
+        for b, j in sets.items():
+            if i < j and jaccard(a, b) >= 0.8:
+                wanted[i, j] = jaccard(a, b)
+    found = spotsigs.near_pairs(documents(spark, [(*r, "", "", 0) for r in rows])).collect()
+    got = {tuple(sorted((r.left_id, r.right_id))): r.likeness for r in found}
+    assert len(got) == len(found) and got == pytest.approx(wanted) and len(wanted) > 20

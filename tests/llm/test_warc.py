@@ -1,0 +1,98 @@
+"""Archives written and read back, and the index against a scan."""
+
+import base64
+import gzip
+import hashlib
+import os
+import random
+
+from pyspark.sql import functions as F
+
+from wareloom.llm import warc
+from wareloom.llm.queries import LLM_QUERIES
+from wareloom.session import work_folder
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+ODD = [
+    (3, "http://a.b/x", "same"), (1, "http://a.b/x", "same"), (None, None, None), (7, "x\r\ny", ""), (6, "x", ""),
+    (8, "http://q.r", "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n"), (9, "é://ü", "漢" * 1000), (9, "é://ü", "漢" * 1000),
+    (10, "http://a.b/x", "z" * 100_000), (11, "", " \r\n\r\n"), (None, "http://a.b/x", "same"),
+]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def brute(rows, least=0):
+    first = {}
+    for page_id, _, html in rows:
+        if page_id is not None:
+            first[html or ""] = min(first.get(html or "", page_id), page_id)
+    made = []
+    for page_id, _, html in rows:
+        payload, original = (html or "").encode(), first.get(html or "")
+        repeat = original is not None and original != page_id and len(payload) >= least
+        made.append((page_id, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
+                     "revisit" if repeat else "response", original if repeat else None))
+    return sorted(made, key=str)
+
+
+def back(spark, docs, **how):
+    folder, shards = warc.archive(spark, docs, **how)
+    keys = docs.select(warc.url_key(F.col("url")).alias("key"))
+    rows = warc.read_records(warc.lookup(shards, keys, folder), folder)
+    return sorted((tuple(r) for r in rows.collect()), key=str)
+
+
+def test_query(spark):
+    given = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()]
+    rows = LLM_QUERIES["op8_warc"](spark, SF_DIR)
+    assert rows.columns == ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted((tuple(r) for r in rows.collect()), key=str) == brute(given)
+
+
+def test_odd_pages_and_clashing_columns(spark):
+    docs = pages(spark, ODD).withColumns({n: F.lit("own") for n in ("key", "digest", "payload", "first", "number", "archive")})
+    assert back(spark, docs) == brute(ODD)
+    assert back(spark, docs, min_bytes=3) == brute(ODD, 3)
+
+
+def test_empty_table(spark):
+    assert back(spark, pages(spark, ODD).limit(0)) == []
+
+
+def test_records_are_gzip_members_with_exact_lengths():
+    digest = hashlib.sha1(b"body").hexdigest()
+    one = warc.record(5, "http://a.b/", b"body", digest, 4, None)
+    two = warc.record(6, "http://a.b/", None, digest, 4, 5)
+    text = gzip.decompress(one + two).decode()
+    assert text.count("WARC/1.1\r\n") == 2 and text.endswith("\r\n\r\n")
+    assert "WARC-Type: revisit" in text and "WARC-Refers-To: <urn:page:5>" in text
+    assert warc.parse(one)["payload"] == b"body" and warc.parse(two)["refers_to"] == 5
+
+
+def test_keys_sort_by_host(spark):
+    urls = ["http://www.A.org/p?q#f", "x", None, "http://a.org", "ftp://b.c:80/d://e"]
+    keys = [r[0] for r in pages(spark, [(n, u, "") for n, u in enumerate(urls)]).orderBy("page_id").select(
+        warc.url_key(F.col("url"))).collect()]
+    assert keys == ["org,a,www)/p?q#f", ")x", ")", "org,a)", "c:80,b)/d://e"]
+
+
+def test_lookups_over_many_shards_and_blocks(spark):
+    """Small blocks and many shards, a key that fills several of each, and keys that are not there."""
+    rng = random.Random(1)
+    rows = [(n, f"http://h{rng.randrange(40)}.org/{rng.randrange(5)}", f"v{n}") for n in range(600)]
+    rows += [(n, "http://hot.org/", f"v{n}") for n in range(600, 1200)]
+    folder = work_folder(spark)
+    captures = warc.write_archives(warc.classify(pages(spark, rows)), folder, limit=2000)
+    ordered = captures.repartitionByRange(7, "key", "page_id").sortWithinPartitions("key", "page_id")
+    shards = spark.createDataFrame(
+        ordered.mapInArrow(warc._shard_writer(f"{folder}/index", 10), warc._SHARD).collect(), warc._SHARD)
+    assert shards.count() == 7
+    wanted = ["org,hot)/", "org,h3)/1", "org,h17)/4", "org,nothere)/", "", "zzz"]
+    keys = spark.createDataFrame([(k,) for k in wanted], "key string")
+    got = sorted((r.key, r.page_id) for r in warc.lookup(shards, keys, folder).collect())
+    by_scan = sorted((r.key, r.page_id) for r in captures.where(F.col("key").isin(wanted)).collect())
+    assert got == by_scan and len(got) >= 600

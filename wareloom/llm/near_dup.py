@@ -8,12 +8,12 @@ verified by aligning the two sequences inside the band that the wanted
 similarity allows: aligned shingles over all shingles of both.
 
 Equal word sequences are collapsed first. In each bucket of a sketch every text
-is then compared with the bucket's hub only. A link that this leaves out is
-between two texts that both failed against the hub, or between one that failed
-and one that did not; the latter needs a Jaccard similarity to the hub of at
-least ``2 * similarity - 1``, as Jaccard distances obey the triangle
-inequality. Just these pairs are compared too, so no pair of candidates that
-could link two classes is lost.
+is compared with the bucket's hub only, the text that shares the most buckets
+with others. Two other texts of the bucket, at least one of which failed against
+the hub, can only be alike if what they share with the hub is enough by number,
+or if they share shingles that the hub lacks. Both are looked up by equi joins,
+and the few pairs they leave are compared too. So every pair of candidates that
+could link two classes is compared, without comparing all pairs of a bucket.
 
 Nulls and edge cases: a null text counts as empty; texts without words are
 copies of each other if they are equal; texts of fewer than five words make one
@@ -28,6 +28,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,8 @@ SIMILARITY = 0.8
 #: At a similarity of 0.8 a sketch is shared with a chance of about 0.8 ** 4 = 0.41, one of 20 with 0.99997.
 SKETCHES = 20
 SHORT = 4
-#: Rounds in which texts that failed against a hub get a hub of their own, before the rest is paired.
-ROUNDS = 3
+#: Rounds of hubs; the later ones only serve to join what failed against an earlier hub into classes.
+ROUNDS = 2
 
 _WORD = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
@@ -85,19 +86,26 @@ def labelled_shingles(text: str, hashes: dict, size: int = SHINGLE) -> np.ndarra
     return np.where(before > 0, _mix(made + before * _B), made)
 
 
+#: An odd factor and a summand per sketch: two-universal hashes of shingles that are hashes already.
+_DRAWS = np.random.default_rng(20).integers(0, 1 << 64, (2, 256), np.uint64)
+_FACTORS, _SUMMANDS = _DRAWS[0] | np.uint64(1), _DRAWS[1]
+#: Hashes held at a time.
+_AT_ONCE = 1 << 20
+
+
 def sketches(shingles: np.ndarray, number: int = SKETCHES, short: int = SHORT) -> np.ndarray:
     """One 64-bit key per sketch: the smallest shingles under its hash, in text order."""
-    keys = np.empty(number, np.uint64)
-    for n in range(number):
-        drawn = _mix(shingles ^ np.uint64((n + 1) * 0xD6E8FEB86659FD93 & _MASK))
-        if len(drawn) > short:
-            least = np.sort(np.argpartition(drawn, short - 1)[:short])
+    keys = np.arange(number, dtype=np.uint64)
+    several = max(_AT_ONCE // max(len(shingles), 1), 1)
+    for begin in range(0, number, several):
+        own = slice(begin, min(begin + several, number))
+        if len(shingles) > short:
+            drawn = shingles[None, :] * _FACTORS[own, None] + _SUMMANDS[own, None]
+            least = shingles[np.sort(np.argpartition(drawn, short - 1, axis=1)[:, :short], axis=1)]
         else:
-            least = np.arange(len(drawn))
-        key = np.full(1, n, np.uint64)
-        for shingle in shingles[least]:
-            key = _mix(key * _B + shingle)
-        keys[n] = key[0]
+            least = np.broadcast_to(shingles, (own.stop - own.start, len(shingles)))
+        for place in range(least.shape[1]):
+            keys[own] = _mix(keys[own] * _B + least[:, place])
     return keys
 
 
@@ -131,17 +139,17 @@ def sketch(docs: DataFrame, number: int = SKETCHES, short: int = SHORT) -> DataF
     return rows.mapInArrow(_sketcher(number, short), "doc_id long, node long, keys array<long>")
 
 
-def compare(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY) -> tuple[float, float]:
-    """Aligned and Jaccard similarity of two labelled sequences.
+def compare(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY) -> tuple[float, int]:
+    """Aligned similarity of two labelled sequences, and how many shingles they share.
 
     The alignment keeps to the band that ``similarity`` allows. It is left out,
-    as 0, where the Jaccard similarity, which it cannot exceed, is too small.
+    as 0, where the shared shingles are too few for it.
     """
     total = len(left) + len(right)
-    shared, at_left, at_right = np.intersect1d(left, right, assume_unique=True, return_indices=True)
-    jaccard = len(shared) / (total - len(shared))
-    if jaccard < similarity:
-        return 0.0, jaccard
+    _, at_left, at_right = np.intersect1d(left, right, assume_unique=True, return_indices=True)
+    shared = len(at_left)
+    if shared < similarity * (total - shared):
+        return 0.0, shared
     band = int(total * (1 - similarity) / (1 + similarity)) + 1
     order = np.argsort(at_left)
     at_left, at_right = at_left[order], at_right[order]
@@ -150,7 +158,19 @@ def compare(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY)
     for place in at_right[np.abs(at_left - at_right) <= band].tolist():
         spot = bisect_left(ends, place)
         ends[spot:spot + 1] = [place]
-    return len(ends) / (total - len(ends)), jaccard
+    return len(ends) / (total - len(ends)), shared
+
+
+def telling(hub: np.ndarray, text: np.ndarray, shared: int, similarity: float) -> np.ndarray:
+    """Shingles of ``text`` that the hub lacks, as many of the smallest as a lookup needs.
+
+    A text alike to this one shares at least ``similarity * len(text)`` shingles
+    with it; all of these but ``shared`` are among those that the hub lacks, so
+    one of the smallest ``len - needed + 1`` is shared too.
+    """
+    own = np.setdiff1d(text, hub, assume_unique=True)
+    needed = max(ceil(similarity * len(text) - shared - 1e-9), 1)
+    return np.sort(own)[:max(len(own) - needed + 1, 0)]
 
 
 def _sequencer(batches):
@@ -166,57 +186,102 @@ def _sequencer(batches):
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sequences, pa.binary())], ["node", "sequence"])
 
 
-def _verifier(similarity: float) -> Callable:
+_COMPARED = ("left long, right long, aligned double, shared long, left_size long, right_size long, "
+             "telling array<long>")
+
+
+def _verifier(similarity: float, stars: bool) -> Callable:
     def run(batches):
         for batch in batches:
-            lefts, rights = batch.column("left_sequence"), batch.column("right_sequence")
-            found = [compare(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), similarity)
-                     for a, b in zip(lefts, rights)]
+            rows = []
+            for a, b in zip(batch.column("left_sequence"), batch.column("right_sequence")):
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
+                aligned, shared = compare(a, b, similarity)
+                own = telling(a, b, shared, similarity).view(np.int64) if stars else None
+                rows.append((aligned, shared, len(a), len(b), own))
+            kinds = [pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            columns = zip(*rows) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("left"), batch.column("right"), pa.array([a for a, _ in found], pa.float64()),
-                 pa.array([b for _, b in found], pa.float64())], ["left", "right", "aligned", "jaccard"])
+                [batch.column("left"), batch.column("right"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                ["left", "right", "aligned", "shared", "left_size", "right_size", "telling"])
     return run
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """``left, right, aligned, jaccard`` of distinct pairs of texts; staged."""
+def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float, stars: bool = False) -> DataFrame:
+    """The comparison of distinct pairs of texts; of ``stars``, whose left side is a hub, with what lookups need. Staged."""
     pairs = stage(pairs.select("left", "right").distinct())
-    used = pairs.select(F.explode(F.array("left", "right")).alias("node")).distinct()
+    used = pairs.select("left").union(pairs.select("right")).distinct().withColumnRenamed("left", "node")
     wanted = nodes.join(used, "node", "left_semi").select("node", "rep")
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
     read = stage(texts.mapInArrow(_sequencer, "node long, sequence binary").dropDuplicates(["node"]))
     left = read.select(F.col("node").alias("left"), F.col("sequence").alias("left_sequence"))
     right = read.select(F.col("node").alias("right"), F.col("sequence").alias("right_sequence"))
     rows = pairs.join(left, "left").join(right, "right").select("left", "right", "left_sequence", "right_sequence")
-    return stage(rows.mapInArrow(_verifier(similarity), "left long, right long, aligned double, jaccard double"))
-
-
-def links(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``left, right`` pairs of texts that are alike, enough of them to connect every class."""
-    buckets = stage(nodes.select("node", F.explode("keys").alias("bucket")))
-    full = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1).select("bucket")
-    left_over = buckets.join(full, "bucket", "left_semi")
-    found = []
-    for number in range(ROUNDS):
-        hubs = left_over.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
-        starred = stage(left_over.join(hubs.where(F.col("size") > 1), "bucket").where(F.col("node") != F.col("hub")))
-        if number and starred.isEmpty():
-            return reduce(DataFrame.union, found)
-        checked = verify(starred.select(F.col("hub").alias("left"), F.col("node").alias("right")), nodes, docs, similarity)
-        found.append(checked.where(F.col("aligned") >= similarity).select("left", "right"))
-        results = checked.select(F.col("left").alias("hub"), F.col("right").alias("node"), "aligned", "jaccard")
-        judged = stage(starred.join(results, ["hub", "node"]).select("bucket", "node", "aligned", "jaccard"))
-        failed = judged.where(F.col("aligned") < similarity)
-        close = failed.where(F.col("jaccard") >= 2 * similarity - 1).select("bucket", F.col("node").alias("left"))
-        joined = judged.where(F.col("aligned") >= similarity).select("bucket", F.col("node").alias("right"))
-        across = verify(close.join(joined, "bucket"), nodes, docs, similarity)
-        found.append(across.where(F.col("aligned") >= similarity).select("left", "right"))
-        left_over = failed.select("bucket", "node")
-    rest = left_over.select("bucket", F.col("node").alias("left")).join(
-        left_over.select("bucket", F.col("node").alias("right")), "bucket").where(F.col("left") < F.col("right"))
-    checked = verify(rest, nodes, docs, similarity)
-    found.append(checked.where(F.col("aligned") >= similarity).select("left", "right"))
-    return reduce(DataFrame.union, found)
+    return stage(rows.mapInArrow(_verifier(similarity, stars), _COMPARED))
+
+
+def star(rows: DataFrame) -> DataFrame:
+    """``bucket, node, hub`` of the buckets with several texts."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    shared = stage(rows.join(sizes, "bucket"))
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = shared.join(degrees, "node")
+    hubs = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+    return shared.select("bucket", "node").join(hubs, "bucket").where(F.col("node") != F.col("hub"))
+
+
+def left_open(stars: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """``left, right`` pairs below one hub that may be alike although one of them failed against it.
+
+    Of texts of n and m shingles that are alike, ``share * (n + m)`` are shared
+    at least. Either that many of both are in the hub, which gives a range of m
+    for each n, or they share some that the hub lacks. Pairs within a class
+    are left out.
+    """
+    share = similarity / (1 + similarity)
+    own = stars.select(
+        F.col("left").alias("hub"), F.col("right").alias("node"), "shared", F.col("right_size").alias("n"), "telling",
+        (F.col("aligned") < similarity).alias("failed"),
+        F.floor(F.col("shared") / share - F.col("right_size") + 1e-9).alias("most"))
+    own = stage(own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    other = own.select("hub", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "most", "label", "shared")])
+    differ = F.col("label") != F.col("o_label")
+
+    least, most = F.ceil(F.col("n") * similarity - 1e-9), F.least("most", F.floor(F.col("n") / similarity + 1e-9))
+    ranges = own.where(F.col("failed")).select("hub", "node", "n", "label", least.alias("least"), most.alias("most"))
+    ranges = ranges.where(F.col("least") <= F.col("most")).select(
+        "hub", "node", "n", "label", F.explode(F.sequence("least", "most")).alias("o_n"))
+    by_number = ranges.join(other, ["hub", "o_n"]).where(differ & (F.col("n") <= F.col("o_most")))
+
+    lacking = own.select("hub", "node", "n", "label", "failed", "shared", F.size("telling").alias("size"),
+                         F.explode("telling").alias("shingle"))
+    # Only shingles that could join two classes, one of them by a text that failed.
+    useful = lacking.groupBy("hub", "shingle").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("failed").alias("failed"))
+    useful = useful.where(F.col("failed") & (F.col("low") != F.col("high"))).select("hub", "shingle")
+    lacking = stage(lacking.join(useful, ["hub", "shingle"], "left_semi"))
+    there = lacking.select("hub", "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label")])
+    fits = F.least("n", "o_n") >= F.greatest("n", "o_n") * similarity - 1e-9
+    by_shingle = lacking.where(F.col("failed")).join(there, ["hub", "shingle"]).where(differ & fits)
+    pairs = by_number.select("node", "o_node").union(by_shingle.select("node", "o_node"))
+    return pairs.select(F.least("node", "o_node").alias("left"), F.greatest("node", "o_node").alias("right"))
+
+
+def class_labels(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``node, label`` of the texts that are alike to some other."""
+    rows = nodes.select("node", F.explode("keys").alias("bucket"))
+    found, first = [], None
+    for _ in range(ROUNDS):
+        starred = stage(star(rows))
+        compared = verify(starred.select(F.col("hub").alias("left"), F.col("node").alias("right")), nodes, docs, similarity, True)
+        first = first or compared
+        found.append(compared.where(F.col("aligned") >= similarity).select("left", "right"))
+        failed = compared.where(F.col("aligned") < similarity).select(F.col("left").alias("hub"), F.col("right").alias("node"))
+        rows = starred.join(failed, ["hub", "node"]).select("node", "bucket")
+    labels = components(reduce(DataFrame.union, found))
+    checked = verify(left_open(first, labels, similarity), nodes, docs, similarity)
+    late = checked.where(F.col("aligned") >= similarity).select("left", "right")
+    return labels if late.isEmpty() else components(reduce(DataFrame.union, [*found, late]))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,7 +307,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id`` of every document; near copies share the class id."""
     sketched = stage(sketch(docs))
     nodes = stage(sketched.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
-    labels = components(links(nodes, docs, similarity))
+    labels = class_labels(nodes, docs, similarity)
     named = nodes.select("node", "rep").join(labels, "node", "left").select(
         "node", "rep", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("class_id"))

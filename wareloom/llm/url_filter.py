@@ -57,7 +57,7 @@ def _entropy(text: Column) -> Column:
     size = F.char_length(text)
     shares = F.transform(
         F.array_distinct(F.split(text, "")),
-        lambda c: (size - F.char_length(F.replace(text, c, F.lit("")))) / size)
+        lambda c: (size - F.char_length(F.replace(text, c, F.lit("")))) / F.greatest(size, F.lit(1)))
     return -F.coalesce(F.aggregate(shares, F.lit(0.0), lambda total, p: total + F.when(p > 0, p * F.log2(p)).otherwise(0.0)),
                        F.lit(0.0))
 
