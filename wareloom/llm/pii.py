@@ -69,21 +69,16 @@ def _valid(kind: str, value: Column) -> Column:
     }[kind]
 
 
-def _placed(matches: str, gaps: str, reach: int) -> Column:
-    """Places of the matches, from the lengths of the texts between them, with a stretch of text on either side."""
-    start = f"acc.at + char_length({gaps}[i])"
-    stop = f"{start} + char_length({matches}[i])"
-    return F.expr(
-        f"if(size({matches}) = 0, cast(array() as {_SPANS}),"
-        f" aggregate(sequence(0, size({matches}) - 1), named_struct('at', 0, 'spans', cast(array() as {_SPANS})),"
-        f" (acc, i) -> named_struct('at', {stop}, 'spans', concat(acc.spans, array(named_struct("
-        f"  'start', {start}, 'stop', {stop}, 'value', {matches}[i],"
-        f"  'before', right({gaps}[i], {reach + 1}), 'after', left({gaps}[i + 1], {reach + 1}))))),"
-        f" acc -> acc.spans))")
+#: Matches in a block: adding to an array copies it, so the places are worked out block by block.
+_BLOCK = 256
 
 
 def _with_places(df: DataFrame, text: str, pattern: str, out: str, needs: str | None = None, reach: int = 0) -> DataFrame:
-    """``df`` with the places of all matches of a pattern in a text column."""
+    """``df`` with the places of all matches of a pattern in a text column.
+
+    They follow from the lengths of the matches and of the texts between them.
+    Each comes with a stretch of text on either side.
+    """
     nothing = F.array().cast("array<string>")
     body = F.col(text)
     found, gaps = F.regexp_extract_all(body, F.lit(pattern), F.lit(0)), F.split(body, pattern, -1)
@@ -91,7 +86,21 @@ def _with_places(df: DataFrame, text: str, pattern: str, out: str, needs: str |
         found = F.when(F.contains(body, F.lit(needs)), found).otherwise(nothing)
     rows = df.withColumn("_matches", found)
     rows = rows.withColumn("_gaps", F.when(F.size("_matches") > 0, gaps).otherwise(nothing))
-    return rows.withColumn(out, _placed("_matches", "_gaps", reach)).drop("_matches", "_gaps")
+    rows = rows.withColumn("_blocks", F.expr(
+        f"if(size(_matches) = 0, cast(array() as array<int>), sequence(0, (size(_matches) - 1) div {_BLOCK}))"))
+    last = f"least(b * {_BLOCK} + {_BLOCK}, size(_matches)) - 1"
+    length = "char_length(_gaps[i]) + char_length(_matches[i])"
+    rows = rows.withColumn("_begins", F.expr(
+        "aggregate(_blocks, array(0), (acc, b) -> concat(acc, array(element_at(acc, -1) +"
+        f" aggregate(sequence(b * {_BLOCK}, {last}), 0, (total, i) -> total + {length}))))"))
+    start = "acc.at + char_length(_gaps[i])"
+    span = (f"named_struct('start', {start}, 'stop', acc.at + {length}, 'value', _matches[i],"
+            f" 'before', right(_gaps[i], {reach + 1}), 'after', left(_gaps[i + 1], {reach + 1}))")
+    return rows.withColumn(out, F.expr(
+        f"flatten(transform(_blocks, b -> aggregate(sequence(b * {_BLOCK}, {last}),"
+        f" named_struct('at', _begins[b], 'spans', cast(array() as {_SPANS})),"
+        f" (acc, i) -> named_struct('at', acc.at + {length}, 'spans', concat(acc.spans, array({span}))),"
+        f" acc -> acc.spans)))")).drop("_matches", "_gaps", "_blocks", "_begins")
 
 
 def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
