@@ -33,6 +33,8 @@ FIT_DOCS = 400
 #: Of these, the share that only sets the rejection limits.
 CALIBRATION = 5
 FOLDS = 3
+#: Parts of a language that are cut to the limit on their own.
+PARTS = 32
 DISCOUNT = 0.75
 #: How much better per character a language must be to be e times as credible.
 SHARPNESS = 8.0
@@ -204,8 +206,12 @@ def sample(docs: DataFrame, fit_docs: int = FIT_DOCS) -> DataFrame:
     """``doc_id, lang, text, part`` of the documents to learn from; part 0 sets the limits."""
     can = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     draw = F.xxhash64("doc_id")
+    # A language is cut down in parts first, so however many tasks hold some of it, few rows meet in one.
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PARTS))
+    within = F.row_number().over(Window.partitionBy("lang", "_part").orderBy(draw, "doc_id"))
+    cut = can.select("doc_id", "lang", part.alias("_part")).withColumn("_within", within).where(F.col("_within") <= fit_docs)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "doc_id"))
-    chosen = can.select("doc_id", "lang", place.alias("place")).where(F.col("place") <= fit_docs)
+    chosen = cut.select("doc_id", "lang", place.alias("place")).where(F.col("place") <= fit_docs)
     chosen = chosen.select("doc_id", "lang", (F.col("place") % CALIBRATION).alias("part")).distinct()
     return docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
 
