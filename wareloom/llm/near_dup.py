@@ -9,11 +9,12 @@ similarity allows: aligned shingles over all shingles of both.
 
 Equal word sequences are collapsed first. In each bucket of a sketch every text
 is compared with the bucket's hub only, the text that shares the most buckets
-with others. Two other texts of the bucket, at least one of which failed against
-the hub, can only be alike if what they share with the hub is enough by number,
-or if they share shingles that the hub lacks. Both are looked up by equi joins,
-and the few pairs they leave are compared too. So every pair of candidates that
-could link two classes is compared, without comparing all pairs of a bucket.
+with others. What is left open are pairs below one hub of which one text at
+least failed. They are measured by the shingles that half of the hub's texts
+have: two texts can only be alike if either shares enough with those by number,
+or if both share others. Both kinds are looked up by equi joins, and the few
+pairs they leave are compared too. So every pair of candidates that could link
+two classes is compared, without comparing all pairs of a bucket.
 
 Nulls and edge cases: a null text counts as empty; texts without words are
 copies of each other if they are equal; texts of fewer than five words make one
@@ -28,7 +29,6 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable
 from functools import reduce
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -161,18 +161,6 @@ def compare(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY)
     return len(ends) / (total - len(ends)), shared
 
 
-def telling(hub: np.ndarray, text: np.ndarray, shared: int, similarity: float) -> np.ndarray:
-    """Shingles of ``text`` that the hub lacks, as many of the smallest as a lookup needs.
-
-    A text alike to this one shares at least ``similarity * len(text)`` shingles
-    with it; all of these but ``shared`` are among those that the hub lacks, so
-    one of the smallest ``len - needed + 1`` is shared too.
-    """
-    own = np.setdiff1d(text, hub, assume_unique=True)
-    needed = max(ceil(similarity * len(text) - shared - 1e-9), 1)
-    return np.sort(own)[:max(len(own) - needed + 1, 0)]
-
-
 def _sequencer(batches):
     """``node, sequence`` of texts; rows whose text is not the wanted one are left out."""
     hashes = _Hashes()
@@ -182,42 +170,37 @@ def _sequencer(batches):
             shingles = labelled_shingles(text or "", hashes)
             if np.uint64(_text_hash(text or "", shingles)).astype(np.int64) == wanted:
                 nodes.append(wanted)
-                sequences.append(shingles.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sequences, pa.binary())], ["node", "sequence"])
+                sequences.append(shingles.view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(sequences, pa.list_(pa.int64()))], ["node", "sequence"])
 
 
-_COMPARED = ("left long, right long, aligned double, shared long, left_size long, right_size long, "
-             "telling array<long>")
-
-
-def _verifier(similarity: float, stars: bool) -> Callable:
+def _verifier(similarity: float) -> Callable:
     def run(batches):
         for batch in batches:
-            rows = []
+            found = []
             for a, b in zip(batch.column("left_sequence"), batch.column("right_sequence")):
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                aligned, shared = compare(a, b, similarity)
-                own = telling(a, b, shared, similarity).view(np.int64) if stars else None
-                rows.append((aligned, shared, len(a), len(b), own))
-            kinds = [pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            columns = zip(*rows) if rows else [[]] * len(kinds)
+                a, b = (x.values.to_numpy().view(np.uint64) for x in (a, b))
+                found.append(compare(a, b, similarity)[0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("left"), batch.column("right"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["left", "right", "aligned", "shared", "left_size", "right_size", "telling"])
+                [batch.column("left"), batch.column("right"), pa.array(found, pa.float64())], ["left", "right", "aligned"])
     return run
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, similarity: float, stars: bool = False) -> DataFrame:
-    """The comparison of distinct pairs of texts; of ``stars``, whose left side is a hub, with what lookups need. Staged."""
-    pairs = stage(pairs.select("left", "right").distinct())
-    used = pairs.select("left").union(pairs.select("right")).distinct().withColumnRenamed("left", "node")
-    wanted = nodes.join(used, "node", "left_semi").select("node", "rep")
+def read_sequences(used: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, sequence`` of the distinct ``node``s that are used; staged."""
+    wanted = nodes.join(used.distinct(), "node", "left_semi").select("node", "rep")
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
-    read = stage(texts.mapInArrow(_sequencer, "node long, sequence binary").dropDuplicates(["node"]))
+    return stage(texts.mapInArrow(_sequencer, "node long, sequence array<long>").dropDuplicates(["node"]))
+
+
+def verify(pairs: DataFrame, read: DataFrame, similarity: float) -> DataFrame:
+    """``left, right, aligned`` of distinct pairs of texts; staged."""
     left = read.select(F.col("node").alias("left"), F.col("sequence").alias("left_sequence"))
     right = read.select(F.col("node").alias("right"), F.col("sequence").alias("right_sequence"))
-    rows = pairs.join(left, "left").join(right, "right").select("left", "right", "left_sequence", "right_sequence")
-    return stage(rows.mapInArrow(_verifier(similarity, stars), _COMPARED))
+    rows = pairs.select("left", "right").distinct().join(left, "left").join(right, "right")
+    rows = rows.select("left", "right", "left_sequence", "right_sequence")
+    return stage(rows.mapInArrow(_verifier(similarity), "left long, right long, aligned double"))
 
 
 def star(rows: DataFrame) -> DataFrame:
@@ -230,39 +213,51 @@ def star(rows: DataFrame) -> DataFrame:
     return shared.select("bucket", "node").join(hubs, "bucket").where(F.col("node") != F.col("hub"))
 
 
-def left_open(stars: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+def left_open(stars: DataFrame, read: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
     """``left, right`` pairs below one hub that may be alike although one of them failed against it.
 
     Of texts of n and m shingles that are alike, ``share * (n + m)`` are shared
-    at least. Either that many of both are in the hub, which gives a range of m
-    for each n, or they share some that the hub lacks. Pairs within a class
-    are left out.
+    at least. What half of the hub's texts have is common. Either that many of
+    both texts are common, which gives a range of m for each n, or they share
+    some that are not. Pairs within a class are left out.
     """
     share = similarity / (1 + similarity)
-    own = stars.select(
-        F.col("left").alias("hub"), F.col("right").alias("node"), "shared", F.col("right_size").alias("n"), "telling",
-        (F.col("aligned") < similarity).alias("failed"),
-        F.floor(F.col("shared") / share - F.col("right_size") + 1e-9).alias("most"))
-    own = stage(own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
-    other = own.select("hub", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "most", "label", "shared")])
+    members = stars.select(F.col("left").alias("hub"), F.col("right").alias("node"), (F.col("aligned") < similarity).alias("failed"))
+    hubs = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("failed").alias("any_failed"))
+    hubs = hubs.where(F.col("any_failed") & (F.col("members") > 1)).select("hub", "members")
+    held = members.join(hubs.select("hub"), "hub", "left_semi").join(read, "node")
+    counted = held.select("hub", F.explode("sequence").alias("shingle")).groupBy("hub", "shingle").agg(
+        F.count(F.lit(1)).alias("times"))
+    common = counted.join(hubs, "hub").where(F.col("times") * 2 >= F.col("members")).groupBy("hub").agg(
+        F.collect_list("shingle").alias("common"))
+    own = held.join(common, "hub", "left").join(labels, "node", "left").select(
+        "hub", "node", "failed", F.size("sequence").alias("n"), F.coalesce("label", "node").alias("label"),
+        F.coalesce(F.array_except("sequence", "common"), "sequence").alias("rare"))
+    own = own.withColumn("shared", F.col("n") - F.size("rare"))
+    own = stage(own.withColumn("most", F.floor(F.col("shared") / share - F.col("n") + 1e-9)))
     differ = F.col("label") != F.col("o_label")
 
+    other = own.select("hub", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "most", "label")])
     least, most = F.ceil(F.col("n") * similarity - 1e-9), F.least("most", F.floor(F.col("n") / similarity + 1e-9))
     ranges = own.where(F.col("failed")).select("hub", "node", "n", "label", least.alias("least"), most.alias("most"))
     ranges = ranges.where(F.col("least") <= F.col("most")).select(
         "hub", "node", "n", "label", F.explode(F.sequence("least", "most")).alias("o_n"))
     by_number = ranges.join(other, ["hub", "o_n"]).where(differ & (F.col("n") <= F.col("o_most")))
 
-    lacking = own.select("hub", "node", "n", "label", "failed", "shared", F.size("telling").alias("size"),
-                         F.explode("telling").alias("shingle"))
+    # A text alike to this one shares at least similarity * n shingles with it, all but "shared" of them rare ones: so
+    # one of the smallest of these is shared as well.
+    needed = F.greatest(F.ceil(F.col("n") * similarity - F.col("shared") - 1e-9), F.lit(1))
+    first = F.slice(F.array_sort("rare"), F.lit(1), F.greatest(F.size("rare") - needed + 1, F.lit(0)).cast("int"))
+    rare = own.select("hub", "node", "n", "label", "failed", "shared", F.size("rare").alias("size"),
+                      F.explode_outer(first).alias("shingle")).where(F.col("shingle").isNotNull())
     # Only shingles that could join two classes, one of them by a text that failed.
-    useful = lacking.groupBy("hub", "shingle").agg(
+    useful = rare.groupBy("hub", "shingle").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.max("failed").alias("failed"))
     useful = useful.where(F.col("failed") & (F.col("low") != F.col("high"))).select("hub", "shingle")
-    lacking = stage(lacking.join(useful, ["hub", "shingle"], "left_semi"))
-    there = lacking.select("hub", "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label")])
-    fits = F.least("n", "o_n") >= F.greatest("n", "o_n") * similarity - 1e-9
-    by_shingle = lacking.where(F.col("failed")).join(there, ["hub", "shingle"]).where(differ & fits)
+    rare = stage(rare.join(useful, ["hub", "shingle"], "left_semi"))
+    there = rare.select("hub", "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label", "shared", "size")])
+    enough = F.least("shared", "o_shared") + F.least("size", "o_size") >= (F.col("n") + F.col("o_n")) * share - 1e-9
+    by_shingle = rare.where(F.col("failed")).join(there, ["hub", "shingle"]).where(differ & enough)
     pairs = by_number.select("node", "o_node").union(by_shingle.select("node", "o_node"))
     return pairs.select(F.least("node", "o_node").alias("left"), F.greatest("node", "o_node").alias("right"))
 
@@ -270,16 +265,18 @@ def left_open(stars: DataFrame, labels: DataFrame, similarity: float) -> DataFra
 def class_labels(nodes: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``node, label`` of the texts that are alike to some other."""
     rows = nodes.select("node", F.explode("keys").alias("bucket"))
-    found, first = [], None
+    found, first, read = [], None, None
     for _ in range(ROUNDS):
         starred = stage(star(rows))
-        compared = verify(starred.select(F.col("hub").alias("left"), F.col("node").alias("right")), nodes, docs, similarity, True)
+        if read is None:
+            read = read_sequences(starred.select("node").union(starred.select("hub")), nodes, docs)
+        compared = verify(starred.select(F.col("hub").alias("left"), F.col("node").alias("right")), read, similarity)
         first = first or compared
         found.append(compared.where(F.col("aligned") >= similarity).select("left", "right"))
         failed = compared.where(F.col("aligned") < similarity).select(F.col("left").alias("hub"), F.col("right").alias("node"))
         rows = starred.join(failed, ["hub", "node"]).select("node", "bucket")
     labels = components(reduce(DataFrame.union, found))
-    checked = verify(left_open(first, labels, similarity), nodes, docs, similarity)
+    checked = verify(left_open(first, read, labels, similarity), read, similarity)
     late = checked.where(F.col("aligned") >= similarity).select("left", "right")
     return labels if late.isEmpty() else components(reduce(DataFrame.union, [*found, late]))
 
