@@ -1,30 +1,34 @@
 """The runs from the command line, one after the other."""
 
 import json
+import os
+
+from pyspark.sql import types as T
 
 from wareloom import schemas
 from wareloom.__main__ import main
 from wareloom.operators import sinks
 from wareloom.plans import selection
+from wareloom.session import run_folder, stage
 
 
 def test_feed_pages_and_select(spark, tmp_path):
     path = {n: str(tmp_path / n) for n in ("payloads", "products", "pages", "scraped", "out", "seeds")}
 
-    def land(*items):
+    def land(seq, *items):
         body = json.dumps({"products": [
             {"title": t, "handle": h, "body_html": "<p>d</p>", "variants": [{"price": p, "available": True}]}
             for t, h, p in items]})
-        rows = [("a", "https://www.a.com", 1, 200, body, 1)]
+        rows = [(seq, "a", "https://www.a.com", 1, 200, body, seq)]
         spark.createDataFrame(rows, schemas.FEED_PAYLOADS).write.mode("overwrite").parquet(path["payloads"])
 
     for batch, items in enumerate([[("One", "1", "10"), ("Two", "2", "20")], [("One again", "1", "12")]]):
-        land(*items)
+        land(batch, *items)
         main(["feed", "--payloads", path["payloads"], "--table", path["products"], "--batch", str(batch)])
 
     listing = '<div class="product-small box"><a href="/p">x</a></div>'
     page = '<h1 class="product_title entry-title">Pin</h1><p class="price"><span class="woocommerce-Price-amount amount">$30</span></p>'
-    spark.createDataFrame([("https://b.com/c", listing), ("https://b.com/p", page)], schemas.CAPTURED_PAGES).write.parquet(path["pages"])
+    spark.createDataFrame([("https://b.com/c", listing, 0), ("https://b.com/p", page, 1)], schemas.CAPTURED_PAGES).write.parquet(path["pages"])
     spark.createDataFrame([(0, "C", "https://b.com/c")], schemas.CATEGORY_SEEDS).write.parquet(path["seeds"])
     main(["pages", "--pages", path["pages"], "--seeds", path["seeds"], "--table", path["scraped"], "--batch", "0"])
 
@@ -34,3 +38,19 @@ def test_feed_pages_and_select(spark, tmp_path):
     ranks = sinks.read_refreshed(spark, f"{path['out']}/store_rankings", schemas.STORE_RANKINGS).collect()
     assert {r.source_store_name: r.source_platform for r in ranks} == {
         "a": schemas.STRUCTURED_PLATFORM, schemas.SCRAPED_STORE: schemas.SCRAPED_PLATFORM}
+    counts = sinks.read_batches(spark, f"{path['products']}-counts", T.StructType.fromDDL("accepted long, rejected long"))
+    assert sorted((r.batch_seq, r.accepted, r.rejected) for r in counts.collect()) == [(0, 2, 0), (1, 1, 0)]
+    assert sinks.read_batches(spark, f"{path['products']}-rejects", T.StructType.fromDDL("reject_reason string")).count() == 0
+    stamp = T.StructType.fromDDL("scraped_at timestamp")
+    assert all(r.scraped_at for r in sinks.read_batches(spark, path["products"], stamp).collect())
+
+    main(["compact", "--kind", "products", "--table", path["products"], "--to", path["products"] + "2"])
+    before, after = (sinks.read_keyed(spark, path["products"] + x, schemas.PRODUCTS).collect() for x in ("", "2"))
+    assert sorted(map(str, before)) == sorted(map(str, after)) and len(after) == 2
+
+
+def test_a_run_leaves_nothing_staged(spark):
+    with run_folder(spark) as folder:
+        kept = stage(spark.range(5))
+        assert kept.count() == 5 and os.path.exists(folder)
+    assert not os.path.exists(folder)

@@ -4,7 +4,7 @@ import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from wareloom import schemas
 from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
@@ -165,8 +165,12 @@ def test_folded_key_keeps_the_first_text(spark):
     rows = spark.createDataFrame([
         ("http://a/Café", 1, "old"), ("http://a/cafe", 2, "new"), (long + "1", 3, "old"), (long + "2", 4, "new"),
         ("b ", 5, "old"), ("B", 6, None)], "product_url string, ordinal long, title string")
-    got = {(r.product_url, r.ordinal, r.title) for r in keyed.merge_folded(rows).collect()}
-    assert got == {("http://a/Café", 2, "new"), (long + "1", 4, "new"), ("b ", 6, None)}
+    def merged(key):
+        return {(r.product_url, r.ordinal, r.title) for r in keyed.merge_written(rows, key=key).collect()}
+
+    assert merged(keyed.folded_key("product_url", 255)) == {("http://a/Café", 2, "new"), (long + "1", 4, "new"), ("b ", 6, None)}
+    assert {r[0] for r in merged(keyed.folded_key("product_url"))} == {"http://a/Café", long + "1", long + "2", "b "}
+    assert len(merged(None)) == 6
 
 
 def test_refresh(spark, tmp_path):
@@ -215,8 +219,11 @@ def test_contract(spark):
     assert found == {("title", "not null"): 1, ("title", "length <= 5"): 1, ("price", "decimal(10,2)"): 1,
                      ("product_url", "unique"): 2}
     good, bad = contract.split_by_contract(frame, rules)
-    assert good.count() == 2
+    assert good.count() == 3
     assert sorted(r.reject_reason for r in bad.collect()) == [
+        "price: decimal(10,2)", "title: not null"]
+    _, strict = contract.split_by_contract(frame, rules, lengths=True)
+    assert sorted(r.reject_reason for r in strict.collect()) == [
         "price: decimal(10,2)", "title: length <= 5", "title: not null"]
 
 
@@ -249,13 +256,66 @@ def test_run_selection(spark, tmp_path):
     selection.run_selection(one, scraped(spark, ("u3", "x", "$15")), out, run_id=1)
     best = sinks.read_refreshed(spark, f"{out}/top_k_products_overall", schemas.TOP_K_PRODUCTS)
     assert [r.product_url for r in best.orderBy("rank_overall").collect()] == ["u1", "u3", "U1", "u2"]
-    # In the saved table u1 and U1 are one key: the first text, the last values.
     saved = {r.product_url: float(r.price) for r in selection.read_scored(spark, out).collect()}
-    assert saved == {"u1": 30.0, "u2": 20.0, "u3": 15.0}
+    assert saved == {"u1": 10.0, "U1": 30.0, "u2": 20.0, "u3": 15.0}
+    # On request u1 and U1 are one key: the first text, the last values.
+    folded = {r.product_url: float(r.price) for r in selection.read_scored(spark, out, folded=True).collect()}
+    assert folded == {"u1": 30.0, "u2": 20.0, "u3": 15.0}
     selection.run_selection(structured(spark, ("u9", "t", 1.0, "Available", "s")), None, out, run_id=2)
-    assert {r.product_url for r in selection.read_scored(spark, out).collect()} == {"u1", "u2", "u3", "u9"}
+    assert {r.product_url for r in selection.read_scored(spark, out).collect()} == {"u1", "U1", "u2", "u3", "u9"}
     best = sinks.read_refreshed(spark, f"{out}/top_k_products_overall", schemas.TOP_K_PRODUCTS)
     assert [r.product_url for r in best.collect()] == ["u9"]
     selection.run_selection(structured(spark), None, out, run_id=3)
     for name, schema in [("store_rankings", schemas.STORE_RANKINGS), ("flagship_products_by_store", schemas.FLAGSHIP_PRODUCTS)]:
         assert sinks.read_refreshed(spark, f"{out}/{name}", schema).count() == 1
+
+
+def test_a_run_needs_an_id(spark, tmp_path):
+    with pytest.raises(TypeError):
+        selection.run_selection(structured(spark), None, str(tmp_path / "out"))
+
+
+def test_rejects_and_counts_are_written(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one = structured(spark, ("u1", "t", 10.0, "Available", "s"), ("u2", "t" * 600, 1e9, "Available", "s"))
+    selection.run_selection(one, None, out, run_id=1)
+    assert {r.product_url for r in selection.read_scored(spark, out).collect()} == {"u1"}
+    fields = T.StructType.fromDDL("product_url string, reject_reason string")
+    rejects = sinks.read_batches(spark, f"{out}/scored_rejects", fields).collect()
+    assert [(r.product_url, r.reject_reason) for r in rejects] == [("u2", "price: decimal(10,2)")]
+    counts = sinks.read_batches(spark, f"{out}/counts", T.StructType.fromDDL("rows long")).collect()
+    assert [r.rows for r in counts] == [2]
+
+
+def test_a_lost_repeat_keeps_the_batch(spark, tmp_path):
+    path = str(tmp_path / "k")
+    rows = spark.range(3).withColumnRenamed("id", "ordinal")
+    sinks.append_batch(rows, path, 4)
+    spark.range(9).write.parquet(f"{path}/batch_seq=4/attempt=2-deadbeef")
+    assert sinks.read_batches(spark, path, rows.schema).count() == 3
+
+
+def test_many_per_store_are_cut_in_parts(spark):
+    rows = [(f"s{n % 2}", f"u{n}", float(n % 50), 0, n) for n in range(3000)]
+    frame = spark.createDataFrame(rows, "source_store_name string, product_url string, final_score double, source_priority int, "
+                                        "ordinal long").withColumns({c: F.lit(None).cast("string") for c in (
+                                            "title", "source_platform")}).withColumn("price", F.lit(1.0))
+    got = {(r.source_store_name, r.store_rank): r.product_url for r in ranking.flagship(frame, 1200).collect()}
+    wanted = {}
+    for store in ("s0", "s1"):
+        best = sorted((r for r in rows if r[0] == store), key=lambda r: (-r[2], r[4]))[:1200]
+        wanted.update({(store, n + 1): r[1] for n, r in enumerate(best)})
+    assert got == wanted
+
+
+@pytest.mark.parametrize("name, rows, schema, rules, broken", [
+    ("top", [(1, "u"), (2, None), (3, "u")], "rank_overall int, product_url string", schemas.TOP_K_CONTRACT,
+     {("product_url", "not null"): 1, ("product_url", "unique"): 1}),
+    ("flagship", [("s", 1, "u"), ("s", 2, "u"), (None, 1, "u")], "source_store_name string, store_rank int, product_url string",
+     schemas.FLAGSHIP_CONTRACT, {("source_store_name", "not null"): 1, ("source_store_name, product_url", "unique"): 1}),
+    ("stores", [("s",), ("s",), (None,)], "source_store_name string", schemas.STORE_RANKINGS_CONTRACT,
+     {("source_store_name", "not null"): 1, ("source_store_name", "unique"): 1}),
+])
+def test_report_contracts(spark, name, rows, schema, rules, broken):
+    found = contract.contract_violations(spark.createDataFrame(rows, schema), rules).collect()
+    assert {(r.column_name, r.rule): r.violations for r in found if r.violations} == broken

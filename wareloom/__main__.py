@@ -4,6 +4,7 @@
   stream  the same, batch by batch, for files not seen before
   pages   captured web pages into the scraped product table
   select  both tables into the scored table and the three reports
+  compact all batches of a table into the first batch of a new one
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import SparkSession
 from wareloom import schemas
 from wareloom.operators import sinks
 from wareloom.plans import ingest, selection
+from wareloom.session import run_folder
 from wareloom.sources import seeds
 from wareloom.streaming import ingest as stream
 
@@ -39,6 +41,13 @@ def arguments() -> argparse.ArgumentParser:
     pages.add_argument("--table", required=True)
     pages.add_argument("--batch", type=int, required=True)
 
+    pages.add_argument("--max-pages", type=int, help="cut longer listings; by default they are walked to their end")
+
+    compact = runs.add_parser("compact")
+    compact.add_argument("--kind", choices=["products", "scraped", "scored"], required=True)
+    compact.add_argument("--table", required=True)
+    compact.add_argument("--to", required=True)
+
     select = runs.add_parser("select")
     select.add_argument("--products")
     select.add_argument("--scraped")
@@ -52,15 +61,24 @@ def arguments() -> argparse.ArgumentParser:
 def main(argv=None) -> None:
     args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"wareloom {args.run}").getOrCreate()
+    with run_folder(spark):
+        run(spark, args)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.run == "feed":
         payloads = spark.read.schema(schemas.FEED_PAYLOADS).parquet(args.payloads)
-        sinks.append_batch(ingest.ingest_feed(payloads), args.table, args.batch)
+        ingest.run_feed(payloads, args.table, args.batch)
     elif args.run == "stream":
         stream.stream_feed(spark, args.landing, args.table, args.progress).awaitTermination()
     elif args.run == "pages":
         captured = spark.read.schema(schemas.CAPTURED_PAGES).parquet(args.pages)
         start = spark.read.schema(schemas.CATEGORY_SEEDS).parquet(args.seeds) if args.seeds else seeds.category_seeds(spark)
-        sinks.append_batch(ingest.ingest_pages(captured, start), args.table, args.batch)
+        ingest.run_pages(captured, start, args.table, args.batch, args.max_pages)
+    elif args.run == "compact":
+        schema = {"products": schemas.PRODUCTS, "scraped": schemas.SCRAPED_PRODUCTS, "scored": selection.SCORED_LOG}[args.kind]
+        order = schemas.ORDER_COLUMNS if args.kind == "scored" else ("ordinal",)
+        sinks.compact(spark, args.table, args.to, schema, order=order)
     else:
         if not args.products and not args.scraped:
             raise SystemExit("select needs --products, --scraped or both")

@@ -80,9 +80,13 @@ TEXT_FIELDS = {
 }
 
 
-def product_list(document: Column) -> Column:
-    """Products of one page, one struct of raw values each; NULL without a list."""
-    return F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
+def product_list(document: Column, parts: Column) -> Column:
+    """Products of one page, one struct of raw values each; NULL without a list.
+
+    ``parts`` are the products as texts, where the page is more than one VARIANT holds.
+    """
+    whole = F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
+    return F.coalesce(whole, F.transform(parts, lambda p: F.try_variant_get(F.try_parse_json(p), "$", PRODUCT)))
 
 
 def raw_columns(product: Column) -> dict[str, Column]:

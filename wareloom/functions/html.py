@@ -14,13 +14,11 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-from wareloom.functions.urls import join_url
 from wareloom.schemas import NOT_AVAILABLE, PARSE_ERROR
 
 # --- Fixed values: the markup the rules look for. --------------------------
@@ -38,9 +36,21 @@ PRODUCT_RULES = {
     "sku": [("span.sku", 0)],
 }
 # HTML elements that never have content.
-VOID_TAGS = frozenset(
-    "area base basefont bgsound br col command embed frame hr image img input isindex keygen link "
-    "menuitem meta nextid param source spacer track wbr".split())
+VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# Elements that end where one of these begins beside them, and those that their end tag may be left out in.
+IMPLIED_ENDS = {
+    "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+                   "header hr main menu nav ol p pre section table ul".split()),
+    "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
+    "option": frozenset(["option", "optgroup"]), "tr": frozenset(["tr", "tbody", "tfoot"]),
+    "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
+}
+# An open element is not ended from inside one of these.
+SCOPES = {
+    "p": frozenset(["button", "td", "th", "caption", "object"]), "li": frozenset(["ul", "ol", "menu"]),
+    "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "option": frozenset(["select", "datalist"]),
+    "tr": frozenset(["table"]), "td": frozenset(["table"]), "th": frozenset(["table"]),
+}
 # ---------------------------------------------------------------------------
 
 
@@ -66,7 +76,22 @@ class Outline(HTMLParser):
         while self.open:
             self._end_innermost()
 
+    def _end_implied(self, tag):
+        """End the elements whose end tag may be left out before ``tag``."""
+        for name, followers in IMPLIED_ENDS.items():
+            if tag in followers and self.open_tags[name]:
+                scope = SCOPES[name]
+                for at in reversed(self.open):
+                    above = self.elements[at].tag
+                    if above == name:
+                        while self._end_innermost() != name:
+                            pass
+                        break
+                    if above in scope:
+                        break
+
     def handle_starttag(self, tag, attrs):
+        self._end_implied(tag)
         parent = self.open[-1] if self.open else None
         named = {name: value or "" for name, value in attrs}
         self.elements.append(_Element(tag, named, parent, len(self.texts)))
@@ -149,15 +174,6 @@ def _compile_rules(rules):
     }
 
 
-def read_fields(html: str, rules: dict) -> dict:
-    """Values of one page; every field is marked if the page cannot be parsed."""
-    try:
-        page = Outline(html)
-        return {name: _first_value(page, choices) for name, choices in rules.items()}
-    except Exception:
-        return dict.fromkeys(rules, PARSE_ERROR)
-
-
 def _first_value(page: Outline, choices) -> str:
     for selector, nth, squash in choices:
         for found, at in enumerate(page.select(selector)):
@@ -176,56 +192,34 @@ def _href(page: Outline, choices, within=None):
     return None
 
 
-def read_links(url: str, html: str, item, item_link, next_link) -> dict:
-    """Links of a listing page in order, and the page after it.
+def read_page(html: str, rules: dict, item, item_link, next_link) -> tuple[list[str], str | None, dict]:
+    """Links of the listing items in order, link to the next page, and the fields.
 
-    A page that cannot be parsed has neither, like one that was not fetched.
+    A page that cannot be parsed has no links, and marked fields.
     """
     try:
         page = Outline(html)
         hrefs = [_href(page, item_link, at) for at in page.select(item)]
-        following = _href(page, next_link)
+        return ([href for href in hrefs if href is not None], _href(page, next_link),
+                {name: _first_value(page, choices) for name, choices in rules.items()})
     except Exception:
-        return {"links": [], "next_url": None}
-    return {
-        "links": [join_url(url, href) for href in hrefs if href is not None],
-        "next_url": None if following is None else join_url(url, following),
-    }
+        return [], None, dict.fromkeys(rules, PARSE_ERROR)
 
 
-def extract_fields(html: Column, rules: dict = PRODUCT_RULES) -> Column:
-    """Struct with one string per rule; NULL where there is no page."""
+def extract_page(html: Column, rules: dict = PRODUCT_RULES, item: str = LISTING_ITEM, item_link=ITEM_LINK,
+                 next_link: str = NEXT_LINK) -> Column:
+    """Struct of ``links`` and ``next_link`` as they stand in the page, and ``fields`` with one string per rule."""
     compiled = _compile_rules(rules)
-    result = pa.struct([(name, pa.string()) for name in compiled])
+    selectors = compile_selector(item), [compile_selector(s) for s in item_link], [compile_selector(next_link)]
+    kinds = [pa.list_(pa.string()), pa.string(), pa.struct([(name, pa.string()) for name in compiled])]
+    fields = ", ".join(f"{name}: string" for name in compiled)
 
-    @F.arrow_udf("struct<" + ", ".join(f"{name}: string" for name in compiled) + ">")
-    def fields(pages: pa.Array) -> pa.Array:
-        read = (p.as_py() for p in pages)
-        return pa.array([None if h is None else read_fields(h, compiled) for h in read], result)
+    @F.arrow_udf(f"struct<links: array<string>, next_link: string, fields: struct<{fields}>>")
+    def read(pages: pa.Array) -> pa.Array:
+        rows = [read_page(page.as_py(), compiled, *selectors) for page in pages]
+        columns = zip(*rows) if rows else [[]] * len(kinds)
+        return pa.StructArray.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["links", "next_link", "fields"])
 
     # A filter on a field must not make the page be parsed once more below it.
-    return fields.asNondeterministic()(html)
-
-
-def extract_links(url: Column, html: Column, item: str = LISTING_ITEM, item_link=ITEM_LINK,
-                  next_link: str = NEXT_LINK) -> Column:
-    """Struct of ``links`` (resolved, in page order) and ``next_url``."""
-    compiled = compile_selector(item), [compile_selector(s) for s in item_link], [compile_selector(next_link)]
-    result = pa.struct([("links", pa.list_(pa.string())), ("next_url", pa.string())])
-
-    @F.arrow_udf("struct<links: array<string>, next_url: string>")
-    def links(urls: pa.Array, pages: pa.Array) -> pa.Array:
-        read = zip(urls.to_pylist(), (p.as_py() for p in pages))
-        return pa.array([None if u is None or h is None else read_links(u, h, *compiled) for u, h in read], result)
-
-    return links.asNondeterministic()(url, html)
-
-
-def may_contain(html: Column, class_names) -> Column:
-    """Cheap built-in test that must hold for any of the classes to be found.
-
-    True where a name stands literally in the page, or where a class attribute
-    holds a character reference that could spell one.
-    """
-    literal = reduce(Column.__or__, [html.contains(name) for name in class_names])
-    return literal | html.rlike(r"""(?i)class\s*=\s*("[^"]*&|'[^']*&|[^\s>"']*&)""")
+    return read.asNondeterministic()(html)

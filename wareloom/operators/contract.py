@@ -21,15 +21,20 @@ def _row_rules(contract: Contract, columns) -> list[tuple[str, str, Column]]:
     return [rule for rule in rules if rule[1] in columns]
 
 
-def broken_rule(contract: Contract, columns) -> Column:
-    """Name of the first rule a row breaks, NULL for a good row."""
-    named = [F.when(broken, f"{column}: {rule}") for rule, column, broken in _row_rules(contract, columns)]
+def broken_rule(contract: Contract, columns, lengths: bool = False) -> Column:
+    """Name of the first rule a row breaks, NULL for a good row.
+
+    Lengths cost no row its place, as the columns hold any text; they are
+    reported by ``contract_violations``, and only count here if asked for.
+    """
+    named = [F.when(broken, f"{column}: {rule}") for rule, column, broken in _row_rules(contract, columns)
+             if lengths or not rule.startswith("length")]
     return F.coalesce(*named, F.lit(None).cast("string"))
 
 
-def split_by_contract(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+def split_by_contract(df: DataFrame, contract: Contract, lengths: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows that fit, and the others with their ``reject_reason``."""
-    marked = df.withColumn("reject_reason", broken_rule(contract, df.columns))
+    marked = df.withColumn("reject_reason", broken_rule(contract, df.columns, lengths))
     good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.where(F.col("reject_reason").isNotNull())
 

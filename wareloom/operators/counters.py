@@ -21,8 +21,8 @@ def source_counts(combined: DataFrame) -> DataFrame:
     return count_by(combined, "source_platform", "source_store_name", "product_category")
 
 
-def frontier_counts(links: DataFrame, pages: DataFrame) -> DataFrame:
+def frontier_counts(links: DataFrame, contents: DataFrame) -> DataFrame:
     """Distinct links of each category, and how many of them have a captured page."""
-    captured = pages.where(F.col("html").isNotNull()).select("url")
+    captured = contents.select("url").distinct()
     return links.join(captured, links["link"] == captured["url"], "left").groupBy("category").agg(
         F.count("link").alias("links"), F.count("url").alias("captured"))

@@ -1,14 +1,13 @@
 """One row per key: keep-first, keep-last and folded-key merges.
 
 All of them shrink every key inside each task before the shuffle, so a key
-that holds a large part of the rows sends one row per task.
+that holds a large part of the rows sends one or two rows per task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-KEY_PREFIX = 255
 # Case, accent and trailing-blank insensitive comparison.
 FOLDED = "UNICODE_CI_AI_RTRIM"
 
@@ -33,8 +32,9 @@ def keep_last(df: DataFrame, key="product_url", order=("ordinal",)) -> DataFrame
     return _one_per_key(df, key, [F.col(c).desc() for c in order])
 
 
-def folded_key(column: str) -> Column:
-    return F.collate(F.substring(column, 1, KEY_PREFIX), FOLDED)
+def folded_key(column: str, prefix: int | None = None) -> Column:
+    """A key that ignores case, accents and trailing blanks, of the first ``prefix`` characters if given."""
+    return F.collate(F.substring(column, 1, prefix) if prefix else F.col(column), FOLDED)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key="product_url", order=("ordinal",)) -> DataFrame:
@@ -44,16 +44,18 @@ def upsert(target: DataFrame, batch: DataFrame, key="product_url", order=("ordin
     return keep_last(stacked, key, ["_batch", *order]).drop("_batch")
 
 
-def merge_folded(rows: DataFrame, column: str = "product_url", order=("ordinal",)) -> DataFrame:
-    """Upserts on a shortened, case and accent insensitive key.
+def merge_written(rows: DataFrame, column: str = "product_url", order=("ordinal",), key: Column | None = None) -> DataFrame:
+    """Upserts on ``key``, by default the whole column.
 
     The key column keeps the text that was written first, all other columns
-    take the values written last.
+    take the values written last. Each task sends at most two rows of a key.
     """
-    others = [c for c in rows.columns if c != column]
-    written = F.struct(*order)
-    merged = rows.groupBy(folded_key(column).alias("_key")).agg(
-        F.min_by(column, written).alias(column),
-        F.max_by(F.struct(*others), written).alias("_last"),
-    )
-    return merged.select(*[column if c == column else F.col(f"_last.{c}").alias(c) for c in rows.columns])
+    keyed = rows.withColumn("_key", F.col(column) if key is None else key)
+    by_key = Window.partitionBy("_key")
+    last = _one_per_key(keyed, "_key", [F.col(c).desc() for c in order])
+    if key is None:
+        return last.drop("_key")
+    first = keyed.withColumn("_position", F.row_number().over(by_key.orderBy(*order))).where(F.col("_position") == 1)
+    first = first.select(F.col("_key").alias("_first_key"), F.col(column).alias("_written"))
+    joined = last.join(first, F.col("_key").eqNullSafe(F.col("_first_key")))
+    return joined.select(*[F.col("_written").alias(column) if c == column else c for c in rows.columns])

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from wareloom.functions.text import platform_or_unknown
 from wareloom.schemas import FLAGSHIP_PER_STORE, TOP_K
 
+# From here on Spark no longer cuts groups down before their shuffle.
+MANY = 1000
+SALTS = 64
+# The columns of the two reports.
 TOP_K_COLUMNS = [
     "title", "source_store_name", "price", "is_available_numeric", "final_score", "product_url", "source_platform"]
 FLAGSHIP_COLUMNS = ["source_store_name", "title", "final_score", "price", "product_url", "source_platform"]
@@ -30,6 +34,12 @@ def top_k(scored: DataFrame, k: int = TOP_K) -> DataFrame:
 def flagship(scored: DataFrame, n: int = FLAGSHIP_PER_STORE) -> DataFrame:
     """The n best products of each store with ``store_rank``; ties keep the earlier row."""
     order = [F.desc("final_score"), F.asc("source_priority"), F.asc("ordinal"), F.asc("product_url")]
+    if n >= MANY:
+        # A store is first cut to n in parts, so a huge one is not ranked by a single task.
+        salt = F.pmod(F.xxhash64("product_url", "source_priority", "ordinal"), F.lit(SALTS))
+        within = F.row_number().over(Window.partitionBy("source_store_name", "_salt").orderBy(*order))
+        salted = scored.withColumn("_salt", salt)
+        scored = salted.withColumn("_within", within).where(F.col("_within") <= n).drop("_salt", "_within")
     rank = F.row_number().over(Window.partitionBy("source_store_name").orderBy(*order))
     return scored.withColumn("store_rank", rank).where(F.col("store_rank") <= n).select("store_rank", *FLAGSHIP_COLUMNS)
 

@@ -7,7 +7,8 @@ last good version in place.
 
 A *keyed* table takes upserts: each batch is appended under its own number,
 and reading folds the batches by key. Writing costs as much as the batch, not
-as the table, and a repeated batch replaces itself.
+as the table. A batch counts once its marker exists, and a repeated batch takes
+the place of the earlier one when it is complete, so a lost job loses nothing.
 """
 
 from __future__ import annotations
@@ -15,10 +16,9 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from wareloom.operators.keyed import keep_last, merge_folded
+from wareloom.operators.keyed import folded_key, keep_last, merge_written
 
 MARKER = "_PUBLISHED"
 
@@ -65,28 +65,51 @@ def read_refreshed(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(f"{path}/{versions[-1][1]}")
 
 
+def _attempts(spark: SparkSession, path: str) -> dict[int, list[tuple[int, str, bool]]]:
+    """``(attempt, folder, whether published)`` of each batch, by batch number."""
+    fs, root = _file_system(spark, path)
+    found: dict[int, list[tuple[int, str, bool]]] = {}
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        batch = re.fullmatch(r"batch_seq=(\d+)", status.getPath().getName())
+        for inner in fs.listStatus(status.getPath()) if batch else []:
+            name = inner.getPath().getName()
+            attempt = re.fullmatch(r"attempt=(\d+)-\w+", name)
+            if attempt:
+                published = fs.exists(_file_system(spark, f"{path}/{status.getPath().getName()}/{name}/{MARKER}")[1])
+                found.setdefault(int(batch.group(1)), []).append((int(attempt.group(1)), name, published))
+    return found
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of upserts; writing the same batch again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_seq={batch_id}")
+    spark = df.sparkSession
+    earlier = _attempts(spark, path).get(batch_id, [])
+    number = max((attempt for attempt, _, _ in earlier), default=0) + 1
+    folder = f"{path}/batch_seq={batch_id}/attempt={number}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    fs, marker = _file_system(spark, f"{folder}/{MARKER}")
+    fs.create(marker, False).close()
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows ever written, with ``batch_seq``."""
+    """All rows of the last published attempt of each batch, with ``batch_seq``."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_seq", T.LongType())])
-    try:
-        return spark.read.schema(with_batch).option("basePath", path).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folders = []
+    for batch, attempts in _attempts(spark, path).items():
+        complete = [(attempt, name) for attempt, name, published in attempts if published]
+        if complete:
+            folders.append(f"{path}/batch_seq={batch}/{max(complete)[1]}")
+    if not folders:
         return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).option("basePath", path).parquet(*folders).select(*with_batch.names)
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str = "product_url",
                order=("ordinal",), folded: bool = False) -> DataFrame:
-    """Current state: the last write of each key."""
+    """Current state: the last write of each key, or of each folded key under the text written first."""
     rows = read_batches(spark, path, schema)
     if folded:
-        return merge_folded(rows, key, ["batch_seq", *order]).drop("batch_seq")
+        return merge_written(rows, key, ["batch_seq", *order], folded_key(key)).drop("batch_seq")
     return keep_last(rows, key, ["batch_seq", *order]).drop("batch_seq")
 
 

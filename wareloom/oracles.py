@@ -93,7 +93,7 @@ PLATFORMS = """platforms AS (
 
 # One row per feed product, with the page it is on and its position there.
 FEED = """lines AS (
-  SELECT *, CAST(substr(p_brand, 7) AS INTEGER) AS store_no, CAST(l_orderkey // 100 + 1 AS INTEGER) AS page,
+  SELECT *, CAST(substr(p_brand, 7) AS INTEGER) AS store_no, l_orderkey // 100 + 1 AS page,
          'https://www.brand' || substr(p_brand, 7) || '.example.com' AS base_url,
          format('{:.2f}', l_extendedprice) AS plain,
          row_number() OVER (PARTITION BY p_brand, l_orderkey // 100
@@ -101,14 +101,18 @@ FEED = """lines AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey),
 feed_pages AS (
   SELECT store_no, page,
-         p_brand < 'Brand#2' AND (min(l_quantity) >= 15 OR max(l_quantity) <= 35) AS bad,
-         row_number() OVER (PARTITION BY store_no ORDER BY page) AS expected
+         p_brand < 'Brand#2' AND (min(l_quantity) >= 15 OR max(l_quantity) <= 35) AS bad
   FROM lines GROUP BY store_no, p_brand, page),
+crawled AS (
+  SELECT *, row_number() OVER (PARTITION BY crawl, store_no ORDER BY page) AS expected FROM (
+    SELECT CAST(0 AS BIGINT) AS crawl, store_no, page, bad FROM feed_pages
+    UNION ALL
+    SELECT 1, store_no, page, bad OR page % 7 = 3 FROM feed_pages WHERE store_no % 2 = 1)),
 stops AS (
-  SELECT store_no, COALESCE(min(page) FILTER (bad OR page <> expected), 2147483647) AS stop
-  FROM feed_pages GROUP BY store_no),
+  SELECT crawl, store_no, COALESCE(min(page) FILTER (bad OR page <> expected), 9223372036854775807) AS stop
+  FROM crawled GROUP BY crawl, store_no),
 read AS (
-  SELECT 'brand' || store_no AS store, page, CAST(pos AS INTEGER) AS pos,
+  SELECT crawl, 'brand' || store_no AS store, page, CAST(pos AS INTEGER) AS pos,
          CASE WHEN l_quantity = 1 THEN 'N/A'
               ELSE base_url || '/products/' || l_partkey || '-' || l_suppkey END AS product_url,
          CASE WHEN l_linenumber = 7 THEN 'N/A'
@@ -128,7 +132,7 @@ flat AS (
 
 INGESTED = f"""WITH {FEED}
 SELECT product_url, title, vendor, price, availability, description, category, store_name FROM (
-  SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY store_no DESC, page DESC, pos DESC) AS n
+  SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY crawl DESC, store_no DESC, page DESC, pos DESC) AS n
   FROM flat WHERE reject_reason IS NULL)
 WHERE n = 1"""
 
@@ -138,10 +142,13 @@ LINKS = """site AS (SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]+
 links AS (SELECT page_id, url, category, CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos,
                  root || unnest(hrefs) AS link FROM site)"""
 
-# Series of 400 parts; 16 or 25 to a listing page; at most 20 pages are walked.
+# Series of 400 parts; 16 or 25 to a listing page.
+PLACED = """placed AS (
+  SELECT p_partkey // 400 AS series, p_partkey AS part, p_size,
+         p_partkey % 400 // CASE WHEN p_partkey // 400 % 2 = 0 THEN 16 ELSE 25 END AS page FROM part)"""
+
 LISTED = """listed AS (
-  SELECT p_partkey // 400 AS series, p_partkey AS part FROM part
-  WHERE p_size <> 50 AND (p_partkey // 400 % 2 = 1 OR p_partkey % 400 // 16 < 20)
+  SELECT p_partkey // 400 AS series, p_partkey AS part FROM part WHERE p_size <> 50
   UNION
   SELECT DISTINCT p_partkey // 400, (p_partkey // 400 - 1) * 400 FROM part WHERE p_partkey >= 400),
 category_links AS (
@@ -159,6 +166,27 @@ def element(pattern: str) -> str:
     return f"COALESCE(NULLIF(trim({decoded(f'regexp_extract(html, {pattern!r}, 1)')}), ''), 'N/A')"
 
 
+PAGE_COUNTS = f"""WITH {LISTED}
+SELECT 'Series ' || series AS category, count(*) AS links, count(*) FILTER (p_size <> 48) AS captured
+FROM category_links JOIN part ON part = p_partkey GROUP BY series"""
+
+PRODUCT_FIELDS = """p_name || ' & more' AS title,
+               CASE WHEN p_size = 49 THEN 'N/A' WHEN p_size % 3 = 2 THEN 'from ' ELSE '' END
+                 || CASE WHEN p_size <> 49 THEN '$' || format('{:,.2f}', p_retailprice) ELSE '' END AS price,
+               CASE WHEN p_brand = 'Brand#3' THEN 'N/A' ELSE p_type END AS tag, 'P-' || p_partkey AS sku"""
+
+
+def alone(platform: str) -> str:
+    """Scores of a run on one source only."""
+    return f"""(WITH {COMBINED},
+          only_one AS (SELECT * EXCLUDE (position) FROM (
+            SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY ordinal) AS position
+            FROM combined WHERE source_platform = '{platform}') WHERE position = 1),
+          {preprocessed('only_one')}, {SCORES}
+          SELECT COALESCE(product_url, 'N/A') AS product_url, source_platform, price,
+                 round(CAST(CAST(final_score AS FLOAT) AS DOUBLE), 6) AS final_score FROM scored)"""
+
+
 ORACLES = {
     "structured_scan": f"WITH {SCANS} SELECT * FROM structured_scan",
     "scraped_scan": f"WITH {SCANS} SELECT * FROM scraped_scan",
@@ -218,7 +246,8 @@ ORACLES = {
                     ELSE any_value(platforms.source_platform) END AS source_platform
         FROM scored JOIN platforms USING (source_store_name) GROUP BY 1""",
     "feed_contiguous_pages": f"""WITH {FEED}
-        SELECT 'brand' || store_no AS store, page FROM feed_pages JOIN stops USING (store_no) WHERE page < stop""",
+        SELECT crawl, 'brand' || store_no AS store, page FROM crawled JOIN stops USING (crawl, store_no)
+        WHERE page < stop""",
     "feed_flatten": f"WITH {FEED} SELECT * EXCLUDE (store_no, reject_reason) FROM flat WHERE reject_reason IS NULL",
     "feed_missing_vs_null": """
         SELECT 'https://user' || user_id || '.example.com/products/h' || event_id AS product_url,
@@ -227,27 +256,58 @@ ORACLES = {
                0.0::DOUBLE AS price, CASE event_id % 3 WHEN 1 THEN 'title is null' END AS reject_reason
         FROM events""",
     "feed_rejects": f"""WITH {FEED}
-        SELECT store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
+        SELECT crawl, store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
+    "run_feed_rejects": f"""WITH {FEED}
+        SELECT crawl, store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
+    "silent_stores": f"""WITH {FEED},
+        listed AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS seed_no FROM part UNION SELECT 900)
+        SELECT seed_no, 'https://www.brand' || seed_no || '.example.com' AS base_url, 'brand' || seed_no AS store
+        FROM listed WHERE seed_no NOT IN (SELECT store_no FROM feed_pages WHERE NOT bad)""",
     "store_name_from_url": """
         SELECT page_id, split_part(replace(replace(url, 'https://www.', ''), 'https://', ''), '.', 1) AS store_name
         FROM pages""",
-    "page_links": f"WITH {LINKS} SELECT url, pos, link FROM links",
-    "resolve_links": f"WITH {LINKS} SELECT page_id, pos, link FROM links",
+    "page_links": f"""WITH {PLACED},
+        items AS (
+          SELECT series, page, 0 AS part_of, part FROM placed WHERE p_size <> 50
+          UNION ALL
+          SELECT DISTINCT series, page, 1, (series - 1) * 400 FROM placed WHERE series > 0)
+        SELECT 'https://shop' || series || '.example.com/category/'
+                 || CASE WHEN page > 0 THEN 'page/' || (page + 1) || '/' ELSE '' END AS url,
+               CAST(row_number() OVER (PARTITION BY series, page ORDER BY part_of, part) - 1 AS INTEGER) AS pos,
+               'https://shop' || (part // 400) || '.example.com/product/' || part || '/' AS link
+        FROM items""",
+    "resolve_links": f"""WITH {LINKS},
+        parts AS (SELECT url, pos, link, substr(link, length(regexp_extract(link, '^https?://[^/?#]+', 0)) + 1) AS href FROM links)
+        SELECT url, pos, 0 AS kind, link FROM parts
+        UNION ALL SELECT url, pos, 1, 'https://other.example.com' || href FROM parts
+        UNION ALL SELECT url, pos, 2, regexp_extract(url, '^https?', 0) || '://other.example.com' || href FROM parts
+        UNION ALL SELECT url, pos, 3, link FROM parts
+        UNION ALL SELECT url, pos, 4, regexp_extract(url, '^[^?#]*', 0) || '?from=' || pos FROM parts""",
     "distinct_links_ordered": f"""WITH {LINKS}
-        SELECT category, link, min(page_id * 16777216 + pos) AS ordinal FROM links GROUP BY category, link""",
+        SELECT category, link, min(page_id * 2147483648 + pos) AS ordinal FROM links GROUP BY category, link""",
     "pagination_chain": """
         WITH RECURSIVE edges AS (
-          SELECT a.url, b.url AS next_url FROM pages a JOIN pages b ON b.page_id = a.page_id + 1
-          WHERE NOT contains(b.url, '?')),
+          SELECT a.url, min(b.url) AS next_url FROM pages a JOIN pages b ON b.page_id = a.page_id + 1
+          WHERE a.page_id % 16 <> 15 AND a.url <> b.url GROUP BY a.url),
         walk AS (
-          SELECT CAST(page_id AS INTEGER) AS seed_no, 0 AS hop, url AS page_url FROM pages WHERE contains(url, '#')
+          SELECT page_id AS seed_no, 0 AS hop, url AS page_url, [url] AS path FROM pages
           UNION ALL
-          SELECT seed_no, hop + 1, next_url FROM walk JOIN edges ON page_url = url WHERE hop < 19)
+          SELECT seed_no, hop + 1, next_url, list_append(path, next_url) FROM walk JOIN edges ON page_url = url
+          WHERE NOT list_contains(path, next_url))
         SELECT seed_no, CAST(hop AS INTEGER) AS hop, page_url FROM walk""",
     "extract_page_fields": f"""
         SELECT url, {element('<h1>(.*?)</h1>')} AS title, {element('<title>(.*?)</title>')} AS head,
                {element('<li><a[^>]*>[^<]*</a></li><li><a[^>]*>([^<]*)</a>')} AS second_link, 'N/A' AS sku
         FROM pages""",
+    "extract_product_fields": f"""
+        SELECT 'https://shop' || (p_partkey // 400) || '.example.com/product/' || p_partkey || '/' AS url, {PRODUCT_FIELDS}
+        FROM part WHERE p_size <> 48""",
+    "cut_chains": f"""WITH {PLACED}
+        SELECT DISTINCT series AS seed_no, 'Series ' || series AS category,
+               'https://shop' || series || '.example.com/category/page/11/' AS next_url
+        FROM placed WHERE page >= 9""",
+    "run_selection_twice": f"""WITH second AS {alone('WooCommerce')}, first AS {alone('Shopify')}
+        SELECT * FROM second UNION ALL SELECT * FROM first WHERE product_url NOT IN (SELECT product_url FROM second)""",
     "missing_pages": f"""WITH {LISTED}
         SELECT 'Series ' || series AS category, link FROM category_links JOIN part ON part = p_partkey WHERE p_size = 48""",
     "upsert_latest": f"""WITH {STRUCTURED}
@@ -291,19 +351,14 @@ ORACLES = {
     "run_counters": f"""WITH {HARMONISED}
         SELECT source_platform, source_store_name, product_category, count(*) AS rows FROM harmonised GROUP BY ALL""",
     "feed_counters": f"""WITH {FEED}
-        SELECT store, page, count(*) FILTER (reject_reason IS NULL) AS accepted,
-               count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM flat GROUP BY store, page""",
-    "page_counters": f"""WITH {LISTED}
-        SELECT 'Series ' || series AS category, count(*) AS links, count(*) FILTER (p_size <> 48) AS captured
-        FROM category_links JOIN part ON part = p_partkey GROUP BY series""",
+        SELECT crawl, store, page, count(*) FILTER (reject_reason IS NULL) AS accepted,
+               count(*) FILTER (reject_reason IS NOT NULL) AS rejected FROM flat GROUP BY crawl, store, page""",
+    "page_counters": PAGE_COUNTS,
+    "run_pages_counts": PAGE_COUNTS,
     "ingest_feed": INGESTED,
     "ingest_pages": f"""WITH {LISTED},
         latest AS (SELECT part, link, max(series) AS series FROM category_links GROUP BY part, link)
-        SELECT link AS product_url, p_name || ' & more' AS title,
-               CASE WHEN p_size = 49 THEN 'N/A' WHEN p_size % 3 = 2 THEN 'from ' ELSE '' END
-                 || CASE WHEN p_size <> 49 THEN '$' || format('{{:,.2f}}', p_retailprice) ELSE '' END AS price,
-               CASE WHEN p_brand = 'Brand#3' THEN 'N/A' ELSE p_type END AS tag,
-               'P-' || part AS sku, 'Series ' || series AS category
+        SELECT link AS product_url, {PRODUCT_FIELDS}, 'Series ' || series AS category
         FROM latest JOIN part ON part = p_partkey WHERE p_size <> 48""",
     "run_selection": f"""WITH {SCORED}
         SELECT COALESCE(product_url, 'N/A') AS product_url, title, source_store_name, price,

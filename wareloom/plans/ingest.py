@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wareloom import schemas
-from wareloom.operators import contract, keyed
-from wareloom.session import configure, stage
+from wareloom.operators import contract, counters, keyed, sinks
+from wareloom.session import stage
 from wareloom.sources import feeds, pages as page_source
 
 
@@ -26,34 +26,85 @@ def feed_rejects(flat: DataFrame) -> DataFrame:
     return feeds.rejected(judge(flat))
 
 
+def feed_counts(flat: DataFrame) -> DataFrame:
+    """Accepted and rejected products of each page."""
+    return counters.outcome_counts(judge(flat), "crawl", "store", "page")
+
+
 def ingest_feed(payloads: DataFrame) -> DataFrame:
     """Landed feed pages to the product table: the last write of each URL.
 
     Products without a handle share one URL, so the latest of them stays.
     """
-    configure(payloads.sparkSession)
     return keyed.keep_last(products_table(feeds.flatten_feed(payloads)))
 
 
+def run_feed(payloads: DataFrame, table: str, batch: int) -> None:
+    """One batch of the product table, its rejects and its counts, from one pass over the bodies.
+
+    They go to ``table``, ``table-rejects`` and ``table-counts``.
+    """
+    flat = stage(feeds.flatten_feed(payloads))
+    sinks.append_batch(feed_rejects(flat), f"{table}-rejects", batch)
+    sinks.append_batch(feed_counts(flat), f"{table}-counts", batch)
+    sinks.append_batch(stamped(keyed.keep_last(products_table(flat))), table, batch)
+
+
+def stamped(rows: DataFrame, column: str = "scraped_at") -> DataFrame:
+    """``rows`` with the time of the write."""
+    return rows.withColumn(column, F.current_timestamp())
+
+
 def latest_category(links: DataFrame) -> DataFrame:
     """One row per link: the category walked last keeps a product listed twice."""
     return keyed.keep_last(links, "link", ["seed_no", "ordinal"])
 
 
-def ingest_pages(pages: DataFrame, seeds: DataFrame, max_pages: int = schemas.MAX_LISTING_PAGES) -> DataFrame:
-    """Captured pages to the scraped product table.
+def read_captures(pages: DataFrame) -> DataFrame:
+    """What the last capture of each page holds; staged, as links and fields are both read from it."""
+    return stage(page_source.latest_captures(page_source.page_contents(pages)))
 
-    The outline of the listing pages is written out once, because both the
-    pagination and the links are read from it and parsing HTML is the
-    costliest step. A link whose page was not captured gives no row.
-    """
-    outline = stage(page_source.listing_outline(pages))
-    links = latest_category(page_source.category_links(outline, seeds, max_pages))
-    fields = page_source.product_fields(pages)
-    rows = links.join(fields, links["link"] == fields["url"]).select(
+
+def judged_pages(contents: DataFrame, links: DataFrame) -> DataFrame:
+    """One row per listed and captured product, with ``reject_reason``."""
+    last = latest_category(links)
+    fields = page_source.product_fields(contents)
+    rows = last.join(fields, last["link"] == fields["url"]).select(
         F.col("link").alias("product_url"), "title", "price", "tag", "sku", "category",
-        # Seeds are walked one after the other, a category has far fewer than 2**40 links.
-        (F.shiftleft(F.col("seed_no").cast("bigint"), 40) + F.col("ordinal")).alias("ordinal"),
+        # By seed, then by place in the walk: the place is below 2 ** 62.
+        (F.col("seed_no").cast(schemas.ORDINAL) * F.lit(1 << 62) + F.col("ordinal")).cast(schemas.ORDINAL).alias("ordinal"),
     )
-    fitting, _ = contract.split_by_contract(rows, schemas.SCRAPED_CONTRACT)
-    return contract.conform(fitting, schemas.SCRAPED_PRODUCTS)
+    return rows.withColumn("reject_reason", contract.broken_rule(schemas.SCRAPED_CONTRACT, rows.columns))
+
+
+def page_rejects(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reject_reason").isNotNull()).select("product_url", "category", "reject_reason")
+
+
+def scraped_table(judged: DataFrame) -> DataFrame:
+    return contract.conform(judged.where(F.col("reject_reason").isNull()), schemas.SCRAPED_PRODUCTS)
+
+
+def ingest_pages(pages: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Captured pages to the scraped product table, one row per product URL.
+
+    Each page is parsed once, for links and fields. A link whose page was not
+    captured gives no row.
+    """
+    contents = read_captures(pages)
+    links = page_source.category_links(page_source.listing_outline(contents), seeds, max_pages)
+    return scraped_table(judged_pages(contents, links))
+
+
+def run_pages(pages: DataFrame, seeds: DataFrame, table: str, batch: int, max_pages: int | None = None) -> None:
+    """One batch of the scraped table, its rejects, missing pages and counts.
+
+    They go to ``table``, ``table-rejects``, ``table-missing`` and ``table-counts``.
+    """
+    contents = read_captures(pages)
+    links = stage(page_source.category_links(page_source.listing_outline(contents), seeds, max_pages))
+    judged = stage(judged_pages(contents, links))
+    sinks.append_batch(page_rejects(judged), f"{table}-rejects", batch)
+    sinks.append_batch(page_source.missing_pages(links, contents).select("category", "link"), f"{table}-missing", batch)
+    sinks.append_batch(counters.frontier_counts(links, contents), f"{table}-counts", batch)
+    sinks.append_batch(stamped(scraped_table(judged)), table, batch)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from wareloom import schemas
 from wareloom.functions import html, text, urls
 from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
 from wareloom.plans import ingest, selection
-from wareloom.session import configure, stage, work_folder
+from wareloom.session import work_folder
 from wareloom.sources import feeds, pages, testtables as tables
 from wareloom.sources.catalogues import scan_scraped, scan_structured
 from wareloom.streaming import ingest as stream
@@ -40,7 +41,6 @@ STORE_COLUMNS = ["source_store_name", "source_platform", *schemas.ORDER_COLUMNS]
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     return tables.feed_payloads(spark, sf_dir)
 
 
@@ -176,17 +176,16 @@ def store_rankings_joined(spark, sf_dir):
 
 @query
 def feed_contiguous_pages(spark, sf_dir):
-    return feeds.contiguous_pages(stage(payloads(spark, sf_dir))).select("store", "page")
+    return feeds.counting_pages(feeds.page_verdicts(payloads(spark, sf_dir))).select("crawl", "store", "page")
 
 
 @query
 def feed_flatten(spark, sf_dir):
-    return feeds.accepted(feeds.flatten_feed(payloads(spark, sf_dir))).drop("ordinal")
+    return feeds.accepted(feeds.flatten_feed(payloads(spark, sf_dir))).drop("ordinal", "fetch_seq")
 
 
 @query
 def feed_missing_vs_null(spark, sf_dir):
-    configure(spark)
     return feeds.flatten_pages(tables.event_payloads(spark, sf_dir)).select(
         "product_url", "title", "vendor", "description", "category", "price", "reject_reason")
 
@@ -202,19 +201,26 @@ def store_name_from_url(spark, sf_dir):
 
 
 def _outline(spark, sf_dir):
-    return pages.listing_outline(tables.web_pages(spark, sf_dir), item="li")
+    return pages.listing_outline(pages.page_contents(tables.web_pages(spark, sf_dir), {}, item="li"))
 
 
 @query
 def page_links(spark, sf_dir):
-    return pages.link_rows(_outline(spark, sf_dir))
+    """Listing links of the shop's pages, by the default rules."""
+    contents = ingest.read_captures(tables.captured_pages(spark, sf_dir))
+    return pages.link_rows(pages.listing_outline(contents))
 
 
 @query
 def resolve_links(spark, sf_dir):
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
-    found = tables.web_pages(spark, sf_dir).select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
-    return found.select("page_id", "pos", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
+    """Every link of the crawled pages, and four other kinds of reference to the same page."""
+    contents = pages.page_contents(tables.web_pages(spark, sf_dir), {}, item="a", item_link=("a",))
+    found = contents.select("url", F.posexplode("links").alias("pos", "href"))
+    kinds = F.array(
+        F.col("href"), F.concat(F.lit("https://other.example.com"), "href"), F.concat(F.lit("//other.example.com"), "href"),
+        F.concat(F.lit("/a/.."), "href"), F.concat(F.lit("?from="), "pos"))
+    every = found.select("url", "pos", F.posexplode(kinds).alias("kind", "href"))
+    return every.select("url", "pos", "kind", urls.resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
 @query
@@ -223,11 +229,13 @@ def distinct_links_ordered(spark, sf_dir):
     site = F.regexp_extract("url", "^https?://([^/?#]+)", 1)
     seeds = tables.table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("page_url"), site.alias("category"))
     found = seeds.join(pages.link_rows(_outline(spark, sf_dir)), F.col("page_url") == F.col("url"))
-    return pages.first_seen(found.withColumn("ordinal", feeds.ordinal(F.col("page_id"), F.col("pos"))), ["category"])
+    seen = found.withColumn("ordinal", feeds.ordinal(F.col("page_id"), F.col("pos")).cast("long"))
+    return pages.first_seen(seen, ["category"])
 
 
 @query
 def pagination_chain(spark, sf_dir):
+    """Pages walked from every page."""
     chain = pages.pagination_chain(tables.page_sequence(spark, sf_dir), tables.page_seeds(spark, sf_dir))
     return chain.select("seed_no", "hop", "page_url")
 
@@ -240,15 +248,44 @@ def extract_page_fields(spark, sf_dir):
         "second_link": [("nav > ul > li > a", 1), ("nav > ul > li > a", 0)],
         "sku": [("span.sku", 0)],
     }
-    return pages.product_fields(tables.web_pages(spark, sf_dir), rules)
+    return pages.product_fields(pages.page_contents(tables.web_pages(spark, sf_dir), rules))
+
+
+@query
+def extract_product_fields(spark, sf_dir):
+    """The default rules on the shop's product pages, the last capture of each."""
+    contents = ingest.read_captures(tables.captured_pages(spark, sf_dir))
+    return pages.product_fields(contents).where(F.col("url").contains("/product/"))
+
+
+def _frontier(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    contents = ingest.read_captures(tables.captured_pages(spark, sf_dir))
+    return pages.category_links(pages.listing_outline(contents), tables.catalogue_seeds(spark, sf_dir)), contents
 
 
 @query
 def missing_pages(spark, sf_dir):
-    captured = tables.captured_pages(spark, sf_dir)
-    outline = stage(pages.listing_outline(captured))
-    links = pages.category_links(outline, tables.catalogue_seeds(spark, sf_dir))
-    return pages.missing_pages(links, captured).select("category", "link")
+    links, contents = _frontier(spark, sf_dir)
+    return pages.missing_pages(links, contents).select("category", "link")
+
+
+@query
+def cut_chains(spark, sf_dir):
+    """Listings that a limit of 10 pages would cut, with the page that would follow."""
+    contents = ingest.read_captures(tables.captured_pages(spark, sf_dir))
+    edges = pages.page_edges(pages.listing_outline(contents))
+    chain = pages.pagination_chain(edges, tables.catalogue_seeds(spark, sf_dir), 10)
+    return pages.cut_chains(chain, edges, 10)
+
+
+@query
+def silent_stores(spark, sf_dir):
+    """Stores on the list, one per brand and one that is never crawled, without any good page."""
+    brands = tables.table(spark, sf_dir, "part").select(F.substring("p_brand", 7, 10).cast("long").alias("seed_no")).distinct()
+    listed = brands.union(spark.range(900, 901)).withColumn(
+        "base_url", F.concat(F.lit("https://www.brand"), "seed_no", F.lit(".example.com")))
+    stores = listed.withColumn("store", urls.store_name(F.col("base_url")))
+    return feeds.silent_stores(feeds.page_verdicts(payloads(spark, sf_dir)), stores)
 
 
 @query
@@ -264,7 +301,7 @@ def upsert_folded_key(spark, sf_dir):
     host = F.regexp_extract("url", "^https?://([^/?#]+)", 1)
     rows = tables.table(spark, sf_dir, "pages").select(
         F.when(F.col("page_id") % 2 == 1, F.upper(host)).otherwise(host).alias("host"), "url", "page_id")
-    return keyed.merge_folded(rows, "host", ["page_id"])
+    return keyed.merge_written(rows, "host", ["page_id"], keyed.folded_key("host", 255))
 
 
 @query
@@ -281,7 +318,7 @@ def contract_violations(spark, sf_dir):
 
 @query
 def contract_split(spark, sf_dir):
-    _, unfit = contract.split_by_contract(selection.combine(*sources(spark, sf_dir)), CHECKED)
+    _, unfit = contract.split_by_contract(selection.combine(*sources(spark, sf_dir)), CHECKED, lengths=True)
     return unfit.select("product_url", "title", "price", "source_priority", "ordinal", "reject_reason")
 
 
@@ -307,7 +344,6 @@ def refresh_guard(spark, sf_dir):
 @query
 def ingest_stream(spark, sf_dir):
     folder = work_folder(spark)
-    configure(spark)
     landing = tables.feed_payloads(spark, sf_dir).select(*schemas.FEED_PAYLOADS.names)
     landing.write.option("maxRecordsPerFile", 2000).parquet(f"{folder}/landing")
     run = stream.stream_feed(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress", files_per_batch=16)
@@ -322,14 +358,12 @@ def run_counters(spark, sf_dir):
 
 @query
 def feed_counters(spark, sf_dir):
-    return counters.outcome_counts(feeds.flatten_feed(payloads(spark, sf_dir)), "store", "page")
+    return ingest.feed_counts(feeds.flatten_feed(payloads(spark, sf_dir)))
 
 
 @query
 def page_counters(spark, sf_dir):
-    captured = tables.captured_pages(spark, sf_dir)
-    links = pages.category_links(stage(pages.listing_outline(captured)), tables.catalogue_seeds(spark, sf_dir))
-    return counters.frontier_counts(links, captured)
+    return counters.frontier_counts(*_frontier(spark, sf_dir))
 
 
 def _plain_products(products: DataFrame) -> DataFrame:
@@ -351,7 +385,7 @@ def ingest_pages(spark, sf_dir):
 def run_selection(spark, sf_dir):
     """The whole run with its four tables, read back from the scored table."""
     out = work_folder(spark)
-    selection.run_selection(*sources(spark, sf_dir), out)
+    selection.run_selection(*sources(spark, sf_dir), out, run_id=1)
     saved = selection.read_scored(spark, out)
     return rounded(saved, "price", "availability_score", "price_score", "final_score")
 
@@ -359,6 +393,35 @@ def run_selection(spark, sf_dir):
 @query
 def run_selection_rankings(spark, sf_dir):
     out = work_folder(spark)
-    selection.run_selection(*sources(spark, sf_dir), out)
+    selection.run_selection(*sources(spark, sf_dir), out, run_id=1)
     saved = sinks.read_refreshed(spark, f"{out}/store_rankings", schemas.STORE_RANKINGS)
     return rounded(saved, "avg_product_score", "max_product_score")
+
+
+@query
+def run_feed_rejects(spark, sf_dir):
+    """The rejects a feed run has written."""
+    out = f"{work_folder(spark)}/products"
+    ingest.run_feed(payloads(spark, sf_dir), out, 0)
+    fields = "crawl long, store string, page long, pos int, reject_reason string"
+    return sinks.read_batches(spark, f"{out}-rejects", StructType.fromDDL(fields)).drop("batch_seq")
+
+
+@query
+def run_pages_counts(spark, sf_dir):
+    """The counts a page run has written."""
+    out = f"{work_folder(spark)}/scraped"
+    ingest.run_pages(tables.captured_pages(spark, sf_dir), tables.catalogue_seeds(spark, sf_dir), out, 0)
+    fields = "category string, links long, captured long"
+    return sinks.read_batches(spark, f"{out}-counts", StructType.fromDDL(fields)).drop("batch_seq")
+
+
+@query
+def run_selection_twice(spark, sf_dir):
+    """The scored table after a run on the structured source and one on the scraped source."""
+    out = work_folder(spark)
+    structured, scraped = sources(spark, sf_dir)
+    selection.run_selection(structured, None, out, run_id=1)
+    selection.run_selection(None, scraped, out, run_id=2)
+    saved = selection.read_scored(spark, out).select("product_url", "source_platform", "price", "final_score")
+    return rounded(saved, "price", "final_score")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wareloom import schemas
 from wareloom.functions import text
-from wareloom.operators import align, contract, keyed, ranking, scoring, sinks
+from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
 from wareloom.session import stage
 from wareloom.sources.catalogues import scan_scraped, scan_structured
 
@@ -14,7 +14,7 @@ from wareloom.sources.catalogues import scan_scraped, scan_structured
 SCORED_LOG = T.StructType([
     *schemas.SCORED_PRODUCTS.fields,
     T.StructField("source_priority", T.IntegerType()),
-    T.StructField("ordinal", T.LongType()),
+    T.StructField("ordinal", schemas.ORDINAL),
 ])
 
 
@@ -59,34 +59,42 @@ def scored_catalogue(structured: DataFrame | None, scraped: DataFrame | None, co
     if columns is not None:
         needed = {*columns, *schemas.SCORE_INPUTS}
         rows = rows.select(*[c for c in rows.columns if c in needed])
-    return scoring.score(stage(rows), **weights)
+    rows = stage(rows)
+    return scoring.score(rows, bounds=scoring.known_bounds(rows), **weights)
 
 
-def saved_products(scored: DataFrame) -> DataFrame:
-    """Scored rows in the shape and types they are stored in."""
-    shaped = contract.save_shape(scored, schemas.SCORED_PRODUCTS.names)
-    return contract.conform(shaped, schemas.SCORED_PRODUCTS)
+def judged_products(scored: DataFrame) -> DataFrame:
+    """Scored rows in the shape they are stored in, with ``reject_reason``."""
+    shaped = contract.save_shape(scored, SCORED_LOG.names)
+    return shaped.withColumn("reject_reason", contract.broken_rule(schemas.SCORED_CONTRACT, shaped.columns))
 
 
-def run_selection(structured: DataFrame | None, scraped: DataFrame | None, out: str, run_id: int = 0,
+def run_selection(structured: DataFrame | None, scraped: DataFrame | None, out: str, run_id: int,
                   k: int = schemas.TOP_K, n: int = schemas.FLAGSHIP_PER_STORE, **weights) -> None:
-    """Publish the four result tables under ``out``.
+    """Publish the four result tables under ``out``, and the run's rejects and counts.
 
     The cleaned rows, written once, feed the price bounds, the three reports
-    and the saved table. Scored products accumulate over runs, the reports are
-    replaced.
+    and the saved table. Scored products accumulate over runs, each run under
+    its own ``run_id``; the reports are replaced.
     """
     scored = scored_catalogue(structured, scraped, **weights)
     if not scored.isEmpty():
-        fitting, _ = contract.split_by_contract(contract.save_shape(scored, SCORED_LOG.names), schemas.SCORED_CONTRACT)
-        sinks.append_batch(contract.conform(fitting, SCORED_LOG), f"{out}/scored_products", run_id)
-    sinks.refresh(contract.conform(ranking.top_k(scored, k), schemas.TOP_K_PRODUCTS), f"{out}/top_k_products_overall")
-    sinks.refresh(contract.conform(ranking.flagship(scored, n), schemas.FLAGSHIP_PRODUCTS),
-                  f"{out}/flagship_products_by_store")
-    sinks.refresh(contract.conform(ranking.store_rankings(scored), schemas.STORE_RANKINGS), f"{out}/store_rankings")
-
-
-def read_scored(spark: SparkSession, out: str) -> DataFrame:
-    """Scored products over all runs, one row per folded URL."""
-    merged = sinks.read_keyed(spark, f"{out}/scored_products", SCORED_LOG, "product_url", schemas.ORDER_COLUMNS, folded=True)
+        judged = judged_products(scored)
+        fitting = contract.conform(judged.where(F.col("reject_reason").isNull()), SCORED_LOG)
+        sinks.append_batch(fitting.withColumn("analysis_timestamp", F.current_timestamp()), f"{out}/scored_products", run_id)
+        rejects = judged.where(F.col("reject_reason").isNotNull()).select("product_url", "title", "price", "reject_reason")
+        sinks.append_batch(rejects, f"{out}/scored_rejects", run_id)
+        sinks.append_batch(counters.source_counts(scored), f"{out}/counts", run_id)
+    reports = [
+        ("top_k_products_overall", ranking.top_k(scored, k), schemas.TOP_K_PRODUCTS),
+        ("flagship_products_by_store", ranking.flagship(scored, n), schemas.FLAGSHIP_PRODUCTS),
+        ("store_rankings", ranking.store_rankings(scored), schemas.STORE_RANKINGS),
+    ]
+    for name, rows, schema in reports:
+        sinks.refresh(contract.conform(rows, schema).withColumn("analysis_timestamp", F.current_timestamp()), f"{out}/{name}")
+
+
+def read_scored(spark: SparkSession, out: str, folded: bool = False) -> DataFrame:
+    """Scored products over all runs, one row per URL, or per URL but for case and accents."""
+    merged = sinks.read_keyed(spark, f"{out}/scored_products", SCORED_LOG, "product_url", schemas.ORDER_COLUMNS, folded=folded)
     return merged.select(*schemas.SCORED_PRODUCTS.names)

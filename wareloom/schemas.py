@@ -25,16 +25,20 @@ TOP_K = 20
 FLAGSHIP_PER_STORE = 3
 WEIGHT_AVAILABILITY = 0.6
 WEIGHT_PRICE = 0.4
-MAX_LISTING_PAGES = 20
 # ---------------------------------------------------------------------------
 
+# Sequence numbers and positions side by side, wide enough for any two longs.
+ORDINAL = T.DecimalType(38, 0)
+
 STRUCTURED_PRIORITY = 0
 SCRAPED_PRIORITY = 1
 
+# ``fetch_seq`` and ``capture_seq`` grow with time, over all crawls.
 FEED_PAYLOADS = T.StructType([
+    T.StructField("crawl", T.LongType()),
     T.StructField("store", T.StringType()),
     T.StructField("base_url", T.StringType()),
-    T.StructField("page", T.IntegerType()),
+    T.StructField("page", T.LongType()),
     T.StructField("status", T.IntegerType()),
     T.StructField("body", T.StringType()),
     T.StructField("fetch_seq", T.LongType()),
@@ -43,10 +47,11 @@ FEED_PAYLOADS = T.StructType([
 CAPTURED_PAGES = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("html", T.StringType()),
+    T.StructField("capture_seq", T.LongType()),
 ])
 
 CATEGORY_SEEDS = T.StructType([
-    T.StructField("seed_no", T.IntegerType()),
+    T.StructField("seed_no", T.LongType()),
     T.StructField("category", T.StringType()),
     T.StructField("url", T.StringType()),
 ])
@@ -61,7 +66,7 @@ PRODUCTS = T.StructType([
     T.StructField("description", T.StringType()),
     T.StructField("category", T.StringType()),
     T.StructField("store_name", T.StringType()),
-    T.StructField("ordinal", T.LongType()),
+    T.StructField("ordinal", ORDINAL),
 ])
 
 # Scraped catalogue, as produced by the page ingest; price is still text.
@@ -72,7 +77,7 @@ SCRAPED_PRODUCTS = T.StructType([
     T.StructField("tag", T.StringType()),
     T.StructField("sku", T.StringType()),
     T.StructField("category", T.StringType()),
-    T.StructField("ordinal", T.LongType()),
+    T.StructField("ordinal", ORDINAL),
 ])
 
 # The aligned frame: eleven catalogue columns in their published order, then
@@ -96,7 +101,7 @@ ORDER_COLUMNS = ["source_priority", "ordinal"]
 SCORE_INPUTS = ["price", "is_available_numeric"]
 FILL_COLUMNS = ["title", "vendor", "product_category", "source_store_name", "product_tags", "sku"]
 
-# Result tables, with the narrow types they are stored in.
+# Result tables, with the columns and narrow types they are stored in: fixed values.
 SCORED_PRODUCTS = T.StructType([
     T.StructField("product_url", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -166,3 +171,7 @@ SCORED_CONTRACT = Contract(
     unique=("product_url",),
     decimals=(("price", 10, 2),),
 )
+TOP_K_CONTRACT = Contract(not_null=("rank_overall", "product_url"), unique=("product_url",))
+FLAGSHIP_CONTRACT = Contract(not_null=("source_store_name", "store_rank", "product_url"),
+                             unique=("source_store_name", "product_url"))
+STORE_RANKINGS_CONTRACT = Contract(not_null=("source_store_name",), unique=("source_store_name",))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of the runs that are under way, the innermost last.
+_RUNS: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Runtime settings the feed operators rely on.
+    """Runtime settings the feed operators rely on; they set them themselves.
 
     JSON objects with a repeated key keep the last value instead of failing
     the whole page.
@@ -18,18 +22,28 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_folder(spark: SparkSession) -> str:
-    """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder: on a
-    cluster one machine's disk is not visible to the others.
-    """
+def _root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; without one, a place beside the session's tables."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="wareloom-")
-    return f"{root.rstrip('/')}/wareloom-{uuid.uuid4().hex}"
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/wareloom-work"
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A fresh sub-folder of the run under way, or of the shared folder."""
+    return f"{_RUNS[-1] if _RUNS else _root(spark)}/wareloom-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for all that a run stages, removed when the run ends."""
+    folder = work_folder(spark)
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, folder: str | None = None) -> DataFrame:

@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wareloom.functions import feed, urls
-from wareloom.session import stage
+from wareloom.schemas import ORDINAL
+from wareloom.session import configure, stage
 
 FIRST_HTTP_ERROR = 400
 PAGE_OK = "ok"
-POSITION_BITS = 24
+#: Positions in a page or a chain are ints.
+POSITIONS = 1 << 31
+#: Bodies from this size on may be more than a VARIANT holds.
+LARGE_BODY = 1 << 24
+FETCH = ["crawl", "store", "page", "fetch_seq"]
 PRODUCT_COLUMNS = ["product_url", "title", "vendor", "price", "availability", "description", "category"]
 
 
 def ordinal(sequence: Column, position: Column) -> Column:
-    """One sortable long from a sequence number and a position below 2**24."""
-    return F.shiftleft(sequence.cast("bigint"), POSITION_BITS) + position
+    """One sortable number from a sequence number and a position: any long, any int."""
+    return (sequence.cast(ORDINAL) * F.lit(POSITIONS) + position).cast(ORDINAL)
+
+
+def _identified(payloads: DataFrame) -> DataFrame:
+    """Fetches landed without a crawl or a sequence number count as the first."""
+    return payloads.withColumns({
+        "crawl": F.coalesce("crawl", F.lit(0).cast("long")), "fetch_seq": F.coalesce("fetch_seq", F.lit(0).cast("long"))})
 
 
 def _parse(payloads: DataFrame) -> DataFrame:
+    """Adds ``document``, and ``parts`` of bodies that may be more than a VARIANT holds: the text of each product."""
+    configure(payloads.sparkSession)
     answered = F.col("status") < FIRST_HTTP_ERROR
-    return payloads.withColumn("document", F.when(answered, F.try_parse_json("body")))
+    read = _identified(payloads).withColumn("document", F.when(answered, F.try_parse_json("body")))
+    large = answered & (F.octet_length("body") >= LARGE_BODY)
+    whole = F.from_json(F.when(large, F.col("body")), "products array<string>, _corrupt_record string",
+                        {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return read.withColumn("_whole", whole).withColumn(
+        "parts", F.when(F.col("_whole._corrupt_record").isNull(), F.col("_whole.products"))).drop("_whole")
 
 
 def _verdict() -> Column:
@@ -29,6 +47,8 @@ def _verdict() -> Column:
     return (
         F.when(F.col("status").isNull(), "no response")
         .when(F.col("status") >= FIRST_HTTP_ERROR, "http error")
+        .when(document.isNull() & (F.size("parts") > 0), PAGE_OK)
+        .when(document.isNull() & F.col("parts").isNotNull(), "no products")
         .when(document.isNull(), "undecodable body")
         # Nearly all pages end here, before anything has to look at the whole list.
         .when(feed.field(document, "$.products[0]").isNotNull(), PAGE_OK)
@@ -41,47 +61,59 @@ def _verdict() -> Column:
 
 
 def page_verdicts(payloads: DataFrame) -> DataFrame:
-    """``store, page, verdict``: the narrow log that decides where stores stop."""
-    return _parse(payloads).select("store", "page", _verdict().alias("verdict"))
+    """``crawl, store, page, fetch_seq, verdict``: the narrow log that decides where stores stop."""
+    return _parse(payloads).select(*FETCH, _verdict().alias("verdict"))
+
 
+def last_fetches(verdicts: DataFrame) -> DataFrame:
+    """``crawl, store, page, fetch_seq, bad``: a page fetched again within a crawl counts by its last fetch."""
+    bad = F.col("verdict") != PAGE_OK
+    return verdicts.groupBy("crawl", "store", "page").agg(
+        F.max("fetch_seq").alias("fetch_seq"), F.max_by(bad, "fetch_seq").alias("bad"))
 
-def store_stops(verdicts: DataFrame) -> DataFrame:
-    """First page of each store that no longer counts (NULL: all pages count).
 
-    A page breaks the run when it is bad itself or when the page before it
-    is not there. Looking the predecessor up by ``(store, page)`` spreads one
-    huge store over all tasks, where numbering its pages in a window would
-    pull them into one. A page fetched twice counts by its worst verdict.
+def store_stops(pages: DataFrame) -> DataFrame:
+    """First page of each crawl of a store that no longer counts (NULL: all count), from the last fetches.
+
+    A page breaks the crawl when it is bad itself or when the page before it
+    is not there. Looking the predecessor up by ``(crawl, store, page)``
+    spreads one huge store over all tasks, where numbering its pages in a
+    window would pull them into one. What one crawl stops at says nothing
+    about another.
     """
-    bad = (F.col("verdict") != PAGE_OK).cast("int")
-    pages = verdicts.groupBy("store", "page").agg(F.max(bad).alias("bad"))
-    followers = pages.select("store", (F.col("page") + 1).alias("page"), F.lit(True).alias("follows"))
-    broken = (F.col("bad") == 1) | (F.col("follows").isNull() & (F.col("page") != 1))
+    followers = pages.select("crawl", "store", (F.col("page") + 1).alias("page"), F.lit(True).alias("follows"))
+    broken = F.col("bad") | (F.col("follows").isNull() & (F.col("page") != 1))
     return (
-        pages.join(followers, ["store", "page"], "left")
-        .groupBy("store")
+        pages.join(followers, ["crawl", "store", "page"], "left")
+        .groupBy("crawl", "store")
         .agg(F.min(F.when(broken, F.col("page"))).alias("stop_page"))
     )
 
 
-def keep_contiguous(rows: DataFrame, stops: DataFrame) -> DataFrame:
-    """Rows of pages before their store's stop.
+def counting_pages(verdicts: DataFrame) -> DataFrame:
+    """``crawl, store, page, fetch_seq`` of the fetches that count."""
+    pages = stage(last_fetches(verdicts))
+    before_stop = F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))
+    return pages.join(store_stops(pages), ["crawl", "store"]).where(before_stop).select(*FETCH)
+
+
+def keep_contiguous(rows: DataFrame, counting: DataFrame) -> DataFrame:
+    """Rows of the fetches that count.
 
-    The join carries no hint: the size of ``stops`` decides between broadcast
-    and a shuffle that is split where one store is too large.
+    The join carries no hint: the size of ``counting`` decides between
+    broadcast and a shuffle, which goes by page, so no store is too large.
     """
-    before_stop = F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))
-    return rows.join(stops, "store").where(before_stop).drop("stop_page")
+    return rows.join(counting, FETCH, "left_semi")
 
 
 def contiguous_pages(payloads: DataFrame) -> DataFrame:
-    """Landed pages up to the first error, undecodable or empty page or gap.
+    """Landed pages up to the first error, undecodable or empty page or gap of their crawl.
 
-    The stops, one narrow row per store, are written out first. Their size is
-    then known when the join is planned, so page bodies are shuffled only if
-    there are too many stores to broadcast.
+    The counting pages, one narrow row each, are written out first. Their size
+    is then known when the join is planned, so page bodies are shuffled only
+    if there are too many pages to broadcast.
     """
-    return keep_contiguous(payloads, stage(store_stops(page_verdicts(payloads))))
+    return keep_contiguous(_identified(payloads), stage(counting_pages(page_verdicts(payloads))))
 
 
 def read_pages(payloads: DataFrame) -> DataFrame:
@@ -95,8 +127,8 @@ def read_pages(payloads: DataFrame) -> DataFrame:
     # would carry its whole page along and judge it again.
     pages = _parse(payloads).withColumn("verdict", _verdict())
     rows = pages.select(
-        "store", "page", "base_url", "fetch_seq", "verdict",
-        F.posexplode_outer(feed.product_list(F.col("document"))).alias("pos", "product"))
+        *FETCH, "base_url", "verdict",
+        F.posexplode_outer(feed.product_list(F.col("document"), F.col("parts"))).alias("pos", "product"))
     rows = (
         rows.withColumns(feed.raw_columns(F.col("product")))
         .withColumns(feed.kind_columns())
@@ -104,7 +136,7 @@ def read_pages(payloads: DataFrame) -> DataFrame:
         .withColumns(feed.price_column())
     )
     finished = F.struct(
-        "store", "page", "verdict", "pos", *PRODUCT_COLUMNS,
+        *FETCH, "verdict", "pos", *PRODUCT_COLUMNS,
         urls.store_name(F.col("base_url")).alias("store_name"),
         ordinal(F.col("fetch_seq"), F.col("pos")).alias("ordinal"),
         feed.reject_reason().alias("reject_reason"),
@@ -125,8 +157,7 @@ def flatten_pages(payloads: DataFrame) -> DataFrame:
 
 def contiguous_products(rows: DataFrame) -> DataFrame:
     """Products of the contiguous pages, from rows of ``read_pages`` that were written out."""
-    stops = stage(store_stops(rows.select("store", "page", "verdict")))
-    return keep_contiguous(products_only(rows), stops)
+    return keep_contiguous(products_only(rows), stage(counting_pages(rows.select(*FETCH, "verdict"))))
 
 
 def flatten_feed(payloads: DataFrame) -> DataFrame:
@@ -138,9 +169,15 @@ def flatten_feed(payloads: DataFrame) -> DataFrame:
     return contiguous_products(stage(read_pages(payloads)))
 
 
+def silent_stores(verdicts: DataFrame, stores: DataFrame) -> DataFrame:
+    """``seed_no, base_url, store`` of the stores on the list that landed no good page in any crawl."""
+    answered = verdicts.where(F.col("verdict") == PAGE_OK).select("store").distinct()
+    return stores.join(answered, "store", "left_anti").select("seed_no", "base_url", "store")
+
+
 def accepted(flat: DataFrame) -> DataFrame:
     return flat.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
 def rejected(flat: DataFrame) -> DataFrame:
-    return flat.where(F.col("reject_reason").isNotNull()).select("store", "page", "pos", "reject_reason")
+    return flat.where(F.col("reject_reason").isNotNull()).select("crawl", "store", "page", "pos", "reject_reason")

@@ -5,31 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wareloom.functions import html
-from wareloom.schemas import MAX_LISTING_PAGES
+from wareloom.functions.urls import resolve_url
+from wareloom.operators.keyed import keep_first, keep_last
+from wareloom.session import stage
 from wareloom.sources.feeds import ordinal
 
 
-def listing_outline(pages: DataFrame, item: str = html.LISTING_ITEM, item_link=html.ITEM_LINK,
-                    next_link: str = html.NEXT_LINK) -> DataFrame:
-    """``url, links, next_url`` of every page that has any of them.
+def page_contents(pages: DataFrame, rules: dict = html.PRODUCT_RULES, item: str = html.LISTING_ITEM,
+                  item_link=html.ITEM_LINK, next_link: str = html.NEXT_LINK) -> DataFrame:
+    """``url, capture_seq, links, next_link, fields``: all that is read from each captured page, in one pass.
 
-    Pages without the class names of both selectors skip the Python step.
+    Runs before any join, so page bodies are read once where they lie and only
+    what was read is shuffled. Pages without a body give no row.
     """
-    classes = [html.compile_selector(selector)[-1][2] for selector in (item, next_link)]
-    candidates = pages
-    if all(classes):
-        candidates = pages.where(html.may_contain(F.col("html"), [max(names, key=len) for names in classes]))
-    found = html.extract_links(F.col("url"), F.col("html"), item, item_link, next_link)
-    return (
-        candidates.select("url", found.alias("found"))
-        .select("url", "found.links", "found.next_url")
-        .where((F.size("links") > 0) | F.col("next_url").isNotNull())
-    )
+    found = html.extract_page(F.col("html"), rules, item, item_link, next_link)
+    return pages.where(F.col("html").isNotNull() & F.col("url").isNotNull()).select(
+        "url", "capture_seq", found.alias("found")).select("url", "capture_seq", "found.*")
+
+
+def latest_captures(contents: DataFrame) -> DataFrame:
+    """The last capture of each URL; chosen among the narrow rows read from the pages."""
+    return keep_last(contents, "url", ["capture_seq"])
+
+
+def listing_outline(contents: DataFrame) -> DataFrame:
+    """``url, links, next_url`` of every page that has any of them; ``links`` as they stand in the page."""
+    return contents.select("url", "links", resolve_url(F.col("url"), F.col("next_link")).alias("next_url")).where(
+        (F.size("links") > 0) | F.col("next_url").isNotNull())
 
 
 def link_rows(outline: DataFrame) -> DataFrame:
-    """``url, pos, link``, one row per listing item with a usable link."""
-    return outline.select("url", F.posexplode("links").alias("pos", "link"))
+    """``url, pos, link``, one row per listing item with a usable link, resolved against its page."""
+    rows = outline.select("url", F.posexplode("links").alias("pos", "href"))
+    return rows.select("url", "pos", resolve_url(F.col("url"), F.col("href")).alias("link"))
 
 
 def page_edges(outline: DataFrame) -> DataFrame:
@@ -37,26 +45,41 @@ def page_edges(outline: DataFrame) -> DataFrame:
     return outline.where(F.col("next_url").isNotNull() & (F.col("next_url") != F.col("url"))).select("url", "next_url")
 
 
-def pagination_chain(edges: DataFrame, seeds: DataFrame, max_pages: int = MAX_LISTING_PAGES) -> DataFrame:
-    """``seed columns, hop, page_url``: the pages walked from each start URL.
+def pagination_chain(edges: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """``seed columns, hop, page_url``: the pages walked from each start URL, one row per page; staged.
 
-    One row per seed collects at most ``max_pages`` URLs by following the
-    edges that many times less one. All those joins use the same grouped
-    edges, whose shuffle by URL is planned once and reused. A page that links
-    to itself has no edge and ends its chain; a longer loop runs to the limit.
+    The walk ends where no new page follows, so a loop ends where it closes.
+    Steps double in length each round: all pages within ``2 ** n`` hops are
+    known after n rounds, and rounds stop when one adds nothing. Finished
+    chains take no part in later joins. ``max_pages`` cuts chains; see
+    ``cut_chains``.
     """
+    # A page that names several next pages goes on with one of them.
+    steps = stage(edges.groupBy("url").agg(F.min("next_url").alias("to")))
+    named = [F.col(c) for c in seeds.columns if c != "url"]
+    walked = stage(seeds.select(
+        F.monotonically_increasing_id().alias("walk"), *named, F.lit(0).cast("long").alias("hop"), F.col("url").alias("page_url")))
+    length = 1
+    while True:
+        further = walked.join(steps, F.col("page_url") == F.col("url")).select(
+            "walk", *named, (F.col("hop") + length).alias("hop"), F.col("to").alias("page_url"))
+        if max_pages is not None:
+            further = further.where(F.col("hop") < max_pages)
+        new = stage(further.join(walked, ["walk", "page_url"], "left_anti").select("walk", *named, "hop", "page_url"))
+        if new.isEmpty():
+            return walked.drop("walk").withColumn("hop", F.col("hop").cast("int"))
+        # Where a loop closes, a page may be met at several hops.
+        walked = stage(keep_first(walked.union(new), ["walk", "page_url"], ["hop"]))
+        far = steps.select(F.col("url").alias("to"), F.col("to").alias("farther"))
+        steps = stage(steps.join(far, "to").select("url", F.col("farther").alias("to")))
+        length *= 2
+
+
+def cut_chains(chain: DataFrame, edges: DataFrame, max_pages: int) -> DataFrame:
+    """Seed columns of the chains that ``max_pages`` has cut, with the page that would follow."""
     steps = edges.groupBy("url").agg(F.min("next_url").alias("next_url"))
-    steps = steps.select(F.col("url").alias("_from"), F.col("next_url").alias("_to"))
-    walk = seeds.withColumns({"_at": F.col("url"), "_path": F.array("url")})
-    for _ in range(max_pages - 1):
-        walk = walk.join(steps, F.col("_at") == F.col("_from"), "left").select(
-            *seeds.columns,
-            F.col("_to").alias("_at"),
-            F.when(F.col("_to").isNotNull(), F.array_append("_path", F.col("_to")))
-            .otherwise(F.col("_path")).alias("_path"),
-        )
-    kept = [c for c in seeds.columns if c != "url"]
-    return walk.select(*kept, F.posexplode("_path").alias("hop", "page_url"))
+    last = chain.where(F.col("hop") == max_pages - 1)
+    return last.join(steps, F.col("page_url") == F.col("url")).drop("url", "hop", "page_url")
 
 
 def first_seen(links: DataFrame, group: list[str], link: str = "link", order: str = "ordinal") -> DataFrame:
@@ -64,7 +87,7 @@ def first_seen(links: DataFrame, group: list[str], link: str = "link", order: st
     return links.groupBy(*group, link).agg(F.min(order).alias(order))
 
 
-def category_links(outline: DataFrame, seeds: DataFrame, max_pages: int = MAX_LISTING_PAGES) -> DataFrame:
+def category_links(outline: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
     """``seed_no, category, link, ordinal``: distinct links of each category."""
     chain = pagination_chain(page_edges(outline), seeds, max_pages)
     found = chain.join(link_rows(outline), F.col("page_url") == F.col("url"))
@@ -72,20 +95,12 @@ def category_links(outline: DataFrame, seeds: DataFrame, max_pages: int = MAX_LI
         found.withColumn("ordinal", ordinal(F.col("hop"), F.col("pos"))), ["seed_no", "category"])
 
 
-def product_fields(pages: DataFrame, rules: dict = html.PRODUCT_RULES) -> DataFrame:
-    """``url`` and one column per rule. Pages without a body give no row.
-
-    Runs before any join, so that page bodies are read once where they lie
-    and only the extracted fields are shuffled.
-    """
-    return (
-        pages.where(F.col("html").isNotNull())
-        .select("url", html.extract_fields(F.col("html"), rules).alias("f"))
-        .select("url", "f.*")
-    )
+def product_fields(contents: DataFrame) -> DataFrame:
+    """``url`` and one column per rule."""
+    return contents.select("url", "fields.*")
 
 
-def missing_pages(links: DataFrame, pages: DataFrame) -> DataFrame:
+def missing_pages(links: DataFrame, contents: DataFrame) -> DataFrame:
     """Links that have no captured page."""
-    captured = pages.where(F.col("html").isNotNull()).select("url")
+    captured = contents.select("url").distinct()
     return links.join(captured, links["link"] == captured["url"], "left_anti")

@@ -27,7 +27,7 @@ CATEGORIES = (
 def store_seeds(spark: SparkSession, stores=STORES) -> DataFrame:
     """``seed_no, base_url, store``."""
     rows = list(enumerate(stores))
-    return spark.createDataFrame(rows, "seed_no int, base_url string").withColumn("store", store_name(F.col("base_url")))
+    return spark.createDataFrame(rows, "seed_no long, base_url string").withColumn("store", store_name(F.col("base_url")))
 
 
 def category_seeds(spark: SparkSession, categories=CATEGORIES) -> DataFrame:

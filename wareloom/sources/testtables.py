@@ -15,16 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Redistribute a plain scan that has fewer splits than there are cores.
-
-    Costs one shuffle of less data than one split per core; a table large
-    enough to keep the cores busy is read where it lies.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def _price_text(column: str):
     return F.concat(F.lit("$"), F.format_number(column, 2))
 
@@ -34,7 +24,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows repeat URLs; some have no price, some no URL.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     suppliers = table(spark, sf_dir, "supplier")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
@@ -56,7 +46,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scraped_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as a scraped product table, with URLs that meet the structured ones."""
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("https://s"), F.expr("o_custkey div 10"), F.lit(".example.com/products/"),
                  F.expr("o_orderkey div 4")).alias("product_url"),
         F.when((F.col("o_orderpriority") != "4-NOT SPECIFIED") | (F.col("o_orderstatus") != "F"),
@@ -76,7 +66,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     prices. In the stores below 'Brand#2' a page of large quantities only
     answers with an error and a page of small ones is cut off.
     """
-    page = F.expr("l_orderkey div 100 + 1").cast("int")
+    page = F.expr("l_orderkey div 100 + 1")
     # Rows are shuffled to their page while they are still narrow.
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
@@ -99,7 +89,7 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") == 1, "").otherwise(F.concat_ws("-", "l_partkey", "l_suppkey")).alias("handle"),
         F.when(~no_variants, F.array(variant)).alias("variants"),
     ))
-    rest = F.substring(product, 2, 1_000_000)
+    rest = F.substr(product, F.lit(2))
     with_nulls = (
         F.when((line == 6) & (flag == "A"), F.concat(F.lit('{"title":null,'), rest))
         .when(line == 5, F.concat(F.lit('{"vendor":null,'), rest))
@@ -115,13 +105,25 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"products":['), F.concat_ws(",", "items"), F.lit("]}"))
     fragile = F.col("p_brand") < "Brand#2"
     cut_off = fragile & (F.col("most") <= 35)
-    return pages.select(
+    # Stores with an odd number are crawled again: every seventh page is refused, and the first page only answers
+    # when it is tried once more.
+    again, first = store_no % 2 == 1, F.col("page") == 1
+    fetches = F.array_compact(F.array(
+        F.struct(F.lit(0).alias("crawl"), F.lit(0).alias("attempt")),
+        F.when(again & first, F.struct(F.lit(1).alias("crawl"), F.lit(0).alias("attempt"))),
+        F.when(again, F.struct(F.lit(1).alias("crawl"), F.lit(1).alias("attempt")))))
+    fetched = pages.select("*", F.inline(fetches))
+    second = F.col("crawl") == 1
+    return fetched.select(
+        F.col("crawl").cast("long").alias("crawl"),
         F.concat(F.lit("brand"), store_no).alias("store"),
         F.concat(F.lit("https://www.brand"), store_no, F.lit(".example.com")).alias("base_url"),
         "page",
-        F.when(fragile & (F.col("least") >= 15), 500).otherwise(200).alias("status"),
+        F.when(second & ((F.col("page") % 7 == 3) | (F.col("attempt") == 0)), 429)
+        .when(fragile & (F.col("least") >= 15), 500).otherwise(200).alias("status"),
         F.when(cut_off, F.substring(body, 1, 40)).otherwise(body).alias("body"),
-        (F.shiftleft(store_no.cast("bigint"), 32) + F.col("page")).alias("fetch_seq"),
+        ((F.col("crawl").cast("decimal(38,0)") * F.lit(1 << 60) + store_no.cast("long") * F.lit(1 << 40)
+          + F.col("page") * 2 + F.col("attempt")).cast("long")).alias("fetch_seq"),
     )
 
 
@@ -134,10 +136,11 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"products":[{'), title, F.lit('"vendor":'),
         F.when(F.col("event_type") == "click", "null").otherwise('"v"'),
         F.lit(',"handle":"h'), "event_id", F.lit('","props":'), "props", F.lit("}]}"))
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    return table(spark, sf_dir, "events").select(
+        F.lit(0).cast("long").alias("crawl"),
         F.concat(F.lit("user"), "user_id").alias("store"),
         F.concat(F.lit("https://user"), "user_id", F.lit(".example.com")).alias("base_url"),
-        F.col("event_id").cast("int").alias("page"),
+        F.col("event_id").alias("page"),
         F.lit(200).alias("status"),
         body.alias("body"),
         F.col("event_id").alias("fetch_seq"),
@@ -159,7 +162,7 @@ def catalogue_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing category per series of parts."""
     numbers = table(spark, sf_dir, "part").select(F.expr(f"p_partkey div {SERIES_SIZE}").alias("n")).distinct()
     return numbers.select(
-        F.col("n").cast("int").alias("seed_no"),
+        F.col("n").alias("seed_no"),
         F.concat(F.lit("Series "), "n").alias("category"),
         F.concat(_shop(F.col("n")), F.lit("/category/")).alias("url"),
     )
@@ -191,7 +194,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit('<div class="col"><div class="product-small box"><a rel="nofollow" href="//shop'), series,
             F.lit(".example.com"), path, F.lit('">'), "p_name", F.lit("<br></a></div>")))
     )
-    pages = spread(table(spark, sf_dir, "part"), "p_partkey").groupBy(
+    pages = table(spark, sf_dir, "part").groupBy(
         series.alias("series"), size.alias("size"), page.alias("page")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("item")))),
                                  lambda x: x["item"]), "\n").alias("items"))
@@ -225,7 +228,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.when(F.col("p_brand") == "Brand#3", "").otherwise(F.concat(
         F.lit('<span class="tagged_as">Tags: <a href="/t" rel="tag">'), "p_type",
         F.lit('</a>, <a href="/u" rel="tag">other</a></span>')))
-    return spread(table(spark, sf_dir, "part"), "p_partkey").where(F.col("p_size") != 48).select(
+    return table(spark, sf_dir, "part").where(F.col("p_size") != 48).select(
         F.concat(_shop(series), F.lit("/product/"), "p_partkey", F.lit("/")).alias("url"),
         F.concat(
             F.lit('<!DOCTYPE html><html><head><title>shop</title><script>var h="<h1>x</h1>";</script></head><body>'
@@ -236,22 +239,36 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listing_pages(spark, sf_dir).unionByName(product_pages(spark, sf_dir))
+    """Listing and product pages. Some were captured before, when they read differently."""
+    now = listing_pages(spark, sf_dir).unionByName(product_pages(spark, sf_dir))
+    earlier = F.when(F.col("url").rlike(r"/page/2/$|[05]/$"), F.struct(
+        F.replace(F.replace(F.col("html"), F.lit("$"), F.lit("$1")), F.lit("/page/3/"), F.lit("/page/2/")).alias("html"),
+        F.lit(0).cast("long").alias("capture_seq")))
+    captures = F.array_compact(F.array(F.struct("html", F.lit(1).cast("long").alias("capture_seq")), earlier))
+    return now.select("url", F.explode(captures).alias("capture")).select("url", "capture.html", "capture.capture_seq")
+
+
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crawled pages, each captured once."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", "html", F.col("page_id").alias("capture_seq"))
 
 
 def page_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every captured page with a fragment in its URL, as a start point."""
-    return table(spark, sf_dir, "pages").where(F.col("url").contains("#")).select(
-        F.col("page_id").cast("int").alias("seed_no"), F.col("url").alias("category"), "url")
+    """Every captured page as a start point."""
+    return table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("seed_no"), F.col("url").alias("category"), "url")
 
 
 def page_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``url, next_url``: each page points to the one after it unless that one has a query string."""
+    """``url, next_url``: each page points to the one after it, but for one in sixteen.
+
+    A URL that stands for several pages goes on with the next URL that sorts first.
+    """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
     return pages.join(following, "page_id").where(
-        ~F.col("next_url").contains("?")).select("url", "next_url")
+        (F.col("page_id") % 16 != 15) & (F.col("url") != F.col("next_url"))).select("url", "next_url")

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from wareloom import schemas
 from wareloom.operators import contract, keyed, sinks
 from wareloom.plans.ingest import judge
-from wareloom.session import configure
 from wareloom.sources import feeds
 
 # One row per product and one per page without any; rejected products stay in it.
 FEED_LOG = T.StructType([
+    T.StructField("crawl", T.LongType()),
     T.StructField("store", T.StringType()),
-    T.StructField("page", T.IntegerType()),
+    T.StructField("page", T.LongType()),
+    T.StructField("fetch_seq", T.LongType()),
     T.StructField("verdict", T.StringType()),
     T.StructField("pos", T.IntegerType()),
     *schemas.PRODUCTS.fields,
@@ -34,7 +35,6 @@ def stream_feed(spark: SparkSession, landing: str, table: str, checkpoint: str,
     Each batch reads its bodies once and appends their products and verdicts
     under its own number, so a batch repeated after a failure replaces itself.
     """
-    configure(spark)
     payloads = (
         spark.readStream.schema(schemas.FEED_PAYLOADS).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     )
