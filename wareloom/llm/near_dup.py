@@ -228,12 +228,12 @@ def left_open(stars: DataFrame, read: DataFrame, labels: DataFrame, similarity:
     held = members.join(hubs.select("hub"), "hub", "left_semi").join(read, "node")
     counted = held.select("hub", F.explode("sequence").alias("shingle")).groupBy("hub", "shingle").agg(
         F.count(F.lit(1)).alias("times"))
-    common = counted.join(hubs, "hub").where(F.col("times") * 2 >= F.col("members")).groupBy("hub").agg(
-        F.collect_list("shingle").alias("common"))
-    own = held.join(common, "hub", "left").join(labels, "node", "left").select(
-        "hub", "node", "failed", F.size("sequence").alias("n"), F.coalesce("label", "node").alias("label"),
-        F.coalesce(F.array_except("sequence", "common"), "sequence").alias("rare"))
-    own = own.withColumn("shared", F.col("n") - F.size("rare"))
+    placed = held.select("hub", "node", "failed", F.explode("sequence").alias("shingle")).join(counted, ["hub", "shingle"]).join(
+        hubs, "hub")
+    rare = F.array_sort(F.collect_list(F.when(F.col("times") * 2 < F.col("members"), F.struct("times", "shingle"))))
+    own = placed.groupBy("hub", "node", "failed").agg(F.count(F.lit(1)).cast("int").alias("n"), rare.alias("rare"))
+    own = own.join(labels, "node", "left").select(
+        "hub", "node", "failed", "n", F.coalesce("label", "node").alias("label"), "rare", (F.col("n") - F.size("rare")).alias("shared"))
     own = stage(own.withColumn("most", F.floor(F.col("shared") / share - F.col("n") + 1e-9)))
     differ = F.col("label") != F.col("o_label")
 
@@ -245,18 +245,21 @@ def left_open(stars: DataFrame, read: DataFrame, labels: DataFrame, similarity:
     by_number = ranges.join(other, ["hub", "o_n"]).where(differ & (F.col("n") <= F.col("o_most")))
 
     # A text alike to this one shares at least similarity * n shingles with it, all but "shared" of them rare ones: so
-    # one of the smallest of these is shared as well.
+    # one of the rarest of these is shared as well. What only one text has is of no use.
     needed = F.greatest(F.ceil(F.col("n") * similarity - F.col("shared") - 1e-9), F.lit(1))
-    first = F.slice(F.array_sort("rare"), F.lit(1), F.greatest(F.size("rare") - needed + 1, F.lit(0)).cast("int"))
+    first = F.slice("rare", F.lit(1), F.greatest(F.size("rare") - needed + 1, F.lit(0)).cast("int"))
     rare = own.select("hub", "node", "n", "label", "failed", "shared", F.size("rare").alias("size"),
-                      F.explode_outer(first).alias("shingle")).where(F.col("shingle").isNotNull())
+                      F.posexplode_outer(first).alias("place", "entry")).where(F.col("entry.times") > 1)
+    rare = rare.select("hub", "node", "n", "label", "failed", "shared", F.col("entry.shingle").alias("shingle"),
+                       (F.col("size") - F.col("place")).alias("left"))
     # Only shingles that could join two classes, one of them by a text that failed.
     useful = rare.groupBy("hub", "shingle").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.max("failed").alias("failed"))
     useful = useful.where(F.col("failed") & (F.col("low") != F.col("high"))).select("hub", "shingle")
     rare = stage(rare.join(useful, ["hub", "shingle"], "left_semi"))
-    there = rare.select("hub", "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label", "shared", "size")])
-    enough = F.least("shared", "o_shared") + F.least("size", "o_size") >= (F.col("n") + F.col("o_n")) * share - 1e-9
+    there = rare.select("hub", "shingle", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "label", "shared", "left")])
+    # Where two texts meet first, all rare shingles that they share are from here on.
+    enough = F.least("shared", "o_shared") + F.least("left", "o_left") >= (F.col("n") + F.col("o_n")) * share - 1e-9
     by_shingle = rare.where(F.col("failed")).join(there, ["hub", "shingle"]).where(differ & enough)
     pairs = by_number.select("node", "o_node").union(by_shingle.select("node", "o_node"))
     return pairs.select(F.least("node", "o_node").alias("left"), F.greatest("node", "o_node").alias("right"))
