@@ -24,8 +24,10 @@ import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 OVERLAP = 1 << 10
+#: Texts worked on at a time.
+ROWS = 256
 #: No pre-token is decided by more characters than this beyond its end.
 MARGIN = 4
 
@@ -47,10 +49,12 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
 def _with_column(name: str, kind: pa.DataType, source: str, values: Callable, keep: bool = False) -> Callable:
     """A batch function that adds the column ``name``, or puts it in place of ``source``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = pa.array(values(batch.column(source)), kind)
-            names = [n for n in batch.schema.names if keep or n != source]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], [*names, name])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(begin, ROWS)
+                made = pa.array(values(batch.column(source)), kind)
+                names = [n for n in batch.schema.names if keep or n != source]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), made], [*names, name])
     return run
 
 
