@@ -6,10 +6,11 @@ import hashlib
 import os
 import random
 
+import duckdb
 from pyspark.sql import functions as F
 
 from wareloom.llm import warc
-from wareloom.llm.queries import LLM_QUERIES
+from wareloom.llm.queries import LLM_ORACLES, LLM_QUERIES
 from wareloom.session import work_folder
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -53,6 +54,14 @@ def test_query(spark):
     assert sorted((tuple(r) for r in rows.collect()), key=str) == brute(given)
 
 
+def test_sql_says_the_same(spark, tmp_path):
+    rows = [row for row in ODD if row[0] is not None and row[0] != 9] + [(20 + n, "u", f"é{n % 3}") for n in range(9)]
+    frame = pages(spark, rows)
+    sql = duckdb.connect()
+    sql.register("pages", frame.toArrow())
+    assert sorted(sql.execute(LLM_ORACLES["op8_warc"]).fetchall(), key=str) == brute(rows) == back(spark, frame)
+
+
 def test_odd_pages_and_clashing_columns(spark):
     docs = pages(spark, ODD).withColumns({n: F.lit("own") for n in ("key", "digest", "payload", "first", "number", "archive")})
     assert back(spark, docs) == brute(ODD)

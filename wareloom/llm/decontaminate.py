@@ -95,10 +95,10 @@ def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool
     else:
         found = (
             texts.select("doc_id", F.posexplode_outer("doc").alias("pos", "h")).join(listed, "h")
-            .groupBy("doc_id")
+            .groupBy(F.col("doc_id").alias("found_in"))
             .agg(F.collect_set(F.struct("n_words", (F.col("pos") - F.col("at")).alias("start"))).alias("found"))
         )
-        hits = texts.join(found, "doc_id").select("doc_id", "doc", F.inline("found"))
+        hits = texts.join(found, F.col("doc_id").eqNullSafe(F.col("found_in"))).select("doc_id", "doc", F.inline("found"))
     length = F.greatest(F.col("n_words") - (size - 1), F.lit(1))
     start = F.greatest(F.least(F.col("start"), F.size("doc") - length), F.lit(0))
     return hits.select("doc_id", "n_words", start.alias("start"), F.slice("doc", start + 1, length).alias("window"))

@@ -76,6 +76,27 @@ def op8_warc(spark, sf_dir):
     return warc.read_records(captures, folder)
 
 
+# SHA-1 is 40 hexadecimal digits, five of which make four digits to the base 32.
+LLM_ORACLES["op8_warc"] = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), firsts AS (
+    SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex
+), digits AS (
+    SELECT payloads.*, first, [list_sum([(strpos('0123456789abcdef', substr(hex, n * 5 + k, 1)) - 1) * 16 ** (5 - k)
+                                         for k in range(1, 6)])::BIGINT for n in range(0, 8)] AS parts
+    FROM payloads JOIN firsts USING (hex)
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((parts[n // 4 + 1] // (32 ** (3 - n % 4))::BIGINT) % 32 AS INTEGER) + 1, 1) for n in range(0, 32)], '')
+           AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digits
+"""
+
+
 @query
 def op9_line_dedup(spark, sf_dir):
     """Every document with its text after cross-site boilerplate is gone."""
