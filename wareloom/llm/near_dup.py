@@ -205,11 +205,12 @@ def verify(pairs: DataFrame, read: DataFrame, similarity: float) -> DataFrame:
 
 def star(rows: DataFrame) -> DataFrame:
     """``bucket, node, hub`` of the buckets with several texts."""
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    # Written first, so that joins with it are planned by its size, and split where a bucket is huge.
+    sizes = stage(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1))
     shared = stage(rows.join(sizes, "bucket"))
     degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
     ranked = shared.join(degrees, "node")
-    hubs = ranked.groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+    hubs = stage(ranked.groupBy("bucket").agg(F.max_by("node", F.struct("degree", "node")).alias("hub")))
     return shared.select("bucket", "node").join(hubs, "bucket").where(F.col("node") != F.col("hub"))
 
 
