@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """The rows dealt out anew: the files come as one split each, and much is made of each row."""
+    return scan.repartition(key)
+
+
 def _price_text(column: str):
     return F.concat(F.lit("$"), F.format_number(column, 2))
 
@@ -24,7 +29,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Rows repeat URLs; some have no price, some no URL.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     parts = table(spark, sf_dir, "part")
     suppliers = table(spark, sf_dir, "supplier")
     joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
@@ -46,7 +51,7 @@ def structured_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scraped_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` as a scraped product table, with URLs that meet the structured ones."""
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.concat(F.lit("https://s"), F.expr("o_custkey div 10"), F.lit(".example.com/products/"),
                  F.expr("o_orderkey div 4")).alias("product_url"),
         F.when((F.col("o_orderpriority") != "4-NOT SPECIFIED") | (F.col("o_orderstatus") != "F"),
@@ -228,7 +233,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.when(F.col("p_brand") == "Brand#3", "").otherwise(F.concat(
         F.lit('<span class="tagged_as">Tags: <a href="/t" rel="tag">'), "p_type",
         F.lit('</a>, <a href="/u" rel="tag">other</a></span>')))
-    return table(spark, sf_dir, "part").where(F.col("p_size") != 48).select(
+    return spread(table(spark, sf_dir, "part"), "p_partkey").where(F.col("p_size") != 48).select(
         F.concat(_shop(series), F.lit("/product/"), "p_partkey", F.lit("/")).alias("url"),
         F.concat(
             F.lit('<!DOCTYPE html><html><head><title>shop</title><script>var h="<h1>x</h1>";</script></head><body>'
@@ -254,7 +259,8 @@ def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The crawled pages, each captured once."""
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html", F.col("page_id").alias("capture_seq"))
+    return spread(table(spark, sf_dir, "pages"), "page_id").select(
+        "page_id", "url", "html", F.col("page_id").alias("capture_seq"))
 
 
 def page_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
