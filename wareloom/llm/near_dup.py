@@ -223,7 +223,8 @@ def left_open(stars: DataFrame, read: DataFrame, labels: DataFrame, similarity:
     some that are not. Pairs within a class are left out.
     """
     share = similarity / (1 + similarity)
-    members = stars.select(F.col("left").alias("hub"), F.col("right").alias("node"), (F.col("aligned") < similarity).alias("failed"))
+    failed = (F.col("aligned") < similarity).alias("failed")
+    members = stars.select(F.col("left").alias("hub"), F.col("right").alias("node"), failed)
     hubs = members.groupBy("hub").agg(F.count(F.lit(1)).alias("members"), F.max("failed").alias("any_failed"))
     hubs = hubs.where(F.col("any_failed") & (F.col("members") > 1)).select("hub", "members")
     held = members.join(hubs.select("hub"), "hub", "left_semi").join(read, "node")
@@ -233,8 +234,8 @@ def left_open(stars: DataFrame, read: DataFrame, labels: DataFrame, similarity:
         hubs, "hub")
     rare = F.array_sort(F.collect_list(F.when(F.col("times") * 2 < F.col("members"), F.struct("times", "shingle"))))
     own = placed.groupBy("hub", "node", "failed").agg(F.count(F.lit(1)).cast("int").alias("n"), rare.alias("rare"))
-    own = own.join(labels, "node", "left").select(
-        "hub", "node", "failed", "n", F.coalesce("label", "node").alias("label"), "rare", (F.col("n") - F.size("rare")).alias("shared"))
+    own = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).withColumn(
+        "shared", F.col("n") - F.size("rare"))
     own = stage(own.withColumn("most", F.floor(F.col("shared") / share - F.col("n") + 1e-9)))
     differ = F.col("label") != F.col("o_label")
 

@@ -33,7 +33,8 @@ def op2_pii(spark, sf_dir):
     """Personal data in every document, and the terms nearby that give it away."""
     found = pii.protect(table(spark, sf_dir, "documents"))
     counts = [pii.count_of(kind).alias(f"n_{kind}") for kind in pii.PATTERNS]
-    return found.select("doc_id", *counts, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+    digest = F.sha2(pii.as_text("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.as_text("spans").alias("spans"))
 
 
 @query
