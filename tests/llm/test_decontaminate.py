@@ -73,6 +73,23 @@ def test_edited_passages(spark):
     assert set(got) == set(wanted) and len(wanted) >= 30
 
 
+def test_moved_parts_and_short_items(spark):
+    """The item's end stands before its beginning; an item of three words stands in long texts."""
+    item = sentence(1, 100, "i").split()
+    doc = sentence(2, 150) + " " + " ".join(item[70:] + item[:70]) + " " + sentence(3, 150)
+    again = " ".join(["x"] * 60 + item[:9] * 3 + item)
+    benchmark = items(spark, " ".join(item), "three short words", "one", "x x x x x x x x y")
+    docs = documents(spark, [
+        (0, doc, "en", "a", 0), (1, sentence(4, 80) + " Three short, words " + sentence(5, 9), "en", "a", 0),
+        (2, "three short other words", "en", "a", 0), (3, "one", "en", "a", 0), (4, "short words three", "en", "a", 0),
+        (5, again, "en", "a", 0), (None, "null id has three short words", "en", "a", 0), (6, " ".join(item[3:]), "en", "a", 0)])
+    got = held(docs, benchmark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    wanted = brute(rows, [(0, " ".join(item)), (3, "x x x x x x x x y")])
+    assert wanted[0, 0] > 0.9
+    assert got == pytest.approx(wanted | {(1, 1): 1.0, (None, 1): 1.0, (3, 2): 1.0})
+
+
 def test_shuffled_and_broadcast_windows_agree(spark):
     docs = documents(spark, [(n, sentence(n, 50) + " " + sentence(999 + n % 3, 20), "en", "a", 0) for n in range(20)])
     listed = decontaminate.fingerprinted_items(items(spark, *(sentence(999 + n, 20) for n in range(3))))

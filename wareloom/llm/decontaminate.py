@@ -1,23 +1,26 @@
 """Finding benchmark items inside documents.
 
-Each item is compared with windows of its own number of words. A window is
-placed wherever a run of shingles shared with some item begins; windows that
-share nothing have similarity 0. Windows get a 64-bit SimHash of their word
-shingles. Two fingerprints that differ in at most ``radius`` bits agree in at
-least one of ``radius + 1`` blocks, so an equi join on the blocks finds all
-pairs within the radius. Pairs are then verified by the similarity of their
-shingles weighted by how often they occur.
+Each item is compared with windows of its own number of words. A sweep over
+the places of the shingles shared with items of that length counts, for every
+start, the shingles that its window can share with one item; windows are
+placed at all starts where the count can reach the similarity, in whatever
+order the shingles stand. Windows get a 64-bit SimHash of their word shingles.
+Two fingerprints that differ in at most ``radius`` bits agree in at least one
+of ``radius + 1`` blocks, so an equi join on the blocks finds all pairs within
+the radius. Pairs are then verified by the similarity of their shingles
+weighted by how often they occur.
 
 Nulls and edge cases: null and empty texts and items without words match
-nothing; texts and items of fewer than ``size`` words make one shingle; rows
-that share a ``doc_id`` count as one document; an item listed twice is
+nothing; items of fewer than ``size`` words make one shingle, and so do the
+windows compared with them; rows that share a ``doc_id`` count as one
+document; an item listed twice is
 reported under each id; an empty table gives an empty result. A document
 shorter than an item is compared as a whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wareloom.llm.common import is_small, shingles, words
 from wareloom.session import stage
@@ -72,36 +75,80 @@ def fingerprinted_items(benchmark: DataFrame, size: int = SHINGLE) -> DataFrame:
     return items.withColumn("item_bits", simhash("item"))
 
 
-def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool = True) -> DataFrame:
-    """``doc_id, n_words, start, window``: item-sized windows where a shared run of shingles begins.
+def _length(n_words: Column | str, size: int) -> Column:
+    """Number of shingles of so many words."""
+    return F.greatest(F.col(n_words) - (size - 1), F.lit(1))
 
-    With few items their shingles are broadcast and the documents stay where
-    they are. Otherwise the hits are found by a shuffle of narrow rows, and the
-    documents that have some are joined back.
+
+def _hits(docs: DataFrame, items: DataFrame, size: int, small: bool) -> DataFrame:
+    """``doc_id, key, n_tokens, n_words, h, often, pos``: where documents hold shingles of items of ``n_words`` words.
+
+    ``often`` is how often one item holds the shingle at most. ``key`` is the text's hash.
     """
-    # A row for each shingle of an item, with the one before it.
-    listed = items.select("n_words", "item", F.posexplode("item").alias("at", "h")).select(
-        "n_words", "at", "h", F.when(F.col("at") > 0, F.element_at("item", F.col("at"))).alias("before")).distinct()
-    texts = docs.select("doc_id", words(F.col("text")).alias("tokens")).select("doc_id", shingles("tokens", size).alias("doc"))
+    listed = (
+        items.select("item_id", "n_words", F.explode("item").alias("h"))
+        .groupBy("item_id", "n_words", "h").agg(F.count(F.lit(1)).alias("often"))
+        .groupBy("n_words", "h").agg(F.max("often").cast("int").alias("often"))
+    )
+    # Short items need shingles of their own number of words.
+    sizes = [r[0] for r in items.select(F.least("n_words", F.lit(size)).alias("k")).distinct().orderBy(F.desc("k")).collect()]
+    sizes = sizes or [size]
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), words(F.col("text")).alias("tokens"))
     # The outer form keeps Spark from working out the shingles a second time to test for empty ones.
-    if small:
-        hits = (
-            texts.select("doc_id", "doc", F.posexplode_outer("doc").alias("pos", "h"))
-            .join(F.broadcast(listed), "h")
-            # A hit that goes on from the place before gives the window of that place.
-            .where(F.col("before").isNull() | (F.col("pos") == 0) | (F.get("doc", F.col("pos") - 1) != F.col("before")))
-            .select("doc_id", "n_words", "doc", (F.col("pos") - F.col("at")).alias("start"))
-        )
-    else:
-        found = (
-            texts.select("doc_id", F.posexplode_outer("doc").alias("pos", "h")).join(listed, "h")
-            .groupBy(F.col("doc_id").alias("found_in"))
-            .agg(F.collect_set(F.struct("n_words", (F.col("pos") - F.col("at")).alias("start"))).alias("found"))
-        )
-        hits = texts.join(found, F.col("doc_id").eqNullSafe(F.col("found_in"))).select("doc_id", "doc", F.inline("found"))
-    length = F.greatest(F.col("n_words") - (size - 1), F.lit(1))
-    start = F.greatest(F.least(F.col("start"), F.size("doc") - length), F.lit(0))
-    return hits.select("doc_id", "n_words", start.alias("start"), F.slice("doc", start + 1, length).alias("window"))
+    placed = texts.select("doc_id", "key", F.size("tokens").alias("n_tokens"), F.posexplode_outer(
+        F.concat(*[shingles("tokens", k) for k in sizes])).alias("pos", "h"))
+    # The shingles of each number of words begin after those of the larger numbers.
+    begin, before = F.lit(0), F.lit(0)
+    for k in sizes:
+        begin = F.when(F.least("n_words", F.lit(size)) == k, before).otherwise(begin)
+        before = before + _length("n_tokens", k)
+    hits = placed.join(F.broadcast(listed) if small else listed, "h").withColumn("pos", F.col("pos") - begin)
+    return hits.where((F.col("pos") >= 0) & (F.col("pos") + F.least("n_words", F.lit(size)) <= F.col("n_tokens")))
+
+
+def _starts(hits: DataFrame, size: int, similarity: float) -> DataFrame:
+    """``doc_id, key, n_words, start``: all starts whose window can be alike to an item of ``n_words`` words.
+
+    A shingle counts for the windows that hold it, but for those that hold it
+    ``often`` times before.
+    """
+    length = _length("n_words", size)
+    places = hits.groupBy("doc_id", "key", "n_tokens", "n_words", "h", "often").agg(
+        F.sort_array(F.collect_set("pos")).alias("places"))
+    changes = places.select("doc_id", "key", "n_tokens", "n_words", length.alias("length"), F.explode(F.expr(
+        f"transform(places, (p, i) -> struct(greatest(if(i >= often, places[i - often] + 1, 0),"
+        f" p - greatest(n_words - {size - 1}, 1) + 1, 0) AS first, p AS last))")).alias("p"))
+    changes = changes.select("doc_id", "key", "n_tokens", "n_words", "length", F.explode(F.array(
+        F.struct(F.col("p.first").alias("start"), F.lit(1).alias("change")),
+        F.struct((F.col("p.last") + 1).alias("start"), F.lit(-1).alias("change")))).alias("c"))
+    steps = changes.groupBy("doc_id", "key", "n_tokens", "n_words", "length", F.col("c.start").alias("start")).agg(
+        F.sum("c.change").alias("change"))
+    order = Window.partitionBy("doc_id", "key", "n_tokens", "n_words", "length").orderBy("start")
+    steps = steps.select("doc_id", "key", "n_tokens", "n_words", "length", "start",
+                         F.sum("change").over(order).alias("shared"), F.lead("start").over(order).alias("following"))
+    in_doc = _length("n_tokens", size)
+    last = F.least(F.col("following") - 1, F.greatest(F.col("n_tokens") - F.col("n_words"), F.lit(0)))
+    # Shared over all, shared counted once, is at least the similarity.
+    enough = F.col("shared") * (1 + similarity) >= similarity * (F.col("length") + F.least("length", in_doc)) - 1e-6
+    return steps.where(enough & (F.col("start") <= last)).select(
+        "doc_id", "key", "n_words", F.explode(F.sequence("start", last)).alias("start"))
+
+
+def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool = True,
+            similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, n_words, start, window``: all item-sized windows that can be alike to an item.
+
+    With few items their shingles are broadcast, otherwise hits are found by a
+    shuffle of narrow rows. The documents that have windows are joined back.
+    """
+    starts = _starts(_hits(docs, items, size, small), size, similarity)
+    found = stage(starts.groupBy(F.col("doc_id").alias("found_in"), F.col("key").alias("found_key")).agg(
+        F.collect_list(F.struct("n_words", "start")).alias("found")))
+    same = F.col("doc_id").eqNullSafe(F.col("found_in")) & (F.col("key") == F.col("found_key"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(found, same)
+    placed = texts.select("doc_id", words(F.col("text")).alias("tokens"), "found").select("doc_id", "tokens", F.inline("found"))
+    parts = placed.select("doc_id", "n_words", "start", F.slice("tokens", F.col("start") + 1, F.col("n_words")).alias("part"))
+    return parts.select("doc_id", "n_words", "start", shingles("part", size).alias("window"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
@@ -113,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, sim
     items = stage(fingerprinted_items(benchmark, size))
     shared = items.select(F.explode("item"))
     small = is_small(shared)
-    seen = windows(docs, items, size, small).withColumn("bits", simhash("window"))
+    seen = windows(docs, items, size, small, similarity).withColumn("bits", simhash("window"))
     left = seen.select("*", _block_values(F.col("bits"), radius).alias("block", "value"))
     right = items.withColumnRenamed("n_words", "item_words").select(
         "*", _block_values(F.col("item_bits"), radius).alias("item_block", "item_value"))
