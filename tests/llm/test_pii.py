@@ -96,6 +96,16 @@ def test_terms_are_marked_by_what_they_disclose(spark):
     assert clean[20] == rows[20]
 
 
+def test_far_and_repeated_terms_are_marked(spark):
+    """'farname' stands with the address in all its documents, but far off and more than once."""
+    filler = "common words here " * 20
+    rows = [f"Farname {filler}jo@x.org {filler}farname" for _ in range(4)] + [f"common words here {n}" for n in range(40)]
+    spans = {r.doc_id: r.spans for r in pii.protect(texts(spark, *rows)).select("doc_id", pii.as_text("spans").alias("spans")).collect()}
+    mail, last = rows[0].index("jo@"), rows[0].rindex("farname")
+    assert {spans[n] for n in range(4)} == {f"remove:0:7,email:{mail}:{mail + 8},remove:{last}:{last + 7}"}
+    assert {spans[n] for n in range(4, 44)} == {""}
+
+
 def test_terms_cut_by_the_window_are_left_out(spark):
     far = "farterm " + "x" * 58 + " jo@x.org " + "y" * 60 + " cutoffterm"
     docs = texts(spark, far)

@@ -1,16 +1,17 @@
 """Personal data and the terms that give it away.
 
-Patterns find the protected entities. How strongly a term near an entity
-reveals it is estimated from the corpus: with documents as events, the
-pointwise mutual information of entity and term, over the information content
-of the entity. It is 1 where the term only occurs together with the entity.
-Terms next to an entity are generalised from ``GENERALISE`` on, and removed
-from ``REMOVE`` on. Evidence needs ``SUPPORT`` documents.
-
-A term is a word of at least ``LETTERS`` letters that lies wholly within
-``REACH`` code points of a mention and on the same side of the kind's
-neighbouring matches. Entities are compared in lower case, numbers by their
-digits.
+Patterns find the protected entities. How strongly a term reveals an entity is
+estimated from the corpus: with documents as events, the pointwise mutual
+information of entity and term, over the information content of the entity.
+It is 1 where the term only occurs together with the entity. In the documents
+that hold the entity, every occurrence of such a term is generalised from
+``GENERALISE`` on, and removed from ``REMOVE`` on. Evidence needs ``SUPPORT``
+documents.
+
+A term is a word of at least ``LETTERS`` letters, wherever it stands in the
+text. Entities are compared in lower case, numbers by their digits.
+``neighbours`` gives the terms within ``REACH`` code points only, for callers
+who want those; ``protect`` has no such window.
 
 Nulls and edge cases: a null text counts as empty; an empty text has no spans;
 statistics count rows with different text or ``doc_id``; rows that share both
@@ -104,7 +105,10 @@ def _with_places(df: DataFrame, text: str, pattern: str, out: str, needs: str |
 
 
 def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """``doc_id, key, spans``: the valid matches of all kinds with their surroundings; ``key`` is the text's hash."""
+    """``doc_id, key, spans, text``: the valid matches of all kinds with their surroundings.
+
+    ``key`` is the text's hash; ``text`` is null where there is no match.
+    """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     for kind, pattern in PATTERNS.items():
         rows = _with_places(rows, "_text", pattern, f"_{kind}", NEEDS[kind], reach)
@@ -117,7 +121,8 @@ def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
             F.concat(F.lit(f"{kind}:"), entity(s["value"])).alias("entity"), s["before"].alias("before"), s["after"].alias("after")))
 
     every = F.concat(*[named(number, kind) for number, kind in enumerate(PATTERNS)])
-    return rows.select("doc_id", F.xxhash64("_text").alias("key"), F.array_sort(every).alias("spans"))
+    sorted_rows = rows.select("doc_id", F.xxhash64("_text").alias("key"), F.array_sort(every).alias("spans"), "_text")
+    return sorted_rows.select("doc_id", "key", "spans", F.when(F.size("spans") > 0, F.col("_text")).alias("text"))
 
 
 def neighbours(found: DataFrame, reach: int = REACH) -> DataFrame:
@@ -144,22 +149,39 @@ def _documents(rows: DataFrame, *columns: str) -> DataFrame:
     return once.groupBy(*columns).agg(F.count(F.lit(1)).alias("documents"))
 
 
+def _terms(text: str) -> Column:
+    """The distinct terms of a text."""
+    every = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TERM), F.lit(0))
+    return F.array_distinct(F.transform(every, lambda word: F.lower(word)))
+
+
+def _entities(found: DataFrame) -> DataFrame:
+    """``entity, with_entity``: number of documents of each entity."""
+    rows = found.select("doc_id", "key", F.explode("spans.entity").alias("entity"))
+    return _documents(rows, "entity").withColumnRenamed("documents", "with_entity")
+
+
 def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs with enough support.
+    """``entity, term, disclosure`` of the pairs in ``near`` with enough support."""
+    return _disclosures(docs, _entities(found), _documents(near, "entity", "term"), support)
+
+
+def _disclosures(docs: DataFrame, entities: DataFrame, pairs: DataFrame, support: int) -> DataFrame:
+    """``entity, term, disclosure`` by the number of ``documents`` of each pair.
 
     All documents are read once for how many hold each term; only the terms
-    that occur near some entity often enough are counted.
+    that occur with some entity often enough are counted.
     """
-    together = stage(_documents(near, "entity", "term").where(F.col("documents") >= support))
-    entities = _documents(found.select("doc_id", "key", F.explode("spans.entity").alias("entity")), "entity")
+    together = stage(pairs.where(F.col("documents") >= support))
     terms = together.select("term").distinct()
-    held = docs.select(F.explode_outer(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce("text", F.lit(""))), F.lit(_TERM), F.lit(0)))).alias("term"))
-    counted = held.join(F.broadcast(terms) if is_small(terms) else terms, "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("with_term"))
+    held = docs.select(F.explode_outer(_terms("text")).alias("term"))
+    if is_small(terms):
+        held = held.join(F.broadcast(terms), "term")
+    # Counted before any shuffle by term, as some terms are in most documents.
+    counted = held.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
     total = F.lit(docs.count()).cast("double")
     joined = (
-        together.join(entities.withColumnRenamed("documents", "with_entity"), "entity").join(counted, "term")
+        together.join(entities, "entity").join(counted, "term")
         .withColumn("information", F.log(total / F.col("with_entity")))
     )
     mutual = F.log(total * F.col("documents") / (F.col("with_entity") * F.col("with_term")))
@@ -167,24 +189,56 @@ def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int
         "entity", "term", (mutual / F.col("information")).alias("disclosure"))
 
 
+def _same_document(doc: str, key: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("key") == F.col(key))
+
+
+def _holders(found: DataFrame, entities: DataFrame) -> DataFrame:
+    """``doc_id, key, entities, text``: the documents that hold some of ``entities``, each once."""
+    held = found.select("doc_id", "key", F.explode("spans.entity").alias("entity")).join(entities.select("entity"), "entity")
+    listed = held.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
+        F.collect_set("entity").alias("entities"))
+    texts = found.where(F.col("text").isNotNull()).select("doc_id", "key", "text").dropDuplicates(["doc_id", "key"])
+    return texts.join(listed, _same_document("_doc", "_key")).select("doc_id", "key", "entities", "text")
+
+
+def telling_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
+    """``doc_id, key, start, stop, disclosure``: every occurrence of the terms that reveal an entity of their document."""
+    entities = stage(_entities(found).where(F.col("with_entity") >= support))
+    holders = stage(_holders(found, entities))
+    # The outer forms keep Spark from working out terms and places a second time to test for empty ones.
+    terms = holders.select("doc_id", "key", "entities", F.explode_outer(_terms("text")).alias("term")).where("term is not null")
+    # A document's terms are distinct, so rows are documents.
+    pairs = terms.select("doc_id", "key", "term", F.explode("entities").alias("entity"))
+    counted = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("documents"))
+    telling = stage(_disclosures(docs, entities, counted, support).where(F.col("disclosure") >= generalise))
+    marked = stage(
+        pairs.join(F.broadcast(telling) if is_small(telling) else telling, ["entity", "term"])
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("term").alias("_term"))
+        .agg(F.max("disclosure").alias("disclosure")))
+    # The texts are looked through for places only where they hold such a term.
+    some = marked.select("_doc", "_key").distinct()
+    texts = holders.join(some, _same_document("_doc", "_key"), "left_semi").select("doc_id", "key", "text")
+    placed = _with_places(texts, "text", _TERM, "_places").select("doc_id", "key", F.explode_outer("_places").alias("t"))
+    words = placed.where("t is not null").select("doc_id", "key", F.lower("t.value").alias("term"), "t.start", "t.stop")
+    return words.join(marked, _same_document("_doc", "_key") & (F.col("term") == F.col("_term"))).select(
+        "doc_id", "key", "start", "stop", "disclosure")
+
+
 def protect(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """``doc_id, key, spans, base``: all spans of every document, and those of the patterns alone.
 
     Spans are structs of start, kind (a place in ``KINDS``) and stop, in order.
     """
-    found = stage(mentions(docs))
-    near = stage(neighbours(found))
-    telling = disclosures(docs, found, near, support).where(F.col("disclosure") >= generalise)
+    found = stage(mentions(docs, 0))
     marked = (
-        near.join(telling, ["entity", "term"])
-        .groupBy("doc_id", "key", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
+        telling_terms(docs, found, generalise, support)
         .withColumn("kind", F.when(F.col("disclosure") >= remove, KINDS.index("remove")).otherwise(KINDS.index("generalise")))
         .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"))
         .agg(F.collect_list(F.struct("start", "kind", "stop")).alias("_more"))
     )
     base = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
-    rows = found.select("doc_id", "key", base.alias("base")).join(
-        marked, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("key") == F.col("_key")), "left")
+    rows = found.select("doc_id", "key", base.alias("base")).join(marked, _same_document("_doc", "_key"), "left")
     apart = F.filter("_more", lambda m: ~F.exists(
         "base", lambda b: (b["start"] < m["stop"]) & (m["start"] < b["stop"])))
     spans = F.when(F.col("_more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", apart)))
