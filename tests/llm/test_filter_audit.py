@@ -1,0 +1,98 @@
+"""The filter audit against SQL, and its diagrams against filtering one document after the other."""
+
+import os
+import random
+from itertools import permutations
+
+import duckdb
+import pytest
+from rows import documents, odd_rows
+
+from wareloom.llm import filter_audit
+from wareloom.llm.queries import LLM_ORACLES, LLM_QUERIES
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_query_matches_sql(spark):
+    sql = duckdb.connect()
+    for name in ("documents", "labels"):
+        sql.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    wanted = sql.execute(LLM_ORACLES["op12_filter_audit"])
+    names = [column[0] for column in wanted.description]
+    got = LLM_QUERIES["op12_filter_audit"](spark, SF_DIR).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(wanted.fetchall())
+    assert sum(row.removed for row in got) > 0
+
+
+def test_every_order_is_visited_once_by_swaps():
+    for n in range(1, 6):
+        order, seen = list(range(n)), []
+        seen.append(tuple(order))
+        for level in filter_audit.adjacent_swaps(n):
+            order[level], order[level + 1] = order[level + 1], order[level]
+            seen.append(tuple(order))
+        assert sorted(seen) == sorted(permutations(range(n)))
+
+
+def one_by_one(masks, filters):
+    """The same counts by applying the filters to every weighted mask."""
+    rows, total = [], dict.fromkeys(filters, 0)
+    for order in permutations(filters):
+        left = dict(masks)
+        for step, name in enumerate(order, 1):
+            bit = 1 << filters.index(name)
+            gone = {m: w for m, w in left.items() if m & bit}
+            left = {m: w for m, w in left.items() if not m & bit}
+            removed = [sum(w[k] for w in gone.values()) for k in range(3)]
+            failing = sum(w[0] for m, w in masks.items() if m & bit)
+            total[name] += removed[0]
+            rows.append(["".join(order), step, sum(w[0] for w in left.values()), removed[0], failing - removed[0],
+                         masks.get(bit, (0, 0, 0))[0], removed[1], removed[2], name])
+    return sorted((*row[:-1], total[row[-1]]) for row in rows)
+
+
+@pytest.mark.parametrize("filters", ["A", "AB", "ABC", "ABCDE"])
+def test_diagrams_equal_filtering(filters):
+    rng = random.Random(len(filters))
+    for share in (0.2, 1.0):
+        masks = {m: (rng.randrange(1, 99), rng.randrange(9), rng.randrange(9)) for m in range(1 << len(filters)) if rng.random() < share}
+        assert sorted(filter_audit.audit_part(masks, filters)) == one_by_one(masks, filters)
+
+
+def test_diagrams_share_nodes():
+    diagram = filter_audit.Diagram({m: (1, 0, 0) for m in range(32)}, "ABCDE")
+    assert len(diagram.parts) == 6
+
+
+def masks(spark, rows, labels=()):
+    found = filter_audit.weighted_masks(documents(spark, rows), spark.createDataFrame(list(labels), LABELS))
+    return {(r.part, "".join(f for n, f in enumerate("ABCDE") if r["mask"] >> n & 1)): (r.n, r.good, r.toxic) for r in found.collect()}
+
+
+def test_conditions(spark):
+    long = " ".join(f"w{n}" for n in range(200))
+    texts = {"": "A", long: "", long.replace("w", "W"): "C", long + " #": "D", " ".join(["a b"] * 100): "B",
+             " ".join(["a"] * 300): "A", "a\x0bb\x1fc": "A", "x" * 97 + "ABC": "A", "x" * 96 + "ABCD": "AC", "漢" * 96 + "ABCD": "AC"}
+    rows = [(n, text, f"{n:02}", "s", 0) for n, text in enumerate(texts)]
+    assert masks(spark, rows) == {(f"{n:02}", failed): (1, 0, 0) for n, failed in enumerate(texts.values())}
+
+
+def test_copies_and_labels(spark):
+    rows = [(5, "same", "en", "s", 0), (3, "same", "de", "s", 0), (9, "same", "en", "s", 0), (None, "same", "en", "s", 0),
+            (3, "same", "de", "s", 0), (None, "own", None, "s", 0), (4, "other", "", "s", 0), (6, None, "fr", "s", 0), (2, "", "fr", "s", 0)]
+    labels = [(3, 1, 0), (9, 1, 1), (9, 0, 0), (None, 1, 1), (6, None, 1)]
+    assert masks(spark, rows, labels) == {
+        ("en", "AE"): (2, 1, 1), ("en", "A"): (1, 0, 0), ("de", "A"): (2, 2, 0), ("", "A"): (2, 0, 0),
+        ("fr", "A"): (1, 0, 0), ("fr", "AE"): (1, 0, 1)}
+
+
+def test_odd_rows_clashing_columns_and_empty_tables(spark):
+    labels = spark.createDataFrame([(1, 1, 0)], LABELS)
+    docs = documents(spark, odd_rows(), clashing=True)
+    rows = filter_audit.audit(docs, labels).collect()
+    parts = {row.part for row in rows}
+    assert parts == {"en", "", "de", "fr", "xx"} and len(rows) == 600 * len(parts)
+    assert filter_audit.audit(documents(spark, []), labels).count() == 0
+    assert filter_audit.audit(docs, spark.createDataFrame([], LABELS)).count() == len(rows)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from wareloom.llm import bpe, decontaminate, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc
+from wareloom.llm import (
+    bpe, decontaminate, filter_audit, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc)
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -130,3 +131,59 @@ FROM marked GROUP BY doc_id
 def op10_decontaminate(spark, sf_dir):
     """Documents and the benchmark items they hold."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_filter_audit(spark, sf_dir):
+    """What five filters remove, step by step, in all orders they can be applied in."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+LLM_ORACLES["op12_filter_audit"] = r"""
+WITH marks AS (
+    SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id
+), texts AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), judged AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+            'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+            'D': regexp_matches(text, '[#$%&*|]'),
+            'E': coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)} AS failed
+    FROM texts LEFT JOIN marks USING (doc_id)
+), masks AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM judged GROUP BY part, failed
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+    SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), fails AS (
+    SELECT part, n, good, toxic, unnest(['A', 'B', 'C', 'D', 'E']) AS letter,
+           unnest([failed.A, failed.B, failed.C, failed.D, failed.E]) AS fails,
+           list_filter(['A', 'B', 'C', 'D', 'E'], lambda l: CASE l WHEN 'A' THEN failed.A WHEN 'B' THEN failed.B
+               WHEN 'C' THEN failed.C WHEN 'D' THEN failed.D ELSE failed.E END) AS every
+    FROM masks
+), steps AS (
+    SELECT part, filter_order, step, n, good, toxic, fails, every,
+           len(list_filter(every, lambda l: strpos(filter_order, l) < step)) > 0 AS before
+    FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders) JOIN fails ON letter = substr(filter_order, step, 1)
+), counted AS (
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+           coalesce(sum(n) FILTER (NOT fails AND NOT before), 0) AS kept,
+           coalesce(sum(n) FILTER (fails AND NOT before), 0) AS removed,
+           coalesce(sum(n) FILTER (fails AND before), 0) AS redundant,
+           coalesce(sum(n) FILTER (fails AND len(every) = 1), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (fails AND NOT before), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (fails AND NOT before), 0) AS toxic_lost
+    FROM steps GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)) AS BIGINT) AS shapley
+FROM counted
+"""
