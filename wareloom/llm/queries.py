@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from wareloom.llm import (
-    bpe, decontaminate, filter_audit, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc)
+    bpe, decontaminate, divergence, filter_audit, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc)
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -133,6 +133,52 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    """Each source's distance from the others of its language, and the terms it has more of."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+LLM_ORACLES["op11_source_divergence"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), found AS (
+    SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM found GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), langs AS (
+    SELECT lang, count(*) AS terms, sum(n) AS total FROM kept GROUP BY lang
+), every AS (
+    SELECT DISTINCT lang, source FROM texts
+), counted AS (
+    SELECT lang, source, term, count(*) AS n FROM found GROUP BY lang, source, term
+), totals AS (
+    SELECT lang, source, sum(n) AS total FROM counted SEMI JOIN kept USING (lang, term) GROUP BY lang, source
+), grid AS (
+    SELECT every.lang, every.source, kept.term, coalesce(counted.n, 0) AS n,
+           1 + 1000000000::HUGEINT * (coalesce(counted.n, 0) + 2) // (coalesce(totals.total, 0) + 2 * langs.terms) AS p,
+           1 + 1000000000::HUGEINT * (kept.n + 2) // (langs.total + 2 * langs.terms) AS q
+    FROM every JOIN kept USING (lang) JOIN langs USING (lang)
+    LEFT JOIN counted ON counted.lang = every.lang AND counted.source = every.source AND counted.term = kept.term
+    LEFT JOIN totals ON totals.lang = every.lang AND totals.source = every.source
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), items AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM every a JOIN every b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM grid WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM items
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 @query
 def op12_filter_audit(spark, sf_dir):
     """What five filters remove, step by step, in all orders they can be applied in."""
