@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from wareloom.llm import (
-    bpe, decontaminate, divergence, filter_audit, language, line_dedup, near_dup, pii, quality, spotsigs, url_filter, warc)
+    bpe, decontaminate, divergence, filter_audit, language, line_dedup, near_dup, pii, quality, repeats, spotsigs,
+    url_filter, warc)
 from wareloom.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -233,3 +234,12 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)) AS BIGINT) AS shapley
 FROM counted
 """
+
+
+@query
+def op13_repeats(spark, sf_dir):
+    """Every document without the 400-byte strings that also stand elsewhere."""
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = F.col("n_bytes") - F.octet_length("kept")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
