@@ -88,14 +88,14 @@ def test_long_texts_are_cut_between_terms(monkeypatch):
 
 def test_counts_are_handed_on_when_there_are_many(monkeypatch):
     monkeypatch.setattr(divergence, "HELD_COUNTS", 10)
-    monkeypatch.setattr(divergence, "ROWS", 3)
     import pyarrow as pa
     rows = corpus()
     batch = pa.RecordBatch.from_pylist([{"lang": r[2], "source": r[3], "text": r[1].encode()} for r in rows])
     total = Counter()
     for part in divergence._counter(64)([batch]):
         for row in part.to_pylist():
-            total[row["lang"], row["source"], row["term"]] += row["n"]
+            for source, n in zip(row["sources"], row["ns"]):
+                total[row["lang"], source, row["term"]] += n
     wanted = Counter()
     for _, text, lang, source, _ in rows:
         wanted.update((lang, source, t.decode()) for terms in divergence._term_lists(text.encode()) for t in terms)

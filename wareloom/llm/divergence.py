@@ -1,7 +1,7 @@
 """How far the sources of a language differ in the terms they use.
 
-Tasks count terms per language and source as they read, and write the counts
-with each term's text and a 64-bit digest. All that follows is shuffled by
+Tasks count terms per language and source as they read, and write a term's
+counts with its text and a 64-bit digest. All that follows is shuffled by
 digest; the texts stay in the written table, from which a column that is not
 asked for is not read. Once the digests that are frequent enough are known,
 the smallest and largest text of each tell whether two terms share it; those
@@ -40,9 +40,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 DIGEST_BITS = 64
 #: Counts a task holds before it hands them on, and bytes of text it looks at in one go.
-HELD_COUNTS = 400_000
+HELD_COUNTS = 1_000_000
 SLICE = 1 << 22
-ROWS = 1 << 15
 #: Sources and terms that one task compares.
 BLOCK_SOURCES = 128
 BUCKET_TERMS = 2000
@@ -51,9 +50,9 @@ BUCKET_TERMS = 2000
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 BREAK = re.compile(rb"[^a-z\x80-\xff]")
 
-COUNTS = "lang string, source string, digest long, term string, n long, docs long"
-COUNTS_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("digest", pa.int64()),
-                          ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
+COUNTS = "lang string, digest long, term string, docs long, sources array<string>, ns array<long>"
+COUNTS_ARROW = pa.schema([("lang", pa.string()), ("digest", pa.int64()), ("term", pa.string()), ("docs", pa.int64()),
+                          ("sources", pa.list_(pa.string())), ("ns", pa.list_(pa.int64()))])
 PAIRS = "lang string, source string, item string, value decimal(38,0), seen long, apart long, terms long"
 
 
@@ -72,76 +71,85 @@ def _term_lists(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
-def _as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), COUNTS_ARROW)]
-    return pa.RecordBatch.from_arrays(columns, schema=COUNTS_ARROW)
+def _as_batch(lang: str, docs: Counter, by_source: dict[str, Counter], bits: int) -> pa.RecordBatch:
+    """One row per term, with its count in each source that has it; and one without a term, for sources that have none."""
+    terms = list(docs)
+    places = {term: n for n, term in enumerate(terms)}
+    rows = np.concatenate([np.full(len(by_source), len(terms)), *(
+        np.fromiter((places[t] for t in counts), np.int64, len(counts)) for counts in by_source.values())])
+    ns = np.concatenate([np.zeros(len(by_source), dtype=np.int64), *(
+        np.fromiter(counts.values(), np.int64, len(counts)) for counts in by_source.values())])
+    owners = np.concatenate([np.arange(len(by_source)), np.repeat(
+        np.arange(len(by_source)), [len(counts) for counts in by_source.values()])])
+    order = np.argsort(rows, kind="stable")
+    offsets = pa.array(np.searchsorted(rows[order], np.arange(len(terms) + 2)), pa.int32())
+    sources = pa.array(list(by_source), pa.string()).take(pa.array(owners[order]))
+    return pa.RecordBatch.from_arrays([
+        pa.array([lang] * (len(terms) + 1), pa.string()), pa.array([*(digest_of(t, bits) for t in terms), None], pa.int64()),
+        pa.array([*terms, None], pa.binary()).cast(pa.string()), pa.array([*docs.values(), 0], pa.int64()),
+        pa.ListArray.from_arrays(offsets, sources), pa.ListArray.from_arrays(offsets, pa.array(ns[order]))], schema=COUNTS_ARROW)
 
 
 def _counter(bits: int) -> Callable:
-    def batches_of(found: dict) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        for (lang, source), (counts, docs) in found.items():
-            # Groups show up even without terms.
-            rows.append((lang, source, None, None, 0, 0))
-            for term, n in counts.items():
-                rows.append((lang, source, digest_of(term, bits), term.decode(), n, docs[term]))
-                if len(rows) >= ROWS:
-                    yield _as_batch(rows)
-                    rows.clear()
-        if rows:
-            yield _as_batch(rows)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        docs: dict[str, Counter] = {}
+        counts: dict[str, dict[str, Counter]] = {}
         held = 0
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(name) for name in ("lang", "source", "text"))):
-                group = found.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-                before = len(group[0])
+            for lang, source, value in zip(*(batch.column(name).to_pylist() for name in ("lang", "source")), batch.column("text")):
+                in_lang = docs.setdefault(lang, Counter())
+                in_source = counts.setdefault(lang, {}).setdefault(source, Counter())
+                before = len(in_source)
                 distinct: set[bytes] = set()
-                for terms in _term_lists(text.as_py()):
-                    group[0].update(terms)
+                for terms in _term_lists(value.as_py()):
+                    in_source.update(terms)
                     distinct.update(terms)
-                group[1].update(distinct)
-                held += len(group[0]) - before + 1
+                in_lang.update(distinct)
+                held += len(in_source) - before + 1
                 if held > HELD_COUNTS:
-                    yield from batches_of(found)
-                    found, held = {}, 0
-        yield from batches_of(found)
+                    yield from (_as_batch(l, docs[l], counts[l], bits) for l in docs)
+                    docs, counts, held = {}, {}, 0
+        yield from (_as_batch(l, docs[l], counts[l], bits) for l in docs)
 
     return run
 
 
 def term_counts(docs: DataFrame, bits: int = DIGEST_BITS) -> DataFrame:
-    """``lang, source, digest, term, n, docs``: counts as tasks have made them; a group's terms may come in several rows.
+    """``lang, digest, term, docs, sources, ns``: counts as tasks have made them; a term may come in several rows.
 
-    Each group also has rows without a term.
+    Rows without a term name the sources of a language.
     """
     named = [F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]
     text = F.coalesce("text", F.lit("")).cast("binary").alias("text")
     return docs.select(*named, text).mapInArrow(_counter(bits), COUNTS)
 
 
+def _by_source(counts: DataFrame, *names: str) -> DataFrame:
+    given = F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("ns").alias("n")))
+    return counts.select("lang", "digest", *names, given)
+
+
 def kept_counts(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """``lang, source, digest, split, n``: how often each source has the terms its language keeps.
 
     ``split`` is the term itself where others share its digest, else empty.
     Tells terms apart as the texts would, by digests alone.
     """
+    key = ["lang", "digest"]
     found = counts.where(F.col("digest").isNotNull())
-    frequent = stage(found.groupBy("lang", "digest").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs"))
-    of_frequent = found.join(frequent, ["lang", "digest"], "left_semi")
+    frequent = stage(found.groupBy(*key).agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs"))
     shared = stage(
-        of_frequent.groupBy("lang", "digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
-        .where(F.col("least") < F.col("most")).select("lang", "digest"))
+        found.join(frequent, key, "left_semi").groupBy(*key).agg(F.min("term").alias("least"), F.max("term").alias("most"))
+        .where(F.col("least") < F.col("most")).select(*key))
     plain = (
-        found.select("lang", "source", "digest", "n")
-        .join(frequent.join(shared, ["lang", "digest"], "left_anti"), ["lang", "digest"], "left_semi")
+        _by_source(found.join(frequent.join(shared, key, "left_anti"), key, "left_semi"))
         .groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"))
         .select("lang", "source", "digest", F.lit("").alias("split"), "n"))
-    apart = found.join(shared, ["lang", "digest"], "left_semi").withColumnRenamed("term", "split")
-    still = apart.groupBy("lang", "digest", "split").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    split = apart.join(still, ["lang", "digest", "split"], "left_semi").groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n"))
+    apart = found.join(shared, key, "left_semi").withColumnRenamed("term", "split")
+    still = apart.groupBy(*key, "split").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
+    split = (
+        _by_source(apart.join(still.drop("docs"), [*key, "split"], "left_semi"), "split")
+        .groupBy("lang", "source", "digest", "split").agg(F.sum("n").alias("n")))
     return plain.unionByName(split)
 
 
@@ -158,7 +166,7 @@ def apart(p: Column, q: Column) -> Column:
 
 def groups(counts: DataFrame, kept: DataFrame) -> DataFrame:
     """``lang, source, total, terms, lang_total, none, sources``: one row per group, ``none`` its share of a term it lacks."""
-    every = counts.select("lang", "source").distinct()
+    every = counts.where(F.col("digest").isNull()).select("lang", F.explode("sources").alias("source")).distinct()
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     by_lang = (
         kept.groupBy("lang", "digest", "split").agg(F.sum("n").alias("n"))
