@@ -46,12 +46,19 @@ def test_estimates_far_above_the_threshold(spark):
     assert got[2999] == "half of them share this"
 
 
-def test_one_site_short_lines_and_blanks_stay(spark):
-    rows = [(n, "two words\n\nthe same site again\n", "en", "one", 0) for n in range(9)]
-    rows += [(n, "two words\n\n \nfine", "en", f"s{n}", 0) for n in range(10, 20)]
+def test_one_site_and_blanks_stay(spark):
+    rows = [(n, "one site\n\nthe same site again\n", "en", "one", 0) for n in range(9)]
+    rows += [(n, f"own {n}\n\n \nmy{n}", "en", f"s{n}", 0) for n in range(10, 20)]
     assert cleaned(documents(spark, rows)) == {r[0]: r[1] for r in rows}
 
 
+def test_lines_of_any_length_go(spark):
+    rows = [(n, f"own {n}\nOK.\n漢字仮名\ntwo words", "en", f"s{n}", 0) for n in range(6)]
+    got = cleaned(documents(spark, rows))
+    assert got[0] == rows[0][1] and all(got[n] == f"own {n}" for n in range(1, 6))
+    assert cleaned(documents(spark, rows), min_words=2)[1] == "own 1\nOK.\n漢字仮名"
+
+
 def test_odd_rows_and_clashing_columns(spark):
     docs = documents(spark, odd_rows(), clashing=True)
     kept = line_dedup.clean(docs)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from wareloom.session import stage
 
 MIN_SITES = 5
-MIN_WORDS = 3
+MIN_WORDS = 1
 #: log2 of the sketch's registers: a standard error of about 1.6 %.
 LG_K = 12
 #: Share of the threshold within which lines are counted exactly: over six standard errors.

@@ -111,7 +111,7 @@ LLM_ORACLES["op9_line_dedup"] = r"""
 WITH lines AS (
     SELECT doc_id, source, trim(line, E' \t\r') AS line
     FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents)
-    WHERE regexp_matches(line, '^\s*(\S+\s+){2}\S')
+    WHERE regexp_matches(line, '\S')
 ), listed AS (
     SELECT line, min(doc_id) AS first_doc FROM lines GROUP BY line HAVING count(DISTINCT source) >= 5
 ), placed AS (
