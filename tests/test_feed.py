@@ -5,9 +5,10 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wareloom import schemas
-from wareloom.operators import contract
+from wareloom.operators import contract, sinks
 from wareloom.plans import ingest
 from wareloom.sources import feeds
 from wareloom.streaming import ingest as stream
@@ -130,16 +131,46 @@ def test_stream_gives_the_batch_result(spark, tmp_path, files_per_batch):
     for row in pages.collect():
         spark.createDataFrame([row], schemas.FEED_PAYLOADS).coalesce(1).write.mode("append").parquet(landing)
     for _ in range(2):
-        stream.stream_feed(spark, landing, table, progress, files_per_batch).awaitTermination()
-    got = stream.read_stream_table(spark, table)
+        stream.run_stream(spark, landing, table, progress, files_per_batch)
+    got = stream.read_stream_table(spark, table, progress)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ingest.ingest_feed(pages).collect()))
     more = spark.createDataFrame([(0, "b", "https://b.com", 3, 200, body(item("i", "8")), 99)], schemas.FEED_PAYLOADS)
     more.write.mode("append").parquet(landing)
-    stream.stream_feed(spark, landing, table, progress, files_per_batch).awaitTermination()
-    prices = {r.product_url: float(r.price) for r in stream.read_stream_table(spark, table).collect()}
+    stream.compact_stream(spark, table, progress, table + "2")
+    stream.run_stream(spark, landing, table + "2", progress, files_per_batch)
+    prices = {r.product_url: float(r.price) for r in stream.read_stream_table(spark, table + "2", progress).collect()}
     assert prices["https://b.com/products/i"] == 8.0
-    assert [(r.store, r.page, r.reject_reason) for r in stream.read_stream_rejects(spark, table).collect()] == [
+    assert [(r.store, r.page, r.reject_reason) for r in stream.read_stream_rejects(spark, table + "2", progress).collect()] == [
         ("b", 1, "bad price")]
+    counts = sinks.read_batches(spark, f"{table}2-counts", StructType.fromDDL("store string, page long, accepted long, rejected long"))
+    assert sorted(tuple(r)[:4] for r in counts.collect()) == [("a", 1, 1, 0), ("b", 1, 2, 1), ("b", 2, 1, 0), ("b", 3, 1, 0)]
+
+
+def test_state_follows_late_and_repeated_fetches(spark, tmp_path):
+    """Batch after batch, the state holds what the verdicts of all batches come to."""
+    progress = str(tmp_path / "progress")
+    batches = [
+        [(1, 10, False), (2, 20, False), (300, 1, False)],
+        [(n, n, False) for n in range(3, 300)],
+        [(150, 149, True)],
+        [(150, 151, True), (301, 5, False)],
+        [(150, 152, False), (302, 6, True)],
+        [(302, 7, False), (1, 11, True)],
+        [(1, 12, False)],
+    ]
+    stops, seen = [], []
+    for batch in batches:
+        rows = spark.createDataFrame([(0, store, *fetch) for fetch in batch for store in "ab"], stream.VERDICTS)
+        rows.coalesce(1).write.mode("append").parquet(f"{progress}-verdicts")
+        stream.stream_stops(spark, progress).awaitTermination()
+        seen += batch
+        pages = stream.counting_pages(spark, progress).collect()
+        stops.append(max([r.page for r in pages if r.store == "a"], default=0) + 1)
+        verdicts = spark.createDataFrame(
+            [(0, store, page, seq, "bad" if bad else feeds.PAGE_OK) for page, seq, bad in seen for store in "ab"],
+            "crawl long, store string, page long, fetch_seq long, verdict string")
+        assert sorted(map(tuple, pages)) == sorted(map(tuple, feeds.counting_pages(verdicts).collect()))
+    assert stops == [3, 301, 301, 150, 302, 1, 303]
 
 
 def test_bodies_are_parsed_once(spark):
@@ -149,17 +180,30 @@ def test_bodies_are_parsed_once(spark):
 
 
 def test_stops_do_not_depend_on_one_task(spark):
-    """The plan looks predecessors up by store and page; no window gathers a store."""
+    """Pages come to bitmaps by one aggregate; no window gathers a store and no join looks predecessors up."""
     verdicts = feeds.page_verdicts(payloads(spark, [("a", 1, 200, OK)]))
     plan = feeds.store_stops(feeds.last_fetches(verdicts))._jdf.queryExecution().toString()
-    assert "Window" not in plan
+    assert "Window" not in plan and "Join" not in plan and "bitmap_construct_agg" in plan
+
+
+@pytest.mark.parametrize("missing, bad, stop", [
+    ((), (), 70_001), ((1,), (), 1), ((32_768,), (), 32_768), ((32_769,), (), 32_769), ((70_000, 40_001), (), 40_001),
+    ((), (8, 9), 8), (range(1, 32_769), (), 1), (range(32_769, 65_537), (), 32_769), ((17,), (16,), 16),
+])
+def test_first_gap_in_bitmaps(spark, missing, bad, stop):
+    numbers = [n for n in (list(missing) if len(missing) < 9 else [])]
+    pages = spark.range(-1, 70_001).where(~F.col("id").isin(numbers)).select(
+        F.lit(0).alias("crawl"), F.lit("s").alias("store"), F.col("id").alias("page"), F.col("id").isin(list(bad)).alias("bad"))
+    if len(missing) > 9:
+        pages = pages.where(~F.col("page").between(missing[0], missing[-1]))
+    assert [r.stop_page for r in feeds.store_stops(pages).collect()] == [stop]
 
 
 def test_long_store_with_one_gap(spark):
     pages = spark.range(1, 5001).where("id != 4000").select(
         F.lit(0).alias("crawl"), F.lit("big").alias("store"), F.col("id").alias("page"), F.col("id").alias("fetch_seq"),
         F.lit(feeds.PAGE_OK).alias("verdict"))
-    assert feeds.store_stops(feeds.last_fetches(pages)).collect()[0].stop_page == 4001
+    assert feeds.store_stops(feeds.last_fetches(pages)).collect()[0].stop_page == 4000
 
 
 def crawls(spark, *fetches):
@@ -186,8 +230,8 @@ def test_crawls_stop_on_their_own(spark, tmp_path, fetches, wanted):
     landing, table, progress = (str(tmp_path / name) for name in ("landing", "table", "progress"))
     for row in fetched.collect():
         spark.createDataFrame([row], schemas.FEED_PAYLOADS).coalesce(1).write.mode("append").parquet(landing)
-    stream.stream_feed(spark, landing, table, progress, 1).awaitTermination()
-    assert {r.product_url[-1]: float(r.price) for r in stream.read_stream_table(spark, table).collect()} == wanted
+    stream.run_stream(spark, landing, table, progress)
+    assert {r.product_url[-1]: float(r.price) for r in stream.read_stream_table(spark, table, progress).collect()} == wanted
 
 
 def test_a_body_larger_than_a_variant(spark):

@@ -44,7 +44,8 @@ def arguments() -> argparse.ArgumentParser:
     pages.add_argument("--max-pages", type=int, help="cut longer listings; by default they are walked to their end")
 
     compact = runs.add_parser("compact")
-    compact.add_argument("--kind", choices=["products", "scraped", "scored"], required=True)
+    compact.add_argument("--kind", choices=["products", "scraped", "scored", "stream"], required=True)
+    compact.add_argument("--progress", help="of the stream")
     compact.add_argument("--table", required=True)
     compact.add_argument("--to", required=True)
 
@@ -70,11 +71,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         payloads = spark.read.schema(schemas.FEED_PAYLOADS).parquet(args.payloads)
         ingest.run_feed(payloads, args.table, args.batch)
     elif args.run == "stream":
-        stream.stream_feed(spark, args.landing, args.table, args.progress).awaitTermination()
+        stream.run_stream(spark, args.landing, args.table, args.progress)
     elif args.run == "pages":
         captured = spark.read.schema(schemas.CAPTURED_PAGES).parquet(args.pages)
         start = spark.read.schema(schemas.CATEGORY_SEEDS).parquet(args.seeds) if args.seeds else seeds.category_seeds(spark)
         ingest.run_pages(captured, start, args.table, args.batch, args.max_pages)
+    elif args.run == "compact" and args.kind == "stream":
+        if not args.progress:
+            raise SystemExit("a stream needs --progress")
+        stream.compact_stream(spark, args.table, args.progress, args.to)
     elif args.run == "compact":
         schema = {"products": schemas.PRODUCTS, "scraped": schemas.SCRAPED_PRODUCTS, "scored": selection.SCORED_LOG}[args.kind]
         order = schemas.ORDER_COLUMNS if args.kind == "scored" else ("ordinal",)

@@ -259,6 +259,8 @@ ORACLES = {
         SELECT crawl, store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
     "run_feed_rejects": f"""WITH {FEED}
         SELECT crawl, store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
+    "run_stream_rejects": f"""WITH {FEED}
+        SELECT crawl, store, page, pos, reject_reason FROM flat WHERE reject_reason IS NOT NULL""",
     "silent_stores": f"""WITH {FEED},
         listed AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS seed_no FROM part UNION SELECT 900)
         SELECT seed_no, 'https://www.brand' || seed_no || '.example.com' AS base_url, 'brand' || seed_no AS store

@@ -15,6 +15,7 @@ from wareloom.sources.catalogues import scan_scraped, scan_structured
 from wareloom.streaming import ingest as stream
 
 QUERIES = {}
+REJECT_FIELDS = "crawl long, store string, page long, pos int, reject_reason string"
 
 CHECKED = schemas.Contract(
     not_null=("product_url", "title", "price"),
@@ -341,14 +342,28 @@ def refresh_guard(spark, sf_dir):
     return rounded(sinks.read_refreshed(spark, path, best.schema), "final_score")
 
 
-@query
-def ingest_stream(spark, sf_dir):
+def _streamed(spark, sf_dir) -> tuple[str, str]:
+    """Table and progress of a stream that has taken in all feed pages, some files at a time."""
     folder = work_folder(spark)
     landing = tables.feed_payloads(spark, sf_dir).select(*schemas.FEED_PAYLOADS.names)
     landing.write.option("maxRecordsPerFile", 2000).parquet(f"{folder}/landing")
-    run = stream.stream_feed(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress", files_per_batch=16)
-    run.awaitTermination()
-    return _plain_products(stream.read_stream_table(spark, f"{folder}/table"))
+    stream.run_stream(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress", files_per_batch=16)
+    return f"{folder}/table", f"{folder}/progress"
+
+
+@query
+def ingest_stream(spark, sf_dir):
+    """The product table after several batches and a compaction."""
+    table, progress = _streamed(spark, sf_dir)
+    stream.compact_stream(spark, table, progress, f"{table}-compact")
+    return _plain_products(stream.read_stream_table(spark, f"{table}-compact", progress))
+
+
+@query
+def run_stream_rejects(spark, sf_dir):
+    """The rejects a stream has written."""
+    table, _ = _streamed(spark, sf_dir)
+    return sinks.read_batches(spark, f"{table}-rejects", StructType.fromDDL(REJECT_FIELDS)).drop("batch_seq")
 
 
 @query
@@ -403,8 +418,7 @@ def run_feed_rejects(spark, sf_dir):
     """The rejects a feed run has written."""
     out = f"{work_folder(spark)}/products"
     ingest.run_feed(payloads(spark, sf_dir), out, 0)
-    fields = "crawl long, store string, page long, pos int, reject_reason string"
-    return sinks.read_batches(spark, f"{out}-rejects", StructType.fromDDL(fields)).drop("batch_seq")
+    return sinks.read_batches(spark, f"{out}-rejects", StructType.fromDDL(REJECT_FIELDS)).drop("batch_seq")
 
 
 @query

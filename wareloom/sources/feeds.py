@@ -14,6 +14,8 @@ PAGE_OK = "ok"
 POSITIONS = 1 << 31
 #: Bodies from this size on may be more than a VARIANT holds.
 LARGE_BODY = 1 << 24
+#: Pages to a bitmap, as Spark's functions on bitmaps have it.
+BITMAP_PAGES = 1 << 15
 FETCH = ["crawl", "store", "page", "fetch_seq"]
 PRODUCT_COLUMNS = ["product_url", "title", "vendor", "price", "availability", "description", "category"]
 
@@ -72,28 +74,47 @@ def last_fetches(verdicts: DataFrame) -> DataFrame:
         F.max("fetch_seq").alias("fetch_seq"), F.max_by(bad, "fetch_seq").alias("bad"))
 
 
+def _first_unset(bitmap: Column) -> Column:
+    """Position of the first bit of a bitmap that is not set; its length in bits where all are."""
+    digits = F.hex(bitmap)
+    full = (F.length(F.regexp_extract(digits, "^(?:FF)*+", 0)) / 2).cast("int")
+    # Adding one carries up to the lowest bit that is not set.
+    byte = F.conv(F.substr(digits, 2 * full + 1, F.lit(2)), 16, 10).cast("int")
+    carried = F.bitwise_not(byte).bitwiseAND(byte + 1)
+    return full * 8 + F.when(byte.isNull(), 0).otherwise(F.bit_count(carried - 1))
+
+
+def page_bitmaps(pages: DataFrame) -> DataFrame:
+    """``crawl, store, bucket, bitmap``: the good pages of each crawl of a store, a bit per page.
+
+    Bitmaps of several runs merge by ``bitmap_or_agg``.
+    """
+    good = pages.where(~F.col("bad") & (F.col("page") >= 1))
+    return good.groupBy("crawl", "store", F.bitmap_bucket_number("page").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("page")).alias("bitmap"))
+
+
 def store_stops(pages: DataFrame) -> DataFrame:
-    """First page of each crawl of a store that no longer counts (NULL: all count), from the last fetches.
+    """``crawl, store, stop_page``: the first page from 1 on that is bad or not there, from the last fetches.
 
-    A page breaks the crawl when it is bad itself or when the page before it
-    is not there. Looking the predecessor up by ``(crawl, store, page)``
-    spreads one huge store over all tasks, where numbering its pages in a
-    window would pull them into one. What one crawl stops at says nothing
-    about another.
+    One task works on a bitmap, not on a store, and a store comes to one
+    number per bitmap, so neither a huge store nor many small ones gather
+    their pages anywhere. What one crawl stops at says nothing about another.
+    Stores without a good page have no row.
     """
-    followers = pages.select("crawl", "store", (F.col("page") + 1).alias("page"), F.lit(True).alias("follows"))
-    broken = F.col("bad") | (F.col("follows").isNull() & (F.col("page") != 1))
-    return (
-        pages.join(followers, ["crawl", "store", "page"], "left")
-        .groupBy("crawl", "store")
-        .agg(F.min(F.when(broken, F.col("page"))).alias("stop_page"))
-    )
+    unset = page_bitmaps(pages).select("crawl", "store", "bucket", _first_unset(F.col("bitmap")).alias("unset"))
+    buckets = unset.groupBy("crawl", "store").agg(F.array_sort(F.collect_list(F.struct("bucket", "unset"))).alias("buckets"))
+    # Where a bitmap that should come next is not there, its first page is missing.
+    ends = F.transform("buckets", lambda b, n: F.when(b["bucket"] != n + 1, 0).when(b["unset"] < BITMAP_PAGES, b["unset"]))
+    numbered = F.transform(ends, lambda end, n: n.cast("long") * BITMAP_PAGES + end + 1)
+    after_all = F.size("buckets").cast("long") * BITMAP_PAGES + 1
+    return buckets.select("crawl", "store", F.coalesce(F.array_min(numbered), after_all).alias("stop_page"))
 
 
 def counting_pages(verdicts: DataFrame) -> DataFrame:
     """``crawl, store, page, fetch_seq`` of the fetches that count."""
     pages = stage(last_fetches(verdicts))
-    before_stop = F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page"))
+    before_stop = F.col("page").between(1, F.col("stop_page") - 1)
     return pages.join(store_stops(pages), ["crawl", "store"]).where(before_stop).select(*FETCH)
 
 

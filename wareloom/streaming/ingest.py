@@ -1,11 +1,22 @@
-"""Incremental feed ingest: committed per batch of landed files, safe to repeat."""
+"""Incremental feed ingest: committed per batch of landed files, safe to repeat.
+
+Two queries run one after the other. The first reads the bodies of new files
+and writes their products, and a narrow row with the verdict on each fetch. The
+second keeps a state for each crawl of a store: the last fetch of each page and
+the first page that does not count. A batch touches the state of its own pages
+only, and a read takes which pages count from the state, not from old verdicts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from wareloom import schemas
-from wareloom.operators import contract, keyed, sinks
+from wareloom.operators import contract, counters, keyed, sinks
 from wareloom.plans.ingest import judge
 from wareloom.sources import feeds
 
@@ -20,11 +31,69 @@ FEED_LOG = T.StructType([
     *schemas.PRODUCTS.fields,
     T.StructField("reject_reason", T.StringType()),
 ])
+VERDICTS = T.StructType([*FEED_LOG.fields[:4], T.StructField("bad", T.BooleanType())])
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Pages to one entry of the state.
+BLOCK = 256
+
+
+class StoreState(StatefulProcessor):
+    """The pages of one crawl of a store, in blocks, and the first page that does not count.
+
+    A block holds the number of the last fetch of each of its pages, null
+    where there is none, and whether that fetch was good.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.blocks = handle.getMapState("blocks", "block long", "fetches array<bigint>, good array<boolean>")
+        self.stop = handle.getValueState("stop", "stop_page long")
 
+    def _block(self, number: int) -> tuple[list, list]:
+        if self.blocks.containsKey((number,)):
+            fetches, good = self.blocks.getValue((number,))
+            return list(fetches), list(good)
+        return [None] * BLOCK, [False] * BLOCK
 
-def _write_batch(table: str):
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before = self.stop.get()[0] if self.stop.exists() else 1
+        stop = before
+        new = pd.concat(rows)
+        touched: dict[int, tuple[list, list]] = {}
+        for number, part in new.groupby((new["page"] - 1) // BLOCK):
+            fetches, good = touched[int(number)] = self._block(int(number))
+            for page, fetch, bad in zip(part["page"].tolist(), part["fetch_seq"].tolist(), part["bad"].tolist()):
+                place = (page - 1) % BLOCK
+                # A fetch that comes in late does not undo a later one.
+                if fetches[place] is None or fetch >= fetches[place]:
+                    fetches[place], good[place] = fetch, not bad
+                    if bad and page < stop:
+                        stop = page
+            self.blocks.updateValue((int(number),), (fetches, good))
+        while True:
+            number = (stop - 1) // BLOCK
+            good = (touched.get(number) or self._block(number))[1][(stop - 1) % BLOCK:]
+            ahead = good.index(False) if False in good else len(good)
+            stop += ahead
+            if ahead < len(good):
+                break
+        if stop != before or not self.stop.exists():
+            self.stop.update((stop,))
+            yield pd.DataFrame({"crawl": [key[0]], "store": [key[1]], "stop_page": [stop]})
+
+    def close(self) -> None:
+        pass
+
+
+def _write_batch(table: str, checkpoint: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.append_batch(contract.conform(judge(feeds.read_pages(batch)), FEED_LOG), table, batch_id)
+        written = sinks.read_batches(batch.sparkSession, table, FEED_LOG).where(F.col("batch_seq") == batch_id)
+        # Each fetch has one row without a product or with its first. A repeated batch writes its verdicts again, which
+        # changes nothing in the state.
+        fetches = written.where((F.coalesce("pos", F.lit(0)) == 0) & (F.col("page") >= 1))
+        judged = fetches.withColumn("bad", F.col("verdict") != feeds.PAGE_OK)
+        contract.conform(judged, VERDICTS).write.mode("append").parquet(f"{checkpoint}-verdicts")
 
     return write
 
@@ -32,30 +101,88 @@ def _write_batch(table: str):
 def stream_feed(spark: SparkSession, landing: str, table: str, checkpoint: str, files_per_batch: int = 1000):
     """Work through all landed payload files not seen yet, then stop.
 
-    Each batch reads its bodies once and appends their products and verdicts
-    under its own number, so a batch repeated after a failure replaces itself.
+    Each batch reads its bodies once and appends their products under its own
+    number, so a batch repeated after a failure replaces itself.
     """
     payloads = (
         spark.readStream.schema(schemas.FEED_PAYLOADS).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     )
     return (
-        payloads.writeStream.foreachBatch(_write_batch(table))
+        payloads.writeStream.foreachBatch(_write_batch(table, checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_stream_table(spark: SparkSession, table: str) -> DataFrame:
-    """Product table after all batches so far.
+def stream_stops(spark: SparkSession, checkpoint: str, files_per_batch: int = 10_000):
+    """Bring the state of each crawl of a store up to the verdicts written so far, then stop."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    verdicts = spark.readStream.schema(VERDICTS).option("maxFilesPerTrigger", files_per_batch).parquet(f"{checkpoint}-verdicts")
+    stops = verdicts.groupBy("crawl", "store").transformWithStateInPandas(
+        StoreState(), "crawl long, store string, stop_page long", "Update", "None")
+    return (
+        stops.writeStream.format("noop").outputMode("update")
+        .option("checkpointLocation", f"{checkpoint}-stops")
+        .trigger(availableNow=True)
+        .start()
+    )
+
 
-    Which pages count depends on pages of other batches, so it is decided
-    here from the verdicts of all batches, however the files fell into batches.
+def run_stream(spark: SparkSession, landing: str, table: str, checkpoint: str, files_per_batch: int = 1000) -> None:
+    """Take in all that has landed; then write which products were left out, and the counts of the counting pages.
+
+    They go to ``table``, ``table-rejects`` and ``table-counts``; the latter two are of all batches so far.
     """
-    products = feeds.contiguous_products(sinks.read_batches(spark, table, FEED_LOG))
-    return keyed.keep_last(feeds.accepted(products)).select(*schemas.PRODUCTS.names)
+    stream_feed(spark, landing, table, checkpoint, files_per_batch).awaitTermination()
+    stream_stops(spark, checkpoint).awaitTermination()
+    products = _counting_products(spark, table, checkpoint)
+    sinks.append_batch(feeds.rejected(products), f"{table}-rejects", 0)
+    sinks.append_batch(counters.outcome_counts(products, "crawl", "store", "page"), f"{table}-counts", 0)
+
+
+def _state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    return spark.read.format("statestore").option("stateVarName", variable).load(f"{checkpoint}-stops")
+
+
+def last_fetches(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``crawl, store, page, fetch_seq`` of the last fetch of each page, from the state."""
+    blocks = _state(spark, checkpoint, "blocks").select(
+        "key.crawl", "key.store", (F.col("user_map_key.block") * BLOCK + 1).alias("first"),
+        F.posexplode("user_map_value.fetches").alias("place", "fetch_seq"))
+    return blocks.where(F.col("fetch_seq").isNotNull()).select(
+        "crawl", "store", (F.col("first") + F.col("place")).alias("page"), "fetch_seq")
+
+
+def counting_pages(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``crawl, store, page, fetch_seq`` of the fetches that count, from the state."""
+    stops = _state(spark, checkpoint, "stop").select("key.crawl", "key.store", "value.stop_page")
+    pages = last_fetches(spark, checkpoint).join(stops, ["crawl", "store"])
+    return pages.where(F.col("page") < F.col("stop_page")).drop("stop_page")
+
 
+def _counting_products(spark: SparkSession, table: str, checkpoint: str) -> DataFrame:
+    rows = feeds.products_only(sinks.read_batches(spark, table, FEED_LOG))
+    return feeds.keep_contiguous(rows, counting_pages(spark, checkpoint))
 
-def read_stream_rejects(spark: SparkSession, table: str) -> DataFrame:
+
+def read_stream_table(spark: SparkSession, table: str, checkpoint: str) -> DataFrame:
+    """Product table after all batches so far, however the files fell into batches."""
+    return keyed.keep_last(feeds.accepted(_counting_products(spark, table, checkpoint))).select(*schemas.PRODUCTS.names)
+
+
+def read_stream_rejects(spark: SparkSession, table: str, checkpoint: str) -> DataFrame:
     """Products of counting pages that were left out, with the reason."""
-    return feeds.rejected(feeds.contiguous_products(sinks.read_batches(spark, table, FEED_LOG)))
+    return feeds.rejected(_counting_products(spark, table, checkpoint))
+
+
+def compact_stream(spark: SparkSession, table: str, checkpoint: str, to: str) -> None:
+    """Write what may still count to a new table, with which the stream goes on under the same ``checkpoint``.
+
+    Products of fetches that a later fetch of their page has replaced are left
+    out. Pages that do not count stay, as a fetch to come may close the gap before them.
+    """
+    rows = sinks.read_batches(spark, table, FEED_LOG)
+    last = rows.agg(F.max("batch_seq")).first()[0]
+    current = rows.drop("batch_seq").join(last_fetches(spark, checkpoint), feeds.FETCH, "left_semi")
+    sinks.append_batch(current, to, last or 0)
