@@ -1,5 +1,7 @@
 """Page extraction, links and pagination on literal markup."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,44 @@ def test_pagination(spark):
     assert chain(spark, long, "p1") == [f"p{n}" for n in range(1, 76)]
 
 
+def walked_one_by_one(steps, start):
+    seen = [start]
+    while steps.get(seen[-1]) not in (None, *seen):
+        seen.append(steps[seen[-1]])
+    return seen
+
+
+@pytest.mark.parametrize("seed, limit", [(1, None), (2, None), (3, 4), (4, None)])
+def test_pagination_equals_walking(spark, seed, limit):
+    """Paths that run into each other, rings, rings entered from several sides, pages without an edge."""
+    rng = random.Random(seed)
+    n = 60
+    edges = [(f"p{a:02}", f"p{(a + 1 if rng.random() < 0.7 else rng.randrange(n)) % n:02}") for a in range(n) if rng.random() < 0.95]
+    edges = [(a, b) for a, b in edges if a != b] + [("p05", "p06"), ("p06", "p05")]
+    steps = {}
+    for a, b in edges:
+        steps[a] = min(b, steps.get(a, b))
+    seeds = [(k, f"c{k}", f"p{k % n:02}") for k in range(n + 5)] + [(99, "c99", "nowhere")]
+    got = {}
+    for r in pages.pagination_chain(
+            spark.createDataFrame(edges, "url string, next_url string"), spark.createDataFrame(seeds, schemas.CATEGORY_SEEDS), limit).collect():
+        got.setdefault(r.seed_no, {})[r.hop] = r.page_url
+    wanted = {k: dict(enumerate(walked_one_by_one(steps, url)[:limit])) for k, _, url in seeds}
+    assert got == wanted
+
+
+def test_ranking_does_not_depend_on_seeds(spark):
+    """Thousands of pages take as many rounds as their number has doublings, however many start points there are."""
+    edges = spark.range(5000).select(F.concat(F.lit("p"), "id").alias("url"), F.concat(F.lit("p"), F.col("id") + 1).alias("next_url"))
+    ranks, jumps = pages.rank_pages(edges)
+    assert jumps.isEmpty() and ranks.count() == 5001
+    assert ranks.where((F.col("rank") != 5000 - F.substring("url", 2, 9).cast("long")) | (F.col("path") != "p5000")).isEmpty()
+    seeds = spark.createDataFrame([(0, "c", "p0"), (1, "d", "p4000")], schemas.CATEGORY_SEEDS)
+    walked = pages.pagination_chain(edges, seeds)
+    assert {r.seed_no: (r.n, r.last) for r in walked.groupBy("seed_no").agg(
+        F.count("*").alias("n"), F.max_by("page_url", "hop").alias("last")).collect()} == {0: (5001, "p5000"), 1: (1001, "p5000")}
+
+
 def test_a_limit_cuts_chains_and_says_so(spark):
     edges = spark.createDataFrame([(f"p{n}", f"p{n + 1}") for n in range(1, 25)] + [("q1", "q2")], "url string, next_url string")
     seeds = spark.createDataFrame([(0, "long", "p1"), (1, "short", "q1")], schemas.CATEGORY_SEEDS)
@@ -180,7 +220,7 @@ def test_ingest_pages(spark):
     assert sorted((r.product_url, r.title, r.price, r.tag, r.sku, r.category) for r in rows.collect()) == [
         ("https://s.com/p/1", "One", "N/A", "N/A", "S1", "C1"), ("https://s.com/p/2", "T" * 256, "N/A", "N/A", "S2", "C2")]
     contents = ingest.read_captures(captured)
-    links = pages.category_links(pages.listing_outline(contents), seeds)
+    links = ingest.listed_links(contents, seeds)
     latest = {r.link: r.category for r in ingest.latest_category(links).collect()}
     assert latest == {"https://s.com/p/1": "C1", "https://s.com/p/2": "C2", "https://s.com/p/gone": "C1"}
     assert [r.link for r in pages.missing_pages(links, contents).collect()] == ["https://s.com/p/gone"]

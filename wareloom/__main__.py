@@ -29,6 +29,7 @@ def arguments() -> argparse.ArgumentParser:
     feed.add_argument("--payloads", required=True)
     feed.add_argument("--table", required=True)
     feed.add_argument("--batch", type=int, required=True)
+    feed.add_argument("--stores", help="parquet with seed_no, base_url, store; the default stores if absent")
 
     streamed = runs.add_parser("stream")
     streamed.add_argument("--landing", required=True)
@@ -69,7 +70,8 @@ def main(argv=None) -> None:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.run == "feed":
         payloads = spark.read.schema(schemas.FEED_PAYLOADS).parquet(args.payloads)
-        ingest.run_feed(payloads, args.table, args.batch)
+        stores = spark.read.parquet(args.stores) if args.stores else seeds.store_seeds(spark)
+        ingest.run_feed(payloads, args.table, args.batch, stores)
     elif args.run == "stream":
         stream.run_stream(spark, args.landing, args.table, args.progress)
     elif args.run == "pages":

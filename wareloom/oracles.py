@@ -265,6 +265,10 @@ ORACLES = {
         listed AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS seed_no FROM part UNION SELECT 900)
         SELECT seed_no, 'https://www.brand' || seed_no || '.example.com' AS base_url, 'brand' || seed_no AS store
         FROM listed WHERE seed_no NOT IN (SELECT store_no FROM feed_pages WHERE NOT bad)""",
+    "run_feed_silent": f"""WITH {FEED},
+        listed AS (SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS seed_no FROM part UNION SELECT 900)
+        SELECT seed_no, 'https://www.brand' || seed_no || '.example.com' AS base_url, 'brand' || seed_no AS store
+        FROM listed WHERE seed_no NOT IN (SELECT store_no FROM feed_pages WHERE NOT bad)""",
     "store_name_from_url": """
         SELECT page_id, split_part(replace(replace(url, 'https://www.', ''), 'https://', ''), '.', 1) AS store_name
         FROM pages""",
@@ -290,9 +294,10 @@ ORACLES = {
     "pagination_chain": """
         WITH RECURSIVE edges AS (
           SELECT a.url, min(b.url) AS next_url FROM pages a JOIN pages b ON b.page_id = a.page_id + 1
-          WHERE a.page_id % 16 <> 15 AND a.url <> b.url GROUP BY a.url),
+          WHERE a.url <> b.url GROUP BY a.url),
         walk AS (
-          SELECT page_id AS seed_no, 0 AS hop, url AS page_url, [url] AS path FROM pages
+          SELECT min(page_id) AS seed_no, 0 AS hop, arg_min(url, page_id) AS page_url, [arg_min(url, page_id)] AS path
+          FROM pages GROUP BY regexp_extract(url, '^https?://([^/?#]+)', 1)
           UNION ALL
           SELECT seed_no, hop + 1, next_url, list_append(path, next_url) FROM walk JOIN edges ON page_url = url
           WHERE NOT list_contains(path, next_url))
@@ -308,6 +313,10 @@ ORACLES = {
         SELECT DISTINCT series AS seed_no, 'Series ' || series AS category,
                'https://shop' || series || '.example.com/category/page/11/' AS next_url
         FROM placed WHERE page >= 9""",
+    "run_pages_cut": f"""WITH {PLACED}
+        SELECT DISTINCT series AS seed_no, 'Series ' || series AS category,
+               'https://shop' || series || '.example.com/category/page/11/' AS next_url
+        FROM placed WHERE page >= 9""",
     "run_selection_twice": f"""WITH second AS {alone('WooCommerce')}, first AS {alone('Shopify')}
         SELECT * FROM second UNION ALL SELECT * FROM first WHERE product_url NOT IN (SELECT product_url FROM second)""",
     "missing_pages": f"""WITH {LISTED}

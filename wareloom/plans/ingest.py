@@ -39,14 +39,18 @@ def ingest_feed(payloads: DataFrame) -> DataFrame:
     return keyed.keep_last(products_table(feeds.flatten_feed(payloads)))
 
 
-def run_feed(payloads: DataFrame, table: str, batch: int) -> None:
+def run_feed(payloads: DataFrame, table: str, batch: int, stores: DataFrame | None = None) -> None:
     """One batch of the product table, its rejects and its counts, from one pass over the bodies.
 
-    They go to ``table``, ``table-rejects`` and ``table-counts``.
+    They go to ``table``, ``table-rejects`` and ``table-counts``; the stores on
+    the list ``stores`` that gave no good page go to ``table-silent``.
     """
-    flat = stage(feeds.flatten_feed(payloads))
+    rows = stage(feeds.read_pages(payloads))
+    flat = feeds.contiguous_products(rows)
     sinks.append_batch(feed_rejects(flat), f"{table}-rejects", batch)
     sinks.append_batch(feed_counts(flat), f"{table}-counts", batch)
+    if stores is not None:
+        sinks.append_batch(feeds.silent_stores(rows, stores), f"{table}-silent", batch)
     sinks.append_batch(stamped(keyed.keep_last(products_table(flat))), table, batch)
 
 
@@ -65,6 +69,12 @@ def read_captures(pages: DataFrame) -> DataFrame:
     return stage(page_source.latest_captures(page_source.page_contents(pages)))
 
 
+def listed_links(contents: DataFrame, seeds: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Distinct links of each category."""
+    outline = page_source.listing_outline(contents)
+    return page_source.category_links(outline, page_source.pagination_chain(page_source.page_edges(outline), seeds, max_pages))
+
+
 def judged_pages(contents: DataFrame, links: DataFrame) -> DataFrame:
     """One row per listed and captured product, with ``reject_reason``."""
     last = latest_category(links)
@@ -92,18 +102,22 @@ def ingest_pages(pages: DataFrame, seeds: DataFrame, max_pages: int | None = Non
     captured gives no row.
     """
     contents = read_captures(pages)
-    links = page_source.category_links(page_source.listing_outline(contents), seeds, max_pages)
-    return scraped_table(judged_pages(contents, links))
+    return scraped_table(judged_pages(contents, listed_links(contents, seeds, max_pages)))
 
 
 def run_pages(pages: DataFrame, seeds: DataFrame, table: str, batch: int, max_pages: int | None = None) -> None:
-    """One batch of the scraped table, its rejects, missing pages and counts.
+    """One batch of the scraped table, its rejects, missing pages, cut listings and counts.
 
-    They go to ``table``, ``table-rejects``, ``table-missing`` and ``table-counts``.
+    They go to ``table``, ``table-rejects``, ``table-missing``, ``table-cut`` and ``table-counts``.
     """
     contents = read_captures(pages)
-    links = stage(page_source.category_links(page_source.listing_outline(contents), seeds, max_pages))
+    outline = page_source.listing_outline(contents)
+    edges = page_source.page_edges(outline)
+    chain = stage(page_source.pagination_chain(edges, seeds, max_pages))
+    links = stage(page_source.category_links(outline, chain))
     judged = stage(judged_pages(contents, links))
+    if max_pages is not None:
+        sinks.append_batch(page_source.cut_chains(chain, edges, max_pages), f"{table}-cut", batch)
     sinks.append_batch(page_rejects(judged), f"{table}-rejects", batch)
     sinks.append_batch(page_source.missing_pages(links, contents).select("category", "link"), f"{table}-missing", batch)
     sinks.append_batch(counters.frontier_counts(links, contents), f"{table}-counts", batch)

@@ -236,7 +236,7 @@ def distinct_links_ordered(spark, sf_dir):
 
 @query
 def pagination_chain(spark, sf_dir):
-    """Pages walked from every page."""
+    """Pages walked from the first page of each site."""
     chain = pages.pagination_chain(tables.page_sequence(spark, sf_dir), tables.page_seeds(spark, sf_dir))
     return chain.select("seed_no", "hop", "page_url")
 
@@ -261,7 +261,7 @@ def extract_product_fields(spark, sf_dir):
 
 def _frontier(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     contents = ingest.read_captures(tables.captured_pages(spark, sf_dir))
-    return pages.category_links(pages.listing_outline(contents), tables.catalogue_seeds(spark, sf_dir)), contents
+    return ingest.listed_links(contents, tables.catalogue_seeds(spark, sf_dir)), contents
 
 
 @query
@@ -281,12 +281,16 @@ def cut_chains(spark, sf_dir):
 
 @query
 def silent_stores(spark, sf_dir):
-    """Stores on the list, one per brand and one that is never crawled, without any good page."""
+    """Stores on the list that gave no good page."""
+    return feeds.silent_stores(feeds.page_verdicts(payloads(spark, sf_dir)), _listed_stores(spark, sf_dir))
+
+
+def _listed_stores(spark, sf_dir):
+    """One store per brand, and one that is never crawled."""
     brands = tables.table(spark, sf_dir, "part").select(F.substring("p_brand", 7, 10).cast("long").alias("seed_no")).distinct()
     listed = brands.union(spark.range(900, 901)).withColumn(
         "base_url", F.concat(F.lit("https://www.brand"), "seed_no", F.lit(".example.com")))
-    stores = listed.withColumn("store", urls.store_name(F.col("base_url")))
-    return feeds.silent_stores(feeds.page_verdicts(payloads(spark, sf_dir)), stores)
+    return listed.withColumn("store", urls.store_name(F.col("base_url")))
 
 
 @query
@@ -421,6 +425,24 @@ def run_feed_rejects(spark, sf_dir):
     return sinks.read_batches(spark, f"{out}-rejects", StructType.fromDDL(REJECT_FIELDS)).drop("batch_seq")
 
 
+@query
+def run_feed_silent(spark, sf_dir):
+    """The stores a feed run has written as silent."""
+    out = f"{work_folder(spark)}/products"
+    ingest.run_feed(payloads(spark, sf_dir), out, 0, _listed_stores(spark, sf_dir))
+    fields = "seed_no long, base_url string, store string"
+    return sinks.read_batches(spark, f"{out}-silent", StructType.fromDDL(fields)).drop("batch_seq")
+
+
+@query
+def run_pages_cut(spark, sf_dir):
+    """The listings a page run has written as cut by its limit of 10 pages."""
+    out = f"{work_folder(spark)}/scraped"
+    ingest.run_pages(tables.captured_pages(spark, sf_dir), tables.catalogue_seeds(spark, sf_dir), out, 0, max_pages=10)
+    fields = "seed_no long, category string, next_url string"
+    return sinks.read_batches(spark, f"{out}-cut", StructType.fromDDL(fields)).drop("batch_seq")
+
+
 @query
 def run_pages_counts(spark, sf_dir):
     """The counts a page run has written."""

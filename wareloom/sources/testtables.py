@@ -243,10 +243,6 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages")
-
-
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing and product pages. Some were captured before, when they read differently."""
     now = listing_pages(spark, sf_dir).unionByName(product_pages(spark, sf_dir))
@@ -264,17 +260,18 @@ def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every captured page as a start point."""
-    return table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("seed_no"), F.col("url").alias("category"), "url")
+    """The first page of each site as a start point."""
+    site = F.regexp_extract("url", "^https?://([^/?#]+)", 1)
+    firsts = table(spark, sf_dir, "pages").groupBy(site.alias("category")).agg(
+        F.min("page_id").alias("seed_no"), F.min_by("url", "page_id").alias("url"))
+    return firsts.select("seed_no", "category", "url")
 
 
 def page_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``url, next_url``: each page points to the one after it, but for one in sixteen.
+    """``url, next_url``: each page points to the one after it.
 
     A URL that stands for several pages goes on with the next URL that sorts first.
     """
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     following = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next_url"))
-    return pages.join(following, "page_id").where(
-        (F.col("page_id") % 16 != 15) & (F.col("url") != F.col("next_url"))).select("url", "next_url")
+    return pages.join(following, "page_id").where(F.col("url") != F.col("next_url")).select("url", "next_url")
