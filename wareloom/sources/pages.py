@@ -69,7 +69,8 @@ def _follow(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         moved = on.select(
             "url", F.col("far_at").alias("at"), (F.col("rank") + F.col("far_rank")).alias("rank"), F.col("far_done").alias("done"),
             least.alias("least"), (least != F.col("least")).alias("changed"))
-        rows = stage(rows.where("done").unionByName(moved))
+        # Dealt out anew, or the number of files would double with each round.
+        rows = stage(rows.where("done").unionByName(moved).repartition("url"))
 
 
 def _single_steps(nodes: DataFrame, steps: DataFrame) -> DataFrame:
