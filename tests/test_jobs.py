@@ -3,13 +3,14 @@
 import json
 import os
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from wareloom import schemas
 from wareloom.__main__ import main
-from wareloom.operators import sinks
-from wareloom.plans import selection
+from wareloom.operators import buckets, sinks
+from wareloom.plans import ingest, selection
 from wareloom.session import run_folder, stage
+from wareloom.sources import pages
 
 
 def test_feed_pages_and_select(spark, tmp_path):
@@ -44,9 +45,43 @@ def test_feed_pages_and_select(spark, tmp_path):
     stamp = T.StructType.fromDDL("scraped_at timestamp")
     assert all(r.scraped_at for r in sinks.read_batches(spark, path["products"], stamp).collect())
 
-    main(["compact", "--kind", "products", "--table", path["products"], "--to", path["products"] + "2"])
-    before, after = (sinks.read_keyed(spark, path["products"] + x, schemas.PRODUCTS).collect() for x in ("", "2"))
-    assert sorted(map(str, before)) == sorted(map(str, after)) and len(after) == 2
+    before = ingest.read_products(spark, path["products"]).collect()
+    main(["compact", "--kind", "products", "--table", path["products"], "--buckets", "4"])
+    after = ingest.read_products(spark, path["products"])
+    assert sorted(map(str, before)) == sorted(map(str, after.collect())) and len(before) == 2
+    assert all(row.scraped_at for row in before)
+    land(2, ("Two later", "2", "21"))
+    main(["feed", "--payloads", path["payloads"], "--table", path["products"], "--batch", "2"])
+    main(["compact", "--kind", "products", "--table", path["products"]])
+    titles = {r.title: r.scraped_at for r in ingest.read_products(spark, path["products"]).collect()}
+    assert titles["One again"] == next(r.scraped_at for r in before if r.title == "One again") < titles["Two later"]
+
+
+def test_stored_tables_stay_in_their_buckets(spark, tmp_path):
+    """The fold and the look-up of links shuffle the new side only."""
+    stored = spark.range(1000).select(F.concat(F.lit("u"), "id").alias("product_url"), F.col("id").alias("ordinal"))
+    buckets.save(stored, str(tmp_path / "t"), "product_url", 6)
+    base = buckets.load(spark, str(tmp_path / "t"), stored.schema, "product_url", 6)
+    recent = spark.createDataFrame([("u7", 5000), ("u7", 4000), ("new", 1)], stored.schema)
+    links = spark.createDataFrame([("u1",), ("gone",)], "link string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan in (buckets.fold(base, recent, buckets=6), pages.missing_pages(links, base.select(F.col("product_url").alias("url")))):
+            lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+            (scan,) = [n for n, line in enumerate(lines) if "FileScan" in line]
+            assert "Bucketed: true" in lines[scan]
+            # Nothing between the scan and its join deals rows out.
+            depth, above = lines[scan].index("FileScan"), []
+            for line in reversed(lines[:scan]):
+                if len(line) - len(line.lstrip(" :+-")) < depth:
+                    depth = len(line) - len(line.lstrip(" :+-"))
+                    above.append(line)
+            assert "SortMergeJoin" in "".join(above) and "Exchange" not in "".join(above), lines
+        folded = {r.product_url: r.ordinal for r in buckets.fold(base, recent, buckets=6).collect()}
+        assert len(folded) == 1001 and folded["u7"] == 5000 and folded["new"] == 1
+        assert [r.link for r in pages.missing_pages(links, base.select(F.col("product_url").alias("url"))).collect()] == ["gone"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_a_run_leaves_nothing_staged(spark):

@@ -203,10 +203,12 @@ def test_keyed_table(spark, tmp_path):
     read = {(r.product_url, r.title) for r in sinks.read_keyed(spark, path, first.schema).collect()}
     assert read == {("u1", "c"), ("u2", "b")}
     assert sinks.read_batches(spark, path, first.schema).count() == 3
-    folded = str(tmp_path / "k2")
-    sinks.compact(spark, path, folded, first.schema)
-    assert {(r.product_url, r.title) for r in sinks.read_keyed(spark, folded, first.schema).collect()} == read
-    assert sinks.read_batches(spark, folded, first.schema).count() == 2
+    for _ in range(2):
+        sinks.compact(spark, path, first.schema, count=3)
+        assert {(r.product_url, r.title) for r in sinks.read_keyed(spark, path, first.schema).collect()} == read
+    sinks.append_batch(spark.createDataFrame([("u2", "d", 0), ("u3", "e", 0)], first.schema), path, 2)
+    assert {(r.product_url, r.title) for r in sinks.read_keyed(spark, path, first.schema).collect()} == {
+        ("u1", "c"), ("u2", "d"), ("u3", "e")}
 
 
 def test_contract(spark):

@@ -4,7 +4,7 @@
   stream  the same, batch by batch, for files not seen before
   pages   captured web pages into the scraped product table
   select  both tables into the scored table and the three reports
-  compact all batches of a table into the first batch of a new one
+  compact all batches of a table into one in buckets, or those of a stream into a new table
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from wareloom import schemas
-from wareloom.operators import sinks
+from wareloom.operators import buckets, sinks
 from wareloom.plans import ingest, selection
 from wareloom.session import run_folder
 from wareloom.sources import seeds
@@ -48,7 +48,8 @@ def arguments() -> argparse.ArgumentParser:
     compact.add_argument("--kind", choices=["products", "scraped", "scored", "stream"], required=True)
     compact.add_argument("--progress", help="of the stream")
     compact.add_argument("--table", required=True)
-    compact.add_argument("--to", required=True)
+    compact.add_argument("--to", help="new table of the stream")
+    compact.add_argument("--buckets", type=int, default=buckets.BUCKETS)
 
     select = runs.add_parser("select")
     select.add_argument("--products")
@@ -79,21 +80,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         start = spark.read.schema(schemas.CATEGORY_SEEDS).parquet(args.seeds) if args.seeds else seeds.category_seeds(spark)
         ingest.run_pages(captured, start, args.table, args.batch, args.max_pages)
     elif args.run == "compact" and args.kind == "stream":
-        if not args.progress:
-            raise SystemExit("a stream needs --progress")
+        if not args.progress or not args.to:
+            raise SystemExit("a stream needs --progress and --to")
         stream.compact_stream(spark, args.table, args.progress, args.to)
     elif args.run == "compact":
-        schema = {"products": schemas.PRODUCTS, "scraped": schemas.SCRAPED_PRODUCTS, "scored": selection.SCORED_LOG}[args.kind]
+        schema = {"products": schemas.stored(schemas.PRODUCTS), "scraped": schemas.stored(schemas.SCRAPED_PRODUCTS),
+                  "scored": selection.SCORED_LOG}[args.kind]
         order = schemas.ORDER_COLUMNS if args.kind == "scored" else ("ordinal",)
-        sinks.compact(spark, args.table, args.to, schema, order=order)
+        sinks.compact(spark, args.table, schema, order=order, count=args.buckets)
     else:
         if not args.products and not args.scraped:
             raise SystemExit("select needs --products, --scraped or both")
         products = scraped = None
         if args.products:
-            products = sinks.read_keyed(spark, args.products, schemas.PRODUCTS)
+            products = ingest.read_products(spark, args.products)
         if args.scraped:
-            scraped = sinks.read_keyed(spark, args.scraped, schemas.SCRAPED_PRODUCTS)
+            scraped = ingest.read_scraped(spark, args.scraped)
         selection.run_selection(products, scraped, args.out, args.batch, args.top, args.per_store)
 
 

@@ -9,6 +9,8 @@ A *keyed* table takes upserts: each batch is appended under its own number,
 and reading folds the batches by key. Writing costs as much as the batch, not
 as the table. A batch counts once its marker exists, and a repeated batch takes
 the place of the earlier one when it is complete, so a lost job loses nothing.
+From time to time all batches are folded into a table in Spark's buckets, which
+later reads leave where it lies.
 """
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from wareloom.operators import buckets
 from wareloom.operators.keyed import folded_key, keep_last, merge_written
 
 MARKER = "_PUBLISHED"
@@ -91,28 +94,60 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     fs.create(marker, False).close()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows of the last published attempt of each batch, with ``batch_seq``."""
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, after: int = -1) -> DataFrame:
+    """All rows of the last published attempt of each batch with a number above ``after``, with ``batch_seq``."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_seq", T.LongType())])
     folders = []
     for batch, attempts in _attempts(spark, path).items():
         complete = [(attempt, name) for attempt, name, published in attempts if published]
-        if complete:
+        if complete and batch > after:
             folders.append(f"{path}/batch_seq={batch}/{max(complete)[1]}")
     if not folders:
         return spark.createDataFrame([], with_batch)
     return spark.read.schema(with_batch).option("basePath", path).parquet(*folders).select(*with_batch.names)
 
 
+def _stored(spark: SparkSession, path: str) -> tuple[int, str, int] | None:
+    """Last batch, folder and number of buckets of the table that stands for all batches up to that one."""
+    fs, root = _file_system(spark, path)
+    found = []
+    for status in fs.listStatus(root) if fs.exists(root) else []:
+        name = status.getPath().getName()
+        numbers = re.fullmatch(r"stored=(\d+)-(\d+)-\w+", name)
+        if numbers and fs.exists(_file_system(spark, f"{path}/{name}/{MARKER}")[1]):
+            found.append((int(numbers.group(1)), f"{path}/{name}", int(numbers.group(2))))
+    return max(found, default=None)
+
+
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str = "product_url",
                order=("ordinal",), folded: bool = False) -> DataFrame:
-    """Current state: the last write of each key, or of each folded key under the text written first."""
-    rows = read_batches(spark, path, schema)
+    """Current state: the last write of each key, or of each folded key under the text written first.
+
+    What is stored in buckets is not shuffled; later batches are.
+    """
+    stored = _stored(spark, path)
+    recent = read_batches(spark, path, schema, -1 if stored is None else stored[0])
+    if stored is None:
+        rows = recent
+    else:
+        last, folder, count = stored
+        base = buckets.load(spark, folder, schema, key, count)
+        if not folded:
+            return buckets.fold(base, recent, key, ["batch_seq", *order], count)
+        rows = base.withColumn("batch_seq", F.lit(last).cast("long")).unionByName(recent)
     if folded:
         return merge_written(rows, key, ["batch_seq", *order], folded_key(key)).drop("batch_seq")
     return keep_last(rows, key, ["batch_seq", *order]).drop("batch_seq")
 
 
-def compact(spark: SparkSession, path: str, to: str, schema: T.StructType, **how) -> None:
-    """Fold all batches into batch 0 of a new folder, from which later batches go on."""
-    append_batch(read_keyed(spark, path, schema, **how), to, 0)
+def compact(spark: SparkSession, path: str, schema: T.StructType, key: str = "product_url", order=("ordinal",),
+            count: int = buckets.BUCKETS) -> None:
+    """Fold all batches so far into one table in buckets; batches with higher numbers go on from it."""
+    stored = _stored(spark, path)
+    done = max((batch for batch, attempts in _attempts(spark, path).items() if any(a[2] for a in attempts)), default=-1)
+    if done < 0 or (stored is not None and stored[0] >= done):
+        return
+    folder = f"{path}/stored={done}-{count}-{uuid.uuid4().hex}"
+    buckets.save(read_keyed(spark, path, schema, key, order), folder, key, count)
+    fs, marker = _file_system(spark, f"{folder}/{MARKER}")
+    fs.create(marker, False).close()

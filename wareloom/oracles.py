@@ -326,6 +326,7 @@ ORACLES = {
           SELECT * REPLACE (COALESCE(product_url, 'N/A') AS product_url),
                  row_number() OVER (PARTITION BY product_url ORDER BY ordinal DESC) AS n FROM structured)
         WHERE n = 1""",
+    "compacted_products": f"SELECT *, true AS stamped FROM ({INGESTED})",
     "upsert_folded_key": """
         WITH keyed AS (SELECT *, CASE WHEN page_id % 2 = 1 THEN upper(host) ELSE host END AS written FROM (
           SELECT page_id, url, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages))

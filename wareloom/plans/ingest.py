@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wareloom import schemas
 from wareloom.operators import contract, counters, keyed, sinks
@@ -54,6 +54,16 @@ def run_feed(payloads: DataFrame, table: str, batch: int, stores: DataFrame | No
     sinks.append_batch(stamped(keyed.keep_last(products_table(flat))), table, batch)
 
 
+def read_products(spark: SparkSession, table: str) -> DataFrame:
+    """The product table after all batches, with the time ``scraped_at`` of each row's last write."""
+    return sinks.read_keyed(spark, table, schemas.stored(schemas.PRODUCTS))
+
+
+def read_scraped(spark: SparkSession, table: str) -> DataFrame:
+    """The scraped product table after all batches, with ``scraped_at``."""
+    return sinks.read_keyed(spark, table, schemas.stored(schemas.SCRAPED_PRODUCTS))
+
+
 def stamped(rows: DataFrame, column: str = "scraped_at") -> DataFrame:
     """``rows`` with the time of the write."""
     return rows.withColumn(column, F.current_timestamp())

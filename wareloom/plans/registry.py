@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from wareloom import schemas
 from wareloom.functions import html, text, urls
-from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
+from wareloom.operators import align, buckets, contract, counters, keyed, ranking, scoring, sinks
 from wareloom.plans import ingest, selection
 from wareloom.session import work_folder
 from wareloom.sources import feeds, pages, testtables as tables
@@ -266,8 +266,11 @@ def _frontier(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @query
 def missing_pages(spark, sf_dir):
+    """Listed links without a page, looked up among captures stored in buckets."""
     links, contents = _frontier(spark, sf_dir)
-    return pages.missing_pages(links, contents).select("category", "link")
+    captured, folder = contents.select("url"), f"{work_folder(spark)}/captured"
+    buckets.save(captured, folder, "url")
+    return pages.missing_pages(links, buckets.load(spark, folder, captured.schema, "url")).select("category", "link")
 
 
 @query
@@ -295,10 +298,24 @@ def _listed_stores(spark, sf_dir):
 
 @query
 def upsert_latest(spark, sf_dir):
+    """Early offers stored in buckets, late ones written over them."""
     offers = tables.structured_offers(spark, sf_dir).select(
         text.fill(F.col("product_url")).alias("product_url"), "title", "vendor", "price", "ordinal")
     late = F.unix_date(F.lit("1998-01-01").cast("date")).cast("bigint") * 2 ** 43
-    return keyed.upsert(offers.where(F.col("ordinal") < late), offers.where(F.col("ordinal") >= late))
+    folder = f"{work_folder(spark)}/offers"
+    buckets.save(keyed.keep_last(offers.where(F.col("ordinal") < late)), folder, "product_url")
+    return buckets.fold(buckets.load(spark, folder, offers.schema, "product_url"), offers.where(F.col("ordinal") >= late))
+
+
+@query
+def compacted_products(spark, sf_dir):
+    """The product table after a batch, a compaction and another batch, and whether each row has its time."""
+    table, crawled = f"{work_folder(spark)}/products", payloads(spark, sf_dir)
+    ingest.run_feed(crawled.where(F.col("crawl") == 0), table, 0)
+    sinks.compact(spark, table, schemas.stored(schemas.PRODUCTS))
+    ingest.run_feed(crawled.where(F.col("crawl") == 1), table, 1)
+    products = ingest.read_products(spark, table)
+    return _plain_products(products.withColumn("stamped", F.col("scraped_at").isNotNull()).drop("scraped_at"))
 
 
 @query

@@ -15,6 +15,7 @@ SCORED_LOG = T.StructType([
     *schemas.SCORED_PRODUCTS.fields,
     T.StructField("source_priority", T.IntegerType()),
     T.StructField("ordinal", schemas.ORDINAL),
+    T.StructField("analysis_timestamp", T.TimestampType()),
 ])
 
 
@@ -65,7 +66,7 @@ def scored_catalogue(structured: DataFrame | None, scraped: DataFrame | None, co
 
 def judged_products(scored: DataFrame) -> DataFrame:
     """Scored rows in the shape they are stored in, with ``reject_reason``."""
-    shaped = contract.save_shape(scored, SCORED_LOG.names)
+    shaped = contract.save_shape(scored, [c for c in SCORED_LOG.names if c != "analysis_timestamp"])
     return shaped.withColumn("reject_reason", contract.broken_rule(schemas.SCORED_CONTRACT, shaped.columns))
 
 
@@ -94,7 +95,7 @@ def run_selection(structured: DataFrame | None, scraped: DataFrame | None, out:
         sinks.refresh(contract.conform(rows, schema).withColumn("analysis_timestamp", F.current_timestamp()), f"{out}/{name}")
 
 
-def read_scored(spark: SparkSession, out: str, folded: bool = False) -> DataFrame:
-    """Scored products over all runs, one row per URL, or per URL but for case and accents."""
+def read_scored(spark: SparkSession, out: str, folded: bool = False, times: bool = False) -> DataFrame:
+    """Scored products over all runs, one row per URL, or per URL but for case and accents; ``times`` adds when each was written."""
     merged = sinks.read_keyed(spark, f"{out}/scored_products", SCORED_LOG, "product_url", schemas.ORDER_COLUMNS, folded=folded)
-    return merged.select(*schemas.SCORED_PRODUCTS.names)
+    return merged.select(*schemas.SCORED_PRODUCTS.names, *(["analysis_timestamp"] if times else []))

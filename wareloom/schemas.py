@@ -141,6 +141,11 @@ STORE_RANKINGS = T.StructType([
 ])
 
 
+def stored(schema: T.StructType, stamp: str = "scraped_at") -> T.StructType:
+    """A table's columns as they are stored, with the time of the write."""
+    return T.StructType([*schema.fields, T.StructField(stamp, T.TimestampType())])
+
+
 @dataclass(frozen=True)
 class Contract:
     """NOT NULL columns, maximum lengths, the unique key and the decimals of one table."""

@@ -181,6 +181,6 @@ def product_fields(contents: DataFrame) -> DataFrame:
 
 
 def missing_pages(links: DataFrame, contents: DataFrame) -> DataFrame:
-    """Links that have no captured page."""
-    captured = contents.select("url").distinct()
+    """Links that have no captured page. ``contents`` stored in buckets of the URL are not shuffled."""
+    captured = contents.select("url")
     return links.join(captured, links["link"] == captured["url"], "left_anti")
