@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wareloom import schemas
+from wareloom.functions import feed
 from wareloom.operators import contract, sinks
 from wareloom.plans import ingest
 from wareloom.sources import feeds
@@ -249,6 +250,34 @@ def test_a_body_larger_than_a_variant(spark):
     assert [r.verdict for r in feeds.page_verdicts(pages).collect()] == [feeds.PAGE_OK]
 
 
+@pytest.mark.parametrize("text", [
+    '{"products":[]}', '{"products":[{"a":1},{"b":[1,{"c":"],}"}]}, 7 , null,"x"] , "k":[1]}', ' {"k":{}, "products" :\n[1]} ',
+    '{"products":[1],"products":[2,3]}', '{"products":[1],"products":7}', "{}", "[1]", '{"products":[1', '{"products":[1,]}',
+    '{"products":[1]} x', '{"products":{"a":[1]}}', '{"products":["\\"]","\\\\"]}', "", '{"products":[12345678901234567890.123,1.50]}', '{"products" 1}',
+])
+def test_products_keep_their_own_text(text):
+    try:
+        page = json.loads(text)
+        wanted = page.get("products") if isinstance(page, dict) else None
+    except ValueError:
+        wanted = None
+    got = feed.split_products(text)
+    assert (got if got is None else [json.loads(p) for p in got]) == (wanted if isinstance(wanted, list) else None)
+    assert got is None or all(p in text for p in got)
+
+
+def test_size_of_a_body_changes_no_value(spark, monkeypatch):
+    """The same products read as parts of a large body and as a VARIANT."""
+    items = ['{"title":12345678901234567890.123,"handle":1.50,"variants":[{"price":"5"}]}', '{"title":"x","vendor":null,"handle":"h"}',
+             '{"title":[1],"handle":"i"}', "7", '{"title":true,"body_html":"\\u00e9 \\"q\\"","handle":1e2,"variants":[{"price":1.10}]}']
+    pages = payloads(spark, [("a", 1, 200, '{"products":[' + ",".join(items) + "]}"), ("b", 1, 200, '{"products":[]}')])
+    small = feeds.flatten_feed(pages).collect()
+    monkeypatch.setattr(feeds, "LARGE_BODY", 1)
+    parse = feeds._parse
+    monkeypatch.setattr(feeds, "_parse", lambda p: parse(p).withColumn("document", F.when(F.col("parts").isNull(), F.col("document"))))
+    assert sorted(map(str, feeds.flatten_feed(pages).collect())) == sorted(map(str, small)) and len(small) == 5
+
+
 def test_order_holds_for_any_sequence_number(spark):
     pairs = [(0, 5), (1, 0), ((1 << 39) - 1, 7), (1 << 39, 0), ((1 << 62) + 1, 0), ((1 << 62) + 1, 1 << 30)]
     rows = spark.createDataFrame([(n, *pair) for n, pair in enumerate(pairs)], "n int, s long, p int")

@@ -114,6 +114,18 @@ def test_top_k_is_a_prefix_of_the_full_ranking(spark):
     assert sorted(r.rank_overall for r in ranking.top_k(rows, 500).collect()) == list(range(1, 501))
 
 
+def test_numbering_in_ranges(spark):
+    """Positions come out the same however many ranges there are, also where one value holds most rows."""
+    rows = spark.range(2000).select((F.when(F.col("id") < 1500, 7).otherwise(F.col("id") % 13)).alias("v"), F.col("id").alias("u"))
+    order = [F.desc("v"), F.asc("u")]
+    wanted = [r.u for r in rows.orderBy(*order).collect()]
+    for parts in (1, 7, 64):
+        ranked = ranking.numbered(rows, order, "n", parts)
+        assert [r.u for r in ranked.orderBy("n").collect()] == wanted
+        assert ranked.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 2000, 2000)
+    assert ranking.numbered(rows.limit(0), order, "n").count() == 0
+
+
 def test_store_rankings(spark):
     rows = scored(spark, ("s", "B", 1, 0, "u1", 0.2), ("s", "A", 0, 5, "u2", 0.4), ("s", "B", 0, 9, "u3", 0.9),
                   ("t", None, 0, 0, "u4", 0.1))

@@ -6,9 +6,13 @@ The columns come in steps, each using those of the step before.
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
+from json.decoder import scanstring
 
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
 from wareloom.functions.text import ascii_digits, strip
 from wareloom.functions.urls import product_link
@@ -80,6 +84,70 @@ TEXT_FIELDS = {
 }
 
 
+_BLANKS = re.compile(r"[ \t\n\r]*")
+
+
+def split_products(body: str) -> list[str] | None:
+    """The texts of the products on a page, each as it stands there; None where the page has no list of them.
+
+    Goes through the page's members and through the list one value at a time,
+    so that no more than one product is held as a value.
+    """
+    decoder = json.JSONDecoder()
+
+    def after(at: int, *signs: str) -> tuple[str, int]:
+        at = _BLANKS.match(body, at).end()
+        if body[at:at + 1] not in signs:
+            raise ValueError(f"{signs} expected at {at}")
+        return body[at], at + 1
+
+    def value(at: int) -> tuple[int, int]:
+        start = _BLANKS.match(body, at).end()
+        return start, decoder.raw_decode(body, start)[1]
+
+    products = None
+    try:
+        _, at = after(0, "{")
+        if body.startswith("}", _BLANKS.match(body, at).end()):
+            return None
+        sign = ","
+        while sign == ",":
+            _, at = after(at, '"')
+            key, at = scanstring(body, at)
+            _, at = after(at, ":")
+            start = _BLANKS.match(body, at).end()
+            if key == "products" and body[start:start + 1] == "[":
+                products, at = [], start + 1
+                inner = _BLANKS.match(body, at).end()
+                item = body[inner:inner + 1]
+                if item == "]":
+                    at = inner + 1
+                while item != "]":
+                    begin, at = value(at)
+                    products.append(body[begin:at])
+                    item, at = after(at, ",", "]")
+            else:
+                # A key that comes again counts by its last value.
+                products = None if key == "products" else products
+                _, at = value(at)
+            sign, at = after(at, ",", "}")
+        if _BLANKS.match(body, at).end() != len(body):
+            return None
+    except (ValueError, RecursionError):
+        return None
+    return products
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _split_bodies(bodies: pa.Array) -> pa.Array:
+    return pa.array([None if body is None else split_products(body) for body in bodies.to_pylist()], pa.list_(pa.string()))
+
+
+def large_products(body: Column, is_large: Column) -> Column:
+    """Texts of the products of bodies that may be more than a VARIANT holds; only these bodies leave Spark."""
+    return _split_bodies(F.when(is_large, body))
+
+
 def product_list(document: Column, parts: Column) -> Column:
     """Products of one page, one struct of raw values each; NULL without a list.
 

@@ -10,23 +10,49 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wareloom.functions.text import platform_or_unknown
 from wareloom.schemas import FLAGSHIP_PER_STORE, TOP_K
+from wareloom.session import stage
 
 # From here on Spark no longer cuts groups down before their shuffle.
 MANY = 1000
 SALTS = 64
+#: From here on an overall ranking is worked out in ranges.
+MANY_OVERALL = 100_000
 # The columns of the two reports.
 TOP_K_COLUMNS = [
     "title", "source_store_name", "price", "is_available_numeric", "final_score", "product_url", "source_platform"]
 FLAGSHIP_COLUMNS = ["source_store_name", "title", "final_score", "price", "product_url", "source_platform"]
 
 
+def numbered(rows: DataFrame, order: list, position: str, parts: int | None = None) -> DataFrame:
+    """``rows`` with their position from 1 on in ``order``, which must leave no ties; no task sees all of them.
+
+    Rows are dealt by ranges of the order and numbered within each; what the
+    ranges before hold is added.
+    """
+    dealt = rows.repartitionByRange(parts, *order) if parts else rows.repartitionByRange(*order)
+    # Written out: the ranges come from a sample, and must be the same for counts and for numbers.
+    ranged = stage(dealt.withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    # One row for each range.
+    before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.withColumn("_within", within).join(offsets, "_range").withColumn(
+        position, F.col("_within") + F.col("_before")).drop("_range", "_within", "_before")
+
+
 def top_k(scored: DataFrame, k: int = TOP_K) -> DataFrame:
     """The k best products with ``rank_overall``; ties by URL.
 
-    The limit is taken first, so the ranking window sees k rows only.
+    For a small k the limit is taken first, so the ranking window sees k rows
+    only. From ``MANY_OVERALL`` on, rows are numbered range by range.
     """
     order = [F.desc("final_score"), F.asc("product_url")]
-    best = scored.select(*TOP_K_COLUMNS).orderBy(*order).limit(k)
+    rows = scored.select(*TOP_K_COLUMNS)
+    if k >= MANY_OVERALL:
+        ranked = numbered(rows, order, "rank_overall").where(F.col("rank_overall") <= k)
+        return ranked.select(F.col("rank_overall").cast("int").alias("rank_overall"), *TOP_K_COLUMNS)
+    best = rows.orderBy(*order).limit(k)
     rank = F.row_number().over(Window.orderBy(*order))
     return best.select(rank.alias("rank_overall"), *TOP_K_COLUMNS)
 

@@ -224,6 +224,9 @@ ORACLES = {
         SELECT product_url, title, source_store_name, price, availability_score, round(price_score, 6) AS price_score,
                round(final_score, 6) AS final_score FROM scored""",
     "top_k_overall": TOP_K,
+    "rank_all": f"""WITH {SCORED}
+        SELECT CAST(row_number() OVER (ORDER BY final_score DESC, product_url NULLS FIRST) AS INTEGER) AS rank_overall,
+               product_url, source_platform FROM scored""",
     "flagship_per_store": f"""WITH {SCORED}
         SELECT CAST(n AS INTEGER) AS store_rank, source_store_name, title, round(final_score, 6) AS final_score, price,
                product_url, source_platform

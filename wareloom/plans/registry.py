@@ -140,6 +140,13 @@ def top_k_overall(spark, sf_dir):
     return rounded(ranking.top_k(scored_rows(spark, sf_dir, ranking.TOP_K_COLUMNS)), "final_score")
 
 
+@query
+def rank_all(spark, sf_dir):
+    """The position of every product in the overall ranking."""
+    ranked = ranking.top_k(scored_rows(spark, sf_dir, ranking.TOP_K_COLUMNS), 10_000_000)
+    return ranked.select("rank_overall", "product_url", "source_platform")
+
+
 @query
 def flagship_per_store(spark, sf_dir):
     scored = scored_rows(spark, sf_dir, [*ranking.FLAGSHIP_COLUMNS, *schemas.ORDER_COLUMNS])

@@ -37,10 +37,7 @@ def _parse(payloads: DataFrame) -> DataFrame:
     answered = F.col("status") < FIRST_HTTP_ERROR
     read = _identified(payloads).withColumn("document", F.when(answered, F.try_parse_json("body")))
     large = answered & (F.octet_length("body") >= LARGE_BODY)
-    whole = F.from_json(F.when(large, F.col("body")), "products array<string>, _corrupt_record string",
-                        {"columnNameOfCorruptRecord": "_corrupt_record"})
-    return read.withColumn("_whole", whole).withColumn(
-        "parts", F.when(F.col("_whole._corrupt_record").isNull(), F.col("_whole.products"))).drop("_whole")
+    return read.withColumn("parts", feed.large_products(F.col("body"), large))
 
 
 def _verdict() -> Column:
