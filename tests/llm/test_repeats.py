@@ -86,10 +86,10 @@ def test_equals_counting(spark, how):
     assert removed(documents(spark, rows), **how) == wanted(rows, how["window"])
 
 
-def test_bins_shards_blocks_and_shuffled_joins(spark, monkeypatch):
+def test_bins_and_shards(spark, monkeypatch):
     """Many small parts give the same."""
     rows = passages(2, 40)
-    for name, value in {"BIN_BYTES": 300, "SHARD_BYTES": 100, "is_small": lambda df: False}.items():
+    for name, value in {"BIN_BYTES": 300, "SHARD_BYTES": 100}.items():
         monkeypatch.setattr(repeats, name, value)
     assert removed(documents(spark, rows), window=20, grams=(5, 16, 20)) == wanted(rows, 20)
 

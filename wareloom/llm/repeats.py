@@ -34,7 +34,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from wareloom.llm import bwt
-from wareloom.llm.common import is_small
 from wareloom.session import stage
 
 WINDOW = 400
@@ -166,17 +165,12 @@ def _bodies(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.cast("binary").alias("text"))
 
 
-def _bounded(df: DataFrame, listed: str) -> DataFrame:
-    """To be broadcast if the entries of all its lists, counted, are few."""
-    return F.broadcast(df) if is_small(df.select(F.explode(listed))) else df
-
-
 def _with_text(pieces: DataFrame, bodies: DataFrame, window: int, *names: str) -> DataFrame:
     """``key, digest``, the columns ``names`` and the ``text`` of each piece, cut out of the document that stands for it."""
     carried = list(dict.fromkeys(["key", "digest", "start", "windows", *names]))
     places = {"_doc": F.col("doc_id"), "_body": F.col("body")}
     wanted = stage(pieces.withColumns(places).groupBy("_doc", "_body").agg(F.collect_list(F.struct(*carried)).alias("wanted")))
-    joined = bodies.join(_bounded(wanted, "wanted"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body")))
+    joined = bodies.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body")))
     cuts = F.transform("wanted", lambda p: F.struct(
         p["key"].alias("key"), p["digest"].alias("digest"), *(p[n].alias(n) for n in names),
         F.substring(F.col("text"), (p["start"] + 1).cast("int"), p["windows"] + (window - 1)).alias("text")))
@@ -271,7 +265,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...]
 def remove_repeats(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, max_kinds: int = MAX_KINDS) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: each document's removed spans and the bytes that are left."""
     spans = stage(repeated_spans(docs, window, grams, max_kinds))
-    listed = _bounded(spans.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("spans").alias("_spans")), "_spans")
+    # Lists of a document's places have no size bound, so they are met by a shuffle whatever the size of the table.
+    listed = spans.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("spans").alias("_spans")).hint("merge")
     rows = _bodies(docs)
     joined = rows.join(listed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body")), "left")
     size = F.octet_length("text").cast("long")
