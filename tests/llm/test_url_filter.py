@@ -1,6 +1,7 @@
 """Hosts, paths and rules against plain Python; the trees on URLs without a rule."""
 
 import os
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -54,13 +55,42 @@ def test_odd_urls_repeats_and_clashing_columns(spark):
     check([(r.page_id, r.url) for r in docs.collect()], url_filter.judge(docs).collect())
 
 
-def test_trees_learn_what_the_rules_say(spark):
-    urls = [f"http://host{n}.example.net/{'en' if n % 2 else 'de'}/{n}" for n in range(400)]
-    urls += [f"http://other{n}.example.io/x/{n}" for n in range(50)]
+def made_urls(sites, top):
+    """URLs with their verdicts: those with several parameters or many digits are blocked, whatever their site."""
+    draw = random.Random(top)
+    urls = []
+    for n in range(sites * 20):
+        blocked = draw.random() < 0.5
+        digits = blocked and draw.random() < 0.5
+        name = "".join(draw.choice("0123456789" if digits else "abcdefgh") for _ in range(14))
+        query = "?" + "&".join(f"k{k}=v" for k in range(4)) if blocked and not digits else draw.choice(["", "?k=v"])
+        urls.append((f"http://www.site{n % sites}.example.{top}/{draw.choice(['a', 'b', 'c'])}/{name}{query}", "block" if blocked else "allow"))
+    return urls
+
+
+def test_trees_judge_suffixes_that_they_never_saw(spark):
+    """Learnt on one top-level domain, right on the sites of another."""
+    labelled = spark.createDataFrame(made_urls(40, "io"), "url string, verdict string")
+    unseen = made_urls(30, "dev")
+    got = url_filter.judge(pages(spark, [url for url, _ in unseen]), labelled=labelled).collect()
+    right = sum(r.verdict == unseen[r.page_id][1] for r in got)
+    assert len(got) == len(unseen) and right >= 0.9 * len(unseen)
+
+
+def test_rules_teach_more_than_the_top_level_domain(spark):
+    """By the rules net is blocked but for short paths; others follow the length of the path, not their domain."""
+    urls = [f"http://host{n}.example.net/{'en/' if n % 2 else 'de/' + 'x' * 30}{n}" for n in range(400)]
+    urls += [f"http://other{n}.example.io/{'ab/' if n % 2 else 'cd/' + 'x' * 30}{n}" for n in range(50)]
     got = url_filter.judge(pages(spark, urls)).collect()
-    assert {r.verdict for r in got if r.rule is None} <= {"allow", "block"}
-    known = [r for r in got if r.rule]
-    assert all(r.rule == ("example.net/en/" if r.page_id % 2 else "net/") for r in known) and len(known) == 400
+    assert {r.page_id % 2: r.verdict for r in got if r.rule is None} == {0: "block", 1: "allow"}
+    assert len({(r.page_id % 2, r.verdict) for r in got if r.rule is None}) == 2
+    assert all(r.rule == ("example.net/en/" if r.page_id % 2 else "net/") for r in got if r.rule)
+
+
+def test_repeated_and_contradicting_labels(spark):
+    labelled = spark.createDataFrame(
+        [("http://a.b.io/x", "block"), ("http://a.b.io/x", "allow"), ("http://a.b.io/y", None), (None, None)] * 3, "url string, verdict string")
+    assert {r.verdict for r in url_filter.judge(pages(spark, ["http://q.io/x", None]), labelled=labelled).collect()} == {"block"}
 
 
 def test_without_rules_or_with_one_verdict(spark):
@@ -78,7 +108,7 @@ def test_lexical_features(spark):
         "url", url_filter.host_of(F.col("url")).alias("host"), url_filter.path_of(F.col("url")).alias("path"))
     row = url_filter.lexical(rows).first()
     assert (row.f_depth, row.f_labels, row.f_parameters, row.f_hyphens, row.f_fragment) == (2, 3, 2, 1, 1)
-    assert (row._suffix, row._tld, row.f_segment) == ("example.org", "org", 2)
+    assert (row._suffix, row.f_segment) == ("a-b.example.org", 2)
     from collections import Counter
     from math import log2
     shares = [n / len(row.url) for n in Counter(row.url).values()]

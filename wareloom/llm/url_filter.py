@@ -1,8 +1,10 @@
 """Judging URLs by rules and, where no rule fits, by gradient-boosted trees.
 
 The trees see lexical features: lengths, depth, ratios, entropy, parameter
-counts, and statistics of the host's suffix over the table. They learn from the
-URLs that the rules judge, at most ``FIT_ROWS`` distinct ones, chosen by hash.
+counts, and statistics of the host's suffix over the table. None of them tells
+a verdict, or the top-level domain that a rule may name. They learn from
+labelled URLs, or else from those that the rules judge, at most ``FIT_ROWS``
+distinct ones, chosen by hash.
 
 Nulls and edge cases: a null URL, or one without ``://``, has an empty host and
 path, fits no rule and is judged by the trees like any other; rows are never
@@ -21,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wareloom.llm.common import is_small
+from wareloom.session import stage
 
 #: (host and path, verdict)
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
@@ -74,56 +77,69 @@ LEXICAL = {
     "f_hyphens": lambda url, host, path: F.regexp_count(url, F.lit("[-_]")),
     "f_fragment": lambda url, host, path: url.contains("#").cast("int"),
 }
-SUFFIX = ("f_suffix_urls", "f_suffix_blocked", "f_tld_blocked")
+SUFFIX = ("f_suffix_urls", "f_suffix_hosts", "f_suffix_length", "f_suffix_parameters")
+FEATURES = (*LEXICAL, *SUFFIX)
+
+
+def _parsed(urls: DataFrame, *keep: str) -> DataFrame:
+    return urls.select(*keep, "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
 
 
 def lexical(urls: DataFrame) -> DataFrame:
-    """``urls`` (with ``url``, ``host``, ``path``) with the lexical features and the two suffixes of the host."""
+    """``urls`` (with ``url``, ``host``, ``path``) with the lexical features and the suffix of the host, its last three labels.
+
+    Rules name one or two labels, so the suffix is longer than what they say.
+    """
     url = F.coalesce("url", F.lit(""))
     return urls.select("*", *[make(url, F.col("host"), F.col("path")).cast("double").alias(name)
                               for name, make in LEXICAL.items()],
-                       F.substring_index("host", ".", -2).alias("_suffix"),
-                       F.substring_index("host", ".", -1).alias("_tld"))
+                       F.substring_index("host", ".", -3).alias("_suffix"))
 
 
-def _attach(rows: DataFrame, counts: DataFrame, key: str) -> DataFrame:
-    """Left join that moves ``rows`` only if the counts are too many to broadcast."""
-    return rows.join(F.broadcast(counts) if is_small(counts) else counts, key, "left")
+def suffix_statistics(rows: DataFrame) -> DataFrame:
+    """``_suffix`` and what its URLs are like: their number, hosts, mean length and mean number of parameters; no verdicts."""
+    return rows.groupBy("_suffix").agg(
+        F.log1p(F.count(F.lit(1))).alias("f_suffix_urls"), F.log1p(F.approx_count_distinct("host")).alias("f_suffix_hosts"),
+        F.avg("f_length").alias("f_suffix_length"), F.avg("f_parameters").alias("f_suffix_parameters"))
 
 
-def with_suffix_statistics(rows: DataFrame, judged: DataFrame) -> DataFrame:
-    """Adds URLs per suffix, and the smoothed share of blocked ones among those the rules judge."""
-    share = (F.count_if(F.col("verdict") == "block") + 1) / (F.count("verdict") + 2)
-    suffixes = judged.groupBy("_suffix").agg(
-        F.log1p(F.count(F.lit(1))).alias("f_suffix_urls"), share.alias("f_suffix_blocked"))
-    tlds = judged.groupBy("_tld").agg(share.alias("f_tld_blocked"))
-    return _attach(_attach(rows, suffixes, "_suffix"), tlds, "_tld").fillna(0.5, list(SUFFIX))
+def _attach(rows: DataFrame, statistics: DataFrame) -> DataFrame:
+    """Left join that moves ``rows`` only if the suffixes are too many to broadcast; noughts for a suffix not in the table."""
+    small = is_small(statistics)
+    return rows.join(F.broadcast(statistics) if small else statistics, "_suffix", "left").fillna(0.0, list(SUFFIX))
 
 
-def judge(pages: DataFrame, rules=RULES, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """``page_id, url, host, path, rule, verdict, score``; ``score`` is the trees' probability of a block."""
-    url = F.col("url")
-    rows = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
-    rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
-    rows = lexical(rows.select("*", rule.alias("rule"), verdict.alias("verdict")))
-    known = rows.select("url", "_suffix", "_tld", "verdict")
-    full = with_suffix_statistics(rows, known)
-
-    features = [*LEXICAL, *SUFFIX]
-    named = full.where(F.col("verdict").isNotNull()).groupBy("url").agg(
-        F.first("verdict").alias("verdict"), *[F.first(name).alias(name) for name in features])
-    sample = named.orderBy(F.xxhash64("url"), "url").limit(fit_rows).select(
-        (F.col("verdict") == "block").cast("double").alias("label"), *features)
+def learn(labelled: DataFrame, statistics: DataFrame, fit_rows: int = FIT_ROWS):
+    """A function that adds ``score``, the probability of a block, to rows with the features.
+
+    ``labelled`` has ``url, verdict``; rows without a verdict are left out, a
+    URL counts once, and as blocked where its rows say both.
+    """
+    known = labelled.where(F.col("verdict").isNotNull()).groupBy("url").agg(
+        F.max(F.col("verdict") == "block").cast("double").alias("label"))
+    drawn = known.orderBy(F.xxhash64("url"), "url").limit(fit_rows)
+    sample = stage(_attach(lexical(_parsed(drawn, "label")), statistics).select("label", *FEATURES))
     labels = sorted(row.label for row in sample.select("label").distinct().collect())
     if len(labels) < 2:
         fixed = labels[0] if labels else 0.0
-        scored = full.withColumn("score", F.lit(fixed))
-    else:
-        assembler = VectorAssembler(inputCols=features, outputCol="_features")
-        trees = GBTClassifier(
-            featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7)
-        model = trees.fit(assembler.transform(sample).select("label", "_features").coalesce(4))
-        scored = model.transform(assembler.transform(full)).withColumn(
-            "score", F.element_at(vector_to_array("probability"), 2))
+        return lambda rows: rows.withColumn("score", F.lit(fixed))
+    assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
+    trees = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7)
+    model = trees.fit(assembler.transform(sample).select("label", "_features").coalesce(4))
+    return lambda rows: model.transform(assembler.transform(rows)).withColumn(
+        "score", F.element_at(vector_to_array("probability"), 2))
+
+
+def judge(pages: DataFrame, rules=RULES, fit_rows: int = FIT_ROWS, labelled: DataFrame | None = None) -> DataFrame:
+    """``page_id, url, host, path, rule, verdict, score``; ``score`` is the trees' probability of a block.
+
+    The trees learn from ``labelled`` (``url, verdict``), or else from the URLs
+    that the rules judge.
+    """
+    rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
+    rows = lexical(_parsed(pages, "page_id").select("*", rule.alias("rule"), verdict.alias("verdict")))
+    statistics = stage(suffix_statistics(rows))
+    score = learn(rows if labelled is None else labelled, statistics, fit_rows)
     guessed = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
-    return scored.select("page_id", "url", "host", "path", "rule", F.coalesce("verdict", guessed).alias("verdict"), "score")
+    return score(_attach(rows, statistics)).select(
+        "page_id", "url", "host", "path", "rule", F.coalesce("verdict", guessed).alias("verdict"), "score")
