@@ -3,10 +3,12 @@
 import hashlib
 import math
 import os
+import random
 import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from rows import documents, odd_rows, texts
 
 from wareloom.llm import pii
@@ -106,6 +108,51 @@ def test_far_and_repeated_terms_are_marked(spark):
     assert {spans[n] for n in range(4, 44)} == {""}
 
 
+def marked_by_brute_force(rows):
+    """``(place, kind, stop)`` of the terms that ``rows`` of id and text reveal, each different row once."""
+    once = {(doc, text) for doc, text in rows}
+    words = {row: set(re.findall(r"[a-z]{3,}", row[1].lower())) for row in once}
+    mails = {row: set(re.findall(r"[a-z]+@x\.org", row[1])) for row in once}
+    found = {}
+    for row in once:
+        for match in re.finditer(r"[a-z]{3,}", row[1].lower()):
+            best = 0.0
+            for mail in mails[row]:
+                entity = sum(mail in mails[other] for other in once)
+                term = sum(match[0] in words[other] for other in once)
+                both = sum(mail in mails[other] and match[0] in words[other] for other in once)
+                if both >= pii.SUPPORT and entity < len(once):
+                    best = max(best, math.log(len(once) * both / (entity * term)) / math.log(len(once) / entity))
+            inside = any(m.start() < match.end() and match.start() < m.end() for m in re.finditer(r"[a-z]+@x\.org", row[1]))
+            if best >= pii.GENERALISE and not inside:
+                found.setdefault(row, []).append(("remove" if best >= pii.REMOVE else "generalise", match.start(), match.end()))
+    return found
+
+
+@pytest.mark.parametrize("times", [1, 20])
+def test_spans_equal_brute_force_also_with_repeated_rows(spark, times):
+    draw = random.Random(5)
+    vocabulary = ["".join(draw.choice("abcdefgh") for _ in range(5)) for _ in range(40)]
+    rows = []
+    for n in range(60):
+        text = draw.choices(vocabulary, k=8)
+        # People with words of their own, two of whom are always named together.
+        for who in draw.sample(["ann", "bob", "cid", "dee"], draw.choice([0, 0, 1, 2])):
+            text += [f"{who}@x.org", vocabulary["abcd".index(who[0])], *(["eve@x.org"] if who == "ann" else [])]
+        draw.shuffle(text)
+        rows.append((n // 2 if n < 50 else None, " ".join(text)))
+    wanted = marked_by_brute_force(rows)
+    docs = spark.createDataFrame(rows * times, "doc_id long, text string")
+    got = pii.protect(docs).groupBy("doc_id", "key", pii.as_text("spans").alias("spans")).count().join(
+        docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("k"), "text").distinct(),
+        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).collect()
+    assert sum(r["count"] for r in got) == len(rows) * times
+    assert sum(map(len, wanted.values())) > 20
+    for row in got:
+        marks = [tuple(span.split(":")) for span in row.spans.split(",") if span and not span.startswith("email")]
+        assert [(k, int(a), int(b)) for k, a, b in marks] == wanted.get((row.doc_id, row.text), [])
+
+
 def test_terms_cut_by_the_window_are_left_out(spark):
     far = "farterm " + "x" * 58 + " jo@x.org " + "y" * 60 + " cutoffterm"
     docs = texts(spark, far)

@@ -6,7 +6,8 @@ information of entity and term, over the information content of the entity.
 It is 1 where the term only occurs together with the entity. In the documents
 that hold the entity, every occurrence of such a term is generalised from
 ``GENERALISE`` on, and removed from ``REMOVE`` on. Evidence needs ``SUPPORT``
-documents.
+documents. Terms that are too common to reveal any entity are left out before
+terms and entities meet; those that stand in the same documents meet as one.
 
 A term is a word of at least ``LETTERS`` letters, wherever it stands in the
 text. Entities are compared in lower case, numbers by their digits.
@@ -14,7 +15,7 @@ text. Entities are compared in lower case, numbers by their digits.
 who want those; ``protect`` has no such window.
 
 Nulls and edge cases: a null text counts as empty; an empty text has no spans;
-statistics count rows with different text or ``doc_id``; rows that share both
+all statistics count rows that share text and ``doc_id`` once, and such rows
 get the same result; rows are never merged; an empty table gives an empty
 result. Spans are in code points, their end exclusive.
 """
@@ -155,67 +156,112 @@ def _terms(text: str) -> Column:
     return F.array_distinct(F.transform(every, lambda word: F.lower(word)))
 
 
-def _entities(found: DataFrame) -> DataFrame:
-    """``entity, with_entity``: number of documents of each entity."""
+def _sets(rows: DataFrame, column: str, held: str) -> DataFrame:
+    """``column`` with the number and the two digests of the documents that hold it, as the struct ``held``.
+
+    ``rows`` name each document once for each value. Values with equal structs
+    stand in the same documents.
+    """
+    return rows.groupBy(column).agg(F.struct(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", "key")).alias("a"),
+        F.bit_xor(F.xxhash64(F.lit(1), "key", "doc_id")).alias("b")).alias(held))
+
+
+def _entity_documents(found: DataFrame) -> DataFrame:
     rows = found.select("doc_id", "key", F.explode("spans.entity").alias("entity"))
-    return _documents(rows, "entity").withColumnRenamed("documents", "with_entity")
+    return rows.groupBy("doc_id", "key", "entity").agg(F.lit(1).alias("one")).drop("one")
+
+
+def _term_counts(docs: DataFrame, found: DataFrame, terms: DataFrame) -> DataFrame:
+    """``term, with_term``: the number of documents that hold each of ``terms``, of rows with equal id and text only one."""
+    again = stage(found.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
+        F.count(F.lit(1)).alias("times")).where(F.col("times") > 1))
+    if is_small(again):
+        again = F.broadcast(again)
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
+    single = rows.join(again, _same_document("_doc", "_key"), "left_anti")
+    several = rows.join(again, _same_document("_doc", "_key"), "left_semi").dropDuplicates(["doc_id", "key"])
+    held = single.union(several).select(F.explode_outer(_terms("text")).alias("term"))
+    held = held.join(F.broadcast(terms) if is_small(terms) else terms, "term")
+    # Counted before any shuffle by term, as some terms are in most documents.
+    return held.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs in ``near`` with enough support."""
-    return _disclosures(docs, _entities(found), _documents(near, "entity", "term"), support)
+def _total(found: DataFrame) -> Column:
+    """The number of documents, those of equal id and text counted once."""
+    return F.lit(found.select("doc_id", "key").distinct().count()).cast("double")
 
 
-def _disclosures(docs: DataFrame, entities: DataFrame, pairs: DataFrame, support: int) -> DataFrame:
-    """``entity, term, disclosure`` by the number of ``documents`` of each pair.
+def _disclosure(total: Column, together: Column, with_entity: Column, with_term: Column) -> Column:
+    """Mutual information over the entity's information; null for an entity that all documents hold."""
+    information = F.log(total / with_entity)
+    return F.when(information > 0, F.log(total * together / (with_entity * with_term)) / information)
 
-    All documents are read once for how many hold each term; only the terms
-    that occur with some entity often enough are counted.
-    """
-    together = stage(pairs.where(F.col("documents") >= support))
-    terms = together.select("term").distinct()
-    held = docs.select(F.explode_outer(_terms("text")).alias("term"))
-    if is_small(terms):
-        held = held.join(F.broadcast(terms), "term")
-    # Counted before any shuffle by term, as some terms are in most documents.
-    counted = held.groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
-    total = F.lit(docs.count()).cast("double")
-    joined = (
-        together.join(entities, "entity").join(counted, "term")
-        .withColumn("information", F.log(total / F.col("with_entity")))
-    )
-    mutual = F.log(total * F.col("documents") / (F.col("with_entity") * F.col("with_term")))
-    return joined.where(F.col("information") > 0).select(
-        "entity", "term", (mutual / F.col("information")).alias("disclosure"))
+
+def disclosures(docs: DataFrame, found: DataFrame, near: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """``entity, term, disclosure`` of the pairs in ``near`` with enough support."""
+    together = stage(_documents(near, "entity", "term").where(F.col("documents") >= support))
+    entities = _documents(_entity_documents(found), "entity").withColumnRenamed("documents", "with_entity")
+    counted = _term_counts(docs, found, together.select("term").distinct())
+    value = _disclosure(_total(found), F.col("documents"), F.col("with_entity"), F.col("with_term"))
+    joined = together.join(entities, "entity").join(counted, "term")
+    return joined.select("entity", "term", value.alias("disclosure")).where("disclosure is not null")
 
 
 def _same_document(doc: str, key: str) -> Column:
     return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("key") == F.col(key))
 
 
-def _holders(found: DataFrame, entities: DataFrame) -> DataFrame:
-    """``doc_id, key, entities, text``: the documents that hold some of ``entities``, each once."""
-    held = found.select("doc_id", "key", F.explode("spans.entity").alias("entity")).join(entities.select("entity"), "entity")
-    listed = held.groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
-        F.collect_set("entity").alias("entities"))
+def _holders(found: DataFrame, support: int) -> DataFrame:
+    """``doc_id, key, entities, text``: the documents that hold entities with support, each once.
+
+    ``entities`` are the structs of ``_sets``: entities that stand in the same documents count as one.
+    """
+    rows = stage(_entity_documents(found))
+    sets = stage(_sets(rows, "entity", "held").where(F.col("held.n") >= support))
+    listed = rows.join(sets, "entity").groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
+        F.collect_set("held").alias("entities"))
     texts = found.where(F.col("text").isNotNull()).select("doc_id", "key", "text").dropDuplicates(["doc_id", "key"])
     return texts.join(listed, _same_document("_doc", "_key")).select("doc_id", "key", "entities", "text")
 
 
+def _possible_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, total: Column, generalise: float, support: int) -> DataFrame:
+    """``term, words``: the terms that can reach ``generalise`` with some entity; ``words`` is alike for those that stand alike.
+
+    Of a term that ``n`` holders have, and ``m`` documents altogether, the
+    disclosure is the largest for an entity that just these n documents hold.
+    """
+    sets = stage(_sets(terms, "term", "held").where(F.col("held.n") >= support))
+    counted = sets.join(_term_counts(docs, found, sets.select("term")), "term")
+    rest = F.log(F.col("with_term") / F.col("held.n"))
+    possible = rest <= (1 - generalise) * F.log(total / F.col("held.n")) + 1e-9
+    return counted.where(possible).select("term", F.struct("held", "with_term").alias("words"))
+
+
+def _pairs(termed: DataFrame) -> DataFrame:
+    """``doc_id, key, words, entity``: the kinds of terms and entities of each document."""
+    once = termed.groupBy("doc_id", "key", "words").agg(F.first("entities").alias("entities"))
+    return once.select("doc_id", "key", "words", F.explode("entities").alias("entity"))
+
+
 def telling_terms(docs: DataFrame, found: DataFrame, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
     """``doc_id, key, start, stop, disclosure``: every occurrence of the terms that reveal an entity of their document."""
-    entities = stage(_entities(found).where(F.col("with_entity") >= support))
-    holders = stage(_holders(found, entities))
+    holders = stage(_holders(found, support))
     # The outer forms keep Spark from working out terms and places a second time to test for empty ones.
     terms = holders.select("doc_id", "key", "entities", F.explode_outer(_terms("text")).alias("term")).where("term is not null")
-    # A document's terms are distinct, so rows are documents.
-    pairs = terms.select("doc_id", "key", "term", F.explode("entities").alias("entity"))
-    counted = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("documents"))
-    telling = stage(_disclosures(docs, entities, counted, support).where(F.col("disclosure") >= generalise))
-    marked = stage(
-        pairs.join(F.broadcast(telling) if is_small(telling) else telling, ["entity", "term"])
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("term").alias("_term"))
-        .agg(F.max("disclosure").alias("disclosure")))
+    total = _total(found)
+    possible = stage(_possible_terms(docs, found, terms, total, generalise, support))
+    termed = stage(terms.join(F.broadcast(possible) if is_small(possible) else possible, "term"))
+    pairs = _pairs(termed)
+    # A document's kinds are distinct, so rows are documents.
+    counted = pairs.groupBy("entity", "words").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= support)
+    value = _disclosure(total, F.col("documents"), F.col("entity.n"), F.col("words.with_term"))
+    telling = stage(counted.select("entity", "words", value.alias("disclosure")).where(F.col("disclosure") >= generalise))
+    best = pairs.join(F.broadcast(telling) if is_small(telling) else telling, ["entity", "words"]).groupBy(
+        F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.col("words").alias("_words")).agg(
+        F.max("disclosure").alias("disclosure"))
+    marked = stage(termed.join(best, _same_document("_doc", "_key") & (F.col("words") == F.col("_words"))).select(
+        "_doc", "_key", F.col("term").alias("_term"), "disclosure"))
     # The texts are looked through for places only where they hold such a term.
     some = marked.select("_doc", "_key").distinct()
     texts = holders.join(some, _same_document("_doc", "_key"), "left_semi").select("doc_id", "key", "text")
