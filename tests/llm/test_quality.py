@@ -71,6 +71,19 @@ def test_odd_rows_clashing_columns_and_few_labels(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_the_sample_keeps_its_share_of_labels_when_rows_repeat(spark, monkeypatch):
+    """Surplus rows go by hash, whatever their label."""
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda names, rows, labels: seen.append(labels))
+    rows = [(n, f"text number {n}", "en", "a", 0) for n in range(600)]
+    known = labels(spark, [(n, int(n % 10 > 2), 0) for n in range(600)])
+    quality.train(documents(spark, rows), known, 300)
+    quality.train(documents(spark, rows * 3), known, 300)
+    once, repeated = (labels.mean() for labels in seen)
+    assert len(seen[0]) == len(seen[1]) == 300
+    assert abs(once - 0.7) < 0.08 and abs(repeated - once) < 0.12
+
+
 def test_empty_tables(spark):
     nobody = labels(spark, [(1, 1, 0)]).limit(0)
     assert quality.classify(documents(spark, []), nobody).count() == 0

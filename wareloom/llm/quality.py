@@ -179,9 +179,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Addit
     known = labels.select("doc_id", F.col("quality").cast("double").alias("_label"))
     known = known.where(F.col("_label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(fit_rows)
-    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("_label", "text")
+    place = F.xxhash64("doc_id", "text")
+    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("_label", place.alias("_place"), "text")
     full, names = with_features(drawn, "text")
-    rows = full.select("_label", *names).orderBy("_label", *names).limit(fit_rows).toPandas().to_numpy(float)
+    # Surplus rows, where ids repeat, go by hash: by label, one of the labels would go first.
+    ordered = full.select("_label", "_place", *names).orderBy("_place", "_label", *names)
+    rows = ordered.limit(fit_rows).drop("_place").toPandas().to_numpy(float)
     return fit(names, rows[:, 1:], rows[:, 0])
 
 
