@@ -109,6 +109,20 @@ def test_the_alignment_equals_the_longest_common_subsequence():
         assert aligned == 0 or best < 0.8 or abs(aligned - best) < 1e-12
 
 
+def test_rows_under_one_id_meet_only_their_own_text(spark):
+    """100 texts with a near copy each, all under one id: 200 rows stay 200, and each is read once."""
+    rows = [(1, text) for n in range(100) for text in (sentence(n, 60), edited(sentence(n, 60), n, 1))]
+    docs = documents(spark, [(*row, "en", "a", 0) for row in rows])
+    got = near_dup.classes(docs).collect()
+    assert [(r.doc_id, r.class_id) for r in got] == [(1, 1)] * 200
+    sketched = near_dup.sketch(docs)
+    nodes = sketched.selectExpr("node", "doc_id rep", "body rep_body")
+    wanted = nodes.selectExpr("rep", "rep_body")
+    assert docs.selectExpr("doc_id rep", "xxhash64(text) rep_body").join(wanted, ["rep", "rep_body"]).count() == 200
+    read = near_dup.read_sequences(nodes.select("node"), nodes, docs)
+    assert read.count() == read.select("node").distinct().count() == 200
+
+
 def test_repeated_shingles_are_labelled():
     hashes = near_dup._Hashes()
     made = near_dup.labelled_shingles("a b " * 50, hashes)

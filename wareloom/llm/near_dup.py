@@ -129,14 +129,15 @@ def _sketcher(number: int, short: int) -> Callable:
                 nodes.append(_text_hash(text, shingles))
                 keys.append(sketches(shingles, number, short).view(np.int64) if len(shingles) else [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), _signed(nodes), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+                [batch.column("doc_id"), batch.column("body"), _signed(nodes), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "body", "node", "keys"])
     return run
 
 
 def sketch(docs: DataFrame, number: int = SKETCHES, short: int = SHORT) -> DataFrame:
-    """``doc_id, node, keys``: the hash of the text and its sketches."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_sketcher(number, short), "doc_id long, node long, keys array<long>")
+    """``doc_id, body, node, keys``: hashes of the text as it is and of its words, and its sketches."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("body"), "text")
+    return rows.mapInArrow(_sketcher(number, short), "doc_id long, body long, node long, keys array<long>")
 
 
 def compare(left: np.ndarray, right: np.ndarray, similarity: float = SIMILARITY) -> tuple[float, int]:
@@ -189,8 +190,11 @@ def _verifier(similarity: float) -> Callable:
 
 def read_sequences(used: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, sequence`` of the distinct ``node``s that are used; staged."""
-    wanted = nodes.join(used.distinct(), "node", "left_semi").select("node", "rep")
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("node", "text")
+    wanted = nodes.join(used.distinct(), "node", "left_semi").select("node", "rep", "rep_body")
+    bodies = docs.select("doc_id", F.xxhash64("text").alias("body"), "text")
+    # By id and text, as rows may share their id.
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("body") == F.col("rep_body"))
+    texts = bodies.join(wanted, same).select("node", "text")
     return stage(texts.mapInArrow(_sequencer, "node long, sequence array<long>").dropDuplicates(["node"]))
 
 
@@ -308,7 +312,10 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id`` of every document; near copies share the class id."""
     sketched = stage(sketch(docs))
-    nodes = stage(sketched.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
+    # The row that stands for a node: the smallest id, and of rows that share it the smallest hash.
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "body")
+    nodes = stage(sketched.groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.min_by("body", order).alias("rep_body"), F.first("keys").alias("keys")))
     labels = class_labels(nodes, docs, similarity)
     named = nodes.select("node", "rep").join(labels, "node", "left").select(
         "node", "rep", F.coalesce("label", "node").alias("label"))
