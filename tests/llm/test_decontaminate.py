@@ -105,7 +105,17 @@ def test_odd_rows_short_items_and_clashing_columns(spark):
     assert got == {(20, 3): 1.0, (1, 4): 1.0, (2, 4): 1.0, (None, 4): 1.0, (1, 5): 1.0, (2, 5): 1.0, (None, 5): 1.0}
     kept = decontaminate.decontaminate(docs, benchmark)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {None, 3, 4, 7, 8, 9, 10, 11}
+    ids = {r.doc_id for r in kept.collect()}
+    assert ids - {None} == {3, 4, 7, 8, 9, 10, 11}
+    # Rows without an id go by their text like others.
+    assert not {r.text for r in kept.collect()} & {sentence(1, 60)}
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    docs = documents(spark, [(1, sentence(1, 60), "en", "a", 0), (1, sentence(2, 60), "en", "a", 0), (None, sentence(1, 60), "en", "a", 0),
+                             (None, None, "en", "a", 0), (None, sentence(3, 60), "en", "a", 0)])
+    kept = decontaminate.decontaminate(docs, items(spark, sentence(1, 60))).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in kept) == sorted(map(str, [(1, sentence(2, 60)), (None, None), (None, sentence(3, 60))]))
 
 
 def test_empty_tables(spark):

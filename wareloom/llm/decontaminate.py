@@ -13,7 +13,8 @@ weighted by how often they occur.
 Nulls and edge cases: null and empty texts and items without words match
 nothing; items of fewer than ``size`` words make one shingle, and so do the
 windows compared with them; rows that share a ``doc_id`` count as one
-document; an item listed twice is
+document in the report, while each row goes or stays by its own text, also
+without an id; an item listed twice is
 reported under each id; an empty table gives an empty result. A document
 shorter than an item is compared as a whole.
 """
@@ -136,7 +137,7 @@ def _starts(hits: DataFrame, size: int, similarity: float) -> DataFrame:
 
 def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool = True,
             similarity: float = SIMILARITY) -> DataFrame:
-    """``doc_id, n_words, start, window``: all item-sized windows that can be alike to an item.
+    """``doc_id, key, n_words, start, window``: all item-sized windows that can be alike to an item.
 
     With few items their shingles are broadcast, otherwise hits are found by a
     shuffle of narrow rows. The documents that have windows are joined back.
@@ -146,17 +147,15 @@ def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool
         F.collect_list(F.struct("n_words", "start")).alias("found")))
     same = F.col("doc_id").eqNullSafe(F.col("found_in")) & (F.col("key") == F.col("found_key"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("key"), "text").join(found, same)
-    placed = texts.select("doc_id", words(F.col("text")).alias("tokens"), "found").select("doc_id", "tokens", F.inline("found"))
-    parts = placed.select("doc_id", "n_words", "start", F.slice("tokens", F.col("start") + 1, F.col("n_words")).alias("part"))
-    return parts.select("doc_id", "n_words", "start", shingles("part", size).alias("window"))
+    placed = texts.select("doc_id", "key", words(F.col("text")).alias("tokens"), "found").select(
+        "doc_id", "key", "tokens", F.inline("found"))
+    parts = placed.select("doc_id", "key", "n_words", "start", F.slice("tokens", F.col("start") + 1, F.col("n_words")).alias("part"))
+    return parts.select("doc_id", "key", "n_words", "start", shingles("part", size).alias("window"))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
-                 radius: int = RADIUS) -> DataFrame:
-    """``doc_id, item_id, similarity, start``: the best window of each document and item that are alike.
-
-    ``start`` is the window's first word, the earliest of equally good ones.
-    """
+def alike_windows(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
+                  radius: int = RADIUS) -> DataFrame:
+    """``doc_id, key, item_id, similarity, start``: the windows that are alike to an item; ``key`` is the text's hash."""
     items = stage(fingerprinted_items(benchmark, size))
     shared = items.select(F.explode("item"))
     small = is_small(shared)
@@ -170,12 +169,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, sim
         (F.col("n_words") == F.col("item_words")) & (F.col("block") == F.col("item_block"))
         & (F.col("value") == F.col("item_value"))
         & (F.bit_count(apart) <= radius) & (F.col("block") == _first_equal_block(apart, radius)))
-    scored = pairs.select("doc_id", "item_id", weighted_similarity("window", "item").alias("similarity"), "start")
-    return scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "item_id").agg(
+    scored = pairs.select("doc_id", "key", "item_id", weighted_similarity("window", "item").alias("similarity"), "start")
+    return scored.where(F.col("similarity") >= similarity)
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
+                 radius: int = RADIUS) -> DataFrame:
+    """``doc_id, item_id, similarity, start``: the best window of each document and item that are alike.
+
+    ``start`` is the window's first word, the earliest of equally good ones.
+    """
+    return alike_windows(docs, benchmark, size, similarity, radius).groupBy("doc_id", "item_id").agg(
         F.max("similarity").alias("similarity"), F.min_by("start", F.struct(-F.col("similarity"), "start")).alias("start"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item."""
-    held = contaminated(docs, benchmark).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, docs["doc_id"] == held["_held"], "left_anti")
+    """``docs`` without the rows whose text holds a benchmark item, those without an id among them."""
+    held = alike_windows(docs, benchmark).select(F.col("doc_id").alias("_held"), F.col("key").alias("_text")).distinct()
+    return docs.join(held, docs["doc_id"].eqNullSafe(held["_held"]) & (F.xxhash64(docs["text"]) == held["_text"]), "left_anti")
