@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from rows import documents, odd_rows, sentence
 
 from wareloom.llm import decontaminate
@@ -128,3 +129,25 @@ def test_blocks_find_every_fingerprint_within_the_radius():
     assert len(edges) == decontaminate.RADIUS + 1
     covered = [low + bit for low, mask in edges for bit in range(mask.bit_length())]
     assert covered == list(range(64))
+
+
+def test_items_meet_only_documents_that_hold_what_is_rare_in_them(spark):
+    """300 items of one length that share half of their words, one of them in each document."""
+    common = sentence(7, 30)
+    texts = [common + " " + sentence(1000 + n, 30) for n in range(300)]
+    docs = documents(spark, [(n, sentence(5000 + n, 40) + " " + texts[n % 300] + " " + sentence(6000 + n, 40), "en", "a", 0)
+                             for n in range(200)])
+    benchmark = items(spark, *texts)
+    listed = decontaminate.fingerprinted_items(benchmark)
+    seen = decontaminate.windows(docs, listed).withColumn("place", F.struct("doc_id", "key"))
+    for small in (True, False):
+        met = decontaminate.candidates(seen, decontaminate.rare_shingles(listed), small)
+        assert 200 <= met.count() <= 200 * 300 // 10
+    assert {k: v for k, v in held(docs, benchmark).items() if v == 1} == {(n, n): 1.0 for n in range(200)}
+
+
+def test_equal_items_and_repeated_rows(spark):
+    docs = documents(spark, [(1, sentence(1, 60), "en", "a", 0)] * 50 + [(None, sentence(1, 60), "en", "a", 0)] * 50)
+    found = decontaminate.alike_windows(docs, items(spark, *[sentence(1, 60)] * 20))
+    assert found.count() == 100 * 20
+    assert held(docs, items(spark, *[sentence(1, 60)] * 3)) == {(d, n): 1.0 for d in (1, None) for n in range(3)}

@@ -7,8 +7,12 @@ placed at all starts where the count can reach the similarity, in whatever
 order the shingles stand. Windows get a 64-bit SimHash of their word shingles.
 Two fingerprints that differ in at most ``radius`` bits agree in at least one
 of ``radius + 1`` blocks, so an equi join on the blocks finds all pairs within
-the radius. Pairs are then verified by the similarity of their shingles
-weighted by how often they occur.
+the radius. Blocks of three or four bits select little by themselves, so the
+join is made within a document and only with the items of which it holds a
+rare shingle: an item can lose so many of its shingles and no more, so of its
+rarest ones, one more than that, some stand in every window alike to it. Pairs
+are then verified by the similarity of their shingles weighted by how often
+they occur.
 
 Nulls and edge cases: null and empty texts and items without words match
 nothing; items of fewer than ``size`` words make one shingle, and so do the
@@ -70,10 +74,11 @@ def weighted_similarity(left: str, right: str) -> Column:
 
 
 def fingerprinted_items(benchmark: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``item_id, n_words, item, item_bits, item_key``; items of the same words share their ``item_key``."""
     items = benchmark.select("item_id", words(F.col("text")).alias("tokens"))
     items = items.where(F.size("tokens") > 0).select(
         "item_id", F.size("tokens").alias("n_words"), shingles("tokens", size).alias("item"))
-    return items.withColumn("item_bits", simhash("item"))
+    return items.withColumns({"item_bits": simhash("item"), "item_key": F.xxhash64("n_words", "item")})
 
 
 def _length(n_words: Column | str, size: int) -> Column:
@@ -153,24 +158,52 @@ def windows(docs: DataFrame, items: DataFrame, size: int = SHINGLE, small: bool
     return parts.select("doc_id", "key", "n_words", "start", shingles("part", size).alias("window"))
 
 
+def rare_shingles(items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``item_key, n_words, h``: shingles of each item of which every window alike to it holds one.
+
+    Shingles that few items of the same length hold come first. A window of the
+    wanted similarity shares that part of the item's shingles at least.
+    """
+    texts = items.dropDuplicates(["item_key"])
+    held = texts.select("item_key", "n_words", F.explode("item").alias("h"))
+    holders = held.groupBy("n_words", "h").agg(F.count_distinct("item_key").alias("holders"))
+    ranked = held.join(holders, ["n_words", "h"]).groupBy("item_key", "n_words").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "h"))).alias("ranked"))
+    spare = F.size("ranked") - F.ceil(F.size("ranked") * similarity - 1e-6).cast("int") + 1
+    return ranked.select("item_key", "n_words", F.explode(F.array_distinct(F.slice("ranked", F.lit(1), spare)["h"])).alias("h"))
+
+
+def candidates(seen: DataFrame, rare: DataFrame, small: bool = True) -> DataFrame:
+    """``place, n_words, item_key``: the items of which a document's windows hold a rare shingle."""
+    shared = seen.select("place", "n_words", F.explode("window").alias("h")).distinct()
+    return shared.join(F.broadcast(rare) if small else rare, ["n_words", "h"]).select("place", "n_words", "item_key").distinct()
+
+
 def alike_windows(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
                   radius: int = RADIUS) -> DataFrame:
     """``doc_id, key, item_id, similarity, start``: the windows that are alike to an item; ``key`` is the text's hash."""
     items = stage(fingerprinted_items(benchmark, size))
-    shared = items.select(F.explode("item"))
-    small = is_small(shared)
+    small = is_small(items.select(F.explode("item")))
+    listed = items.dropDuplicates(["item_key"]).drop("item_id", "n_words")
     seen = windows(docs, items, size, small, similarity).withColumn("bits", simhash("window"))
-    left = seen.select("*", _block_values(F.col("bits"), radius).alias("block", "value"))
-    right = items.withColumnRenamed("n_words", "item_words").select(
-        "*", _block_values(F.col("item_bits"), radius).alias("item_block", "item_value"))
+    # Unlike columns, structs with a null in the same place are equal, so rows without an id meet too.
+    seen = stage(seen.withColumn("place", F.struct("doc_id", "key")))
+    met = candidates(seen, stage(rare_shingles(items, similarity)), small)
+    bits = listed.select("item_key", "item_bits")
+    met = met.join(F.broadcast(bits) if small else bits, "item_key")
+    left = seen.select("place", "n_words", "start", "bits", _block_values(F.col("bits"), radius).alias("block", "value"))
+    right = met.select("place", "n_words", "item_key", "item_bits", _block_values(F.col("item_bits"), radius).alias("block", "value"))
     apart = F.col("bits").bitwiseXOR(F.col("item_bits"))
-    pairs = left.join(
-        F.broadcast(right) if small else right,
-        (F.col("n_words") == F.col("item_words")) & (F.col("block") == F.col("item_block"))
-        & (F.col("value") == F.col("item_value"))
-        & (F.bit_count(apart) <= radius) & (F.col("block") == _first_equal_block(apart, radius)))
-    scored = pairs.select("doc_id", "key", "item_id", weighted_similarity("window", "item").alias("similarity"), "start")
-    return scored.where(F.col("similarity") >= similarity)
+    near = left.join(right, ["place", "n_words", "block", "value"]).where(
+        (F.bit_count(apart) <= radius) & (F.col("block") == _first_equal_block(apart, radius)))
+    pairs = near.select("place", "n_words", "start", "item_key").distinct()
+    texts = listed.select("item_key", "item")
+    scored = pairs.join(seen.select("place", "n_words", "start", "window"), ["place", "n_words", "start"]).join(
+        F.broadcast(texts) if small else texts, "item_key").select(
+        "place", "start", "item_key", weighted_similarity("window", "item").alias("similarity"))
+    ids = items.select("item_key", "item_id")
+    return scored.where(F.col("similarity") >= similarity).join(F.broadcast(ids) if small else ids, "item_key").select(
+        "place.doc_id", "place.key", "item_id", "similarity", "start")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE, similarity: float = SIMILARITY,
