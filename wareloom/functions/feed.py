@@ -25,6 +25,9 @@ PRICE_LIMIT = 99_999_999.995
 PRODUCT = ("struct<title: variant, vendor: variant, body_html: variant, product_type: variant, "
            "handle: variant, variants: variant>")
 VARIANT = "struct<price: variant, available: variant>"
+#: The same fields as plain text, and the column that is set where a body does not fit.
+TEXTS = "struct<title: string, vendor: string, body_html: string, product_type: string, handle: string, variants: array<struct<price: string>>>"
+MISFIT = "misfit"
 
 
 MISSING, NULL, OBJECT, ARRAY, BOOLEAN, STRING = "", "VOI", "OBJ", "ARR", "BOO", "STR"
@@ -148,26 +151,46 @@ def large_products(body: Column, is_large: Column) -> Column:
     return _split_bodies(F.when(is_large, body))
 
 
-def product_list(document: Column, parts: Column) -> Column:
-    """Products of one page, one struct of raw values each; NULL without a list.
+def product_list(document: Column, parts: Column, body: Column) -> Column:
+    """Products of one page, one struct of raw values and plain texts each; NULL without a list.
 
     ``parts`` are the products as texts, where the page is more than one VARIANT holds.
     """
     whole = F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
-    return F.coalesce(whole, F.transform(parts, lambda p: F.try_variant_get(F.try_parse_json(p), "$", PRODUCT)))
+    raw = F.coalesce(whole, F.transform(parts, lambda p: F.try_variant_get(F.try_parse_json(p), "$", PRODUCT)))
+    return F.when(raw.isNotNull(), F.arrays_zip(raw.alias("raw"), plain_texts(body).alias("texts")))
+
+
+def plain_texts(body: Column) -> Column:
+    """The text fields of each product, read as text; empty where not all of the body fits, so that none may be at a wrong place.
+
+    Much quicker than a text out of a VARIANT, but only good for values that are texts there.
+    """
+    read = F.from_json(body, f"products array<{TEXTS}>, {MISFIT} string", {"columnNameOfCorruptRecord": MISFIT})
+    return F.coalesce(F.when(read[MISFIT].isNull(), read["products"]), F.array().cast(f"array<{TEXTS}>"))
 
 
 def raw_columns(product: Column) -> dict[str, Column]:
+    product, texts = product["raw"], product["texts"]
     raw = {f"raw_{name}": product[key] for name, (key, _) in TEXT_FIELDS.items()}
+    plain = {f"plain_{name}": texts[key] for name, (key, _) in TEXT_FIELDS.items()}
     return {
         **raw,
+        **plain,
         "raw_handle": product["handle"],
+        "plain_handle": texts["handle"],
+        "plain_price": F.get(texts["variants"], F.lit(0))["price"],
         "raw_variants": product["variants"],
         "missing": product.isNull(),
         "first": F.try_variant_get(product["variants"], "$[0]", VARIANT),
     }
 
 
+def text_of(value: Column, value_kind: Column, plain: Column) -> Column:
+    """``as_text``, by the plain text where the value is one."""
+    return F.when((value_kind == STRING) & plain.isNotNull(), plain).otherwise(as_text(value))
+
+
 def kind_columns() -> dict[str, Column]:
     first = F.col("first")
     kinds = {f"{name}_kind": kind(F.col(f"raw_{name}")) for name in [*TEXT_FIELDS, "handle"]}
@@ -175,8 +198,8 @@ def kind_columns() -> dict[str, Column]:
         **kinds,
         "price_kind": kind(first["price"]),
         "available_kind": kind(first["available"]),
-        "handle_text": as_text(F.col("raw_handle")),
-        "price_text": as_text(first["price"]),
+        "handle_text": text_of(F.col("raw_handle"), kind(F.col("raw_handle")), F.col("plain_handle")),
+        "price_text": text_of(first["price"], kind(first["price"]), F.col("plain_price")),
     }
 
 
@@ -184,7 +207,8 @@ def value_columns(base_url: Column) -> dict[str, Column]:
     first, handle, price = F.col("first"), F.col("handle_text"), F.col("price_text")
     texts = {
         # Only a missing key takes the default, JSON null stays NULL.
-        name: F.when(F.col(f"{name}_kind") == MISSING, default).otherwise(as_text(F.col(f"raw_{name}")))
+        name: F.when(F.col(f"{name}_kind") == MISSING, default).otherwise(
+            text_of(F.col(f"raw_{name}"), F.col(f"{name}_kind"), F.col(f"plain_{name}")))
         for name, (_, default) in TEXT_FIELDS.items()
     }
     has_handle = truthy(F.col("raw_handle"), F.col("handle_kind"), handle)

@@ -40,17 +40,17 @@ def ingest_feed(payloads: DataFrame) -> DataFrame:
 
 
 def run_feed(payloads: DataFrame, table: str, batch: int, stores: DataFrame | None = None) -> None:
-    """One batch of the product table, its rejects and its counts, from one pass over the bodies.
+    """One batch of the product table, its rejects and its counts, from one pass over the payloads.
 
     They go to ``table``, ``table-rejects`` and ``table-counts``; the stores on
     the list ``stores`` that gave no good page go to ``table-silent``.
     """
-    rows = stage(feeds.read_pages(payloads))
-    flat = feeds.contiguous_products(rows)
+    pages = feeds.landed_pages(payloads)
+    flat = stage(judge(feeds.contiguous_products(pages)))
     sinks.append_batch(feed_rejects(flat), f"{table}-rejects", batch)
     sinks.append_batch(feed_counts(flat), f"{table}-counts", batch)
     if stores is not None:
-        sinks.append_batch(feeds.silent_stores(rows, stores), f"{table}-silent", batch)
+        sinks.append_batch(feeds.silent_stores(pages, stores), f"{table}-silent", batch)
     sinks.append_batch(stamped(keyed.keep_last(products_table(flat))), table, batch)
 
 

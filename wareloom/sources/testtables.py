@@ -101,10 +101,10 @@ def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(product)
     )
     store_no = F.substring("p_brand", 7, 10).cast("int")
-    items = F.transform(
-        F.array_sort(F.collect_list(F.struct(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", with_nulls.alias("product")))),
-        lambda item: item["product"])
+    # Going through a one-element array has the products made before the rows are gathered, in generated code.
+    lines = lines.select("p_brand", "page", "l_quantity", F.inline(F.array(F.struct(F.struct(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", with_nulls.alias("product")).alias("item")))))
+    items = F.sort_array(F.collect_list("item"))["product"]
     pages = lines.groupBy("p_brand", "page").agg(
         items.alias("items"), F.min("l_quantity").alias("least"), F.max("l_quantity").alias("most"))
     body = F.concat(F.lit('{"products":['), F.concat_ws(",", "items"), F.lit("]}"))
