@@ -11,7 +11,7 @@ from wareloom import schemas
 from wareloom.functions import feed
 from wareloom.operators import contract, sinks
 from wareloom.plans import ingest
-from wareloom.sources import feeds
+from wareloom.sources import feeds, testtables
 from wareloom.streaming import ingest as stream
 
 URL = "https://www.shop.com"
@@ -289,3 +289,57 @@ def test_stores_without_a_good_page_are_listed(spark):
     stores = seeds.store_seeds(spark, ["https://a.com", "https://b.com", "https://c.com"])
     verdicts = feeds.page_verdicts(payloads(spark, [("a", 1, 200, OK), ("b", 1, 500, OK)]))
     assert sorted(r.store for r in feeds.silent_stores(verdicts, stores).collect()) == ["b", "c"]
+
+
+def test_pages_are_joined_before_their_products_are_spread_out(spark):
+    plan = feeds.flatten_feed(payloads(spark, [("a", 1, 200, OK), ("a", 2, 500, OK)]))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate posexplode") < plan.index("LeftSemi")
+
+
+def test_plain_texts_are_never_taken_from_another_place(spark):
+    """Bodies of which a plain reading does not fit as a whole, or gives another text than the product holds."""
+    odd = [
+        '{"products": [{"title": "old", "handle": "o"}], "products": [{"title": "new", "handle": "n"}, 7]}',
+        '{"products": [{"title": "a", "handle": "x", "variants": "text"}, 7, {"title": "b", "handle": "y"}]}',
+        '{"products": [{"title": 5, "handle": 1.50, "variants": [{"price": 2.50}]}, {"title": "caf\\u00e9 \\ud800 \\"q\\"", "handle": "z"}]}',
+        '{"products": [{"title": [1], "title": "last", "handle": "x", "handle": null, "variants": [{"price": " 7 "}, 3]}]}',
+        '{"products": [{"title": "t", "title": true, "handle": "", "variants": [{"price": "1"}], "variants": []}], "misfit": "x"}',
+    ]
+    pages = payloads(spark, [("a", n + 1, 200, b) for n, b in enumerate(odd)])
+    names = ["page", "pos", "product_url", "title", "price", "reject_reason"]
+    rows = feeds.flatten_feed(pages).select(*names).orderBy("page", "pos").collect()
+    url = "https://a.com/products/"
+    assert [tuple(r) for r in rows] == [
+        (1, 0, f"{url}n", "new", 0.0, None), (1, 1, "N/A", "N/A", 0.0, "product is not an object"),
+        (2, 0, f"{url}x", "a", 0.0, "first variant is not an object"), (2, 1, "N/A", "N/A", 0.0, "product is not an object"),
+        (2, 2, f"{url}y", "b", 0.0, None),
+        (3, 0, f"{url}1.5", "5", 2.5, None), (3, 1, f"{url}z", 'café ? "q"', 0.0, None),
+        (4, 0, "N/A", "last", 7.0, None),
+        (5, 0, "N/A", "true", 0.0, None),
+    ]
+
+
+def test_a_batch_looks_at_its_own_folder_only(spark, tmp_path, monkeypatch):
+    path, rows, seen = str(tmp_path / "log"), spark.range(2).selectExpr("id"), []
+    for batch in (0, 1, 2):
+        sinks.append_batch(rows, path, batch)
+    look = sinks._batch_attempts
+    monkeypatch.setattr(sinks, "_batch_attempts", lambda s, p, batch: seen.append(batch) or look(s, p, batch))
+    sinks.append_batch(rows.where("id = 1"), path, 1)
+    assert [tuple(r) for r in sinks.read_batch(spark, path, rows.schema, 1).collect()] == [(1, 1)]
+    assert set(seen) == {1} and sinks.read_batch(spark, path, rows.schema, 9).count() == 0
+    assert sinks.read_batches(spark, path, rows.schema).count() == 5
+
+
+def test_feed_products_are_made_before_they_are_gathered(spark, tmp_path):
+    lines = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, l_returnflag string, "
+             "l_linestatus string, l_extendedprice double, l_quantity double")
+    rows = [(7, n, 1, 2, None, "N", "O", 5.0, 20.0) for n in (3, 1, 2)]
+    spark.createDataFrame(rows, lines).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, "p", "Brand#4", "T")], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(
+        str(tmp_path / "part.parquet"))
+    made = testtables.feed_payloads(spark, str(tmp_path))
+    assert "collect_list(item" in made._jdf.queryExecution().optimizedPlan().toString()
+    page = made.collect()
+    prices = [p["variants"][0]["price"] for p in json.loads(page[0].body)["products"]]
+    assert len(page) == 1 and prices == [" 5.00", "5.00", "5.00"]

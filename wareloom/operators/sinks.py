@@ -68,25 +68,32 @@ def read_refreshed(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(f"{path}/{versions[-1][1]}")
 
 
-def _attempts(spark: SparkSession, path: str) -> dict[int, list[tuple[int, str, bool]]]:
-    """``(attempt, folder, whether published)`` of each batch, by batch number."""
-    fs, root = _file_system(spark, path)
-    found: dict[int, list[tuple[int, str, bool]]] = {}
+def _batch_attempts(spark: SparkSession, path: str, batch_id: int) -> list[tuple[int, str, bool]]:
+    """``(attempt, folder, whether published)`` of one batch; looks at no other."""
+    folder = f"{path}/batch_seq={batch_id}"
+    fs, root = _file_system(spark, folder)
+    found = []
     for status in fs.listStatus(root) if fs.exists(root) else []:
-        batch = re.fullmatch(r"batch_seq=(\d+)", status.getPath().getName())
-        for inner in fs.listStatus(status.getPath()) if batch else []:
-            name = inner.getPath().getName()
-            attempt = re.fullmatch(r"attempt=(\d+)-\w+", name)
-            if attempt:
-                published = fs.exists(_file_system(spark, f"{path}/{status.getPath().getName()}/{name}/{MARKER}")[1])
-                found.setdefault(int(batch.group(1)), []).append((int(attempt.group(1)), name, published))
+        name = status.getPath().getName()
+        attempt = re.fullmatch(r"attempt=(\d+)-\w+", name)
+        if attempt:
+            published = fs.exists(_file_system(spark, f"{folder}/{name}/{MARKER}")[1])
+            found.append((int(attempt.group(1)), name, published))
     return found
 
 
+def _attempts(spark: SparkSession, path: str) -> dict[int, list[tuple[int, str, bool]]]:
+    """The attempts of each batch, by batch number."""
+    fs, root = _file_system(spark, path)
+    names = [status.getPath().getName() for status in (fs.listStatus(root) if fs.exists(root) else [])]
+    batches = [int(name.removeprefix("batch_seq=")) for name in names if re.fullmatch(r"batch_seq=\d+", name)]
+    return {batch: _batch_attempts(spark, path, batch) for batch in batches}
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch of upserts; writing the same batch again replaces it."""
     spark = df.sparkSession
-    earlier = _attempts(spark, path).get(batch_id, [])
+    earlier = _batch_attempts(spark, path, batch_id)
     number = max((attempt for attempt, _, _ in earlier), default=0) + 1
     folder = f"{path}/batch_seq={batch_id}/attempt={number}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
@@ -94,19 +101,29 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     fs.create(marker, False).close()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, after: int = -1) -> DataFrame:
-    """All rows of the last published attempt of each batch with a number above ``after``, with ``batch_seq``."""
+def _last_published(attempts: list[tuple[int, str, bool]]) -> str | None:
+    return max(((attempt, name) for attempt, name, published in attempts if published), default=(0, None))[1]
+
+
+def _read_folders(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
     with_batch = T.StructType([*schema.fields, T.StructField("batch_seq", T.LongType())])
-    folders = []
-    for batch, attempts in _attempts(spark, path).items():
-        complete = [(attempt, name) for attempt, name, published in attempts if published]
-        if complete and batch > after:
-            folders.append(f"{path}/batch_seq={batch}/{max(complete)[1]}")
     if not folders:
         return spark.createDataFrame([], with_batch)
     return spark.read.schema(with_batch).option("basePath", path).parquet(*folders).select(*with_batch.names)
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType, after: int = -1) -> DataFrame:
+    """All rows of the last published attempt of each batch with a number above ``after``, with ``batch_seq``."""
+    last = {batch: _last_published(attempts) for batch, attempts in _attempts(spark, path).items() if batch > after}
+    return _read_folders(spark, path, schema, [f"{path}/batch_seq={batch}/{name}" for batch, name in last.items() if name])
+
+
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """All rows of the last published attempt of one batch, with ``batch_seq``; costs the same however many others there are."""
+    name = _last_published(_batch_attempts(spark, path, batch_id))
+    return _read_folders(spark, path, schema, [f"{path}/batch_seq={batch_id}/{name}"] if name else [])
+
+
 def _stored(spark: SparkSession, path: str) -> tuple[int, str, int] | None:
     """Last batch, folder and number of buckets of the table that stands for all batches up to that one."""
     fs, root = _file_system(spark, path)
