@@ -158,7 +158,8 @@ def product_list(document: Column, parts: Column, body: Column) -> Column:
     """
     whole = F.try_variant_get(document, "$.products", f"array<{PRODUCT}>")
     raw = F.coalesce(whole, F.transform(parts, lambda p: F.try_variant_get(F.try_parse_json(p), "$", PRODUCT)))
-    return F.when(raw.isNotNull(), F.arrays_zip(raw.alias("raw"), plain_texts(body).alias("texts")))
+    # NULL without a list; asking for that first would read the list twice.
+    return F.arrays_zip(raw.alias("raw"), plain_texts(body).alias("texts"))
 
 
 def plain_texts(body: Column) -> Column:
