@@ -6,9 +6,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
-from wareloom import schemas
+from wareloom import schemas, session
 from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
 from wareloom.plans import selection
+from wareloom.sources import testtables
 
 STRUCTURED = "product_url string, title string, vendor string, price double, availability string, description string, " \
              "category string, store_name string, ordinal long"
@@ -333,3 +334,36 @@ def test_many_per_store_are_cut_in_parts(spark):
 def test_report_contracts(spark, name, rows, schema, rules, broken):
     found = contract.contract_violations(spark.createDataFrame(rows, schema), rules).collect()
     assert {(r.column_name, r.rule): r.violations for r in found if r.violations} == broken
+
+
+@pytest.fixture
+def small_tasks(spark, monkeypatch):
+    """Tables count as large from 100 rows on; the session's settings come back afterwards."""
+    names = ["spark.sql.shuffle.partitions", *session.BYTES_A_TASK]
+    before = {name: spark.conf.get(name) for name in names}
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    yield before
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_tasks_stay_small_as_tables_grow(spark, small_tasks):
+    largest = {}
+    for rows in (1_000, 10_000):
+        dealt = testtables.spread(spark.range(rows), "id")
+        assert dealt.count() == dealt.distinct().count() == rows
+        largest[rows] = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == max(8, rows // 100)
+    assert largest[10_000] < 2 * largest[1_000] < 400
+    assert all(int(spark.conf.get(name)) == most for name, most in session.BYTES_A_TASK.items())
+
+
+def test_small_tables_and_smaller_settings_change_nothing(spark, small_tasks):
+    assert session.size_shuffles(spark, 0) == 0 and session.size_shuffles(spark, 100) == 1
+    assert {name: spark.conf.get(name) for name in small_tasks} == small_tasks
+    for name in session.BYTES_A_TASK:
+        spark.conf.set(name, "1m")
+    spark.conf.set("spark.sql.shuffle.partitions", 30)
+    assert session.size_shuffles(spark, 1_001) == 11
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    assert [spark.conf.get(name) for name in session.BYTES_A_TASK] == ["1m", "1m"]

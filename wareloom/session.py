@@ -8,6 +8,14 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a large table that one task takes: wide ones fill some 100 MB when they are sorted.
+ROWS_A_TASK = 250_000
+#: Compressed bytes that one task takes from a shuffle or from files; Spark's own 64 and 128 MB unfold to 1 GB in a sort.
+BYTES_A_TASK = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 << 20,
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+}
+
 #: Folders of the runs that are under way, the innermost last.
 _RUNS: list[str] = []
 
@@ -22,6 +30,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, rows: int) -> int:
+    """Tasks for ``rows`` rows; has the session's shuffles make as many, so that tasks stay small as tables grow.
+
+    Settings are only ever changed to more and smaller tasks, from the second
+    task on, and adaptive execution puts together what turns out small.
+    """
+    tasks = -(-rows // ROWS_A_TASK)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    for setting, most in BYTES_A_TASK.items():
+        if tasks > 1 and _bytes(spark, spark.conf.get(setting)) > most:
+            spark.conf.set(setting, most)
+    return tasks
+
+
+def _bytes(spark: SparkSession, size: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def _root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; without one, a place beside the session's tables."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wareloom.session import size_shuffles
+
 SERIES_SIZE = 400
 
 
@@ -16,8 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """The rows dealt out anew: the files come as one split each, and much is made of each row."""
-    return scan.repartition(key)
+    """The rows dealt out anew: the files come as one split each, and much is made of each row.
+
+    Of a large table, each task gets the same number of rows, however many there are.
+    """
+    tasks, usual = size_shuffles(scan.sparkSession, scan.count()), scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(tasks, key) if tasks > usual else scan.repartition(key)
 
 
 def _price_text(column: str):
