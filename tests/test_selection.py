@@ -367,3 +367,27 @@ def test_small_tables_and_smaller_settings_change_nothing(spark, small_tasks):
     assert session.size_shuffles(spark, 1_001) == 11
     assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
     assert [spark.conf.get(name) for name in session.BYTES_A_TASK] == ["1m", "1m"]
+
+
+def test_a_single_batch_without_repeats_is_not_shuffled(spark, tmp_path):
+    out = str(tmp_path / "out")
+    one = structured(spark, ("u1", "a", 10.0, "Available", "s"), ("u1", "b", 11.0, "", "s"), (None, "c", 2.0, "", "s"))
+    selection.run_selection(one, scraped(spark, ("u2", "x", "$5")), out, run_id=1)
+    alone = selection.read_scored(spark, out)
+    assert "Exchange" not in plan_of(alone)
+    assert {r.product_url: r.title for r in alone.collect()} == {"u1": "a", "N/A": "c", "u2": "x"}
+    assert "Exchange" in plan_of(selection.read_scored(spark, out, folded=True))
+    selection.run_selection(structured(spark, ("u2", "y", 1.0, "", "s")), None, out, run_id=2)
+    assert {r.product_url: r.title for r in selection.read_scored(spark, out).collect()} == {"u1": "a", "N/A": "c", "u2": "y"}
+
+
+def test_a_missing_url_and_the_text_for_it_are_one_product(spark, tmp_path):
+    """Stored under the same text, they are a repeated key of one batch; the later one stays."""
+    out = str(tmp_path / "out")
+    selection.run_selection(structured(spark, (None, "a", 1.0, "", "s"), ("N/A", "b", 2.0, "", "s")), None, out, run_id=1)
+    assert [(r.product_url, r.title) for r in selection.read_scored(spark, out).collect()] == [("N/A", "b")]
+    table = str(tmp_path / "table")
+    for repeat in (1, 2):
+        sinks.append_batch(spark.createDataFrame([("u", 1, "a"), ("u", 2, "b")], "product_url string, ordinal long, t string"), table, repeat)
+    rows = sinks.read_keyed(spark, table, T.StructType.fromDDL("product_url string, ordinal long, t string"))
+    assert [r.t for r in rows.collect()] == ["b"]

@@ -24,6 +24,8 @@ from wareloom.operators import buckets
 from wareloom.operators.keyed import folded_key, keep_last, merge_written
 
 MARKER = "_PUBLISHED"
+#: Lies in a batch that holds no key twice.
+UNIQUE = "_UNIQUE"
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -90,15 +92,19 @@ def _attempts(spark: SparkSession, path: str) -> dict[int, list[tuple[int, str,
     return {batch: _batch_attempts(spark, path, batch) for batch in batches}
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch of upserts; writing the same batch again replaces it."""
+def append_batch(df: DataFrame, path: str, batch_id: int, unique: bool = False) -> None:
+    """Write one batch of upserts; writing the same batch again replaces it.
+
+    ``unique`` says that no key comes twice in ``df``, so that a table of this batch alone is read as it lies.
+    """
     spark = df.sparkSession
     earlier = _batch_attempts(spark, path, batch_id)
     number = max((attempt for attempt, _, _ in earlier), default=0) + 1
     folder = f"{path}/batch_seq={batch_id}/attempt={number}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
-    fs, marker = _file_system(spark, f"{folder}/{MARKER}")
-    fs.create(marker, False).close()
+    for name in [UNIQUE, MARKER] if unique else [MARKER]:
+        fs, marker = _file_system(spark, f"{folder}/{name}")
+        fs.create(marker, False).close()
 
 
 def _last_published(attempts: list[tuple[int, str, bool]]) -> str | None:
@@ -112,10 +118,14 @@ def _read_folders(spark: SparkSession, path: str, schema: T.StructType, folders:
     return spark.read.schema(with_batch).option("basePath", path).parquet(*folders).select(*with_batch.names)
 
 
+def _batch_folders(spark: SparkSession, path: str, after: int = -1) -> list[str]:
+    last = {batch: _last_published(attempts) for batch, attempts in _attempts(spark, path).items() if batch > after}
+    return [f"{path}/batch_seq={batch}/{name}" for batch, name in last.items() if name]
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, after: int = -1) -> DataFrame:
     """All rows of the last published attempt of each batch with a number above ``after``, with ``batch_seq``."""
-    last = {batch: _last_published(attempts) for batch, attempts in _attempts(spark, path).items() if batch > after}
-    return _read_folders(spark, path, schema, [f"{path}/batch_seq={batch}/{name}" for batch, name in last.items() if name])
+    return _read_folders(spark, path, schema, _batch_folders(spark, path, after))
 
 
 def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
@@ -140,10 +150,15 @@ def read_keyed(spark: SparkSession, path: str, schema: T.StructType, key: str =
                order=("ordinal",), folded: bool = False) -> DataFrame:
     """Current state: the last write of each key, or of each folded key under the text written first.
 
-    What is stored in buckets is not shuffled; later batches are.
+    What is stored in buckets is not shuffled; later batches are, but for a single one without repeated keys.
     """
     stored = _stored(spark, path)
-    recent = read_batches(spark, path, schema, -1 if stored is None else stored[0])
+    folders = _batch_folders(spark, path, -1 if stored is None else stored[0])
+    recent = _read_folders(spark, path, schema, folders)
+    if stored is None and not folded and len(folders) == 1:
+        fs, marker = _file_system(spark, f"{folders[0]}/{UNIQUE}")
+        if fs.exists(marker):
+            return recent.drop("batch_seq")
     if stored is None:
         rows = recent
     else:

@@ -82,7 +82,11 @@ def run_selection(structured: DataFrame | None, scraped: DataFrame | None, out:
     if not scored.isEmpty():
         judged = judged_products(scored)
         fitting = contract.conform(judged.where(F.col("reject_reason").isNull()), SCORED_LOG)
-        sinks.append_batch(fitting.withColumn("analysis_timestamp", F.current_timestamp()), f"{out}/scored_products", run_id)
+        # One row per URL, but a row without one is stored under the text that another may have for its URL.
+        unnamed = F.col("product_url").isNull() | (F.col("product_url") == schemas.NOT_AVAILABLE)
+        unique = scored.where(unnamed).limit(2).count() < 2
+        sinks.append_batch(
+            fitting.withColumn("analysis_timestamp", F.current_timestamp()), f"{out}/scored_products", run_id, unique)
         rejects = judged.where(F.col("reject_reason").isNotNull()).select("product_url", "title", "price", "reject_reason")
         sinks.append_batch(rejects, f"{out}/scored_rejects", run_id)
         sinks.append_batch(counters.source_counts(scored), f"{out}/counts", run_id)
