@@ -147,6 +147,23 @@ def test_transform_equals_sorting():
     assert bwt.transform(strings).tolist() == [len(strings) + s[n - 1] if n else t for _, s, n, t in ranked]
 
 
+@pytest.mark.parametrize("bound", [40, 1 << 20, 1 << 60])
+def test_ranks_equal_sorting(bound):
+    """Keys are ranked alike whether or not their places fit beside them."""
+    rng = random.Random(bound)
+    for size in (1, 2, 3, 50):
+        keys = np.array([rng.choice((0, bound - 1, rng.randrange(bound))) for _ in range(size)], dtype=np.int64)
+        ranks, kinds = bwt._ranks(keys, bound)
+        assert ranks.tolist() == [sorted(set(keys.tolist())).index(key) for key in keys.tolist()] and kinds == len(set(keys.tolist()))
+
+
+@pytest.mark.parametrize("strings", [[b""], [b"", b"a"], [b"ab" * 40, b"b" * 9] + [b"a"] * 40])
+def test_transform_of_few_and_many_strings(strings):
+    of = lambda s, t, n: [len(strings) + c for c in s[n:]] + [t]
+    ranked = sorted((of(s, t, n), s, n, t) for t, s in enumerate(strings) for n in range(len(s) + 1))
+    assert bwt.transform(strings).tolist() == [len(strings) + s[n - 1] if n else t for _, s, n, t in ranked]
+
+
 def test_odd_rows_and_clashing_columns(spark):
     rows = odd_rows()
     docs = documents(spark, rows, clashing=True)
@@ -190,6 +207,50 @@ def test_a_frequent_passage_is_cut_again(spark):
         assert removed(documents(spark, rows), max_kinds=10) == wanted(rows, repeats.WINDOW)
 
 
+def test_passages_of_fifty_words_are_counted(spark):
+    """A passage with less bytes than the window stays, but both of its documents tell of it."""
+    own = lambda n, words: " ".join("".join(random.Random(n * 1000 + k).choices("abcdefgh", k=6)) for k in range(words))
+    shared = lambda n, words: " ".join("".join(random.Random(-n * 1000 - k).choices("xyzw", k=5)) for k in range(1, words + 1))
+    bodies = [f"{own(1, 70)} {shared(1, 50)} {own(2, 70)}", f"{own(3, 9)}\n{shared(1, 50)}\t{own(4, 80)}",
+              f"{own(5, 60)} {shared(2, 31)} {own(6, 60)}", f"{own(7, 60)} {shared(2, 31)} {own(8, 60)}",
+              f"{own(9, 20)} {shared(3, 55)} {own(10, 20)} {shared(3, 55)} {own(11, 5)}", own(12, 300), shared(4, 49), shared(4, 49), ""]
+    rows = sorted(repeats.remove_repeats(texts(spark, *bodies)).collect(), key=lambda r: r.doc_id)
+    assert all(len(r.spans) == 0 and bytes(r.kept).decode() == body for r, body in zip(rows, bodies))
+    assert [r.n_shared_marks > 0 for r in rows] == [True, True, *[False] * 7]
+
+
+def test_shared_marks_against_all_passages(spark):
+    rng = random.Random(6)
+    rows = [(n, " ".join(rng.choices("abcd", k=rng.randrange(40))), "en", "s", 0) for n in range(30)]
+    rows += [(30, None, "en", "s", 0), (None, rows[3][1], "en", "s", 0), (7, rows[7][1], "en", "s", 0)]
+    runs = lambda body, k: {tuple(words[n:n + k]) for words in [(body or "").split()] for n in range(len(words) - k + 1)}
+    for passage, mark in ((7, 4), (5, 5), (9, 8)):
+        got = {(r.doc_id, r.body): r.n for r in repeats.shared_marks(documents(spark, rows), passage, mark).collect()}
+        bodied = repeats._bodies(documents(spark, rows)).collect()
+        assert got.keys() <= {(r.doc_id, r.body) for r in bodied} and all(n > 0 for n in got.values())
+        for at, row in enumerate(bodied):
+            others = [bytes(other.text).decode() for n, other in enumerate(bodied) if n != at]
+            body = bytes(row.text).decode()
+            n = got.get((row.doc_id, row.body), 0)
+            if any(runs(body, passage) & runs(other, passage) for other in others):
+                assert n > 0
+            assert n <= len({run for other in others for run in runs(body, mark) & runs(other, mark)})
+
+
+def test_marks_of_long_texts_are_taken_in_blocks(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(7)
+    long = " ".join(str(rng.randrange(1000)) for _ in range(400)) + " " + "x" * 300 + " \n " + " ".join(str(rng.randrange(1000)) for _ in range(90))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": n, "body": n, "text": t} for n, t in enumerate([long.encode(), b"short", long[:900].encode()])])
+    found = []
+    for block in (70, 200, 1 << 20):
+        monkeypatch.setattr(repeats, "BLOCK", block)
+        rows = [(r["doc_id"], r["mark"]) for part in repeats._marker(12, 7)([batch]) for r in part.to_pylist()]
+        assert len(rows) == len(set(rows))
+        found.append(set(rows))
+    assert found[0] == found[1] == found[2] and {n for n, _ in found[0]} == {0, 2}
+
+
 def test_empty_table(spark):
     assert repeats.remove_repeats(documents(spark, [])).count() == 0
     assert repeats.repeated_spans(documents(spark, []).where(F.lit(True))).count() == 0

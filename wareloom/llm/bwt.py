@@ -21,9 +21,20 @@ import numpy as np
 SYMBOLS = 256
 
 
-def _ranks(keys: np.ndarray) -> tuple[np.ndarray, int]:
-    values, ranks = np.unique(keys, return_inverse=True)
-    return ranks.reshape(-1), len(values)
+def _ranks(keys: np.ndarray, bound: int) -> tuple[np.ndarray, int]:
+    """The rank of each key among the different ones, and their number; all keys are below ``bound``."""
+    bits = len(keys).bit_length()
+    if bound << bits > 1 << 63:
+        values, ranks = np.unique(keys, return_inverse=True)
+        return ranks.reshape(-1), len(values)
+    # With its place in the low bits a key is sorted by value, much faster than by argsort.
+    merged = np.sort((keys << bits) | np.arange(len(keys)))
+    places = merged & ((1 << bits) - 1)
+    merged >>= bits
+    ranks = np.empty(len(keys), dtype=np.int64)
+    number = np.cumsum(np.concatenate([[0], merged[1:] != merged[:-1]]))
+    ranks[places] = number
+    return ranks, int(number[-1]) + 1
 
 
 def transform(strings: list[bytes]) -> np.ndarray:
@@ -36,13 +47,15 @@ def transform(strings: list[bytes]) -> np.ndarray:
     inside[ends] = False
     symbols[ends] = np.arange(count)
     symbols[inside] = np.frombuffer(b"".join(strings), dtype=np.uint8).astype(np.int64) + count
-    base, depth = SYMBOLS + count, 1
-    ranks, kinds = _ranks(symbols)
+    # What lies beyond an end does not matter: the end itself tells any two suffixes apart.
+    beyond = lambda values, far: np.concatenate([values[far:], values[:far]])
+    keys, bound, depth = symbols, SYMBOLS + count, 1
+    while bound * (SYMBOLS + count) << len(symbols).bit_length() <= 1 << 63 and depth < len(symbols):
+        keys, bound, depth = keys * (SYMBOLS + count) + beyond(symbols, depth), bound * (SYMBOLS + count), depth + 1
+    ranks, kinds = _ranks(keys, bound)
     while kinds < len(symbols):
-        # What lies beyond an end does not matter: the end itself tells any two suffixes apart.
-        further = np.concatenate([ranks[depth:], ranks[:depth]])
-        ranks, kinds = _ranks(ranks * base + further)
-        base, depth = kinds, depth * 2
+        ranks, kinds = _ranks(ranks * kinds + beyond(ranks, depth), kinds * kinds)
+        depth *= 2
     order = np.empty(len(symbols), dtype=np.int64)
     order[ranks] = np.arange(len(symbols))
     before = np.arange(len(symbols)) - 1

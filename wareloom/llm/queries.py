@@ -242,4 +242,4 @@ def op13_repeats(spark, sf_dir):
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     n_removed = F.col("n_bytes") - F.octet_length("kept")
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), "n_shared_marks")

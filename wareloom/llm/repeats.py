@@ -15,6 +15,13 @@ passage, is not put into one bin: its pieces are cut again by longer grams, at
 last by whole windows, until few enough share one. So a group may hold any part
 of all rows.
 
+Passages of words are counted besides, as prose of many words may have less
+bytes than the window: of each ``PASSAGE`` words in a row the string of ``MARK``
+words with the smallest hash is a mark, and a document's marks that other rows
+have too are counted. Equal passages of ``PASSAGE`` words have an equal mark, so
+both documents count one at least; without ``MARK`` words in common there is
+none. Nothing is removed for it.
+
 Nulls and edge cases: a null text counts as empty; texts shorter than the
 window lose nothing; rows with equal id and text are copies of each other, also
 where the id is null; an empty table gives an empty result. Documents are known
@@ -24,6 +31,7 @@ only what is compared; equality of pieces is that of 128-bit digests.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -45,6 +53,9 @@ MAX_KINDS = 4096
 BIN_BYTES = 1 << 21
 SHARD_BYTES = 1 << 19
 BLOCK = 1 << 20
+#: Words of a passage that is certain to be found elsewhere, and of the marks that it is found by.
+PASSAGE = 50
+MARK = 32
 
 _FACTOR = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -63,17 +74,22 @@ def _byte_values() -> np.ndarray:
     return np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes from each place on."""
-    up, down = _powers(1 << (len(data) - 1).bit_length())
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_byte_values()[data] * up[:len(data)], dtype=np.uint64)])
-    hashes = (sums[gram:] - sums[:-gram]) * down[:len(data) - gram + 1]
+def _hashes(values: np.ndarray, begins: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
+    """A 64-bit hash of the values from each of ``begins`` to its end."""
+    up, down = _powers(1 << max(len(values) - 1, BLOCK).bit_length())
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(values * up[:len(values)], dtype=np.uint64)])
+    hashes = (sums[ends] - sums[begins]) * down[:len(values)][begins]
     hashes ^= hashes >> np.uint64(32)
     hashes *= _MIX
     hashes ^= hashes >> np.uint64(32)
     return hashes
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit hash of the ``gram`` bytes from each place on."""
+    return _hashes(_byte_values()[data], slice(len(data) - gram + 1), slice(gram, None))
+
+
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours, from running minima from both ends of blocks as wide."""
     if width == 1:
@@ -160,6 +176,83 @@ def _cut_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.mapInArrow(_cutter(window, gram, [field.name for field in others]), schema)
 
 
+def passage_marks(parts: list[bytes], passage: int, mark: int) -> tuple[np.ndarray, np.ndarray]:
+    """``part, mark`` of the different marks of each part."""
+    data = np.frombuffer(b"\n".join(parts), dtype=np.uint8)
+    inside = np.concatenate([[False], (data != 32) & (data - np.uint8(9) > 4), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins, ends = edges[::2], edges[1::2]
+    if len(begins) < passage:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    words = _hashes(_byte_values()[data], begins, ends)
+    grams = _hashes(words, slice(len(words) - mark + 1), slice(mark, None))
+    least = sliding_least(grams, passage - mark + 1)
+    stops = np.cumsum([len(part) + 1 for part in parts])
+    part = np.searchsorted(stops, begins, "right")
+    whole = part[:len(least)] == part[passage - 1:]
+    part, least = part[:len(least)][whole], least[whole]
+    order = np.lexsort((least, part))
+    part, least = part[order], least[order]
+    different = np.ones(len(part), dtype=bool)
+    different[1:] = (part[1:] != part[:-1]) | (least[1:] != least[:-1])
+    return part[different], least[different].view(np.int64)
+
+
+def _word_blocks(text: bytes, passage: int) -> Iterator[bytes]:
+    """Blocks of a long text's words; passages that begin in one end in it, too."""
+    size = BLOCK
+    while size < len(text):
+        spans = [found.span() for found in re.finditer(rb"[^\x20\x09-\x0D]+", text[:size])]
+        if len(spans) <= passage:
+            size *= 2
+            continue
+        # The last word may be cut.
+        yield text[:spans[-2][1]]
+        text, size = text[spans[-passage][0]:], BLOCK
+    yield text
+
+
+def _marker(passage: int, mark: int) -> Callable:
+    """Batches of ``doc_id, body, text`` to batches of ``doc_id, body, mark``; a row gives each of its marks once."""
+    def found(batch: pa.RecordBatch, rows: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        taken = pa.array(rows)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(taken), batch.column("body").take(taken), pa.array(values)], ["doc_id", "body", "mark"])
+
+    def several(batch: pa.RecordBatch, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        part, values = passage_marks([text for _, text in held], passage, mark)
+        return found(batch, np.array([row for row, _ in held], dtype=np.int64)[part], values)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: list[tuple[int, bytes]] = []
+            size = 0
+            for row, value in enumerate(batch.column("text")):
+                text = value.as_py()
+                if len(text) > BLOCK:
+                    values = np.unique(np.concatenate([passage_marks([block], passage, mark)[1] for block in _word_blocks(text, passage)]))
+                    yield found(batch, np.full(len(values), row), values)
+                    continue
+                held.append((row, text))
+                size += len(text)
+                if size >= BLOCK:
+                    yield several(batch, held)
+                    held, size = [], 0
+            if held:
+                yield several(batch, held)
+
+    return run
+
+
+def shared_marks(docs: DataFrame, passage: int = PASSAGE, mark: int = MARK) -> DataFrame:
+    """``doc_id, body, n``: how many of a document's marks other rows have too; no row without any."""
+    schema = "doc_id long, body long, mark long"
+    placed = stage(_bodies(docs).mapInArrow(_marker(passage, mark), schema))
+    often = placed.groupBy("mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("mark")
+    # Rows that repeat with their id have the same marks, once.
+    return placed.join(often, "mark", "left_semi").distinct().groupBy("doc_id", "body").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _bodies(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("body"), text.cast("binary").alias("text"))
@@ -262,11 +355,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...]
     return joined.groupBy("doc_id", "body").agg(F.array_sort(F.collect_list(F.struct("from", "until"))).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, max_kinds: int = MAX_KINDS) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept``: each document's removed spans and the bytes that are left."""
-    spans = stage(repeated_spans(docs, window, grams, max_kinds))
+def remove_repeats(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, max_kinds: int = MAX_KINDS,
+                   passage: int = PASSAGE, mark: int = MARK) -> DataFrame:
+    """``doc_id, n_bytes, spans, kept, n_shared_marks``: each document's removed spans, the bytes that are left, and its shared marks."""
+    spans = repeated_spans(docs, window, grams, max_kinds)
+    counted = shared_marks(docs, passage, mark)
+    found = stage(spans.select("doc_id", "body", "spans", F.lit(0).cast("long").alias("n")).unionByName(
+        counted.select("doc_id", "body", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), "n")))
     # Lists of a document's places have no size bound, so they are met by a shuffle whatever the size of the table.
-    listed = spans.select(F.col("doc_id").alias("_doc"), F.col("body").alias("_body"), F.col("spans").alias("_spans")).hint("merge")
+    listed = found.groupBy(F.col("doc_id").alias("_doc"), F.col("body").alias("_body")).agg(
+        F.first("spans", ignorenulls=True).alias("_spans"), F.max("n").alias("_n")).hint("merge")
     rows = _bodies(docs)
     joined = rows.join(listed, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("body") == F.col("_body")), "left")
     size = F.octet_length("text").cast("long")
@@ -275,5 +373,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, grams: tuple[int, ...]
     ends = F.concat(F.transform("spans", lambda s: s["from"]), F.array("n_bytes"))
     # Strings hold any bytes here; only they can be joined in one go.
     kept = F.zip_with(begins, ends, lambda a, b: F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int")).cast("string"))
-    return joined.select("doc_id", size.alias("n_bytes"), removed.alias("spans"), "text").select(
-        "doc_id", "n_bytes", "spans", F.array_join(kept, "").cast("binary").alias("kept"))
+    shared = F.coalesce("_n", F.lit(0).cast("long")).alias("n_shared_marks")
+    return joined.select("doc_id", size.alias("n_bytes"), removed.alias("spans"), "text", shared).select(
+        "doc_id", "n_bytes", "spans", F.array_join(kept, "").cast("binary").alias("kept"), "n_shared_marks")
