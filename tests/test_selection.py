@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from wareloom import schemas, session
 from wareloom.operators import align, contract, counters, keyed, ranking, scoring, sinks
-from wareloom.plans import selection
+from wareloom.plans import registry, selection
 from wareloom.sources import testtables
 
 STRUCTURED = "product_url string, title string, vendor string, price double, availability string, description string, " \
@@ -127,6 +127,17 @@ def test_numbering_in_ranges(spark):
     assert ranking.numbered(rows.limit(0), order, "n").count() == 0
 
 
+def test_every_product_gets_a_position(spark, monkeypatch):
+    """The overall ranking goes on beyond ten million products."""
+    most = 10_000_003
+    rows = spark.range(most).select(
+        F.col("id").cast("double").alias("final_score"), F.lit("u").alias("product_url"), F.lit("P").alias("source_platform"),
+        *[F.lit(None).cast("string").alias(c) for c in ("title", "source_store_name", "price", "is_available_numeric")])
+    monkeypatch.setattr(registry, "scored_rows", lambda *_: rows)
+    ranked = registry.rank_all(spark, "")
+    assert ranked.agg(F.count("*"), F.min("rank_overall"), F.max("rank_overall")).first() == (most, 1, most)
+
+
 def test_store_rankings(spark):
     rows = scored(spark, ("s", "B", 1, 0, "u1", 0.2), ("s", "A", 0, 5, "u2", 0.4), ("s", "B", 0, 9, "u3", 0.9),
                   ("t", None, 0, 0, "u4", 0.1))

@@ -41,18 +41,26 @@ def numbered(rows: DataFrame, order: list, position: str, parts: int | None = No
         position, F.col("_within") + F.col("_before")).drop("_range", "_within", "_before")
 
 
+def _overall_order() -> list:
+    return [F.desc("final_score"), F.asc("product_url")]
+
+
+def rank_all(scored: DataFrame) -> DataFrame:
+    """Every product with ``rank_overall``, however many there are; ties by URL. Rows are numbered range by range."""
+    ranked = numbered(scored.select(*TOP_K_COLUMNS), _overall_order(), "rank_overall")
+    return ranked.select(F.col("rank_overall").cast("int").alias("rank_overall"), *TOP_K_COLUMNS)
+
+
 def top_k(scored: DataFrame, k: int = TOP_K) -> DataFrame:
     """The k best products with ``rank_overall``; ties by URL.
 
     For a small k the limit is taken first, so the ranking window sees k rows
     only. From ``MANY_OVERALL`` on, rows are numbered range by range.
     """
-    order = [F.desc("final_score"), F.asc("product_url")]
-    rows = scored.select(*TOP_K_COLUMNS)
     if k >= MANY_OVERALL:
-        ranked = numbered(rows, order, "rank_overall").where(F.col("rank_overall") <= k)
-        return ranked.select(F.col("rank_overall").cast("int").alias("rank_overall"), *TOP_K_COLUMNS)
-    best = rows.orderBy(*order).limit(k)
+        return rank_all(scored).where(F.col("rank_overall") <= k)
+    order = _overall_order()
+    best = scored.select(*TOP_K_COLUMNS).orderBy(*order).limit(k)
     rank = F.row_number().over(Window.orderBy(*order))
     return best.select(rank.alias("rank_overall"), *TOP_K_COLUMNS)
 
