@@ -194,6 +194,20 @@ def test_stream_reads_shuffle_no_products_to_their_pages(spark, tmp_path):
             stream.compact_stream(spark, table, progress, table + "2")
 
 
+def test_compaction_shuffles_no_products(spark, tmp_path, monkeypatch):
+    """Replaced fetches go; pages beyond a gap stay."""
+    landing, table, progress = (str(tmp_path / name) for name in ("landing", "table", "progress"))
+    crawls(spark, (0, 1, 200, "1"), (0, 1, 200, "2"), (0, 2, 500, "3"), (0, 3, 200, "x"), (0, 0, 200, "4")).write.parquet(landing)
+    stream.run_stream(spark, landing, table, progress)
+    plans, append = [], sinks.append_batch
+    monkeypatch.setattr(sinks, "append_batch", lambda df, *to: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), append(df, *to)))
+    stream.compact_stream(spark, table, progress, table + "2")
+    assert "Exchange hashpartitioning" not in plans[0]
+    kept = sinks.read_batches(spark, table + "2", stream.FEED_LOG).collect()
+    assert sorted((r.page, r.fetch_seq, r.pos) for r in kept) == [(1, 1, 0), (2, 2, None), (3, 3, 0)]
+
+
 def test_bodies_are_parsed_once(spark):
     pages = payloads(spark, [("a", 1, 200, OK)])
     plan = feeds.accepted(feeds.read_pages(pages))._jdf.queryExecution().executedPlan().toString()

@@ -123,7 +123,7 @@ def _without_others(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     known = rows.where(F.col("store").isNotNull() & F.col("page").isNotNull())
     fetches = known.where(F.coalesce("pos", F.lit(0)) == 0).select(*feeds.FETCH)
-    others = stage(fetches.join(wanted, feeds.FETCH, "left_anti").distinct())
+    others = stage(fetches.join(wanted, feeds.FETCH, "left_anti"))
     return known.join(others, feeds.FETCH, "left_anti")
 
 
